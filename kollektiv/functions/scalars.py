@@ -64,20 +64,28 @@ def service_date(ts: Column | str, zone: str | None = None) -> Column:
     return F.to_date(t)
 
 
+# A time of day followed by a zone designator: ``Z``, ``+01``, ``+0100`` or ``+01:00``.
+_HAS_ZONE = r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*([zZ]|[+-]\d{2}(:?\d{2})?)$"
+
+
 def parse_timestamp(text: Column | str) -> Column:
     """SCL-6: ISO-8601 text (offset, ``Z`` or none; any fraction) -> UTC ``TIMESTAMP_NTZ``.
 
     Unparseable text gives null (D14: every value is parsed on its own).  Text
-    without an offset is read in the session time zone (UTC in our sessions).
+    with a zone is converted to UTC; text without one is taken as UTC wall
+    clock, so the result never depends on the session time zone.
     """
-    instant = F.try_to_timestamp(_c(text))
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+    t = _c(text)
+    instant = F.try_to_timestamp(t)
+    as_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+    return F.when(t.rlike(_HAS_ZONE), as_utc).otherwise(t.try_cast("timestamp_ntz"))
 
 
 def parse_service_date(text: Column | str) -> Column:
-    """SCL-7: ``yyyy-MM-dd`` text, else any timestamp text's day, else null."""
+    """SCL-7: ``yyyy-MM-dd`` text, else the calendar day written in any
+    timestamp text (its own offset, not UTC), else null."""
     t = _c(text)
-    return F.coalesce(F.try_to_date(t, "yyyy-MM-dd"), F.to_date(parse_timestamp(t)))
+    return F.coalesce(F.try_to_date(t, "yyyy-MM-dd"), F.to_date(t.try_cast("timestamp_ntz")))
 
 
 def fill_empty_strings(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -109,3 +109,91 @@ SELECT DISTINCT q.QuayId AS quay_id, coalesce(s.StopPointId, '') AS stop_point_i
   q.Location AS location, q.ParentStopPointId AS parent_stop_point_id
 FROM Q q LEFT JOIN S s ON q.QuayId = s.QuayId
 WHERE q.QuayId IS NOT NULL"""
+
+# --- scalar functions ----------------------------------------------------------
+ORACLES["json_payload_pack"] = """SELECT c_custkey, c_name AS name, c_mktsegment AS segment,
+  CASE WHEN c_custkey % 3 <> 0 THEN c_name ELSE '' END AS private_code,
+  CAST(5 AS BIGINT) AS n_keys, (c_custkey % 3 = 0) AS private_code_is_null
+FROM customer"""
+
+ORACLES["json_payload_truncate"] = """SELECT doc_id,
+  length(to_json(struct_pack(doc_id, text, lang, source, n_chars))) > 900000 AS truncated,
+  lang, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS text_chars
+FROM documents"""
+
+ORACLES["json_extract_string"] = """SELECT c_custkey,
+  CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 3 = 0 THEN c_name ELSE '' END AS name,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_mktsegment END AS segment
+FROM customer"""
+
+ORACLES["parse_timestamp_coerce"] = """SELECT event_id,
+  CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 4 = 3 THEN date_trunc('millisecond', ts) ELSE ts END AS parsed
+FROM events"""
+
+ORACLES["parse_date_fallback"] = """SELECT event_id,
+  CASE WHEN event_id % 3 = 2 THEN NULL ELSE CAST(ts AS DATE) END AS DateId
+FROM events"""
+
+ORACLES["parse_double_coerce"] = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+  CASE (l_orderkey + l_linenumber) % 5
+    WHEN 0 THEN NULL WHEN 1 THEN CAST(l_linenumber AS DOUBLE) + 0.5 WHEN 2 THEN NULL
+    ELSE CAST(l_linenumber AS DOUBLE) END AS stopOrder
+FROM lineitem"""
+
+ORACLES["first_non_empty"] = """SELECT c_custkey,
+  COALESCE(NULLIF(CASE WHEN c_custkey % 3 = 0 THEN c_name WHEN c_custkey % 3 = 1 THEN '' END, ''),
+           CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment WHEN c_custkey % 2 = 0 THEN 'unused' END) AS LineId
+FROM customer"""
+
+ORACLES["fill_empty_string"] = """SELECT d.doc_id, COALESCE(d.lang, '') AS lang,
+  COALESCE(CAST(l.quality AS VARCHAR), '') AS quality, COALESCE(CAST(l.toxic AS VARCHAR), '') AS toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+
+# --- dedupe, ids ---------------------------------------------------------------
+ORACLES["dedupe_latest_version"] = """SELECT id, version, o_orderkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC NULLS LAST, o_orderkey DESC) AS rn
+  FROM (SELECT CAST(o_custkey AS VARCHAR) AS id, CAST(o_orderkey % 13 AS VARCHAR) AS version, o_orderkey
+        FROM orders)) WHERE rn = 1"""
+
+ORACLES["dedupe_full_row"] = "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem"
+
+ORACLES["positional_id"] = """SELECT o_orderkey, o_custkey,
+  CAST(row_number() OVER (ORDER BY o_orderkey ASC) - 1 AS VARCHAR) AS id FROM orders"""
+
+# --- quality -------------------------------------------------------------------
+ORACLES["dq_null_rate"] = f"""WITH {LIVE_CTE}
+SELECT Ingestion_Date,
+  CAST(count(*) FILTER (WHERE ActualArrivalTime IS NULL) AS BIGINT) AS null_count,
+  CAST(count(*) AS BIGINT) AS total_count,
+  CAST(count(*) FILTER (WHERE ActualArrivalTime IS NULL) AS DOUBLE) * CAST(100.0 AS DOUBLE) / count(*) AS null_pct,
+  CAST(count(*) FILTER (WHERE ActualArrivalTime IS NULL) AS DOUBLE) * CAST(100.0 AS DOUBLE) / count(*) <= 50.0 AS gate_passed
+FROM L GROUP BY Ingestion_Date"""
+
+ORACLES["dq_line_ids"] = """WITH K AS (SELECT CAST(o_custkey AS VARCHAR) AS id, count(*) AS n FROM orders GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS total_count,
+  CAST(COALESCE(sum(CASE WHEN id IS NULL THEN n END), 0) AS BIGINT) AS null_ids,
+  CAST(sum(n - 1) AS BIGINT) AS duplicate_ids,
+  (COALESCE(sum(CASE WHEN id IS NULL THEN n END), 0) = 0 AND sum(n - 1) = 0) AS gate_passed
+FROM K"""
+
+_DOCS_LABELS = "(SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
+ORACLES["test_not_null"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {_DOCS_LABELS}"
+    for c in ("doc_id", "lang", "quality", "toxic"))
+
+ORACLES["test_unique"] = """SELECT l_orderkey, CAST(count(*) AS BIGINT) AS n_records FROM lineitem
+WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey HAVING count(*) > 1"""
+
+# --- frame shaping -------------------------------------------------------------
+ORACLES["union_by_name"] = """SELECT s_suppkey AS id, s_name AS Name, s_nationkey AS nation, s_acctbal FROM supplier
+UNION ALL BY NAME
+SELECT c_mktsegment AS segment, c_custkey AS id, c_name AS Name, c_nationkey AS nation FROM customer"""
+
+ORACLES["missing_column_backfill"] = """SELECT CAST(n_nationkey AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS version,
+  CAST(NULL AS VARCHAR) AS IsoCode, n_name AS Descriptor, CAST(NULL AS VARCHAR) AS TopographicPlaceType,
+  CAST(NULL AS VARCHAR) AS CountryRef, CAST(NULL AS VARCHAR) AS PrivateCode,
+  CAST(n_regionkey AS VARCHAR) AS ParentTopographicPlaceRef, CAST(NULL AS VARCHAR) AS ParentTopographicPlaceVersion
+FROM nation"""
+
+ORACLES["ingest_envelope"] = """SELECT CAST(p_partkey AS VARCHAR) AS id, 'netex_lines' AS dataset,
+  TIMESTAMP '2025-10-27 06:00:00' AS Ingestion_Timestamp, DATE '2025-10-27' AS Ingestion_Date FROM part"""

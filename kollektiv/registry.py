@@ -88,3 +88,199 @@ def q_dim_quay(spark, sf_dir):
     quays = staging.stg_netex_quays(roles.quays_bronze_from_documents(roles.table(spark, sf_dir, "documents")))
     movements = roles.silver_from_labels(roles.table(spark, sf_dir, "labels"))
     return gold.dim_quay(quays, movements)
+
+
+# --- scalar functions ----------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from kollektiv.functions import scalars as S  # noqa: E402
+from kollektiv.operators import dedupe, frames, ids, quality  # noqa: E402
+from kollektiv.schemas import netex_record_schema  # noqa: E402
+
+
+@register("json_payload_pack")
+def q_json_payload_pack(spark, sf_dir):
+    c = roles.table(spark, sf_dir, "customer")
+    rec = c.select(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.col("c_name").alias("Name"),
+        F.col("c_mktsegment").alias("Segment"),
+        F.when(F.col("c_custkey") % 3 != 0, F.col("c_name")).alias("PrivateCode"),
+        F.col("c_nationkey").cast("string").alias("CountryRef"))
+    packed = rec.select("id", S.pack_json_payload(rec.columns).alias("payload"))
+    return packed.select(
+        F.col("id").cast("bigint").alias("c_custkey"),
+        S.json_extract_string("payload", "Name").alias("name"),
+        S.json_extract_string("payload", "Segment").alias("segment"),
+        S.json_extract_string("payload", "PrivateCode").alias("private_code"),
+        F.size(F.json_object_keys("payload")).cast("bigint").alias("n_keys"),
+        F.get_json_object("payload", "$.PrivateCode").isNull().alias("private_code_is_null"))
+
+
+@register("json_payload_truncate")
+def q_json_payload_truncate(spark, sf_dir):
+    d = roles.table(spark, sf_dir, "documents")
+    packed = d.select("doc_id", S.cap_payload(
+        S.pack_json_payload(["doc_id", "text", "lang", "source", "n_chars"])).alias("payload"))
+    text = S.json_extract_string("payload", "text")
+    return packed.select(
+        "doc_id",
+        F.col("payload").endswith(S.TRUNCATION_MARKER).alias("truncated"),
+        S.json_extract_string("payload", "lang").alias("lang"),
+        F.md5(text).alias("text_md5"),
+        F.length(text).cast("bigint").alias("text_chars"))
+
+
+@register("json_extract_string")
+def q_json_extract_string(spark, sf_dir):
+    c = roles.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    full = F.to_json(F.struct(F.col("c_name").alias("Name"), F.col("c_mktsegment").alias("Segment")))
+    null_name = F.to_json(F.struct(F.lit(None).cast("string").alias("Name"),
+                                   F.col("c_mktsegment").alias("Segment")), {"ignoreNullFields": "false"})
+    no_name = F.to_json(F.struct(F.col("c_mktsegment").alias("Segment")))
+    broken = F.concat(F.lit('{"Name": "'), F.col("c_name"))
+    payload = (F.when(k % 7 == 0, broken).when(k % 3 == 0, full).when(k % 3 == 1, null_name)
+               .otherwise(no_name))
+    return c.select("c_custkey", payload.alias("payload")).select(
+        "c_custkey",
+        S.json_extract_string("payload", "Name").alias("name"),
+        S.json_extract_string("payload", "Segment").alias("segment"))
+
+
+def _ts_text(ts, event_id):
+    """ISO-8601 texts in four shapes (Z, +01:00, no offset, -05:30 with millis)."""
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    return (F.when(event_id % 4 == 0, F.concat(F.date_format(ts, iso), F.lit("Z")))
+            .when(event_id % 4 == 1, F.concat(F.date_format(F.timestamp_add("HOUR", F.lit(1), ts), iso),
+                                              F.lit("+01:00")))
+            .when(event_id % 4 == 2, F.date_format(ts, iso))
+            .otherwise(F.concat(F.date_format(F.timestamp_add("MINUTE", F.lit(-330), ts),
+                                              "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("-05:30"))))
+
+
+@register("parse_timestamp_coerce")
+def q_parse_timestamp_coerce(spark, sf_dir):
+    e = roles.table(spark, sf_dir, "events")
+    text = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("not-a-time-"), F.col("event_id").cast("string"))) \
+        .otherwise(_ts_text(F.col("ts"), F.col("event_id")))
+    return e.select("event_id", text.alias("t")).select("event_id", S.parse_timestamp("t").alias("parsed"))
+
+
+@register("parse_date_fallback")
+def q_parse_date_fallback(spark, sf_dir):
+    e = roles.table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    text = (F.when(eid % 3 == 0, F.date_format("ts", "yyyy-MM-dd"))
+            .when(eid % 3 == 1, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+01:00")))
+            .otherwise(F.concat(F.lit("day-"), eid.cast("string"))))
+    return e.select("event_id", S.parse_service_date(text).alias("DateId"))
+
+
+@register("parse_double_coerce")
+def q_parse_double_coerce(spark, sf_dir):
+    li = roles.table(spark, sf_dir, "lineitem")
+    r = (F.col("l_orderkey") + F.col("l_linenumber")) % 5
+    text = (F.when(r == 0, F.concat(F.lit("x"), F.col("l_linenumber").cast("string")))
+            .when(r == 1, F.concat(F.col("l_linenumber").cast("string"), F.lit(".5")))
+            .when(r == 2, F.lit(""))
+            .otherwise(F.col("l_linenumber").cast("string")))
+    return li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                     S.parse_double(text).alias("stopOrder"))
+
+
+@register("first_non_empty")
+def q_first_non_empty(spark, sf_dir):
+    c = roles.table(spark, sf_dir, "customer")
+    m = F.col("c_custkey") % 3
+    text = F.when(m == 0, F.col("c_name")).when(m == 1, F.lit(""))
+    attr = F.when(m != 0, F.col("c_mktsegment")).when(F.col("c_custkey") % 2 == 0, F.lit("unused"))
+    return c.select("c_custkey", S.first_non_empty(text, attr).alias("LineId"))
+
+
+@register("fill_empty_string")
+def q_fill_empty_string(spark, sf_dir):
+    d = roles.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    lab = roles.table(spark, sf_dir, "labels")
+    return S.fill_empty_strings(d.join(lab, "doc_id", "left"), ["lang", "quality", "toxic"])
+
+
+# --- dedupe, ids ---------------------------------------------------------------
+def _versioned_orders(spark, sf_dir):
+    o = roles.table(spark, sf_dir, "orders")
+    return o.select(F.col("o_custkey").cast("string").alias("id"),
+                    (F.col("o_orderkey") % 13).cast("string").alias("version"), "o_orderkey")
+
+
+@register("dedupe_latest_version")
+def q_dedupe_latest_version(spark, sf_dir):
+    return dedupe.latest_version(_versioned_orders(spark, sf_dir), "id", "version",
+                                 tiebreak=[F.col("o_orderkey").desc()])
+
+
+@register("dedupe_full_row")
+def q_dedupe_full_row(spark, sf_dir):
+    return dedupe.drop_full_duplicates(roles.table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey"))
+
+
+@register("positional_id")
+def q_positional_id(spark, sf_dir):
+    o = roles.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return ids.positional_id(o, [F.col("o_orderkey").asc()], name="id")
+
+
+# --- quality -------------------------------------------------------------------
+@register("dq_null_rate")
+def q_dq_null_rate(spark, sf_dir):
+    rates = quality.null_rate(_live(spark, sf_dir), "ActualArrivalTime", by=["Ingestion_Date"])
+    return rates.withColumn("gate_passed", quality.passes_null_rate("ActualArrivalTime"))
+
+
+@register("dq_line_ids")
+def q_dq_line_ids(spark, sf_dir):
+    o = roles.table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("id"))
+    prof = quality.key_profile(o, "id")
+    return prof.withColumn("gate_passed", (F.col("null_ids") == 0) & (F.col("duplicate_ids") == 0))
+
+
+def _docs_labels(spark, sf_dir):
+    d = roles.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return d.join(roles.table(spark, sf_dir, "labels"), "doc_id", "left")
+
+
+@register("test_not_null")
+def q_test_not_null(spark, sf_dir):
+    return quality.not_null_failures(_docs_labels(spark, sf_dir), ["doc_id", "lang", "quality", "toxic"])
+
+
+@register("test_unique")
+def q_test_unique(spark, sf_dir):
+    return quality.unique_failures(roles.table(spark, sf_dir, "lineitem").select("l_orderkey"), "l_orderkey")
+
+
+# --- frame shaping -------------------------------------------------------------
+@register("union_by_name")
+def q_union_by_name(spark, sf_dir):
+    s = roles.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("Name"),
+        F.col("s_nationkey").alias("nation"), "s_acctbal")
+    c = roles.table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("segment"), F.col("c_custkey").alias("id"),
+        F.col("c_name").alias("Name"), F.col("c_nationkey").alias("nation"))
+    return frames.union_by_name([s, c])
+
+
+@register("missing_column_backfill")
+def q_missing_column_backfill(spark, sf_dir):
+    n = roles.table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("ID"), F.col("n_name").alias("Descriptor"),
+        F.col("n_regionkey").cast("string").alias("ParentTopographicPlaceRef"))
+    schema = netex_record_schema("topographic_place")
+    out = frames.backfill_columns(frames.ensure_version(frames.ensure_id(n)), schema)
+    return out.select(*schema.fieldNames())
+
+
+@register("ingest_envelope")
+def q_ingest_envelope(spark, sf_dir):
+    p = roles.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"))
+    return frames.add_envelope(p, "netex_lines", roles.RUN1, roles.DAY1)
