@@ -197,3 +197,85 @@ FROM nation"""
 
 ORACLES["ingest_envelope"] = """SELECT CAST(p_partkey AS VARCHAR) AS id, 'netex_lines' AS dataset,
   TIMESTAMP '2025-10-27 06:00:00' AS Ingestion_Timestamp, DATE '2025-10-27' AS Ingestion_Date FROM part"""
+
+# --- XML sources -----------------------------------------------------------------
+ORACLES["src_siri_calls"] = """SELECT
+  CAST(user_id AS VARCHAR) AS ServiceJourneyId, event_type AS QuayId, event_type AS StopPointId,
+  CASE WHEN user_id % 11 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS DateId,
+  'line-' || CAST(user_id % 12 AS VARCHAR) AS LineId,
+  CASE WHEN user_id % 3 = 2 THEN '' ELSE 'route-' || CAST(user_id % 12 AS VARCHAR) || '-' || CAST(user_id % 2 AS VARCHAR) END AS RouteId,
+  CAST(user_id % 2 + 1 AS VARCHAR) AS DirectionRef,
+  CASE WHEN user_id % 5 = 0 THEN 'tram' ELSE 'bus' END AS VehicleMode,
+  date_trunc('millisecond', ts) AS AimedArrivalTime,
+  CASE WHEN event_type <> 'error' THEN date_trunc('millisecond', ts) + to_seconds(event_id % 600) END AS ActualArrivalTime,
+  date_trunc('millisecond', ts) + to_seconds(30) AS AimedDepartureTime,
+  CASE WHEN event_type <> 'error' THEN date_trunc('millisecond', ts) + to_seconds(event_id % 600 + 30) END AS ActualDepartureTime,
+  CASE WHEN user_id % 3 = 0 THEN 'onTime' ELSE 'delayed' END AS ArrivalStatus,
+  CASE WHEN user_id % 4 <> 0 THEN 'onTime' ELSE '' END AS DepartureStatus,
+  'false' AS Cancellation, 'boarding' AS DepartureBoardingActivity,
+  TIMESTAMP '2025-10-27 06:00:00' AS Ingestion_Timestamp, DATE '2025-10-27' AS Ingestion_Date
+FROM events"""
+
+ORACLES["src_xml_topographic_places"] = """SELECT 'N' || CAST(n_nationkey AS VARCHAR) AS id, '1' AS version,
+  upper(substr(n_name, 1, 2)) AS IsoCode,
+  CASE WHEN n_nationkey % 3 = 2 THEN NULL ELSE n_name END AS Descriptor,
+  'country' AS TopographicPlaceType, lower(substr(n_name, 1, 2)) AS CountryRef,
+  CAST(n_nationkey AS VARCHAR) AS PrivateCode, 'R' || CAST(n_regionkey AS VARCHAR) AS ParentTopographicPlaceRef,
+  '1' AS ParentTopographicPlaceVersion
+FROM nation
+UNION ALL
+SELECT 'R' || CAST(r_regionkey AS VARCHAR), '2', NULL, r_name, 'region', NULL, NULL, NULL, NULL FROM region"""
+
+_SP_LON = "CAST(s_nationkey + 10 AS VARCHAR) || '.' || lpad(CAST(s_suppkey % 1000 AS VARCHAR), 3, '0')"
+_SP_LAT = "'59.' || lpad(CAST(s_suppkey % 100000 AS VARCHAR), 5, '0')"
+STOP_PLACES_SQL = f"""SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS id, CAST(s_suppkey % 4 + 1 AS VARCHAR) AS version,
+  s_name AS Name, CASE WHEN s_suppkey % 2 = 0 THEN 'S' || CAST(s_suppkey AS VARCHAR) END AS ShortName,
+  CAST(s_suppkey AS VARCHAR) AS PrivateCode,
+  CASE WHEN s_suppkey % 3 <> 2 THEN {_SP_LON} END AS Centroid_Long,
+  CASE WHEN s_suppkey % 3 <> 2 THEN {_SP_LAT} END AS Centroid_Lat,
+  'N' || CAST(s_nationkey AS VARCHAR) AS TopographicPlaceRef, '1' AS TopographicPlaceVersion,
+  CASE WHEN s_suppkey % 7 <> 0 THEN 'ORG' || CAST(s_suppkey % 7 AS VARCHAR) END AS OrganisationRef,
+  CASE WHEN s_suppkey % 5 = 0 THEN 'P' || CAST(s_nationkey AS VARCHAR) END AS ParentSiteRef,
+  CASE WHEN s_suppkey % 5 = 0 THEN '3' END AS ParentSiteVersion,
+  'bus' AS TransportMode, 'onstreetBus' AS StopPlaceType
+FROM supplier {{where}}
+UNION ALL
+SELECT 'S' || CAST(s_suppkey AS VARCHAR) || '-child', '1', s_name || ' child', NULL, NULL, NULL, NULL, NULL, NULL,
+  NULL, NULL, NULL, NULL, NULL
+FROM supplier WHERE s_suppkey % 10 = 0 {{and_where}}"""
+ORACLES["src_xml_stop_places"] = STOP_PLACES_SQL.format(where="", and_where="")
+ORACLES["src_xml_namespaces"] = STOP_PLACES_SQL.format(where="", and_where="")
+ORACLES["src_xml_malformed"] = STOP_PLACES_SQL.format(where="WHERE s_suppkey % 7 <> 0",
+                                                      and_where="AND s_suppkey % 7 <> 0")
+
+ORACLES["src_xml_quays"] = """SELECT DISTINCT 'Q' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS id,
+  CAST(l_partkey % 3 + 1 AS VARCHAR) AS version, 'S' || CAST(l_suppkey AS VARCHAR) AS stopPlaceId
+FROM lineitem"""
+
+_SSP_LON = "'15.' || lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0')"
+_SSP_LAT = "'59.' || lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0')"
+ORACLES["src_xml_scheduled_stop_points"] = f"""SELECT 'SSP' || CAST(p_partkey AS VARCHAR) AS id,
+  CAST(p_size AS VARCHAR) AS version, p_name AS Name, p_brand AS PublicCode,
+  'S' || CAST(p_partkey % 100 AS VARCHAR) AS StopPlaceRef, '1' AS StopPlaceRefVersion,
+  CASE WHEN p_partkey % 5 IN (0, 3) THEN {_SSP_LON} END AS Centroid_Long,
+  CASE WHEN p_partkey % 5 IN (0, 1, 3) THEN {_SSP_LAT} END AS Centroid_Lat
+FROM part"""
+
+LINES_XML_SQL = """SELECT 'L' || CAST(p_partkey AS VARCHAR) AS id,
+  CASE WHEN p_partkey % 3 <> 2 THEN CAST(p_size AS VARCHAR) END AS version,
+  CASE WHEN p_partkey % 3 <> 2 THEN p_name END AS Name, CAST(p_size AS VARCHAR) AS PublicCode
+FROM part"""
+ORACLES["src_xml_lines"] = LINES_XML_SQL
+ORACLES["src_zip_members"] = LINES_XML_SQL
+
+ORACLES["src_xml_journey_patterns"] = """SELECT 'JP' || CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS version,
+  CASE WHEN o_orderkey % 4 <> 0 THEN 'R' || CAST(o_custkey AS VARCHAR) END AS RouteRef
+FROM orders"""
+
+ORACLES["src_xml_journey_pattern_stops"] = """SELECT 'JP' || CAST(l_orderkey AS VARCHAR) AS journeyPatternId,
+  CASE l_suppkey % 4 WHEN 0 THEN CAST(l_linenumber AS DOUBLE) WHEN 1 THEN CAST(l_linenumber AS DOUBLE) + 0.5 END AS stopOrder,
+  CASE WHEN l_partkey % 10 = 0 THEN NULL ELSE 'SSP' || CAST(l_partkey AS VARCHAR) END AS scheduledStopPointRef,
+  'SPJP-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS stopPointInJourneyPatternId,
+  CASE WHEN l_returnflag = 'R' THEN 'false' ELSE 'true' END AS forBoarding,
+  CASE WHEN l_linestatus = 'O' THEN 'true' END AS forAlighting
+FROM lineitem"""

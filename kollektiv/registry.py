@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kollektiv import roles
+from kollektiv import feeds, roles
 from kollektiv.operators.dedupe import latest_per_key
 from kollektiv.plans import gold, silver, staging
 from kollektiv.schemas import BRONZE_LIVE_KEY
@@ -148,22 +148,11 @@ def q_json_extract_string(spark, sf_dir):
         S.json_extract_string("payload", "Segment").alias("segment"))
 
 
-def _ts_text(ts, event_id):
-    """ISO-8601 texts in four shapes (Z, +01:00, no offset, -05:30 with millis)."""
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    return (F.when(event_id % 4 == 0, F.concat(F.date_format(ts, iso), F.lit("Z")))
-            .when(event_id % 4 == 1, F.concat(F.date_format(F.timestamp_add("HOUR", F.lit(1), ts), iso),
-                                              F.lit("+01:00")))
-            .when(event_id % 4 == 2, F.date_format(ts, iso))
-            .otherwise(F.concat(F.date_format(F.timestamp_add("MINUTE", F.lit(-330), ts),
-                                              "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("-05:30"))))
-
-
 @register("parse_timestamp_coerce")
 def q_parse_timestamp_coerce(spark, sf_dir):
     e = roles.table(spark, sf_dir, "events")
     text = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("not-a-time-"), F.col("event_id").cast("string"))) \
-        .otherwise(_ts_text(F.col("ts"), F.col("event_id")))
+        .otherwise(feeds.ts_text(F.col("ts"), F.col("event_id")))
     return e.select("event_id", text.alias("t")).select("event_id", S.parse_timestamp("t").alias("parsed"))
 
 
@@ -284,3 +273,78 @@ def q_missing_column_backfill(spark, sf_dir):
 def q_ingest_envelope(spark, sf_dir):
     p = roles.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"))
     return frames.add_envelope(p, "netex_lines", roles.RUN1, roles.DAY1)
+
+
+# --- XML sources -----------------------------------------------------------------
+from kollektiv.sources import archive, netex, siri  # noqa: E402
+from kollektiv.session import scratch_path  # noqa: E402
+
+
+@register("src_siri_calls")
+def q_src_siri_calls(spark, sf_dir):
+    docs = feeds.siri_timetable(roles.table(spark, sf_dir, "events"))
+    raw = siri.extract(docs)
+    return siri.to_bronze(siri.calls(raw), roles.RUN1, roles.DAY1)
+
+
+@register("src_xml_topographic_places")
+def q_src_xml_topographic_places(spark, sf_dir):
+    docs = feeds.topographic_places(roles.table(spark, sf_dir, "nation"), roles.table(spark, sf_dir, "region"))
+    return netex.records(netex.extract(docs), "topographic_place")
+
+
+@register("src_xml_stop_places")
+def q_src_xml_stop_places(spark, sf_dir):
+    docs = feeds.stop_places(roles.table(spark, sf_dir, "supplier"))
+    return netex.records(netex.extract(docs), "stop_place")
+
+
+@register("src_xml_quays")
+def q_src_xml_quays(spark, sf_dir):
+    docs = feeds.quays(roles.table(spark, sf_dir, "lineitem"))
+    return netex.records(netex.extract(docs), "quay").select("id", "version", "stopPlaceId")
+
+
+@register("src_xml_scheduled_stop_points")
+def q_src_xml_scheduled_stop_points(spark, sf_dir):
+    docs = feeds.scheduled_stop_points(roles.table(spark, sf_dir, "part"))
+    return netex.records(netex.extract(docs), "scheduled_stop_point")
+
+
+@register("src_xml_lines")
+def q_src_xml_lines(spark, sf_dir):
+    docs = feeds.lines(roles.table(spark, sf_dir, "part"))
+    return netex.records(netex.extract(docs), "line")
+
+
+@register("src_xml_journey_patterns")
+def q_src_xml_journey_patterns(spark, sf_dir):
+    docs = feeds.journey_patterns(roles.table(spark, sf_dir, "orders"))
+    return netex.records(netex.extract(docs), "journey_pattern")
+
+
+@register("src_xml_journey_pattern_stops")
+def q_src_xml_journey_pattern_stops(spark, sf_dir):
+    docs = feeds.journey_pattern_stops(roles.table(spark, sf_dir, "lineitem"))
+    return netex.records(netex.extract(docs), "journey_pattern_stop")
+
+
+@register("src_xml_namespaces")
+def q_src_xml_namespaces(spark, sf_dir):
+    docs = feeds.namespaced_stop_places(roles.table(spark, sf_dir, "supplier"))
+    return netex.records(netex.extract(docs), "stop_place")
+
+
+@register("src_xml_malformed")
+def q_src_xml_malformed(spark, sf_dir):
+    docs = feeds.damaged_stop_places(roles.table(spark, sf_dir, "supplier"))
+    return netex.records(netex.extract(docs), "stop_place")
+
+
+@register("src_zip_members")
+def q_src_zip_members(spark, sf_dir):
+    landing = scratch_path(spark, "landing")
+    zips = feeds.zip_archives(feeds.lines(roles.table(spark, sf_dir, "part")))
+    archive.write_files(zips, landing).count()          # land the archives (executor-side writes)
+    members = archive.zip_members(archive.read_archives(spark, landing))
+    return netex.records(netex.extract(members.filter(F.col("error").isNull())), "line")

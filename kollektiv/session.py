@@ -27,7 +27,8 @@ def build_session(master: str | None = None, app: str = "kollektiv",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the pipeline's settings."""
-    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    b = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false"))
     if master:
         b = b.master(master)
     for k, v in PIPELINE_CONF.items():
