@@ -66,7 +66,7 @@ def documents(rows: DataFrame, fragment: Column, keys: list[str], head, tail,
     path = F.concat(F.lit(f"gen/{name}"), *[F.concat(F.lit("-"), F.col(k).cast("string")) for k in keys],
                     F.lit("-"), F.col(pid).cast("string"), F.lit(".xml"))
     return grouped.select(path.alias("path"), F.lit(None).cast("string").alias("member"),
-                          F.concat(h, F.col("__body"), t).alias("content"))
+                          F.concat(h, F.col("__body"), t).alias("content"), *keys)
 
 
 def _netex_head(frame: str = "SiteFrame") -> str:
@@ -295,9 +295,10 @@ def ts_text(ts: Column, key: Column) -> Column:
                                               "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("-05:30"))))
 
 
-def siri_timetable(events: DataFrame) -> DataFrame:
-    """One SIRI document per (journey = user, day, input split)."""
-    eid, ts, user = F.col("event_id"), F.col("ts"), F.col("user_id")
+def siri_timetable(events: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """SIRI documents from events: calls grouped into journeys (user, day),
+    journeys grouped into documents (``keys`` + the split they sit in)."""
+    eid, ts = F.col("event_id"), F.col("ts")
     delay = eid % 600
     arrived = F.col("event_type") != "error"
     call = el("RecordedCall", children=[
@@ -306,34 +307,64 @@ def siri_timetable(events: DataFrame) -> DataFrame:
         F.when(arrived, el("ActualArrivalTime", ts_text(F.timestamp_add("SECOND", delay, ts), eid))),
         el("AimedDepartureTime", ts_text(F.timestamp_add("SECOND", F.lit(30), ts), eid)),
         F.when(arrived, el("ActualDepartureTime", ts_text(F.timestamp_add("SECOND", delay + 30, ts), eid)))])
+    pid = "__kollektiv_split"
+    journeys = (events.withColumn("__day", F.to_date("ts")).withColumn(pid, F.spark_partition_id())
+                .groupBy(*keys, "user_id", "__day", pid)
+                .agg(F.concat_ws("", F.collect_list(call)).alias("__calls")))
+    u, day = F.col("user_id"), F.col("__day")
+    day_text = (F.when(u % 11 == 0, F.lit("not-a-date"))
+                .when(u % 3 == 1, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T00:00:00")))
+                .otherwise(F.date_format(day, "yyyy-MM-dd")))
+    line = F.concat(F.lit("line-"), (u % 12).cast("string"))
+    route = F.concat(F.lit("route-"), (u % 12).cast("string"), F.lit("-"), (u % 2).cast("string"))
+    journey = F.concat(
+        F.lit("<EstimatedVehicleJourney>"),
+        F.when(u % 2 == 0, el("LineRef", line)).otherwise(el("LineRef", attrs={"ref": line})),
+        el("DirectionRef", (u % 2 + 1).cast("string")),
+        el("FramedVehicleJourneyRef", children=[el("DataFrameRef", day_text), el("DatedVehicleJourneyRef", u)]),
+        F.coalesce(F.when(u % 3 == 0, el("RouteRef", route)).when(u % 3 == 1, el("RouteRef", attrs={"ref": route})),
+                   F.lit("")),
+        el("VehicleMode", F.when(u % 5 == 0, F.lit("tram")).otherwise(F.lit("bus"))),
+        el("ArrivalStatus", F.when(u % 3 == 0, F.lit("onTime")).otherwise(F.lit("delayed"))),
+        F.coalesce(F.when(u % 4 != 0, el("DepartureStatus", "onTime")), F.lit("")),
+        el("Cancellation", "false"),
+        el("DepartureBoardingActivity", "boarding"),
+        F.lit("<RecordedCalls><!-- recorded calls -->"), F.col("__calls"),
+        F.lit("</RecordedCalls><EstimatedCalls><EstimatedCall><StopPointRef>future</StopPointRef>"
+              "<AimedArrivalTime>2030-01-01T00:00:00Z</AimedArrivalTime></EstimatedCall></EstimatedCalls>"
+              "</EstimatedVehicleJourney>"))
+    head = (f'<?xml version="1.0" encoding="UTF-8"?><Siri xmlns="{SIRI_NS}" version="2.0"><ServiceDelivery>'
+            "<EstimatedTimetableDelivery><EstimatedJourneyVersionFrame>"
+            "<EstimatedVehicleJourney><LineRef>empty-journey</LineRef></EstimatedVehicleJourney>")
+    tail = "</EstimatedJourneyVersionFrame></EstimatedTimetableDelivery></ServiceDelivery></Siri>"
+    return documents(journeys.select(*keys, journey.alias("__journey")), F.col("__journey"), list(keys),
+                     head, tail, "siri")
+
+
+def siri_heartbeats(events: DataFrame) -> DataFrame:
+    """Snapshots without recorded calls: one journey per day and split, no
+    ``RecordedCalls`` (the feed answered, but nothing has happened yet)."""
     rows = events.withColumn("__day", F.to_date("ts"))
-
-    def head(u, day):
-        day_text = (F.when(u % 11 == 0, F.lit("not-a-date"))
-                    .when(u % 3 == 1, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T00:00:00")))
-                    .otherwise(F.date_format(day, "yyyy-MM-dd")))
-        line = F.concat(F.lit("line-"), (u % 12).cast("string"))
-        route = F.concat(F.lit("route-"), (u % 12).cast("string"), F.lit("-"), (u % 2).cast("string"))
-        journey = F.concat(
-            F.lit(f'<?xml version="1.0" encoding="UTF-8"?><Siri xmlns="{SIRI_NS}" version="2.0"><ServiceDelivery>'
-                  "<EstimatedTimetableDelivery><EstimatedJourneyVersionFrame>"
-                  "<EstimatedVehicleJourney><LineRef>empty-journey</LineRef></EstimatedVehicleJourney>"
-                  "<EstimatedVehicleJourney>"),
-            F.when(u % 2 == 0, el("LineRef", line)).otherwise(el("LineRef", attrs={"ref": line})),
-            el("DirectionRef", (u % 2 + 1).cast("string")),
-            el("FramedVehicleJourneyRef", children=[el("DataFrameRef", day_text),
-                                                    el("DatedVehicleJourneyRef", u)]),
-            F.coalesce(F.when(u % 3 == 0, el("RouteRef", route)).when(u % 3 == 1, el("RouteRef", attrs={"ref": route})),
-                       F.lit("")),
-            el("VehicleMode", F.when(u % 5 == 0, F.lit("tram")).otherwise(F.lit("bus"))),
-            el("ArrivalStatus", F.when(u % 3 == 0, F.lit("onTime")).otherwise(F.lit("delayed"))),
-            F.coalesce(F.when(u % 4 != 0, el("DepartureStatus", "onTime")), F.lit("")),
-            el("Cancellation", "false"),
-            el("DepartureBoardingActivity", "boarding"),
-            F.lit("<RecordedCalls><!-- recorded calls -->"))
-        return journey
-    tail = ("</RecordedCalls><EstimatedCalls><EstimatedCall><StopPointRef>future</StopPointRef>"
-            "<AimedArrivalTime>2030-01-01T00:00:00Z</AimedArrivalTime></EstimatedCall></EstimatedCalls>"
-            "</EstimatedVehicleJourney></EstimatedJourneyVersionFrame></EstimatedTimetableDelivery>"
-            "</ServiceDelivery></Siri>")
-    return documents(rows, call, ["user_id", "__day"], head, tail, "siri")
+    frag = F.concat(F.lit("<EstimatedVehicleJourney><LineRef>"), F.col("user_id").cast("string"),
+                    F.lit("</LineRef></EstimatedVehicleJourney>"))
+    head = (f'<Siri xmlns="{SIRI_NS}"><ServiceDelivery><EstimatedTimetableDelivery>'
+            "<EstimatedJourneyVersionFrame>")
+    tail = "</EstimatedJourneyVersionFrame></EstimatedTimetableDelivery></ServiceDelivery></Siri>"
+    return documents(rows, frag, ["__day"], head, tail, "heartbeat")
+
+
+def siri_snapshots(events: DataFrame) -> DataFrame:
+    """Snapshot files for the live stream, ``(name, content)`` under
+    ``snapshot=<label>/``.  Per day: a noon snapshot of the morning's calls; an
+    end-of-day snapshot of all calls (not on days divisible by 4); a later
+    snapshot of error calls only on days divisible by 5 (fails the gate)."""
+    e = events.withColumn("__d", F.to_date("ts"))
+    dom = F.dayofmonth("__d")
+    label = lambda suffix: F.concat(F.date_format("__d", "yyyy-MM-dd"), F.lit(suffix))
+    noon = e.filter(F.hour("ts") < 12).withColumn("__snap", label("T120000"))
+    full = e.filter(dom % 4 != 0).withColumn("__snap", label("T235900"))
+    bad = e.filter((dom % 5 == 0) & (F.col("event_type") == "error")).withColumn("__snap", label("T235930"))
+    docs = siri_timetable(noon.unionByName(full).unionByName(bad), keys=("__snap",))
+    name = F.concat(F.lit("snapshot="), F.col("__snap"), F.lit("/"),
+                    F.element_at(F.split("path", "/"), -1))
+    return docs.select(name.alias("name"), F.encode("content", "UTF-8").alias("content"))

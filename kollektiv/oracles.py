@@ -279,3 +279,32 @@ ORACLES["src_xml_journey_pattern_stops"] = """SELECT 'JP' || CAST(l_orderkey AS
   CASE WHEN l_returnflag = 'R' THEN 'false' ELSE 'true' END AS forBoarding,
   CASE WHEN l_linestatus = 'O' THEN 'true' END AS forAlighting
 FROM lineitem"""
+
+# --- sinks, ingest jobs, streaming --------------------------------------------------
+ORACLES["bronze_append_latest"] = """SELECT 'netex_lines' AS dataset, CAST(p_partkey AS VARCHAR) AS id,
+  CAST(p_size AS VARCHAR) AS version, CASE WHEN p_size % 2 = 0 THEN upper(p_name) ELSE p_name END AS name,
+  TIMESTAMP '2025-10-27 18:00:00' AS Ingestion_Timestamp, DATE '2025-10-27' AS Ingestion_Date
+FROM part"""
+
+_LIVE_SELECT = ", ".join(LIVE_COLUMNS)
+_LIVE_SELECT_PLUS1H = ", ".join("Ingestion_Timestamp + INTERVAL 1 HOUR AS Ingestion_Timestamp"
+                                if c == "Ingestion_Timestamp" else c for c in LIVE_COLUMNS)
+ORACLES["partition_overwrite"] = f"""WITH {LIVE_CTE}
+SELECT {_LIVE_SELECT}, strftime(Ingestion_Date, '%Y-%m-%d') AS partition_id
+FROM L WHERE day(Ingestion_Date) % 2 = 0
+UNION ALL
+SELECT {_LIVE_SELECT_PLUS1H}, strftime(Ingestion_Date, '%Y-%m-%d') AS partition_id
+FROM L WHERE day(Ingestion_Date) % 2 = 1 AND QuayId <> 'error'"""
+
+ORACLES["empty_snapshot_skip"] = f"""WITH {LIVE_CTE}
+SELECT *, 'skipped_empty' AS load_status FROM L"""
+
+ORACLES["gold_publish"] = ORACLES["dim_line"]
+
+_SIRI_CALLS_BODY = ORACLES["src_siri_calls"].split("TIMESTAMP '2025-10-27 06:00:00' AS Ingestion_Timestamp")[0]
+ORACLES["stream_snapshot_overwrite"] = f"""{_SIRI_CALLS_BODY}
+  CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_seconds(CASE WHEN day(ts) % 4 = 0 THEN 43200 ELSE 86340 END)
+    AS Ingestion_Timestamp,
+  CAST(ts AS DATE) AS Ingestion_Date
+FROM events
+WHERE day(ts) % 4 <> 0 OR hour(ts) < 12"""

@@ -348,3 +348,67 @@ def q_src_zip_members(spark, sf_dir):
     archive.write_files(zips, landing).count()          # land the archives (executor-side writes)
     members = archive.zip_members(archive.read_archives(spark, landing))
     return netex.records(netex.extract(members.filter(F.col("error").isNull())), "line")
+
+
+# --- sinks, ingest jobs, streaming --------------------------------------------------
+from kollektiv.plans import live_ingest  # noqa: E402
+from kollektiv.schemas import BRONZE_LIVE, BRONZE_NETEX, BRONZE_NETEX_KEY  # noqa: E402
+from kollektiv.sinks import tables  # noqa: E402
+from kollektiv.streaming import live as live_stream  # noqa: E402
+
+
+@register("bronze_append_latest")
+def q_bronze_append_latest(spark, sf_dir):
+    path = scratch_path(spark, "bronze_netex_lines")
+    part = roles.table(spark, sf_dir, "part")
+    tables.append_bronze(roles.lines_run(part, F.col("p_name"), roles.RUN1, roles.DAY1), path,
+                         sort_key=list(BRONZE_NETEX_KEY))
+    tables.append_bronze(roles.lines_run(part, roles.renamed_lines(), roles.RUN2, roles.DAY1), path,
+                         sort_key=list(BRONZE_NETEX_KEY))
+    latest = latest_per_key(tables.read_table(spark, path, BRONZE_NETEX), BRONZE_NETEX_KEY)
+    return latest.select("dataset", "id", "version", S.json_extract_string("payload", "Name").alias("name"),
+                         "Ingestion_Timestamp", "Ingestion_Date")
+
+
+def _rewrite_odd_days(live):
+    odd = F.dayofmonth("Ingestion_Date") % 2 == 1
+    return (live.filter(odd & (F.col("QuayId") != "error"))
+            .withColumn("Ingestion_Timestamp", F.timestamp_add("HOUR", F.lit(1), F.col("Ingestion_Timestamp"))))
+
+
+@register("partition_overwrite")
+def q_partition_overwrite(spark, sf_dir):
+    path = scratch_path(spark, "bronze_live")
+    live = _live(spark, sf_dir)
+    tables.overwrite_partitions(live, path, sort_key=list(BRONZE_LIVE_KEY))
+    tables.overwrite_partitions(_rewrite_odd_days(live), path, sort_key=list(BRONZE_LIVE_KEY))
+    out = tables.read_table(spark, path, BRONZE_LIVE)
+    return out.withColumn("partition_id", S.partition_id("Ingestion_Date"))
+
+
+@register("empty_snapshot_skip")
+def q_empty_snapshot_skip(spark, sf_dir):
+    path = scratch_path(spark, "bronze_live")
+    events = roles.table(spark, sf_dir, "events")
+    tables.overwrite_partitions(roles.live_bronze(events), path, sort_key=list(BRONZE_LIVE_KEY))
+    load = live_ingest.ingest_snapshot(feeds.siri_heartbeats(events), path, roles.RUN3, roles.DAY2)
+    return tables.read_table(spark, path, BRONZE_LIVE).withColumn("load_status", F.lit(load.status))
+
+
+@register("gold_publish")
+def q_gold_publish(spark, sf_dir):
+    path = scratch_path(spark, "dim_line")
+    tables.publish_table(gold.dim_line(silver.silver_lines(_stg_lines(spark, sf_dir))), path)
+    tables.publish_table(tables.read_table(spark, path), path)    # rebuild from itself
+    return tables.read_table(spark, path)
+
+
+@register("stream_snapshot_overwrite")
+def q_stream_snapshot_overwrite(spark, sf_dir):
+    landing, bronze = scratch_path(spark, "siri_landing"), scratch_path(spark, "bronze_live")
+    archive.write_files(feeds.siri_snapshots(roles.table(spark, sf_dir, "events")), landing).count()
+    q = live_stream.run_live_stream(spark, landing, bronze, scratch_path(spark, "stream_ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return tables.read_table(spark, bronze, BRONZE_LIVE)

@@ -65,27 +65,33 @@ def live_bronze(events: DataFrame) -> DataFrame:
     return out
 
 
+def lines_run(part: DataFrame, name_col, ts, day) -> DataFrame:
+    """One static run's ``bronze_netex_lines`` rows from ``part``."""
+    rec = part.select(
+        F.col("p_partkey").cast("string").alias("id"),
+        F.col("p_size").cast("string").alias("version"),
+        name_col.alias("Name"),
+        F.col("p_brand").alias("PublicCode"))
+    payload = pack_json_payload(["id", "version", "Name", "PublicCode"])
+    return rec.select(F.lit("netex_lines").alias("dataset"), "id", "version",
+                      payload.alias("payload"),
+                      *[c.alias(k) for k, c in run_clock(ts, day).items()])
+
+
+def renamed_lines():
+    """Run 2's names: lines with an even size are renamed (upper case)."""
+    return F.when(F.col("p_size") % 2 == 0, F.upper(F.col("p_name"))).otherwise(F.col("p_name"))
+
+
 def lines_bronze(part: DataFrame) -> DataFrame:
     """``bronze_netex_lines`` over two ingestion days, three runs.
 
-    Run 1 and run 2 land on day 1 (run 2 renames lines with an even size, so
-    replace-on-key has work to do); run 3 lands on day 2.
+    Run 1 and run 2 land on day 1 (run 2 renames some lines, so replace-on-key
+    has work to do); run 3 lands on day 2.
     """
-    def run(name_col, ts, day):
-        rec = part.select(
-            F.col("p_partkey").cast("string").alias("id"),
-            F.col("p_size").cast("string").alias("version"),
-            name_col.alias("Name"),
-            F.col("p_brand").alias("PublicCode"))
-        payload = pack_json_payload(["id", "version", "Name", "PublicCode"])
-        return rec.select(F.lit("netex_lines").alias("dataset"), "id", "version",
-                          payload.alias("payload"),
-                          *[c.alias(k) for k, c in run_clock(ts, day).items()])
-
-    renamed = F.when(F.col("p_size") % 2 == 0, F.upper(F.col("p_name"))).otherwise(F.col("p_name"))
-    return (run(F.col("p_name"), RUN1, DAY1)
-            .unionByName(run(renamed, RUN2, DAY1))
-            .unionByName(run(F.col("p_name"), RUN3, DAY2)))
+    return (lines_run(part, F.col("p_name"), RUN1, DAY1)
+            .unionByName(lines_run(part, renamed_lines(), RUN2, DAY1))
+            .unionByName(lines_run(part, F.col("p_name"), RUN3, DAY2)))
 
 
 def quays_bronze_from_suppliers(supplier: DataFrame) -> DataFrame:

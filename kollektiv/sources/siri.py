@@ -105,10 +105,19 @@ def rejects(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("error").isNotNull()).select("path", "error")
 
 
-def to_bronze(raw_calls: DataFrame, ingestion_ts: _dt.datetime, ingestion_date: _dt.date | str) -> DataFrame:
+def to_bronze(raw_calls: DataFrame, ingestion_ts: _dt.datetime | None = None,
+              ingestion_date: _dt.date | str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw calls -> the 18 bronze live columns (D1: missing strings are ``''``;
-    D12: a missing or unparseable time stays null)."""
+    D12: a missing or unparseable time stays null).
+
+    The run clock is given as arguments, or — when ``ingestion_ts`` is None —
+    read from ``Ingestion_Timestamp`` / ``Ingestion_Date`` columns already on
+    the frame (streaming: one clock per snapshot).  ``keep`` columns are
+    carried after the bronze columns.
+    """
     stop = F.col("StopPointRef")
+    clock = (run_clock(ingestion_ts, ingestion_date) if ingestion_ts is not None
+             else {"Ingestion_Timestamp": F.col("Ingestion_Timestamp"), "Ingestion_Date": F.col("Ingestion_Date")})
     typed = raw_calls.select(
         F.col("DatedVehicleJourneyRef").alias("ServiceJourneyId"),
         stop.alias("QuayId"),
@@ -118,6 +127,8 @@ def to_bronze(raw_calls: DataFrame, ingestion_ts: _dt.datetime, ingestion_date:
         first_non_empty("RouteRef_text", "RouteRef_ref").alias("RouteId"),
         *[F.col(c) for c in JOURNEY_TEXT],
         *[truncate_millis(parse_timestamp(c)).alias(c) for c in LIVE_TIME_COLUMNS],
-    ).withColumns(run_clock(ingestion_ts, ingestion_date))
+        *[v.alias(k) for k, v in clock.items()],
+        *[F.col(k) for k in keep],
+    )
     typed = fill_empty_strings(typed, LIVE_STRING_COLUMNS)
-    return typed.select(*[F.col(c).cast(BRONZE_LIVE[c].dataType) for c in LIVE_COLUMNS])
+    return typed.select(*[F.col(c).cast(BRONZE_LIVE[c].dataType) for c in LIVE_COLUMNS], *keep)
