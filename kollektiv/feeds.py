@@ -52,7 +52,7 @@ def el(tag: str, text=None, attrs: dict | None = None, children: list | None = N
 
 
 def documents(rows: DataFrame, fragment: Column, keys: list[str], head, tail,
-              name: str) -> DataFrame:
+              name: str, keep_keys: bool = False) -> DataFrame:
     """Group fragments into documents ``(path, member, content)``.
 
     ``head`` and ``tail`` are strings or functions of the grouping-key columns.
@@ -66,7 +66,7 @@ def documents(rows: DataFrame, fragment: Column, keys: list[str], head, tail,
     path = F.concat(F.lit(f"gen/{name}"), *[F.concat(F.lit("-"), F.col(k).cast("string")) for k in keys],
                     F.lit("-"), F.col(pid).cast("string"), F.lit(".xml"))
     return grouped.select(path.alias("path"), F.lit(None).cast("string").alias("member"),
-                          F.concat(h, F.col("__body"), t).alias("content"), *keys)
+                          F.concat(h, F.col("__body"), t).alias("content"), *(keys if keep_keys else []))
 
 
 def _netex_head(frame: str = "SiteFrame") -> str:
@@ -338,7 +338,7 @@ def siri_timetable(events: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
             "<EstimatedVehicleJourney><LineRef>empty-journey</LineRef></EstimatedVehicleJourney>")
     tail = "</EstimatedJourneyVersionFrame></EstimatedTimetableDelivery></ServiceDelivery></Siri>"
     return documents(journeys.select(*keys, journey.alias("__journey")), F.col("__journey"), list(keys),
-                     head, tail, "siri")
+                     head, tail, "siri", keep_keys=True)
 
 
 def siri_heartbeats(events: DataFrame) -> DataFrame:
