@@ -78,12 +78,29 @@ def select_snapshots(raw: DataFrame, existing: DataFrame | None,
     return rows, verdicts
 
 
+def snapshot_folders(batch: DataFrame) -> list[str]:
+    """The snapshot folders a micro-batch touches (one small row per snapshot)."""
+    folder = F.regexp_extract(F.col("path"), r"^(.*/snapshot=\d{4}-\d{2}-\d{2}T\d{6})/", 1)
+    return [r[0] for r in batch.select(folder.alias("f")).filter("f <> ''").distinct().collect()]
+
+
 def process_batch(batch: DataFrame, bronze_path: str, report: list | None = None,
                   ceiling_pct: float = NULL_RATE_CEILING_PCT) -> None:
-    """``foreachBatch`` body: stage, gate, choose, overwrite."""
+    """``foreachBatch`` body: stage, gate, choose, overwrite.
+
+    A snapshot split over several files may straddle micro-batches, so every
+    snapshot the batch touches is re-read whole from its folder: it is gated
+    and written as one unit, and a repeat is idempotent.  (Writers land a
+    snapshot folder complete, e.g. written under a temporary name and renamed.)
+    """
     spark = batch.sparkSession
     ensure_checkpoint_dir(spark)
-    raw = siri.extract(batch.select("path", "content")).checkpoint(eager=True)
+    folders = snapshot_folders(batch)
+    if not folders:
+        return
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xml")
+             .option("recursiveFileLookup", "true").load(folders).select("path", "content"))
+    raw = siri.extract(files).checkpoint(eager=True)
     existing = _existing(spark, bronze_path)
     rows, verdicts = select_snapshots(raw, existing, ceiling_pct)
     verdict_rows = verdicts.collect()            # one small row per snapshot

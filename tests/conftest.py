@@ -1,0 +1,28 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+FIXTURES = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")
+SMOKE = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from kollektiv.session import build_session
+    s = build_session("local[4]", app="kollektiv-tests", shuffle_partitions=4)
+    yield s
+    s.stop()
+
+
+def fixture_bytes(name: str) -> bytes:
+    with open(os.path.join(FIXTURES, name), "rb") as f:
+        return f.read()
+
+
+def docs_frame(spark, named_docs):
+    """[(path, text_or_bytes)] -> (path, member, content binary)."""
+    rows = [(p, None, c.encode("utf-8") if isinstance(c, str) else c) for p, c in named_docs]
+    return spark.createDataFrame(rows, "path string, member string, content binary")

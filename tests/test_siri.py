@@ -1,0 +1,88 @@
+"""SIRI extraction and typing (SRC-2, SRC-10, SCL-6..8, SCL-10)."""
+
+import datetime as dt
+
+import pytest
+from conftest import docs_frame, fixture_bytes
+
+from kollektiv.operators.quality import DataQualityError
+from kollektiv.plans import live_ingest
+from kollektiv.plans.silver import silver_timetable
+from kollektiv.plans.staging import stg_live_timetable
+from kollektiv.sources import siri
+
+RUN = dt.datetime(2025, 10, 27, 22, 0, 0, 123999)
+DAY = dt.date(2025, 10, 27)
+
+
+def _bronze(spark, docs):
+    return siri.to_bronze(siri.calls(siri.extract(docs)), RUN, DAY)
+
+
+def test_recorded_calls_typed(spark):
+    rows = {r["QuayId"]: r for r in _bronze(spark, docs_frame(spark, [("s.xml", fixture_bytes("siri_edge.xml"))])).collect()}
+    assert set(rows) == {"Q1", "Q2", "Q3", "Q4"}          # EstimatedCalls and call-less journeys give nothing
+    q1 = rows["Q1"]
+    assert q1["ServiceJourneyId"] == "J1" and q1["StopPointId"] == "Q1" and q1["DateId"] == DAY
+    assert (q1["LineId"], q1["RouteId"], q1["DirectionRef"], q1["Cancellation"]) == ("L1", "R1", "1", "false")
+    assert q1["AimedArrivalTime"] == dt.datetime(2025, 10, 27, 20, 54)
+    assert q1["ActualArrivalTime"] == dt.datetime(2025, 10, 27, 20, 55, 10, 123000)   # milliseconds kept
+    assert q1["AimedDepartureTime"] is None and q1["ArrivalStatus"] == ""             # status not read in a call
+    assert rows["Q2"]["AimedArrivalTime"] == dt.datetime(2025, 10, 26, 23, 30)
+    assert rows["Q3"]["LineId"] == "L2" and rows["Q3"]["RouteId"] == "" and rows["Q3"]["ActualArrivalTime"] is None
+    assert rows["Q3"]["DateId"] == DAY
+    assert rows["Q4"]["LineId"] == "" and rows["Q4"]["DateId"] is None
+    assert rows["Q4"]["AimedArrivalTime"] == dt.datetime(2025, 10, 27, 9, 0, 0, 500000)
+    assert q1["Ingestion_Timestamp"] == dt.datetime(2025, 10, 27, 22, 0, 0, 123000)
+    assert q1["Ingestion_Date"] == DAY
+
+
+def test_local_day_option(spark):
+    b = _bronze(spark, docs_frame(spark, [("s.xml", fixture_bytes("siri_edge.xml"))]))
+    utc = {r["QuayId"]: r["DateId"] for r in silver_timetable(stg_live_timetable(b.withColumn(
+        "ActualArrivalTime", b["AimedArrivalTime"]))).collect()}
+    local = {r["QuayId"]: r["DateId"] for r in silver_timetable(stg_live_timetable(b.withColumn(
+        "ActualArrivalTime", b["AimedArrivalTime"])), zone="Europe/Stockholm").collect()}
+    assert utc["Q2"] == dt.date(2025, 10, 26) and local["Q2"] == dt.date(2025, 10, 27)   # quirk Q9
+
+
+def test_exact_namespace_only(spark):
+    other = fixture_bytes("siri_edge.xml").replace(b"http://www.siri.org.uk/siri", b"urn:not-siri")
+    assert _bronze(spark, docs_frame(spark, [("o.xml", other)])).count() == 0
+
+
+def test_malformed_snapshot_fails_load(spark, tmp_path):
+    docs = docs_frame(spark, [("bad.xml", "<Siri xmlns='http://www.siri.org.uk/siri'><ServiceDelivery>")])
+    with pytest.raises(live_ingest.MalformedSnapshotError):
+        live_ingest.ingest_snapshot(docs, str(tmp_path / "bronze"), RUN, DAY)
+
+
+def test_empty_feed_is_skipped(spark, tmp_path):
+    empty = docs_frame(spark, [("e.xml", "<Siri xmlns='http://www.siri.org.uk/siri'/>")])
+    out = live_ingest.ingest_snapshot(empty, str(tmp_path / "bronze"), RUN, DAY)
+    assert out.status == "skipped_empty"
+    assert not (tmp_path / "bronze").exists()
+
+
+def test_null_rate_gate_blocks_before_write(spark, tmp_path):
+    docs = docs_frame(spark, [("s.xml", fixture_bytes("siri_edge.xml"))])     # 3 of 4 arrivals missing
+    with pytest.raises(DataQualityError):
+        live_ingest.ingest_snapshot(docs, str(tmp_path / "bronze"), RUN, DAY)
+    assert not (tmp_path / "bronze").exists()
+
+
+def _calls(n_arrived, n_missing):
+    calls = "".join(
+        f"<RecordedCall><StopPointRef>Q{i}</StopPointRef><AimedArrivalTime>2025-10-27T10:00:00Z</AimedArrivalTime>"
+        + ("<ActualArrivalTime>2025-10-27T10:01:00Z</ActualArrivalTime>" if i < n_arrived else "")
+        + "</RecordedCall>" for i in range(n_arrived + n_missing))
+    return ("<Siri xmlns='http://www.siri.org.uk/siri'><EstimatedVehicleJourney><FramedVehicleJourneyRef>"
+            "<DatedVehicleJourneyRef>J</DatedVehicleJourneyRef></FramedVehicleJourneyRef>"
+            f"<RecordedCalls>{calls}</RecordedCalls></EstimatedVehicleJourney></Siri>")
+
+
+def test_gate_boundary_fifty_percent(spark, tmp_path):
+    ok = live_ingest.ingest_snapshot(docs_frame(spark, [("a.xml", _calls(2, 2))]), str(tmp_path / "b"), RUN, DAY)
+    assert ok.status == "loaded" and ok.null_pct == 50.0
+    with pytest.raises(DataQualityError):
+        live_ingest.ingest_snapshot(docs_frame(spark, [("a.xml", _calls(9, 10))]), str(tmp_path / "c"), RUN, DAY)
