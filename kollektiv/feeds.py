@@ -355,15 +355,16 @@ def siri_heartbeats(events: DataFrame) -> DataFrame:
 
 def siri_snapshots(events: DataFrame) -> DataFrame:
     """Snapshot files for the live stream, ``(name, content)`` under
-    ``snapshot=<label>/``.  Per day: a noon snapshot of the morning's calls; an
-    end-of-day snapshot of all calls (not on days divisible by 4); a later
-    snapshot of error calls only on days divisible by 5 (fails the gate)."""
+    ``snapshot=<label>/``.  Every day: a noon snapshot of the morning's calls;
+    an end-of-day snapshot of all calls, except on Sundays (feed outage); on
+    Mondays a later snapshot holding only calls that never arrived (a broken
+    feed: it fails the null-rate gate and must not replace the day)."""
     e = events.withColumn("__d", F.to_date("ts"))
-    dom = F.dayofmonth("__d")
+    dow = F.dayofweek("__d")          # 1 = Sunday, 2 = Monday
     label = lambda suffix: F.concat(F.date_format("__d", "yyyy-MM-dd"), F.lit(suffix))
     noon = e.filter(F.hour("ts") < 12).withColumn("__snap", label("T120000"))
-    full = e.filter(dom % 4 != 0).withColumn("__snap", label("T235900"))
-    bad = e.filter((dom % 5 == 0) & (F.col("event_type") == "error")).withColumn("__snap", label("T235930"))
+    full = e.filter(dow != 1).withColumn("__snap", label("T235900"))
+    bad = e.filter((dow == 2) & (F.col("event_type") == "error")).withColumn("__snap", label("T235930"))
     docs = siri_timetable(noon.unionByName(full).unionByName(bad), keys=("__snap",))
     name = F.concat(F.lit("snapshot="), F.col("__snap"), F.lit("/"),
                     F.element_at(F.split("path", "/"), -1))

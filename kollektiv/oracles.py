@@ -291,10 +291,10 @@ _LIVE_SELECT_PLUS1H = ", ".join("Ingestion_Timestamp + INTERVAL 1 HOUR AS Ingest
                                 if c == "Ingestion_Timestamp" else c for c in LIVE_COLUMNS)
 ORACLES["partition_overwrite"] = f"""WITH {LIVE_CTE}
 SELECT {_LIVE_SELECT}, strftime(Ingestion_Date, '%Y-%m-%d') AS partition_id
-FROM L WHERE day(Ingestion_Date) % 2 = 0
+FROM L WHERE dayofweek(Ingestion_Date) NOT IN (0, 6)
 UNION ALL
 SELECT {_LIVE_SELECT_PLUS1H}, strftime(Ingestion_Date, '%Y-%m-%d') AS partition_id
-FROM L WHERE day(Ingestion_Date) % 2 = 1 AND QuayId <> 'error'"""
+FROM L WHERE dayofweek(Ingestion_Date) IN (0, 6) AND QuayId <> 'error'"""
 
 ORACLES["empty_snapshot_skip"] = f"""WITH {LIVE_CTE}
 SELECT *, 'skipped_empty' AS load_status FROM L"""
@@ -303,8 +303,8 @@ ORACLES["gold_publish"] = ORACLES["dim_line"]
 
 _SIRI_CALLS_BODY = ORACLES["src_siri_calls"].split("TIMESTAMP '2025-10-27 06:00:00' AS Ingestion_Timestamp")[0]
 ORACLES["stream_snapshot_overwrite"] = f"""{_SIRI_CALLS_BODY}
-  CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_seconds(CASE WHEN day(ts) % 4 = 0 THEN 43200 ELSE 86340 END)
+  CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_seconds(CASE WHEN dayofweek(ts) = 0 THEN 43200 ELSE 86340 END)
     AS Ingestion_Timestamp,
   CAST(ts AS DATE) AS Ingestion_Date
 FROM events
-WHERE day(ts) % 4 <> 0 OR hour(ts) < 12"""
+WHERE dayofweek(ts) <> 0 OR hour(ts) < 12"""

@@ -370,9 +370,11 @@ def q_bronze_append_latest(spark, sf_dir):
                          "Ingestion_Timestamp", "Ingestion_Date")
 
 
-def _rewrite_odd_days(live):
-    odd = F.dayofmonth("Ingestion_Date") % 2 == 1
-    return (live.filter(odd & (F.col("QuayId") != "error"))
+def _weekend_rerun(live):
+    """A corrected re-run for weekend days: calls that never arrived are gone,
+    the run is an hour later."""
+    weekend = F.dayofweek("Ingestion_Date").isin(1, 7)
+    return (live.filter(weekend & (F.col("QuayId") != "error"))
             .withColumn("Ingestion_Timestamp", F.timestamp_add("HOUR", F.lit(1), F.col("Ingestion_Timestamp"))))
 
 
@@ -381,7 +383,7 @@ def q_partition_overwrite(spark, sf_dir):
     path = scratch_path(spark, "bronze_live")
     live = _live(spark, sf_dir)
     tables.overwrite_partitions(live, path, sort_key=list(BRONZE_LIVE_KEY))
-    tables.overwrite_partitions(_rewrite_odd_days(live), path, sort_key=list(BRONZE_LIVE_KEY))
+    tables.overwrite_partitions(_weekend_rerun(live), path, sort_key=list(BRONZE_LIVE_KEY))
     out = tables.read_table(spark, path, BRONZE_LIVE)
     return out.withColumn("partition_id", S.partition_id("Ingestion_Date"))
 

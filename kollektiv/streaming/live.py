@@ -101,7 +101,8 @@ def process_batch(batch: DataFrame, bronze_path: str, report: list | None = None
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xml")
              .option("recursiveFileLookup", "true").load(folders).select("path", "content"))
     raw = siri.extract(files).checkpoint(eager=True)
-    existing = _existing(spark, bronze_path)
+    days = [r[0] for r in raw.select(snapshot_clock(F.col("path"))["Ingestion_Date"]).distinct().collect()]
+    existing = _existing(spark, bronze_path, days)
     rows, verdicts = select_snapshots(raw, existing, ceiling_pct)
     verdict_rows = verdicts.collect()            # one small row per snapshot
     if report is not None:
@@ -110,13 +111,15 @@ def process_batch(batch: DataFrame, bronze_path: str, report: list | None = None
         overwrite_partitions(rows, bronze_path, sort_key=list(BRONZE_LIVE_KEY))
 
 
-def _existing(spark: SparkSession, bronze_path: str) -> DataFrame | None:
+def _existing(spark: SparkSession, bronze_path: str, days: list) -> DataFrame | None:
+    """What the table holds for the batch's days only (partition-pruned scan)."""
     jvm = spark.sparkContext._jvm  # noqa: SLF001
     p = jvm.org.apache.hadoop.fs.Path(bronze_path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
     if not fs.exists(p):
         return None
-    return spark.read.schema(BRONZE_LIVE).parquet(bronze_path).select(PARTITION_COLUMN, VERSION_COLUMN)
+    held = spark.read.schema(BRONZE_LIVE).parquet(bronze_path).select(PARTITION_COLUMN, VERSION_COLUMN)
+    return held.filter(F.col(PARTITION_COLUMN).isin([d for d in days if d is not None]))
 
 
 def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 1000) -> DataFrame:
