@@ -302,9 +302,20 @@ SELECT *, 'skipped_empty' AS load_status FROM L"""
 ORACLES["gold_publish"] = ORACLES["dim_line"]
 
 _SIRI_CALLS_BODY = ORACLES["src_siri_calls"].split("TIMESTAMP '2025-10-27 06:00:00' AS Ingestion_Timestamp")[0]
-ORACLES["stream_snapshot_overwrite"] = f"""{_SIRI_CALLS_BODY}
-  CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_seconds(CASE WHEN dayofweek(ts) = 0 THEN 43200 ELSE 86340 END)
-    AS Ingestion_Timestamp,
-  CAST(ts AS DATE) AS Ingestion_Date
-FROM events
-WHERE dayofweek(ts) <> 0 OR hour(ts) < 12"""
+ORACLES["stream_snapshot_overwrite"] = f"""WITH SNAP AS (
+  SELECT *, CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_seconds(43200) AS snap_ts FROM events WHERE hour(ts) < 12
+  UNION ALL
+  SELECT *, CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_seconds(86340) FROM events WHERE dayofweek(ts) <> 0
+  UNION ALL
+  SELECT *, CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_seconds(86370) FROM events
+  WHERE dayofweek(ts) = 1 AND event_type = 'error'),
+VERDICT AS (
+  SELECT snap_ts, CAST(snap_ts AS DATE) AS day,
+    CAST(count(*) FILTER (WHERE event_type = 'error') AS DOUBLE) * 100.0 / count(*) <= 50.0 AS passed
+  FROM SNAP GROUP BY snap_ts),
+CHOSEN AS (SELECT day, max(snap_ts) AS snap_ts FROM VERDICT WHERE passed GROUP BY day),
+events AS (SELECT SNAP.* FROM SNAP JOIN CHOSEN USING (snap_ts))
+{_SIRI_CALLS_BODY}
+  snap_ts AS Ingestion_Timestamp,
+  CAST(snap_ts AS DATE) AS Ingestion_Date
+FROM events"""
