@@ -319,3 +319,27 @@ events AS (SELECT SNAP.* FROM SNAP JOIN CHOSEN USING (snap_ts))
   snap_ts AS Ingestion_Timestamp,
   CAST(snap_ts AS DATE) AS Ingestion_Date
 FROM events"""
+
+# --- end-to-end jobs ---------------------------------------------------------------
+_SIRI_DAY1 = ORACLES["src_siri_calls"]
+ORACLES["live_ingest_fact_movements"] = f"""WITH B AS ({_SIRI_DAY1}),
+LATEST AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY {", ".join(_LIVE_GROUPS)}
+    ORDER BY Ingestion_Timestamp DESC NULLS LAST, {_desc_rest(LIVE_COLUMNS, _LIVE_GROUPS + ("Ingestion_Timestamp",))}
+  ) AS rn FROM B) WHERE rn = 1),
+{STG_CTE},
+{SILVER_CTE}
+SELECT
+  CAST(row_number() OVER (ORDER BY {_FACT_ORDER}) AS BIGINT) AS event_id,
+  ServiceJourneyId AS service_journey_id, QuayId AS quay_id, StopPointId AS stop_point_id,
+  CAST(AimedArrivalTime AS DATE) AS date_id, LineId AS line_id, RouteId AS route_id,
+  DirectionRef AS direction, VehicleMode, AimedArrivalTime, ActualArrivalTime, AimedDepartureTime,
+  ActualDepartureTime, ArrivalStatus, DepartureStatus, Cancellation, DepartureBoardingActivity,
+  Ingestion_Date
+FROM SILVER"""
+
+ORACLES["static_ingest_dim_line"] = """SELECT 'L' || CAST(p_partkey AS VARCHAR) AS line_id,
+  CASE WHEN p_partkey % 3 <> 2 THEN p_name ELSE '' END AS name, CAST(p_size AS VARCHAR) AS public_code,
+  '' AS route_id, '' AS direction
+FROM part"""

@@ -414,3 +414,34 @@ def q_stream_snapshot_overwrite(spark, sf_dir):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return tables.read_table(spark, bronze, BRONZE_LIVE)
+
+
+# --- end-to-end jobs (entry points A, B, C) ------------------------------------------
+from kollektiv.plans import models as model_run  # noqa: E402
+from kollektiv.plans import static_ingest  # noqa: E402
+
+
+@register("live_ingest_fact_movements")
+def q_live_ingest_fact_movements(spark, sf_dir):
+    """A: one SIRI snapshot of every event -> gate -> day overwrite -> models -> fact."""
+    root = scratch_path(spark, "bronze")
+    docs = feeds.siri_timetable(roles.table(spark, sf_dir, "events"))
+    live_ingest.ingest_snapshot(docs, f"{root}/bronze_live_timetable", roles.RUN1, roles.DAY1)
+    bronze_live = tables.read_table(spark, f"{root}/bronze_live_timetable", BRONZE_LIVE)
+    return gold.fact_movements(silver.silver_timetable(staging.stg_live_timetable(bronze_live)))
+
+
+@register("static_ingest_dim_line")
+def q_static_ingest_dim_line(spark, sf_dir):
+    """B + C: NeTEx archives -> seven bronze tables -> models -> published dim_line."""
+    landing, root = scratch_path(spark, "netex_landing"), scratch_path(spark, "bronze")
+    part = roles.table(spark, sf_dir, "part")
+    docs = feeds.lines(part).unionByName(feeds.scheduled_stop_points(part))
+    archive.write_files(feeds.zip_archives(docs), landing).count()
+    static_ingest.ingest_archives(spark, landing, root, roles.RUN1, roles.DAY1)
+    # no live data in this run: an empty live table keeps the model graph whole
+    tables.overwrite_partitions(spark.createDataFrame([], BRONZE_LIVE), f"{root}/bronze_live_timetable")
+    spark.createDataFrame([], BRONZE_NETEX).write.mode("append").partitionBy("Ingestion_Date").parquet(
+        f"{root}/bronze_netex_quays")
+    gold_paths = model_run.run_models(spark, root, scratch_path(spark, "gold"))
+    return tables.read_table(spark, gold_paths["dim_line"])
