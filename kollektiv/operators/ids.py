@@ -12,9 +12,10 @@ task.  Instead:
 
 Both steps must see one materialisation of step 1: two scans of the same
 lineage may be planned differently (column pruning) and range bounds are
-sampled per plan.  Step 1 is therefore written once with a reliable
-``checkpoint()`` into the shared checkpoint folder, which also survives the
-loss of executors.
+sampled per plan.  Step 1 is therefore written once as a table in the shared
+checkpoint folder (``stage_table``), which also survives the loss of
+executors.  The partition index travels as a column, so how the staged
+table is read back does not matter.
 
 The numbering equals ``row_number()`` exactly (ties apart, which are
 unspecified in the reference as well).
@@ -27,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kollektiv.session import ensure_checkpoint_dir
+from kollektiv.session import stage_table
 
 _PART_SHIFT = 33  # monotonically_increasing_id: partition index << 33 | row index
 
@@ -47,8 +48,7 @@ def dense_row_number(df: DataFrame, order_by: Sequence[Column], name: str = "eve
                 .sortWithinPartitions(*order_by)
                 .withColumn(m, F.monotonically_increasing_id())
                 .withColumn(p, F.shiftright(F.col(m), _PART_SHIFT)))
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = stage_table(ranged, "ranked")
     counts = ranged.groupBy(p).agg(F.count(F.lit(1)).alias("__kollektiv_n"))
     # running total over at most n rows (one per partition)
     offsets = counts.select(

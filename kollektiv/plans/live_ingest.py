@@ -2,8 +2,8 @@
 
 extract (SRC-2, SRC-10) -> reject check (D11) -> empty check (FLT-5) ->
 null-rate gate (DQ-1) -> overwrite the run's day (SNK-2).  The extracted calls
-are checkpointed once, so the checks and the write read the same rows and no
-document is parsed twice.
+are staged once (a table in the shared checkpoint folder), so the checks and
+the write read the same rows and no document is parsed twice.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from kollektiv.operators.quality import NULL_RATE_CEILING_PCT, DataQualityError
 from kollektiv.schemas import BRONZE_LIVE_KEY
-from kollektiv.session import ensure_checkpoint_dir
+from kollektiv.session import stage_table
 from kollektiv.sinks.tables import overwrite_partitions
 from kollektiv.sources import siri
 
@@ -45,8 +45,7 @@ def ingest_snapshot(docs: DataFrame, bronze_path: str, ingestion_ts: _dt.datetim
                     ingestion_date: _dt.date | str,
                     ceiling_pct: float = NULL_RATE_CEILING_PCT) -> LiveLoad:
     """Load one snapshot (``docs``: ``path, content``) into the day partition."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    raw = siri.extract(docs).checkpoint(eager=True)
+    raw = stage_table(siri.extract(docs), "siri_raw")
     bronze = siri.to_bronze(siri.calls(raw), ingestion_ts, ingestion_date)
     stats = snapshot_stats(bronze, raw)
     if stats["rejected"]:

@@ -67,3 +67,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/kollektiv-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage_table(df, name: str):
+    """Cut lineage: write ``df`` once as a Parquet table in the shared
+    checkpoint folder and return a frame reading it back.
+
+    Used where several jobs must see the same rows (numbering, per-type splits
+    of parsed records, gate-then-write).  Parquet is columnar and compressed,
+    and reads back vectorised; the files survive the loss of any executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
