@@ -10,6 +10,7 @@ Element names must carry the exact SIRI namespace (SRC-11).
 from __future__ import annotations
 
 import datetime as _dt
+import io
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
@@ -40,40 +41,59 @@ RAW_SCHEMA = T.StructType(
 _RAW_COLUMNS = RAW_SCHEMA.fieldNames()
 
 
+def _journey(ej) -> list[dict]:
+    j: dict = {}
+    for c in ej:
+        tag = c.tag
+        if tag == _N + "FramedVehicleJourneyRef":
+            for c2 in c:
+                if c2.tag == _N + "DataFrameRef":
+                    j["DataFrameRef"] = c2.text
+                elif c2.tag == _N + "DatedVehicleJourneyRef":
+                    j["DatedVehicleJourneyRef"] = c2.text
+        elif tag == _N + "LineRef":
+            j["LineRef_text"], j["LineRef_ref"] = c.text, c.get("ref")
+        elif tag == _N + "RouteRef":
+            j["RouteRef_text"], j["RouteRef_ref"] = c.text, c.get("ref")
+        elif isinstance(tag, str) and tag.startswith(_N) and tag[len(_N):] in JOURNEY_TEXT:
+            j[tag[len(_N):]] = c.text
+    rows = []
+    for calls in ej.findall(_N + "RecordedCalls"):
+        for call in calls:
+            row = dict(j)
+            for p in call:
+                if p.tag == _N + "StopPointRef":
+                    row["StopPointRef"] = p.text
+                elif isinstance(p.tag, str) and p.tag.startswith(_N) and p.tag[len(_N):] in CALL_TIMES:
+                    row[p.tag[len(_N):]] = p.text
+            rows.append(row)
+    return rows
+
+
 def walk_document(content) -> list[dict]:
     """One row per child of each direct ``RecordedCalls`` of every
     ``EstimatedVehicleJourney`` (any depth).  Journey fields come from the
-    journey's direct children only; EstimatedCalls are ignored."""
+    journey's direct children only; EstimatedCalls are ignored.  Incremental
+    parse: a journey is handled when it closes, then cleared."""
     if isinstance(content, str):
         content = content.encode("utf-8")
-    root = ET.fromstring(content)
-    rows: list[dict] = []
-    for ej in root.iter(_N + "EstimatedVehicleJourney"):
-        j: dict = {}
-        for c in ej:
-            tag = c.tag
-            if tag == _N + "FramedVehicleJourneyRef":
-                for c2 in c:
-                    if c2.tag == _N + "DataFrameRef":
-                        j["DataFrameRef"] = c2.text
-                    elif c2.tag == _N + "DatedVehicleJourneyRef":
-                        j["DatedVehicleJourneyRef"] = c2.text
-            elif tag == _N + "LineRef":
-                j["LineRef_text"], j["LineRef_ref"] = c.text, c.get("ref")
-            elif tag == _N + "RouteRef":
-                j["RouteRef_text"], j["RouteRef_ref"] = c.text, c.get("ref")
-            elif isinstance(tag, str) and tag.startswith(_N) and tag[len(_N):] in JOURNEY_TEXT:
-                j[tag[len(_N):]] = c.text
-        for calls in ej.findall(_N + "RecordedCalls"):
-            for call in calls:
-                row = dict(j)
-                for p in call:
-                    if p.tag == _N + "StopPointRef":
-                        row["StopPointRef"] = p.text
-                    elif isinstance(p.tag, str) and p.tag.startswith(_N) and p.tag[len(_N):] in CALL_TIMES:
-                        row[p.tag[len(_N):]] = p.text
-                rows.append(row)
-    return rows
+    journey = _N + "EstimatedVehicleJourney"
+    opened: dict = {}
+    depth = 0
+    found: list[tuple[int, list]] = []
+    for event, el in ET.iterparse(io.BytesIO(content), events=("start", "end")):
+        if el.tag != journey:
+            continue
+        if event == "start":
+            opened[el] = len(opened) + len(found)
+            depth += 1
+            continue
+        depth -= 1
+        found.append((opened.pop(el), _journey(el)))
+        if depth == 0:
+            el.clear()
+    found.sort(key=lambda x: x[0])
+    return [row for _, rows in found for row in rows]
 
 
 def _siri_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
