@@ -346,7 +346,7 @@ def q_src_zip_members(spark, sf_dir):
     landing = scratch_path(spark, "landing")
     zips = feeds.zip_archives(feeds.lines(roles.table(spark, sf_dir, "part")))
     archive.write_files(zips, landing).count()          # land the archives (executor-side writes)
-    members = archive.zip_members(archive.read_archives(spark, landing))
+    members = archive.zip_members(archive.archive_paths(spark, landing))
     return netex.records(netex.extract(members.filter(F.col("error").isNull())), "line")
 
 

@@ -40,7 +40,7 @@ def _landing(tmp_path):
 
 def test_zip_members(spark, tmp_path):
     land = _landing(tmp_path)
-    m = archive.zip_members(archive.read_archives(spark, str(land)), num_partitions=3)
+    m = archive.zip_members(archive.archive_paths(spark, str(land)), num_partitions=3)
     rows = m.select("member", F.col("error").isNotNull().alias("bad")).collect()
     names = sorted(r["member"] for r in rows if r["member"])
     assert names == ["cut.xml", "more.xml", "netex/edge.XML"]
