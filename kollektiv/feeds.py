@@ -22,15 +22,23 @@ NETEX_NS = "http://www.netex.org.uk/netex"
 
 
 def esc(c: Column) -> Column:
-    """XML-escape a text column."""
+    """XML-escape a text column (one regex test; replaces only when needed)."""
+    r = c
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&apos;")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+        r = F.replace(r, F.lit(a), F.lit(b))
+    return F.when(c.rlike("[&<>\"']"), r).otherwise(c)
+
+
+def _py_esc(text: str) -> str:
+    return (text.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+            .replace('"', "&quot;").replace("'", "&apos;"))
 
 
 def s(c) -> Column:
-    """Column or literal as escaped text."""
-    return esc((c if isinstance(c, Column) else F.lit(str(c))).cast("string"))
+    """Column or literal as escaped text (literals are escaped in Python)."""
+    if not isinstance(c, Column):
+        return F.lit(_py_esc(str(c)))
+    return esc(c.cast("string"))
 
 
 def el(tag: str, text=None, attrs: dict | None = None, children: list | None = None,

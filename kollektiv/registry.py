@@ -290,55 +290,55 @@ def q_src_siri_calls(spark, sf_dir):
 @register("src_xml_topographic_places")
 def q_src_xml_topographic_places(spark, sf_dir):
     docs = feeds.topographic_places(roles.table(spark, sf_dir, "nation"), roles.table(spark, sf_dir, "region"))
-    return netex.records(netex.extract(docs), "topographic_place")
+    return netex.records(netex.extract(docs, record_types=("topographic_place",)), "topographic_place")
 
 
 @register("src_xml_stop_places")
 def q_src_xml_stop_places(spark, sf_dir):
     docs = feeds.stop_places(roles.table(spark, sf_dir, "supplier"))
-    return netex.records(netex.extract(docs), "stop_place")
+    return netex.records(netex.extract(docs, record_types=("stop_place",)), "stop_place")
 
 
 @register("src_xml_quays")
 def q_src_xml_quays(spark, sf_dir):
     docs = feeds.quays(roles.table(spark, sf_dir, "lineitem"))
-    return netex.records(netex.extract(docs), "quay").select("id", "version", "stopPlaceId")
+    return netex.records(netex.extract(docs, record_types=("quay",)), "quay").select("id", "version", "stopPlaceId")
 
 
 @register("src_xml_scheduled_stop_points")
 def q_src_xml_scheduled_stop_points(spark, sf_dir):
     docs = feeds.scheduled_stop_points(roles.table(spark, sf_dir, "part"))
-    return netex.records(netex.extract(docs), "scheduled_stop_point")
+    return netex.records(netex.extract(docs, record_types=("scheduled_stop_point",)), "scheduled_stop_point")
 
 
 @register("src_xml_lines")
 def q_src_xml_lines(spark, sf_dir):
     docs = feeds.lines(roles.table(spark, sf_dir, "part"))
-    return netex.records(netex.extract(docs), "line")
+    return netex.records(netex.extract(docs, record_types=("line",)), "line")
 
 
 @register("src_xml_journey_patterns")
 def q_src_xml_journey_patterns(spark, sf_dir):
     docs = feeds.journey_patterns(roles.table(spark, sf_dir, "orders"))
-    return netex.records(netex.extract(docs), "journey_pattern")
+    return netex.records(netex.extract(docs, record_types=("journey_pattern",)), "journey_pattern")
 
 
 @register("src_xml_journey_pattern_stops")
 def q_src_xml_journey_pattern_stops(spark, sf_dir):
     docs = feeds.journey_pattern_stops(roles.table(spark, sf_dir, "lineitem"))
-    return netex.records(netex.extract(docs), "journey_pattern_stop")
+    return netex.records(netex.extract(docs, record_types=("journey_pattern_stop",)), "journey_pattern_stop")
 
 
 @register("src_xml_namespaces")
 def q_src_xml_namespaces(spark, sf_dir):
     docs = feeds.namespaced_stop_places(roles.table(spark, sf_dir, "supplier"))
-    return netex.records(netex.extract(docs), "stop_place")
+    return netex.records(netex.extract(docs, record_types=("stop_place",)), "stop_place")
 
 
 @register("src_xml_malformed")
 def q_src_xml_malformed(spark, sf_dir):
     docs = feeds.damaged_stop_places(roles.table(spark, sf_dir, "supplier"))
-    return netex.records(netex.extract(docs), "stop_place")
+    return netex.records(netex.extract(docs, record_types=("stop_place",)), "stop_place")
 
 
 @register("src_zip_members")
@@ -347,7 +347,7 @@ def q_src_zip_members(spark, sf_dir):
     zips = feeds.zip_archives(feeds.lines(roles.table(spark, sf_dir, "part")))
     archive.write_files(zips, landing).count()          # land the archives (executor-side writes)
     members = archive.zip_members(archive.archive_paths(spark, landing))
-    return netex.records(netex.extract(members.filter(F.col("error").isNull())), "line")
+    return netex.records(netex.extract(members.filter(F.col("error").isNull()), record_types=("line",)), "line")
 
 
 # --- sinks, ingest jobs, streaming --------------------------------------------------

@@ -68,13 +68,26 @@ def _union_fields() -> list[str]:
 
 NETEX_UNION_FIELDS = tuple(_union_fields())
 
-# One walk over a document emits tagged records of every type (wide union).
-NETEX_TAGGED = T.StructType(
-    [T.StructField("path", S, True), T.StructField("member", S, True),
-     T.StructField("record_type", S, False), T.StructField("seq", L, True),
-     T.StructField("error", S, True)]
-    + _strings(*NETEX_UNION_FIELDS)
-)
+def netex_fields(record_type: str, quay_details: bool = False) -> tuple[str, ...]:
+    fields = NETEX_RECORDS[record_type][2]
+    if record_type == "quay" and not quay_details:
+        fields = QUAY_FIELDS
+    return fields
+
+
+def netex_tagged_schema(record_types=tuple(NETEX_RECORDS), quay_details: bool = False) -> T.StructType:
+    """One walk over a document emits tagged records: ``record_type`` plus the
+    record's values in positional slots ``v0..v{k-1}`` (k = widest requested
+    type), so the stream stays narrow whatever the mix of types."""
+    k = max(len(netex_fields(t, quay_details)) for t in record_types)
+    return T.StructType(
+        [T.StructField("path", S, True), T.StructField("member", S, True),
+         T.StructField("record_type", S, False), T.StructField("seq", L, True),
+         T.StructField("error", S, True)]
+        + _strings(*[f"v{i}" for i in range(k)]))
+
+
+NETEX_TAGGED = netex_tagged_schema()
 
 
 def netex_record_schema(record_type: str) -> T.StructType:

@@ -88,6 +88,21 @@ def test_positional_stop_ids(spark, tmp_path):
     assert sorted(r["id"] for r in stops.collect()) == ["0", "1", "2", "3", "4"]
 
 
+def test_positional_ids_keep_first_of_duplicates(spark):
+    doc = ("<P><JourneyPattern id='J'><StopPointInJourneyPattern id='A' order='1'/>"
+           "<StopPointInJourneyPattern id='B' order='2'/><StopPointInJourneyPattern id='A' order='1'/>"
+           "<StopPointInJourneyPattern id='C' order='3'/></JourneyPattern></P>")
+    from conftest import docs_frame
+    tagged = netex.extract(docs_frame(spark, [("d.xml", doc)]), record_types=("journey_pattern_stop",))
+    rows = netex.records(tagged, "journey_pattern_stop", with_source=True)
+    fields = [c for c in rows.columns if c not in ("path", "member", "seq")]
+    got = sorted((r["stopPointInJourneyPatternId"], r["id"])
+                 for r in static_ingest.stop_ids(rows, fields, "position").collect())
+    assert got == [("A", "0"), ("B", "1"), ("C", "3")]            # duplicate dropped, gap kept
+    hashed = static_ingest.stop_ids(rows, fields, "hash")
+    assert hashed.count() == 3 and hashed.select("id").distinct().count() == 3
+
+
 def test_overwrite_partitions_only_touches_given_days(spark, tmp_path):
     path = str(tmp_path / "t")
     d1, d2 = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
