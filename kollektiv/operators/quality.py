@@ -85,3 +85,66 @@ def unique_failures(df: DataFrame, column: str) -> DataFrame:
     return (df.filter(F.col(column).isNotNull())
               .groupBy(column).agg(F.count(F.lit(1)).cast("bigint").alias("n_records"))
               .filter(F.col("n_records") > 1))
+
+
+# Fixed values that must equal the reference's: the declared column tests
+# (model, column, test), in the order they are declared.
+DECLARED_TESTS = (
+    ("fact_movements", "event_id", "unique"),
+    ("fact_movements", "event_id", "not_null"),
+    ("fact_movements", "service_journey_id", "not_null"),
+    ("fact_movements", "quay_id", "not_null"),
+    ("dim_line", "line_id", "unique"),
+    ("dim_line", "line_id", "not_null"),
+    ("dim_quay", "quay_id", "unique"),
+    ("dim_quay", "quay_id", "not_null"),
+    ("dim_service_journey", "service_journey_id", "unique"),
+    ("dim_service_journey", "service_journey_id", "not_null"),
+    ("silver_timetable", "ServiceJourneyId", "not_null"),
+    ("silver_timetable", "QuayId", "not_null"),
+    ("silver_timetable", "LineId", "not_null"),
+    ("silver_timetable", "Ingestion_Date", "not_null"),
+    ("silver_lines", "LineId", "unique"),
+    ("silver_lines", "LineId", "not_null"),
+    ("silver_lines", "Ingestion_Date", "not_null"),
+)
+
+
+def run_column_tests(models: dict[str, DataFrame], tests=DECLARED_TESTS) -> DataFrame:
+    """DQ-3/DQ-4 as a test run: one row per declared test
+    ``(model, column_name, test, status, failures)``.
+
+    ``failures`` counts null rows (not_null) or duplicated values (unique).
+    A test on a column the model does not have reports ``error`` (the
+    declared names and the model's columns disagree in places).  Per table,
+    all not_null tests share one aggregation pass; each unique test is one
+    grouped aggregation (partial aggregation before its shuffle).
+    """
+    spark = next(iter(models.values())).sparkSession
+    parts: list[DataFrame] = []
+    by_model: dict[str, list] = {}
+    for model, column, test in tests:
+        by_model.setdefault(model, []).append((column, test))
+    for model, col_tests in by_model.items():
+        df = models[model]
+        present = [(c, t) for c, t in col_tests if c in df.columns]
+        missing = [(c, t) for c, t in col_tests if c not in df.columns]
+        nn = [c for c, t in present if t == "not_null"]
+        if nn:
+            parts.append(not_null_failures(df, nn).select(
+                F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"), "failures"))
+        for c, t in present:
+            if t == "unique":
+                parts.append(unique_failures(df.select(c), c).agg(F.count(F.lit(1)).alias("failures")).select(
+                    F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.lit("unique").alias("test"),
+                    F.col("failures").cast("bigint")))
+        if missing:
+            parts.append(spark.createDataFrame(
+                [(model, c, t, None) for c, t in missing],
+                "model string, column_name string, test string, failures bigint"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    status = (F.when(F.col("failures").isNull(), F.lit("error"))
+              .when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
+    return out.select("model", "column_name", "test", status.alias("status"), "failures")

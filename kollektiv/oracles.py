@@ -343,3 +343,46 @@ ORACLES["static_ingest_dim_line"] = """SELECT 'L' || CAST(p_partkey AS VARCHAR)
   CASE WHEN p_partkey % 3 <> 2 THEN p_name ELSE '' END AS name, CAST(p_size AS VARCHAR) AS public_code,
   '' AS route_id, '' AS direction
 FROM part"""
+
+
+# --- declared column tests ---------------------------------------------------------
+_TEST_CTES = f"""WITH {LIVE_CHAIN},
+{LINES_STG_CTE},
+SL AS (SELECT DISTINCT * FROM LINES_STG),
+DL AS (SELECT id AS line_id FROM SL),
+QS AS (SELECT CAST(doc_id AS VARCHAR) AS QuayId FROM documents),
+DQ AS (SELECT DISTINCT q.QuayId AS quay_id, coalesce(s.StopPointId, '') AS stop_point_id
+       FROM QS q LEFT JOIN (SELECT DISTINCT QuayId, StopPointId FROM SILVER) s ON q.QuayId = s.QuayId),
+DSJ AS (SELECT DISTINCT ServiceJourneyId AS service_journey_id, CAST(AimedArrivalTime AS DATE) AS date_id,
+          DirectionRef, VehicleMode, LineId, RouteId FROM SILVER WHERE ServiceJourneyId IS NOT NULL),
+FACT AS (SELECT CAST(row_number() OVER (ORDER BY {_FACT_ORDER}) AS BIGINT) AS event_id,
+          ServiceJourneyId AS service_journey_id, QuayId AS quay_id FROM SILVER)"""
+
+
+def _nn(model, table, col):
+    return (f"SELECT '{model}' AS model, '{col}' AS column_name, 'not_null' AS test, "
+            f"CAST(count(*) FILTER (WHERE {col} IS NULL) AS BIGINT) AS failures FROM {table}")
+
+
+def _uq(model, table, col):
+    return (f"SELECT '{model}' AS model, '{col}' AS column_name, 'unique' AS test, CAST(count(*) AS BIGINT) AS failures FROM "
+            f"(SELECT {col} FROM {table} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)")
+
+
+_TEST_PARTS = [
+    _uq("fact_movements", "FACT", "event_id"), _nn("fact_movements", "FACT", "event_id"),
+    _nn("fact_movements", "FACT", "service_journey_id"), _nn("fact_movements", "FACT", "quay_id"),
+    _uq("dim_line", "DL", "line_id"), _nn("dim_line", "DL", "line_id"),
+    _uq("dim_quay", "DQ", "quay_id"), _nn("dim_quay", "DQ", "quay_id"),
+    _uq("dim_service_journey", "DSJ", "service_journey_id"), _nn("dim_service_journey", "DSJ", "service_journey_id"),
+    _nn("silver_timetable", "SILVER", "ServiceJourneyId"), _nn("silver_timetable", "SILVER", "QuayId"),
+    _nn("silver_timetable", "SILVER", "LineId"), _nn("silver_timetable", "SILVER", "Ingestion_Date"),
+    _nn("silver_lines", "SL", "Ingestion_Date"),
+    "SELECT 'silver_lines', 'LineId', 'unique', CAST(NULL AS BIGINT)",
+    "SELECT 'silver_lines', 'LineId', 'not_null', CAST(NULL AS BIGINT)",
+]
+ORACLES["declared_column_tests"] = f"""{_TEST_CTES},
+R AS ({" UNION ALL ".join(_TEST_PARTS)})
+SELECT model, column_name, test,
+  CASE WHEN failures IS NULL THEN 'error' WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status, failures
+FROM R"""

@@ -445,3 +445,13 @@ def q_static_ingest_dim_line(spark, sf_dir):
         f"{root}/bronze_netex_quays")
     gold_paths = model_run.run_models(spark, root, scratch_path(spark, "gold"))
     return tables.read_table(spark, gold_paths["dim_line"])
+
+
+@register("declared_column_tests")
+def q_declared_column_tests(spark, sf_dir):
+    """The declared not_null / unique tests over all models built from the
+    driver tables (live calls from events, lines from parts, quays from documents)."""
+    models = model_run.build_models(
+        _live(spark, sf_dir), roles.lines_bronze(roles.table(spark, sf_dir, "part")),
+        roles.quays_bronze_from_documents(roles.table(spark, sf_dir, "documents")), materialize_silver=True)
+    return quality.run_column_tests(models)
