@@ -128,3 +128,21 @@ def test_publish_table_swaps_and_can_read_itself(spark, tmp_path):
 def test_publish_view(spark):
     tables.publish_view(spark.createDataFrame([(1,)], "x int"), "kollektiv_view_test")
     assert spark.sql("SELECT x FROM kollektiv_view_test").first()[0] == 1
+
+
+def test_jobs_cli_static_then_models(tmp_path, spark):
+    from kollektiv import jobs
+    from kollektiv.schemas import BRONZE_LIVE
+    land, bronze, gold = _landing(tmp_path), str(tmp_path / "bronze"), str(tmp_path / "gold")
+    # jobs.main reuses the active session and stops it at the end: keep the test session alive
+    orig_stop = spark.stop
+    spark.stop = lambda: None
+    try:
+        assert jobs.main(["static", "--landing", str(land), "--bronze", bronze, "--date", "2025-10-27",
+                          "--ts", "2025-10-27T06:00:00"]) == 0
+        tables.overwrite_partitions(spark.createDataFrame([], BRONZE_LIVE), f"{bronze}/bronze_live_timetable")
+        assert jobs.main(["models", "--bronze", bronze, "--gold", gold]) == 0
+    finally:
+        spark.stop = orig_stop
+    got = sorted(r["line_id"] for r in tables.read_table(spark, f"{gold}/dim_line").collect())
+    assert got == ["L1", "L2", "L9"]
