@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from kollektiv.operators.quality import NULL_RATE_CEILING_PCT, DataQualityError
 from kollektiv.schemas import BRONZE_LIVE_KEY
-from kollektiv.session import stage_table
+from kollektiv.session import stage_table, staging_scope
 from kollektiv.sinks.tables import overwrite_partitions
 from kollektiv.sources import siri
 
@@ -45,6 +45,11 @@ def ingest_snapshot(docs: DataFrame, bronze_path: str, ingestion_ts: _dt.datetim
                     ingestion_date: _dt.date | str,
                     ceiling_pct: float = NULL_RATE_CEILING_PCT) -> LiveLoad:
     """Load one snapshot (``docs``: ``path, content``) into the day partition."""
+    with staging_scope(docs.sparkSession):
+        return _ingest(docs, bronze_path, ingestion_ts, ingestion_date, ceiling_pct)
+
+
+def _ingest(docs, bronze_path, ingestion_ts, ingestion_date, ceiling_pct) -> LiveLoad:
     raw = stage_table(siri.extract(docs), "siri_raw")
     bronze = siri.to_bronze(siri.calls(raw), ingestion_ts, ingestion_date)
     stats = snapshot_stats(bronze, raw)

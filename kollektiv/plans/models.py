@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kollektiv.plans import gold, silver, staging
 from kollektiv.schemas import BRONZE_LIVE, BRONZE_NETEX, NETEX_RECORDS
-from kollektiv.session import stage_table
+from kollektiv.session import stage_table, staging_scope, use_scope
 from kollektiv.sinks.tables import publish_table, publish_view, read_table
 
 VIEWS = ("stg_live_timetable", "stg_netex_lines", "stg_netex_quays", "silver_timetable", "silver_lines")
@@ -63,6 +63,11 @@ def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str
     written inside its own thread, so the numbering job of ``fact_movements``
     overlaps the other three tables.
     """
+    with staging_scope(spark) as scope:
+        return _run(spark, bronze_root, gold_root, zone, threads, timings, scope)
+
+
+def _run(spark, bronze_root, gold_root, zone, threads, timings, scope) -> dict[str, str]:
     live, lines, quays = read_bronze(spark, bronze_root)
     t0 = time.perf_counter()
     views = {
@@ -89,7 +94,8 @@ def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str
     def publish(name: str) -> tuple[str, str, float]:
         path = f"{gold_root.rstrip('/')}/{name}"
         t = time.perf_counter()
-        publish_table(builders[name](), path)
+        with use_scope(scope):          # staged numbering tables belong to this run
+            publish_table(builders[name](), path)
         return name, path, time.perf_counter() - t
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -69,6 +71,59 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/kollektiv-{name}-{uuid.uuid4().hex[:12]}"
 
 
+class StagingScope:
+    """Staged tables written for one job; dropped when the job is done."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+        self._lock = threading.Lock()
+
+    def add(self, path: str) -> None:
+        with self._lock:
+            self.paths.append(path)
+
+    def drop(self, spark: SparkSession) -> int:
+        jvm = spark.sparkContext._jvm  # noqa: SLF001
+        conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+        removed = 0
+        with self._lock:
+            paths, self.paths = self.paths, []
+        for p in paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            fs = path.getFileSystem(conf)
+            if fs.exists(path):
+                fs.delete(path, True)
+                removed += 1
+        return removed
+
+
+_local = threading.local()
+
+
+@contextmanager
+def use_scope(scope: StagingScope | None):
+    """Make ``scope`` the current staging scope of this thread."""
+    prev = getattr(_local, "scope", None)
+    _local.scope = scope
+    try:
+        yield scope
+    finally:
+        _local.scope = prev
+
+
+@contextmanager
+def staging_scope(spark: SparkSession):
+    """Tables staged inside the block (by this thread, or by threads that
+    ``use_scope`` it) are deleted when the block ends — once every frame
+    reading them has been written out."""
+    scope = StagingScope()
+    try:
+        with use_scope(scope):
+            yield scope
+    finally:
+        scope.drop(spark)
+
+
 def stage_table(df, name: str):
     """Cut lineage: write ``df`` once as a Parquet table in the shared
     checkpoint folder and return a frame reading it back.
@@ -79,4 +134,7 @@ def stage_table(df, name: str):
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    scope = getattr(_local, "scope", None)
+    if scope is not None:
+        scope.add(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from kollektiv.functions.scalars import truncate_millis
 from kollektiv.operators.quality import NULL_RATE_CEILING_PCT
 from kollektiv.schemas import BRONZE_LIVE, BRONZE_LIVE_KEY, LIVE_COLUMNS, PARTITION_COLUMN, VERSION_COLUMN
-from kollektiv.session import stage_table
+from kollektiv.session import stage_table, staging_scope
 from kollektiv.sinks.tables import overwrite_partitions
 from kollektiv.sources import siri
 
@@ -99,6 +99,11 @@ def process_batch(batch: DataFrame, bronze_path: str, report: list | None = None
         return
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xml")
              .option("recursiveFileLookup", "true").load(folders).select("path", "content"))
+    with staging_scope(spark):
+        _process(spark, files, bronze_path, report, ceiling_pct)
+
+
+def _process(spark, files, bronze_path, report, ceiling_pct) -> None:
     raw = stage_table(siri.extract(files), "siri_batch")
     days = [r[0] for r in raw.select(snapshot_clock(F.col("path"))["Ingestion_Date"]).distinct().collect()]
     existing = _existing(spark, bronze_path, days)

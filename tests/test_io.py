@@ -146,3 +146,14 @@ def test_jobs_cli_static_then_models(tmp_path, spark):
         spark.stop = orig_stop
     got = sorted(r["line_id"] for r in tables.read_table(spark, f"{gold}/dim_line").collect())
     assert got == ["L1", "L2", "L9"]
+
+
+def test_staging_scope_drops_its_tables(spark, tmp_path):
+    import os
+
+    from kollektiv.session import stage_table, staging_scope
+    with staging_scope(spark) as scope:
+        t = stage_table(spark.range(5), "scope-test")
+        assert t.count() == 5
+        paths = list(scope.paths)
+    assert paths and not any(os.path.exists(p.replace("file:", "", 1)) for p in paths)
