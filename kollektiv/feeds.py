@@ -345,8 +345,11 @@ def siri_timetable(events: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
             "<EstimatedTimetableDelivery><EstimatedJourneyVersionFrame>"
             "<EstimatedVehicleJourney><LineRef>empty-journey</LineRef></EstimatedVehicleJourney>")
     tail = "</EstimatedJourneyVersionFrame></EstimatedTimetableDelivery></ServiceDelivery></Siri>"
-    return documents(journeys.select(*keys, journey.alias("__journey")), F.col("__journey"), list(keys),
-                     head, tail, "siri", keep_keys=True)
+    # documents of a few hundred journeys: keys + split + a hash bucket of the journey
+    bucket = F.pmod(F.xxhash64("user_id", "__day"), F.lit(16))
+    docs = documents(journeys.select(*keys, bucket.alias("__bucket"), journey.alias("__journey")),
+                     F.col("__journey"), list(keys) + ["__bucket"], head, tail, "siri", keep_keys=True)
+    return docs.drop("__bucket")
 
 
 def siri_heartbeats(events: DataFrame) -> DataFrame:
