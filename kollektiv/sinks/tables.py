@@ -15,27 +15,33 @@ __all__ = ["append_bronze", "overwrite_partitions", "publish_view", "publish_tab
            "partition_values"]
 
 
-def _prepare(df: DataFrame, sort_key: Sequence[str] | None) -> DataFrame:
+def _prepare(df: DataFrame, sort_key: Sequence[str] | None, rebalance_on: str | None = None) -> DataFrame:
+    # ``rebalance``: AQE clusters each day's rows into a few reasonably sized
+    # files (no tasks x days small files on a backfill) and splits a hot day.
+    if rebalance_on:
+        df = df.hint("rebalance", rebalance_on)
     # Sorted within each file on the key: Parquet min/max statistics then skip
     # row groups for key lookups, like the reference's ORDER BY storage key.
     return df.sortWithinPartitions(*sort_key) if sort_key else df
 
 
 def append_bronze(df: DataFrame, path: str, sort_key: Sequence[str] | None = None,
-                  partition_column: str = PARTITION_COLUMN) -> None:
+                  partition_column: str = PARTITION_COLUMN, rebalance: bool = False) -> None:
     """SNK-1: append to a day-partitioned bronze table.  Readers de-duplicate
-    with replace-on-key (AGG-6), so a re-run only adds rows.  No shuffle: each
-    task writes the days it holds (a run carries one day)."""
-    _prepare(df, sort_key).write.mode("append").partitionBy(partition_column).parquet(path)
+    with replace-on-key (AGG-6), so a re-run only adds rows.  By default no
+    shuffle: a run carries one day, each task writes one file."""
+    (_prepare(df, sort_key, partition_column if rebalance else None)
+     .write.mode("append").partitionBy(partition_column).parquet(path))
 
 
 def overwrite_partitions(df: DataFrame, path: str, sort_key: Sequence[str] | None = None,
-                         partition_column: str = PARTITION_COLUMN) -> None:
+                         partition_column: str = PARTITION_COLUMN, rebalance: bool = True) -> None:
     """SNK-2: replace exactly the day partitions present in ``df``; other days
     are untouched.  Dynamic partition overwrite replaces a day atomically per
     partition folder, so a failed run leaves the previous snapshot readable
-    (the reference's drop-then-insert had a gap)."""
-    (_prepare(df, sort_key).write.mode("overwrite")
+    (the reference's drop-then-insert had a gap).  ``rebalance`` (default) keeps
+    a multi-day backfill from writing one small file per task and day."""
+    (_prepare(df, sort_key, partition_column if rebalance else None).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_column).parquet(path))
 
