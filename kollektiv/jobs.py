@@ -36,6 +36,8 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--bronze", required=True)
         s.add_argument("--date")
         s.add_argument("--ts")
+        if name == "live":
+            s.add_argument("--native", action="store_true", help="parse with Spark's XML reader")
         if name == "static":
             s.add_argument("--stop-ids", choices=("hash", "position"), default="hash")
             s.add_argument("--quay-details", action="store_true")
@@ -45,6 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--once", action="store_true", help="process what has landed, then stop")
     s.add_argument("--max-files", type=int, default=1000)
+    s.add_argument("--native", action="store_true", help="parse with Spark's XML reader")
     s = sub.add_parser("models")
     s.add_argument("--bronze", required=True)
     s.add_argument("--gold", required=True)
@@ -68,14 +71,14 @@ def main(argv: list[str] | None = None) -> int:
             from kollektiv.sources.archive import read_documents
             ts, day = _clock(args)
             out = ingest_snapshot(read_documents(spark, args.landing), f"{args.bronze.rstrip('/')}/bronze_live_timetable",
-                                  ts, day)
+                                  ts, day, native=args.native)
             print(json.dumps(out.__dict__))
         elif args.job == "stream":
             from kollektiv.streaming.live import run_live_stream
             report: list = []
             q = run_live_stream(spark, args.landing, f"{args.bronze.rstrip('/')}/bronze_live_timetable",
                                 args.checkpoint, available_now=args.once, report=report,
-                                max_files_per_trigger=args.max_files)
+                                max_files_per_trigger=args.max_files, native=args.native)
             q.awaitTermination()
             print(json.dumps(report, default=str))
         elif args.job == "models":

@@ -386,3 +386,4 @@ R AS ({" UNION ALL ".join(_TEST_PARTS)})
 SELECT model, column_name, test,
   CASE WHEN failures IS NULL THEN 'error' WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status, failures
 FROM R"""
+ORACLES["src_siri_calls_native"] = ORACLES["src_siri_calls"]

@@ -43,14 +43,15 @@ def snapshot_stats(bronze_calls: DataFrame, raw: DataFrame) -> dict:
 
 def ingest_snapshot(docs: DataFrame, bronze_path: str, ingestion_ts: _dt.datetime,
                     ingestion_date: _dt.date | str,
-                    ceiling_pct: float = NULL_RATE_CEILING_PCT) -> LiveLoad:
-    """Load one snapshot (``docs``: ``path, content``) into the day partition."""
+                    ceiling_pct: float = NULL_RATE_CEILING_PCT, native: bool = False) -> LiveLoad:
+    """Load one snapshot (``docs``: ``path, content``) into the day partition.
+    ``native`` parses with Spark's XML reader instead of the Python walk."""
     with staging_scope(docs.sparkSession):
-        return _ingest(docs, bronze_path, ingestion_ts, ingestion_date, ceiling_pct)
+        return _ingest(docs, bronze_path, ingestion_ts, ingestion_date, ceiling_pct, native)
 
 
-def _ingest(docs, bronze_path, ingestion_ts, ingestion_date, ceiling_pct) -> LiveLoad:
-    raw = stage_table(siri.extract(docs), "siri_raw")
+def _ingest(docs, bronze_path, ingestion_ts, ingestion_date, ceiling_pct, native) -> LiveLoad:
+    raw = stage_table(siri.extract_native(docs) if native else siri.extract(docs), "siri_raw")
     bronze = siri.to_bronze(siri.calls(raw), ingestion_ts, ingestion_date)
     stats = snapshot_stats(bronze, raw)
     if stats["rejected"]:

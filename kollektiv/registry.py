@@ -455,3 +455,10 @@ def q_declared_column_tests(spark, sf_dir):
         _live(spark, sf_dir), roles.lines_bronze(roles.table(spark, sf_dir, "part")),
         roles.quays_bronze_from_documents(roles.table(spark, sf_dir, "documents")), materialize_silver=True)
     return quality.run_column_tests(models)
+
+
+@register("src_siri_calls_native")
+def q_src_siri_calls_native(spark, sf_dir):
+    """SRC-10 through Spark's own XML parser (``from_xml``), no Python."""
+    docs = feeds.siri_timetable(roles.table(spark, sf_dir, "events"))
+    return siri.to_bronze(siri.calls(siri.extract_native(docs)), roles.RUN1, roles.DAY1)

@@ -85,7 +85,7 @@ def snapshot_folders(batch: DataFrame) -> list[str]:
 
 
 def process_batch(batch: DataFrame, bronze_path: str, report: list | None = None,
-                  ceiling_pct: float = NULL_RATE_CEILING_PCT) -> None:
+                  ceiling_pct: float = NULL_RATE_CEILING_PCT, native: bool = False) -> None:
     """``foreachBatch`` body: stage, gate, choose, overwrite.
 
     A snapshot split over several files may straddle micro-batches, so every
@@ -100,11 +100,11 @@ def process_batch(batch: DataFrame, bronze_path: str, report: list | None = None
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xml")
              .option("recursiveFileLookup", "true").load(folders).select("path", "content"))
     with staging_scope(spark):
-        _process(spark, files, bronze_path, report, ceiling_pct)
+        _process(spark, files, bronze_path, report, ceiling_pct, native)
 
 
-def _process(spark, files, bronze_path, report, ceiling_pct) -> None:
-    raw = stage_table(siri.extract(files), "siri_batch")
+def _process(spark, files, bronze_path, report, ceiling_pct, native) -> None:
+    raw = stage_table(siri.extract_native(files) if native else siri.extract(files), "siri_batch")
     days = [r[0] for r in raw.select(snapshot_clock(F.col("path"))["Ingestion_Date"]).distinct().collect()]
     existing = _existing(spark, bronze_path, days)
     rows, verdicts = select_snapshots(raw, existing, ceiling_pct)
@@ -138,11 +138,11 @@ def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: in
 
 def run_live_stream(spark: SparkSession, landing: str, bronze_path: str, checkpoint_location: str,
                     available_now: bool = True, processing_time: str = "1 minute",
-                    report: list | None = None, max_files_per_trigger: int = 1000):
+                    report: list | None = None, max_files_per_trigger: int = 1000, native: bool = False):
     """Start STR-1.  ``available_now`` processes what has landed and stops
     (backfills, tests); otherwise a trigger every ``processing_time``."""
     writer = (snapshot_stream(spark, landing, max_files_per_trigger).writeStream
-              .foreachBatch(lambda df, _epoch: process_batch(df, bronze_path, report))
+              .foreachBatch(lambda df, _epoch: process_batch(df, bronze_path, report, native=native))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

@@ -86,3 +86,14 @@ def test_gate_boundary_fifty_percent(spark, tmp_path):
     assert ok.status == "loaded" and ok.null_pct == 50.0
     with pytest.raises(DataQualityError):
         live_ingest.ingest_snapshot(docs_frame(spark, [("a.xml", _calls(9, 10))]), str(tmp_path / "c"), RUN, DAY)
+
+
+def test_native_parser_matches_python_walk(spark):
+    docs = docs_frame(spark, [("s.xml", fixture_bytes("siri_edge.xml")),
+                              ("bad.xml", "<Siri xmlns='http://www.siri.org.uk/siri'><ServiceDelivery>"),
+                              ("other.xml", fixture_bytes("siri_edge.xml").replace(b"http://www.siri.org.uk/siri",
+                                                                                   b"urn:x"))])
+    py = sorted(tuple(r) for r in siri.to_bronze(siri.calls(siri.extract(docs)), RUN, DAY).collect())
+    nat = sorted(tuple(r) for r in siri.to_bronze(siri.calls(siri.extract_native(docs)), RUN, DAY).collect())
+    assert py == nat and len(py) == 4
+    assert [r["path"] for r in siri.rejects(siri.extract_native(docs)).collect()] == ["bad.xml"]
