@@ -39,25 +39,39 @@ def _partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def dense_row_number(df: DataFrame, order_by: Sequence[Column], name: str = "event_id",
-                     num_partitions: int | None = None) -> DataFrame:
-    """WIN-1: append ``name`` = 1-based position of each row under ``order_by``."""
+M_COL, P_COL = "__kollektiv_m", "__kollektiv_p"
+
+
+def rank_partitions(df: DataFrame, order_by: Sequence[Column], num_partitions: int | None = None) -> DataFrame:
+    """Step 1 of WIN-1: range-partition, sort within partitions, tag rows with
+    ``(partition, position)``, and stage the result (a table in the shared
+    checkpoint folder).  The staged frame can also stand in for ``df`` itself
+    (``drop(M_COL, P_COL)``), so a pipeline that needs both pays one write."""
     n = _partitions(df, num_partitions)
-    m, p = "__kollektiv_m", "__kollektiv_p"
     ranged = (df.repartitionByRange(n, *order_by)
                 .sortWithinPartitions(*order_by)
-                .withColumn(m, F.monotonically_increasing_id())
-                .withColumn(p, F.shiftright(F.col(m), _PART_SHIFT)))
-    ranged = stage_table(ranged, "ranked")
-    counts = ranged.groupBy(p).agg(F.count(F.lit(1)).alias("__kollektiv_n"))
-    # running total over at most n rows (one per partition)
+                .withColumn(M_COL, F.monotonically_increasing_id())
+                .withColumn(P_COL, F.shiftright(F.col(M_COL), _PART_SHIFT)))
+    return stage_table(ranged, "ranked")
+
+
+def number_ranked(ranked: DataFrame, name: str = "event_id") -> DataFrame:
+    """Step 2 of WIN-1: per-partition counts -> running offsets (one row per
+    partition) -> broadcast join -> 1-based dense number ``name``."""
+    counts = ranked.groupBy(P_COL).agg(F.count(F.lit(1)).alias("__kollektiv_n"))
     offsets = counts.select(
-        p, (F.sum("__kollektiv_n").over(Window.orderBy(p).rowsBetween(Window.unboundedPreceding, -1)))
+        P_COL, (F.sum("__kollektiv_n").over(Window.orderBy(P_COL).rowsBetween(Window.unboundedPreceding, -1)))
         .alias("__kollektiv_off"))
     offsets = offsets.fillna(0, subset=["__kollektiv_off"])
-    out = ranged.join(F.broadcast(offsets), p, "left")
-    pos = (F.col("__kollektiv_off") + (F.col(m) - F.shiftleft(F.col(p), _PART_SHIFT)) + 1).cast("bigint")
-    return out.withColumn(name, pos).drop(m, p, "__kollektiv_off")
+    out = ranked.join(F.broadcast(offsets), P_COL, "left")
+    pos = (F.col("__kollektiv_off") + (F.col(M_COL) - F.shiftleft(F.col(P_COL), _PART_SHIFT)) + 1).cast("bigint")
+    return out.withColumn(name, pos).drop(M_COL, P_COL, "__kollektiv_off")
+
+
+def dense_row_number(df: DataFrame, order_by: Sequence[Column], name: str = "event_id",
+                     num_partitions: int | None = None) -> DataFrame:
+    """WIN-1: append ``name`` = 1-based position of each row under ``order_by``."""
+    return number_ranked(rank_partitions(df, order_by, num_partitions), name)
 
 
 def positional_id(df: DataFrame, order_by: Sequence[Column], name: str = "id",

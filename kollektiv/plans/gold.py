@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kollektiv.functions.scalars import service_date
 from kollektiv.operators.dedupe import keep_first
-from kollektiv.operators.ids import dense_row_number
+from kollektiv.operators.ids import M_COL, P_COL, dense_row_number, number_ranked, rank_partitions
 
 FACT_ORDER = ("ServiceJourneyId", "QuayId", "AimedArrivalTime")
 
@@ -68,6 +68,21 @@ def fact_movements(silver_timetable_df: DataFrame, zone: str | None = None,
     """MDL-9: numbered movements (dense ``event_id``, no single-partition sort)."""
     numbered = dense_row_number(silver_timetable_df, fact_order_columns(silver_timetable_df),
                                 name="event_id", num_partitions=num_partitions)
+    return _fact_columns(numbered, zone)
+
+
+def rank_timetable(silver_timetable_df: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Stage the silver timetable in fact order (step 1 of the numbering).
+    ``drop(M_COL, P_COL)`` of the result is the silver timetable itself."""
+    return rank_partitions(silver_timetable_df, fact_order_columns(silver_timetable_df), num_partitions)
+
+
+def fact_movements_from_ranked(ranked: DataFrame, zone: str | None = None) -> DataFrame:
+    """MDL-9 over a frame staged by ``rank_timetable``."""
+    return _fact_columns(number_ranked(ranked, "event_id"), zone)
+
+
+def _fact_columns(numbered: DataFrame, zone: str | None) -> DataFrame:
     return numbered.select(
         "event_id",
         F.col("ServiceJourneyId").alias("service_journey_id"),
@@ -81,3 +96,7 @@ def fact_movements(silver_timetable_df: DataFrame, zone: str | None = None,
         "ActualDepartureTime", "ArrivalStatus", "DepartureStatus", "Cancellation",
         "DepartureBoardingActivity", "Ingestion_Date",
     )
+
+
+__all__ = ["dim_line", "dim_quay", "dim_service_journey", "fact_movements", "rank_timetable",
+           "fact_movements_from_ranked", "M_COL", "P_COL"]

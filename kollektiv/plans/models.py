@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kollektiv.plans import gold, silver, staging
 from kollektiv.schemas import BRONZE_LIVE, BRONZE_NETEX, NETEX_RECORDS
-from kollektiv.session import stage_table, staging_scope, use_scope
+from kollektiv.session import stage_table, staging_scope, use_scope  # noqa: F401
 from kollektiv.sinks.tables import publish_table, publish_view, read_table
 
 VIEWS = ("stg_live_timetable", "stg_netex_lines", "stg_netex_quays", "silver_timetable", "silver_lines")
@@ -59,9 +59,9 @@ def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str
     """Publish the views and rebuild the gold tables (``threads`` at a time);
     returns ``{gold model: path}``.  ``timings`` receives seconds per model.
 
-    ``silver_timetable`` is staged once; each gold table is then planned and
-    written inside its own thread, so the numbering job of ``fact_movements``
-    overlaps the other three tables.
+    ``silver_timetable`` is staged once, range-sorted in fact order, and serves
+    all three gold tables that read it (for ``fact_movements`` it is also step
+    1 of the numbering); each gold table is then written in its own thread.
     """
     with staging_scope(spark) as scope:
         return _run(spark, bronze_root, gold_root, zone, threads, timings, scope)
@@ -75,8 +75,10 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope) -> dict[s
         "stg_netex_lines": staging.stg_netex_lines(lines),
         "stg_netex_quays": staging.stg_netex_quays(quays),
     }
-    views["silver_timetable"] = stage_table(silver.silver_timetable(views["stg_live_timetable"], zone),
-                                            "silver_timetable")
+    # one staged write serves all three readers of silver: it is range-sorted
+    # in fact order (numbering step 1); without the two tag columns it *is* silver
+    ranked = gold.rank_timetable(silver.silver_timetable(views["stg_live_timetable"], zone))
+    views["silver_timetable"] = ranked.drop(gold.M_COL, gold.P_COL)
     views["silver_lines"] = silver.silver_lines(views["stg_netex_lines"])
     staged = time.perf_counter() - t0
     for name in VIEWS:
@@ -87,7 +89,7 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope) -> dict[s
     builders = {
         "dim_quay": lambda: gold.dim_quay(views["stg_netex_quays"], views["silver_timetable"]),
         "dim_service_journey": lambda: gold.dim_service_journey(views["silver_timetable"], zone),
-        "fact_movements": lambda: gold.fact_movements(views["silver_timetable"], zone),
+        "fact_movements": lambda: gold.fact_movements_from_ranked(ranked, zone),
         "dim_line": lambda: gold.dim_line(views["silver_lines"]),
     }
 
