@@ -303,9 +303,10 @@ def ts_text(ts: Column, key: Column) -> Column:
                                               "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("-05:30"))))
 
 
-def siri_timetable(events: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+def siri_timetable(events: DataFrame, keys: tuple[str, ...] = (), buckets: int = 16) -> DataFrame:
     """SIRI documents from events: calls grouped into journeys (user, day),
-    journeys grouped into documents (``keys`` + the split they sit in)."""
+    journeys grouped into documents (``keys`` + the split they sit in + one of
+    ``buckets`` hash buckets of the journey)."""
     eid, ts = F.col("event_id"), F.col("ts")
     delay = eid % 600
     arrived = F.col("event_type") != "error"
@@ -346,7 +347,7 @@ def siri_timetable(events: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
             "<EstimatedVehicleJourney><LineRef>empty-journey</LineRef></EstimatedVehicleJourney>")
     tail = "</EstimatedJourneyVersionFrame></EstimatedTimetableDelivery></ServiceDelivery></Siri>"
     # documents of a few hundred journeys: keys + split + a hash bucket of the journey
-    bucket = F.pmod(F.xxhash64("user_id", "__day"), F.lit(16))
+    bucket = F.pmod(F.xxhash64("user_id", "__day"), F.lit(buckets))
     docs = documents(journeys.select(*keys, bucket.alias("__bucket"), journey.alias("__journey")),
                      F.col("__journey"), list(keys) + ["__bucket"], head, tail, "siri", keep_keys=True)
     return docs.drop("__bucket")
@@ -376,7 +377,7 @@ def siri_snapshots(events: DataFrame) -> DataFrame:
     noon = e.filter(F.hour("ts") < 12).withColumn("__snap", label("T120000"))
     full = e.filter(dow != 1).withColumn("__snap", label("T235900"))
     bad = e.filter((dow == 2) & (F.col("event_type") == "error")).withColumn("__snap", label("T235930"))
-    docs = siri_timetable(noon.unionByName(full).unionByName(bad), keys=("__snap",))
+    docs = siri_timetable(noon.unionByName(full).unionByName(bad), keys=("__snap",), buckets=1)
     name = F.concat(F.lit("snapshot="), F.col("__snap"), F.lit("/"),
                     F.element_at(F.split("path", "/"), -1))
     return docs.select(name.alias("name"), F.encode("content", "UTF-8").alias("content"))
