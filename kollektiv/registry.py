@@ -9,11 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kollektiv import feeds, roles
+from kollektiv.functions import scalars as S
+from kollektiv.operators import dedupe, frames, ids, quality
 from kollektiv.operators.dedupe import latest_per_key
-from kollektiv.plans import gold, silver, staging
-from kollektiv.schemas import BRONZE_LIVE_KEY
+from kollektiv.plans import gold, live_ingest, silver, staging, static_ingest
+from kollektiv.plans import models as model_run
+from kollektiv.schemas import (
+    BRONZE_LIVE, BRONZE_LIVE_KEY, BRONZE_NETEX, BRONZE_NETEX_KEY, netex_record_schema,
+)
+from kollektiv.session import scratch_path
+from kollektiv.sinks import tables
+from kollektiv.sources import archive, netex, siri
+from kollektiv.streaming import live as live_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,11 +101,6 @@ def q_dim_quay(spark, sf_dir):
 
 
 # --- scalar functions ----------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from kollektiv.functions import scalars as S  # noqa: E402
-from kollektiv.operators import dedupe, frames, ids, quality  # noqa: E402
-from kollektiv.schemas import netex_record_schema  # noqa: E402
 
 
 @register("json_payload_pack")
@@ -276,8 +281,6 @@ def q_ingest_envelope(spark, sf_dir):
 
 
 # --- XML sources -----------------------------------------------------------------
-from kollektiv.sources import archive, netex, siri  # noqa: E402
-from kollektiv.session import scratch_path  # noqa: E402
 
 
 @register("src_siri_calls")
@@ -351,10 +354,6 @@ def q_src_zip_members(spark, sf_dir):
 
 
 # --- sinks, ingest jobs, streaming --------------------------------------------------
-from kollektiv.plans import live_ingest  # noqa: E402
-from kollektiv.schemas import BRONZE_LIVE, BRONZE_NETEX, BRONZE_NETEX_KEY  # noqa: E402
-from kollektiv.sinks import tables  # noqa: E402
-from kollektiv.streaming import live as live_stream  # noqa: E402
 
 
 @register("bronze_append_latest")
@@ -417,8 +416,6 @@ def q_stream_snapshot_overwrite(spark, sf_dir):
 
 
 # --- end-to-end jobs (entry points A, B, C) ------------------------------------------
-from kollektiv.plans import models as model_run  # noqa: E402
-from kollektiv.plans import static_ingest  # noqa: E402
 
 
 @register("live_ingest_fact_movements")

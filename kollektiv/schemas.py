@@ -57,17 +57,6 @@ NETEX_RECORDS = {
 }
 
 
-def _union_fields() -> list[str]:
-    seen: list[str] = []
-    for _, _, fields in NETEX_RECORDS.values():
-        for f in fields:
-            if f not in seen:
-                seen.append(f)
-    return seen
-
-
-NETEX_UNION_FIELDS = tuple(_union_fields())
-
 def netex_fields(record_type: str, quay_details: bool = False) -> tuple[str, ...]:
     fields = NETEX_RECORDS[record_type][2]
     if record_type == "quay" and not quay_details:
