@@ -124,16 +124,22 @@ def staging_scope(spark: SparkSession):
         scope.drop(spark)
 
 
-def stage_table(df, name: str):
+def stage_table(df, name: str, partition_by: tuple[str, ...] = ()):
     """Cut lineage: write ``df`` once as a Parquet table in the shared
     checkpoint folder and return a frame reading it back.
 
     Used where several jobs must see the same rows (numbering, per-type splits
     of parsed records, gate-then-write).  Parquet is columnar and compressed,
     and reads back vectorised; the files survive the loss of any executor.
+    ``partition_by`` lays the table out in folders (with a ``rebalance`` so a
+    dominant value is split, not piled into one task), so readers that filter
+    on those columns read only their folders.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     scope = getattr(_local, "scope", None)
     if scope is not None:
         scope.add(path)
