@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kollektiv.functions.scalars import parse_timestamp, truncate_millis
 from kollektiv.operators.quality import NULL_RATE_CEILING_PCT, DataQualityError
 from kollektiv.schemas import BRONZE_LIVE_KEY
 from kollektiv.session import stage_table, staging_scope
@@ -33,12 +34,16 @@ class LiveLoad:
     null_pct: float
 
 
-def snapshot_stats(bronze_calls: DataFrame, raw: DataFrame) -> dict:
-    """One pass: rows, null actual arrivals, rejected documents."""
-    calls = bronze_calls.agg(F.count(F.lit(1)).alias("rows"),
-                             F.count_if(F.col("ActualArrivalTime").isNull()).alias("nulls")).first()
-    rejected = siri.rejects(raw).count()
-    return {"rows": calls["rows"], "nulls": calls["nulls"], "rejected": rejected}
+def snapshot_stats(raw: DataFrame) -> dict:
+    """One aggregation pass over the extraction: calls, calls without an
+    actual arrival (after parsing, so unparseable times count as null), and
+    rejected documents."""
+    is_call = F.col("error").isNull()
+    arrival = truncate_millis(parse_timestamp("ActualArrivalTime"))
+    row = raw.agg(F.count_if(is_call).alias("rows"),
+                  F.count_if(is_call & arrival.isNull()).alias("nulls"),
+                  F.count_if(~is_call).alias("rejected")).first()
+    return row.asDict()
 
 
 def ingest_snapshot(docs: DataFrame, bronze_path: str, ingestion_ts: _dt.datetime,
@@ -53,7 +58,7 @@ def ingest_snapshot(docs: DataFrame, bronze_path: str, ingestion_ts: _dt.datetim
 def _ingest(docs, bronze_path, ingestion_ts, ingestion_date, ceiling_pct, native) -> LiveLoad:
     raw = stage_table(siri.extract_native(docs) if native else siri.extract(docs), "siri_raw")
     bronze = siri.to_bronze(siri.calls(raw), ingestion_ts, ingestion_date)
-    stats = snapshot_stats(bronze, raw)
+    stats = snapshot_stats(raw)
     if stats["rejected"]:
         raise MalformedSnapshotError(f"{stats['rejected']} SIRI document(s) failed to parse")
     if stats["rows"] == 0:
