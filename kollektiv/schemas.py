@@ -17,6 +17,7 @@ def _strings(*names: str) -> list[T.StructField]:
 
 
 # --- NeTEx records (SRC-3 .. SRC-9); every field is the raw XML text -------
+# Fixed values that must equal the reference's: the record field names.
 TOPOGRAPHIC_PLACE_FIELDS = (
     "id", "version", "IsoCode", "Descriptor", "TopographicPlaceType", "CountryRef",
     "PrivateCode", "ParentTopographicPlaceRef", "ParentTopographicPlaceVersion",
@@ -41,7 +42,8 @@ JOURNEY_PATTERN_STOP_FIELDS = (
     "forBoarding", "forAlighting",
 )
 
-# record_type -> (dataset name, bronze table name, fields)
+# Fixed values that must equal the reference's: dataset names and bronze table
+# names.  record_type -> (dataset name, bronze table name, fields)
 NETEX_RECORDS = {
     "scheduled_stop_point": ("netex_scheduled_stop_points", "bronze_netex_scheduled_stop_points",
                              SCHEDULED_STOP_POINT_FIELDS),
