@@ -105,3 +105,13 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope) -> dict[s
     if timings is not None:
         timings.update({n: secs for n, _, secs in done})
     return {n: p for n, p, _ in done}
+
+
+def register_views(spark: SparkSession, bronze_root: str, zone: str | None = None) -> list[str]:
+    """All nine models as temporary views over the bronze tables, nothing
+    written: ``spark.sql("SELECT ... FROM dim_quay")`` plans straight down to
+    the bronze scans.  (``fact_movements`` stages its numbering when built.)"""
+    models = build_models(*read_bronze(spark, bronze_root), zone=zone)
+    for name, df in models.items():
+        publish_view(df, name)
+    return list(models)

@@ -55,3 +55,20 @@ def test_models_run_without_python(spark, tmp_path):
     for df in (sv, gold.dim_service_journey(sv), gold.fact_movements(sv)):
         p = _plan(df)
         assert "Python" not in p and "ArrowEval" not in p and "MapInPandas" not in p
+
+
+def test_register_views_for_sql(spark, tmp_path):
+    from kollektiv.plans.models import register_views
+    from kollektiv.schemas import BRONZE_NETEX
+    root = tmp_path / "bronze"
+    tables.overwrite_partitions(roles.live_bronze(roles.table(spark, SMOKE, "events")),
+                                str(root / "bronze_live_timetable"))
+    tables.append_bronze(roles.lines_bronze(roles.table(spark, SMOKE, "part")), str(root / "bronze_netex_lines"))
+    tables.append_bronze(spark.createDataFrame([], BRONZE_NETEX), str(root / "bronze_netex_quays"))
+    names = register_views(spark, str(root))
+    assert len(names) == 9
+    n = spark.sql("SELECT count(*) FROM fact_movements f JOIN dim_service_journey d "
+                  "ON f.service_journey_id = d.service_journey_id AND f.date_id = d.date_id").first()[0]
+    assert n > 0
+    assert spark.sql("SELECT count(DISTINCT line_id) FROM dim_line").first()[0] == \
+        roles.table(spark, SMOKE, "part").count()
