@@ -28,15 +28,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kollektiv.session import stage_table
+from kollektiv.session import partitions_for, stage_table
 
 _PART_SHIFT = 33  # monotonically_increasing_id: partition index << 33 | row index
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Explicit count if given, else sized from the plan's estimate (the range
+    partitions must grow with the data: AQE does not resize them)."""
+    return n or partitions_for(df)
 
 
 M_COL, P_COL = "__kollektiv_m", "__kollektiv_p"

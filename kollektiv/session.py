@@ -144,3 +144,28 @@ def stage_table(df, name: str, partition_by: tuple[str, ...] = ()):
     if scope is not None:
         scope.add(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def partitions_for(df, target_bytes: int | None = None, floor: int | None = None, ceiling: int = 200_000) -> int:
+    """Partition count for an explicit-count shuffle of ``df``: the plan's
+    estimated size over the advisory partition size, never below the session's
+    shuffle partitions (AQE cannot resize an explicit-count repartition, so
+    the count has to grow with the data)."""
+    spark = df.sparkSession
+    if target_bytes is None:
+        target_bytes = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    if floor is None:
+        floor = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # noqa: SLF001
+    except Exception:  # noqa: BLE001 — no estimate: fall back to the floor
+        est = 0
+    return int(min(ceiling, max(floor, -(-est // max(1, target_bytes)))))
+
+
+def _bytes(text: str) -> int:
+    t = str(text).strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if t and t[-1] in mult:
+        return int(float(t[:-1]) * mult[t[-1]])
+    return int(t)
