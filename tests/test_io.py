@@ -157,3 +157,45 @@ def test_staging_scope_drops_its_tables(spark, tmp_path):
         assert t.count() == 5
         paths = list(scope.paths)
     assert paths and not any(os.path.exists(p.replace("file:", "", 1)) for p in paths)
+
+
+def _siri_doc(n_arrived, n_missing, journey="J"):
+    calls = "".join(
+        f"<RecordedCall><StopPointRef>Q{i}</StopPointRef><AimedArrivalTime>2025-10-27T10:00:00Z</AimedArrivalTime>"
+        + ("<ActualArrivalTime>2025-10-27T10:01:00Z</ActualArrivalTime>" if i < n_arrived else "")
+        + "</RecordedCall>" for i in range(n_arrived + n_missing))
+    return ("<Siri xmlns='http://www.siri.org.uk/siri'><ServiceDelivery><EstimatedTimetableDelivery>"
+            "<EstimatedJourneyVersionFrame><EstimatedVehicleJourney><FramedVehicleJourneyRef>"
+            f"<DataFrameRef>2025-10-27</DataFrameRef><DatedVehicleJourneyRef>{journey}</DatedVehicleJourneyRef>"
+            f"</FramedVehicleJourneyRef><RecordedCalls>{calls}</RecordedCalls></EstimatedVehicleJourney>"
+            "</EstimatedJourneyVersionFrame></EstimatedTimetableDelivery></ServiceDelivery></Siri>")
+
+
+def test_jobs_cli_live_and_stream(tmp_path, spark):
+    from kollektiv import jobs
+    from kollektiv.schemas import BRONZE_LIVE
+    land = tmp_path / "live"
+    land.mkdir()
+    (land / "snap.xml").write_text(_siri_doc(3, 1))
+    snaps = tmp_path / "snaps"
+    (snaps / "snapshot=2025-10-27T120000").mkdir(parents=True)
+    (snaps / "snapshot=2025-10-27T120000" / "a.xml").write_text(_siri_doc(1, 0, "A"))
+    (snaps / "snapshot=2025-10-27T235900").mkdir()
+    (snaps / "snapshot=2025-10-27T235900" / "b.xml").write_text(_siri_doc(2, 0, "B"))
+    (snaps / "snapshot=2025-10-27T235930").mkdir()
+    (snaps / "snapshot=2025-10-27T235930" / "c.xml").write_text(_siri_doc(0, 5, "C"))     # fails the gate
+    orig_stop = spark.stop
+    spark.stop = lambda: None
+    try:
+        b1, b2 = str(tmp_path / "b1"), str(tmp_path / "b2")
+        assert jobs.main(["live", "--landing", str(land), "--bronze", b1, "--date", "2025-10-27",
+                          "--ts", "2025-10-27T10:05:00"]) == 0
+        assert jobs.main(["live", "--landing", str(land), "--bronze", b1, "--date", "2025-10-28", "--native"]) == 0
+        assert jobs.main(["stream", "--landing", str(snaps), "--bronze", b2,
+                          "--checkpoint", str(tmp_path / "ck"), "--once"]) == 0
+    finally:
+        spark.stop = orig_stop
+    live = tables.read_table(spark, f"{b1}/bronze_live_timetable", BRONZE_LIVE)
+    assert live.count() == 8 and live.select("Ingestion_Date").distinct().count() == 2
+    got = tables.read_table(spark, f"{b2}/bronze_live_timetable", BRONZE_LIVE).collect()
+    assert {r["ServiceJourneyId"] for r in got} == {"B"} and len(got) == 2
