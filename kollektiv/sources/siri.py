@@ -41,33 +41,37 @@ RAW_SCHEMA = T.StructType(
 _RAW_COLUMNS = RAW_SCHEMA.fieldNames()
 
 
-def _journey(ej) -> list[dict]:
+# Journey rules (direct children of a journey, exact SIRI names):
+#   "text"       the child's text into the field of the same name
+#   "text+ref"   its text and its @ref, kept apart (SCL-10 picks one later)
+#   "frame"      the two identifiers inside FramedVehicleJourneyRef
+JOURNEY_RULES = {_N + t: "text" for t in JOURNEY_TEXT}
+JOURNEY_RULES.update({_N + "LineRef": "text+ref", _N + "RouteRef": "text+ref",
+                      _N + "FramedVehicleJourneyRef": "frame"})
+FRAME_FIELDS = {_N + "DataFrameRef": "DataFrameRef", _N + "DatedVehicleJourneyRef": "DatedVehicleJourneyRef"}
+# Call fields: direct children of each call, exact SIRI names -> raw field.
+CALL_FIELDS = {_N + "StopPointRef": "StopPointRef", **{_N + t: t for t in CALL_TIMES}}
+
+
+def _journey_fields(ej) -> dict:
     j: dict = {}
     for c in ej:
-        tag = c.tag
-        if tag == _N + "FramedVehicleJourneyRef":
-            for c2 in c:
-                if c2.tag == _N + "DataFrameRef":
-                    j["DataFrameRef"] = c2.text
-                elif c2.tag == _N + "DatedVehicleJourneyRef":
-                    j["DatedVehicleJourneyRef"] = c2.text
-        elif tag == _N + "LineRef":
-            j["LineRef_text"], j["LineRef_ref"] = c.text, c.get("ref")
-        elif tag == _N + "RouteRef":
-            j["RouteRef_text"], j["RouteRef_ref"] = c.text, c.get("ref")
-        elif isinstance(tag, str) and tag.startswith(_N) and tag[len(_N):] in JOURNEY_TEXT:
-            j[tag[len(_N):]] = c.text
-    rows = []
-    for calls in ej.findall(_N + "RecordedCalls"):
-        for call in calls:
-            row = dict(j)
-            for p in call:
-                if p.tag == _N + "StopPointRef":
-                    row["StopPointRef"] = p.text
-                elif isinstance(p.tag, str) and p.tag.startswith(_N) and p.tag[len(_N):] in CALL_TIMES:
-                    row[p.tag[len(_N):]] = p.text
-            rows.append(row)
-    return rows
+        rule = JOURNEY_RULES.get(c.tag)
+        name = c.tag[len(_N):] if rule else None
+        if rule == "text":
+            j[name] = c.text
+        elif rule == "text+ref":
+            j[name + "_text"], j[name + "_ref"] = c.text, c.get("ref")
+        elif rule == "frame":
+            j.update({FRAME_FIELDS[c2.tag]: c2.text for c2 in c if c2.tag in FRAME_FIELDS})
+    return j
+
+
+def _journey(ej) -> list[dict]:
+    """One row per child of each direct RecordedCalls, journey fields copied in."""
+    j = _journey_fields(ej)
+    return [{**j, **{CALL_FIELDS[p.tag]: p.text for p in call if p.tag in CALL_FIELDS}}
+            for calls in ej.findall(_N + "RecordedCalls") for call in calls]
 
 
 def walk_document(content) -> list[dict]:
