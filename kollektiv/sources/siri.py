@@ -24,6 +24,9 @@ from kollektiv.functions.scalars import (
 )
 from kollektiv.schemas import BRONZE_LIVE, LIVE_COLUMNS, LIVE_STRING_COLUMNS, LIVE_TIME_COLUMNS
 
+# Documents up to this size are parsed whole; larger ones incrementally.
+WHOLE_TREE_MAX_BYTES = 4 * 1024 * 1024
+
 # Fixed value that must equal the reference's: the SIRI namespace.
 SIRI_NS = "http://www.siri.org.uk/siri"
 _N = "{" + SIRI_NS + "}"
@@ -77,11 +80,14 @@ def _journey(ej) -> list[dict]:
 def walk_document(content) -> list[dict]:
     """One row per child of each direct ``RecordedCalls`` of every
     ``EstimatedVehicleJourney`` (any depth).  Journey fields come from the
-    journey's direct children only; EstimatedCalls are ignored.  Incremental
-    parse: a journey is handled when it closes, then cleared."""
+    journey's direct children only; EstimatedCalls are ignored.  Small
+    documents are parsed whole; larger ones incrementally (a journey is handled
+    when it closes, then cleared)."""
     if isinstance(content, str):
         content = content.encode("utf-8")
     journey = _N + "EstimatedVehicleJourney"
+    if content is not None and len(content) <= WHOLE_TREE_MAX_BYTES:
+        return [row for ej in ET.fromstring(content).iter(journey) for row in _journey(ej)]
     opened: dict = {}
     depth = 0
     found: list[tuple[int, list]] = []

@@ -97,3 +97,10 @@ def test_native_parser_matches_python_walk(spark):
     nat = sorted(tuple(r) for r in siri.to_bronze(siri.calls(siri.extract_native(docs)), RUN, DAY).collect())
     assert py == nat and len(py) == 4
     assert [r["path"] for r in siri.rejects(siri.extract_native(docs)).collect()] == ["bad.xml"]
+
+
+def test_incremental_and_whole_tree_walks_agree(monkeypatch):
+    content = fixture_bytes("siri_edge.xml")
+    whole = siri.walk_document(content)
+    monkeypatch.setattr(siri, "WHOLE_TREE_MAX_BYTES", -1)
+    assert siri.walk_document(content) == whole and len(whole) == 4

@@ -36,7 +36,10 @@ def tree_walk(content: bytes, quay_details: bool = False):
 
 @settings(max_examples=150, deadline=None, suppress_health_check=list(HealthCheck))
 @given(body=st.lists(trees(), min_size=1, max_size=4), details=st.booleans())
-def test_incremental_walk_equals_tree_walk(body, details):
+def test_incremental_walk_equals_tree_walk(body, details, monkeypatch):
     doc = f'<PublicationDelivery xmlns="http://www.netex.org.uk/netex">{"".join(body)}</PublicationDelivery>'
     content = doc.encode()
-    assert netex.walk_document(content, details) == tree_walk(content, details)
+    monkeypatch.setattr(netex, "WHOLE_TREE_MAX_BYTES", -1)          # force the incremental parser
+    incremental = netex.walk_document(content, details)
+    monkeypatch.setattr(netex, "WHOLE_TREE_MAX_BYTES", 1 << 30)
+    assert incremental == netex.walk_document(content, details) == tree_walk(content, details)
