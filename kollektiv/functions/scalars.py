@@ -15,7 +15,7 @@ __all__ = [
     "PAYLOAD_CAP", "TRUNCATION_MARKER", "json_extract_string", "json_extract_string_strict",
     "pack_json_payload", "cap_payload", "location_text", "service_date", "parse_timestamp",
     "parse_service_date", "fill_empty_strings", "parse_double", "first_non_empty",
-    "truncate_millis", "run_clock", "partition_id",
+    "truncate_millis", "epoch_millis", "run_clock", "partition_id",
 ]
 
 # Fixed values that must equal the reference's for equal results.
@@ -114,6 +114,16 @@ def truncate_millis(ts: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", -micros_in_milli, t)
 
 
+def epoch_millis(ts: Column | str) -> Column:
+    """Milliseconds since 1970-01-01 of a UTC wall-clock ``TIMESTAMP_NTZ``,
+    from its calendar parts (no session time zone involved)."""
+    t = _c(ts)
+    days = F.datediff(F.to_date(t), F.lit(_dt.date(1970, 1, 1))).cast("bigint")
+    millis_of_day = (F.hour(t) * 3_600_000 + F.minute(t) * 60_000
+                     + F.floor(F.extract(F.lit("SECOND"), t) * 1000)).cast("bigint")
+    return days * 86_400_000 + millis_of_day
+
+
 def run_clock(ingestion_ts: _dt.datetime, ingestion_date: _dt.date | str) -> dict[str, Column]:
     """SCL-12: the run's clock as literals (never ``current_timestamp()`` in a query)."""
     if isinstance(ingestion_date, str):
@@ -122,7 +132,8 @@ def run_clock(ingestion_ts: _dt.datetime, ingestion_date: _dt.date | str) -> dic
         ingestion_ts = ingestion_ts.astimezone(_dt.timezone.utc).replace(tzinfo=None)
     ingestion_ts = ingestion_ts.replace(microsecond=ingestion_ts.microsecond // 1000 * 1000)
     return {
-        "Ingestion_Timestamp": F.lit(ingestion_ts).cast("timestamp_ntz"),
+        # from text: a datetime literal would pass through the session time zone
+        "Ingestion_Timestamp": F.lit(ingestion_ts.isoformat(sep=" ")).cast("timestamp_ntz"),
         "Ingestion_Date": F.lit(ingestion_date).cast("date"),
     }
 

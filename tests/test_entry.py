@@ -41,3 +41,17 @@ def test_query_matches_oracle(spark, duck, key):
     assert sorted(df.columns) == sorted(res.columns)
     assert len(rows) == len(want)
     assert digest(df.columns, rows)[0] == digest(res.columns, want)[0]
+
+
+@pytest.mark.parametrize("key", ["ingest_envelope", "src_siri_calls", "bronze_append_latest", "fact_movements",
+                                 "parse_timestamp_coerce", "parse_date_fallback", "partition_overwrite"])
+def test_results_do_not_depend_on_session_zone(spark, duck, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = E.queries()[key](spark, SMOKE)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.sql(E.oracle_sql()[key])
+    assert digest(df.columns, rows)[0] == digest(res.columns, res.fetchall())[0]

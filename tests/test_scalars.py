@@ -96,3 +96,15 @@ def test_truncate_millis_and_run_clock(spark):
 def test_partition_id(spark):
     df = spark.createDataFrame([(dt.date(2025, 3, 4),)], "d date")
     assert df.select(S.partition_id("d")).first()[0] == "2025-03-04"
+
+
+def test_epoch_millis_ignores_session_zone(spark):
+    want = int(dt.datetime(2025, 10, 27, 6, 0, 0, 123000, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    df = spark.createDataFrame([(dt.datetime(2025, 10, 27, 6, 0, 0, 123456),)], "t timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = df.select(S.epoch_millis("t")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == want
