@@ -106,9 +106,12 @@ def walk_document(content) -> list[dict]:
     return [row for _, rows in found for row in rows]
 
 
+_FLUSH_ROWS = 20_000
+
+
 def _siri_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    out: list[dict] = []
     for pdf in batches:
-        out: list[dict] = []
         for path, content in zip(pdf["path"], pdf["content"]):
             try:
                 calls = walk_document(content)
@@ -116,8 +119,11 @@ def _siri_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 out.append({"path": path, "error": f"{type(e).__name__}: {e}"[:1000]})
                 continue
             out.extend({"path": path, "seq": i, **r} for i, r in enumerate(calls))
-        if out:
-            yield pd.DataFrame(out, columns=_RAW_COLUMNS, dtype=object)
+            if len(out) >= _FLUSH_ROWS:            # bounded output frames
+                yield pd.DataFrame(out, columns=_RAW_COLUMNS, dtype=object)
+                out = []
+    if out:
+        yield pd.DataFrame(out, columns=_RAW_COLUMNS, dtype=object)
 
 
 def extract(docs: DataFrame, content: str = "content", path: str = "path") -> DataFrame:
