@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kollektiv.session import ship_package
 from kollektiv.sources.siri import SIRI_NS
 
 NETEX_NS = "http://www.netex.org.uk/netex"
@@ -287,6 +288,7 @@ def _zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def zip_archives(docs: DataFrame) -> DataFrame:
     """One ZIP per document: the document (``.xml`` or ``.XML``), a text file,
     a malformed XML member and a ``.xml.bak`` member -> ``(name, content)``."""
+    ship_package(docs.sparkSession)
     return docs.select("path", "content").mapInPandas(_zip_batches, "name string, content binary")
 
 

@@ -169,3 +169,53 @@ def _bytes(text: str) -> int:
     if t and t[-1] in mult:
         return int(float(t[:-1]) * mult[t[-1]])
     return int(t)
+
+
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``kollektiv`` importable on the executors' Python workers.
+
+    Steps that run Python on the workers (``mapInPandas``) unpickle functions
+    of this package there.  Once per application the package is zipped into
+    the shared checkpoint folder and registered with ``addPyFile``; a cluster
+    that already installs the package loses nothing.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        import io
+        import zipfile
+
+        root = os.path.dirname(os.path.abspath(__file__))
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, files in os.walk(root):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(folder, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        target = f"{scratch_path(spark, 'pyfiles')}/kollektiv.zip"
+        _write_bytes(target, buf.getvalue())
+        sc.addPyFile(target)
+        _SHIPPED.add(app)
+
+
+def _write_bytes(uri: str, data: bytes) -> None:
+    from pyarrow import fs as pafs
+    if uri.startswith("file:"):
+        path = uri[len("file:"):]
+        while path.startswith("//"):
+            path = path[1:]
+        filesystem = pafs.LocalFileSystem()
+    elif "://" in uri:
+        filesystem, path = pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    else:
+        filesystem, path = pafs.LocalFileSystem(), uri
+    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(path) as f:
+        f.write(data)

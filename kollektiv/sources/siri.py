@@ -23,6 +23,7 @@ from kollektiv.functions.scalars import (
     fill_empty_strings, first_non_empty, parse_service_date, parse_timestamp, run_clock, truncate_millis,
 )
 from kollektiv.schemas import BRONZE_LIVE, LIVE_COLUMNS, LIVE_STRING_COLUMNS, LIVE_TIME_COLUMNS
+from kollektiv.session import ship_package
 
 # Documents up to this size are parsed whole; larger ones incrementally.
 WHOLE_TREE_MAX_BYTES = 4 * 1024 * 1024
@@ -130,6 +131,7 @@ def extract(docs: DataFrame, content: str = "content", path: str = "path") -> Da
     """Documents -> raw recorded calls (``RAW_SCHEMA``); a malformed document
     gives one row with ``error`` set and no calls."""
     src = docs.select(F.col(path).cast("string").alias("path"), F.col(content).alias("content"))
+    ship_package(docs.sparkSession)
     return src.mapInPandas(_siri_batches, RAW_SCHEMA)
 
 
