@@ -151,14 +151,14 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 # --- dedupe, ids ---------------------------------------------------------------
 ORACLES["dedupe_latest_version"] = """SELECT id, version, o_orderkey FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC NULLS LAST, o_orderkey DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC NULLS LAST, o_orderkey DESC NULLS LAST) AS rn
   FROM (SELECT CAST(o_custkey AS VARCHAR) AS id, CAST(o_orderkey % 13 AS VARCHAR) AS version, o_orderkey
         FROM orders)) WHERE rn = 1"""
 
 ORACLES["dedupe_full_row"] = "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem"
 
 ORACLES["positional_id"] = """SELECT o_orderkey, o_custkey,
-  CAST(row_number() OVER (ORDER BY o_orderkey ASC) - 1 AS VARCHAR) AS id FROM orders"""
+  CAST(row_number() OVER (ORDER BY o_orderkey ASC NULLS LAST) - 1 AS VARCHAR) AS id FROM orders"""
 
 # --- quality -------------------------------------------------------------------
 ORACLES["dq_null_rate"] = f"""WITH {LIVE_CTE}
