@@ -209,7 +209,7 @@ def _versioned_orders(spark, sf_dir):
 @register("dedupe_latest_version")
 def q_dedupe_latest_version(spark, sf_dir):
     return dedupe.latest_version(_versioned_orders(spark, sf_dir), "id", "version",
-                                 tiebreak=[F.col("o_orderkey").desc()])
+                                 tiebreak=[F.col("o_orderkey").desc_nulls_last()])
 
 
 @register("dedupe_full_row")
@@ -220,7 +220,7 @@ def q_dedupe_full_row(spark, sf_dir):
 @register("positional_id")
 def q_positional_id(spark, sf_dir):
     o = roles.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return ids.positional_id(o, [F.col("o_orderkey").asc()], name="id")
+    return ids.positional_id(o, [F.col("o_orderkey").asc_nulls_last()], name="id")
 
 
 # --- quality -------------------------------------------------------------------
