@@ -3,7 +3,9 @@
 Snapshots land as XML files under ``{landing}/snapshot=<yyyy-MM-ddTHHmmss>/``
 (one snapshot may be split over several files).  Each micro-batch:
 
-1. extracts calls from its files (one ``mapInPandas``); a snapshot's run clock
+1. re-reads, whole, every snapshot folder its new files belong to (a snapshot
+   split over files may straddle micro-batches) and extracts the calls (one
+   ``mapInPandas``, or ``from_xml`` with ``native``); a snapshot's run clock
    comes from its folder name;
 2. gates every snapshot on its own (DQ-1; a malformed file fails its
    snapshot); a failing snapshot is skipped and reported, the stream goes on
