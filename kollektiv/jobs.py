@@ -53,6 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--gold", required=True)
     s.add_argument("--zone")
     s.add_argument("--threads", type=int, default=4)
+    s.add_argument("--latest-lines-only", action="store_true", help="one dim_line row per line")
     s = sub.add_parser("test")
     s.add_argument("--bronze", required=True)
     s.add_argument("--zone")
@@ -84,7 +85,8 @@ def main(argv: list[str] | None = None) -> int:
         elif args.job == "models":
             from kollektiv.plans.models import run_models
             timings: dict = {}
-            paths = run_models(spark, args.bronze, args.gold, zone=args.zone, threads=args.threads, timings=timings)
+            paths = run_models(spark, args.bronze, args.gold, zone=args.zone, threads=args.threads, timings=timings,
+                               latest_lines_only=args.latest_lines_only)
             print(json.dumps({"tables": paths, "seconds": timings}))
         elif args.job == "test":
             from kollektiv.operators.quality import run_column_tests

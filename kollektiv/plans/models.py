@@ -55,9 +55,10 @@ def read_bronze(spark: SparkSession, bronze_root: str) -> tuple[DataFrame, DataF
 
 
 def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str | None = None,
-               threads: int = 4, timings: dict | None = None) -> dict[str, str]:
+               threads: int = 4, timings: dict | None = None, latest_lines_only: bool = False) -> dict[str, str]:
     """Publish the views and rebuild the gold tables (``threads`` at a time);
-    returns ``{gold model: path}``.  ``timings`` receives seconds per model.
+    returns ``{gold model: path}``.  ``timings`` receives seconds per model;
+    ``latest_lines_only`` keeps one ``dim_line`` row per line (D9).
 
     ``silver_timetable`` is staged once, range-sorted in fact order, and serves
     all three gold tables that read it (for ``fact_movements`` it is also step
@@ -65,10 +66,10 @@ def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str
     ``dim_line``, which does not read the timetable, runs during the staging.
     """
     with staging_scope(spark) as scope:
-        return _run(spark, bronze_root, gold_root, zone, threads, timings, scope)
+        return _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only)
 
 
-def _run(spark, bronze_root, gold_root, zone, threads, timings, scope) -> dict[str, str]:
+def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only) -> dict[str, str]:
     live, lines, quays = read_bronze(spark, bronze_root)
     views = {
         "stg_live_timetable": staging.stg_live_timetable(live),
@@ -86,7 +87,8 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope) -> dict[s
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         # dim_line does not read the timetable: it runs while silver is staged
-        futures = [pool.submit(publish, "dim_line", lambda: gold.dim_line(views["silver_lines"]))]
+        futures = [pool.submit(publish, "dim_line",
+                               lambda: gold.dim_line(views["silver_lines"], latest_only=latest_lines_only))]
         t0 = time.perf_counter()
         # one staged write serves all three readers of silver: it is range-sorted
         # in fact order (numbering step 1); without the two tag columns it *is* silver
