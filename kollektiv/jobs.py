@@ -3,7 +3,8 @@
     python -m kollektiv.jobs static  --landing L --bronze B [--date D] [--ts T]
     python -m kollektiv.jobs live    --landing L --bronze B [--date D] [--ts T]
     python -m kollektiv.jobs stream  --landing L --bronze B --checkpoint C [--once]
-    python -m kollektiv.jobs models  --bronze B --gold G [--zone Z] [--threads N]
+    python -m kollektiv.jobs silver  --bronze B --silver S [--days D1,D2]
+    python -m kollektiv.jobs models  --bronze B --gold G [--silver S] [--zone Z] [--threads N]
     python -m kollektiv.jobs test    --bronze B
 
 The run clock is an argument (SCL-12); by default the UTC time of the launch
@@ -48,12 +49,18 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--once", action="store_true", help="process what has landed, then stop")
     s.add_argument("--max-files", type=int, default=1000)
     s.add_argument("--native", action="store_true", help="parse with Spark's XML reader")
+    s = sub.add_parser("silver")
+    s.add_argument("--bronze", required=True)
+    s.add_argument("--silver", required=True)
+    s.add_argument("--days", help="comma-separated ingestion days to recompute (default: all)")
+    s.add_argument("--zone")
     s = sub.add_parser("models")
     s.add_argument("--bronze", required=True)
     s.add_argument("--gold", required=True)
     s.add_argument("--zone")
     s.add_argument("--threads", type=int, default=4)
     s.add_argument("--latest-lines-only", action="store_true", help="one dim_line row per line")
+    s.add_argument("--silver", help="read the silver timetable maintained by the silver job")
     s = sub.add_parser("test")
     s.add_argument("--bronze", required=True)
     s.add_argument("--zone")
@@ -82,11 +89,16 @@ def main(argv: list[str] | None = None) -> int:
                                 max_files_per_trigger=args.max_files, native=args.native)
             q.awaitTermination()
             print(json.dumps(report, default=str))
+        elif args.job == "silver":
+            from kollektiv.plans.models import refresh_silver_timetable
+            days = [_dt.date.fromisoformat(d) for d in args.days.split(",")] if args.days else None
+            done = refresh_silver_timetable(spark, args.bronze, args.silver, days, zone=args.zone)
+            print(json.dumps({"refreshed_days": [str(d) for d in done]}))
         elif args.job == "models":
             from kollektiv.plans.models import run_models
             timings: dict = {}
             paths = run_models(spark, args.bronze, args.gold, zone=args.zone, threads=args.threads, timings=timings,
-                               latest_lines_only=args.latest_lines_only)
+                               latest_lines_only=args.latest_lines_only, silver_path=args.silver)
             print(json.dumps({"tables": paths, "seconds": timings}))
         elif args.job == "test":
             from kollektiv.operators.quality import run_column_tests

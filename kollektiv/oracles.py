@@ -387,3 +387,18 @@ SELECT model, column_name, test,
   CASE WHEN failures IS NULL THEN 'error' WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status, failures
 FROM R"""
 ORACLES["src_siri_calls_native"] = ORACLES["src_siri_calls"]
+
+_CORRECTED = ", ".join({"ActualArrivalTime": "ActualArrivalTime + INTERVAL 1 MINUTE AS ActualArrivalTime",
+                            "ArrivalStatus": "'corrected' AS ArrivalStatus",
+                            "Ingestion_Timestamp": "Ingestion_Timestamp + INTERVAL 1 HOUR AS Ingestion_Timestamp"}.get(c, c)
+                           for c in LIVE_COLUMNS)
+_WEEKEND_BRONZE = f"""B AS (
+  SELECT {_LIVE_SELECT} FROM L WHERE dayofweek(Ingestion_Date) NOT IN (0, 6)
+  UNION ALL
+  SELECT {_CORRECTED} FROM L WHERE dayofweek(Ingestion_Date) IN (0, 6))"""
+ORACLES["silver_timetable_incremental"] = f"""WITH {LIVE_CTE},
+{_WEEKEND_BRONZE},
+{LATEST_CTE.replace("FROM L) WHERE rn = 1", "FROM B) WHERE rn = 1")},
+{STG_CTE},
+{SILVER_CTE}
+SELECT * FROM SILVER"""

@@ -12,11 +12,13 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kollektiv.plans import gold, silver, staging
-from kollektiv.schemas import BRONZE_LIVE, BRONZE_NETEX, NETEX_RECORDS
+from kollektiv.schemas import BRONZE_LIVE, BRONZE_LIVE_KEY, BRONZE_NETEX, NETEX_RECORDS, PARTITION_COLUMN
 from kollektiv.session import stage_table, staging_scope, use_scope
-from kollektiv.sinks.tables import publish_table, publish_view, read_table
+from kollektiv.sinks.tables import overwrite_partitions, publish_table, publish_view, read_table
 
 VIEWS = ("stg_live_timetable", "stg_netex_lines", "stg_netex_quays", "silver_timetable", "silver_lines")
 TABLES = ("dim_quay", "dim_service_journey", "fact_movements", "dim_line")
@@ -54,11 +56,54 @@ def read_bronze(spark: SparkSession, bronze_root: str) -> tuple[DataFrame, DataF
             read_table(spark, f"{root}/{NETEX_RECORDS['quay'][1]}", BRONZE_NETEX))
 
 
+SILVER_TIMETABLE_SCHEMA = None   # set below: bronze live schema without Ingestion_Timestamp
+
+
+def refresh_silver_timetable(spark: SparkSession, bronze_root: str, silver_path: str,
+                             days: list | None = None, zone: str | None = None) -> list:
+    """Maintain ``silver_timetable`` as a day-partitioned table, recomputing
+    only ``days`` (all days when None).
+
+    Replace-on-key never crosses ingestion days, so a day's silver rows depend
+    on that day's bronze partition alone: the bronze read is pruned to the
+    given days and the result replaces exactly those silver partitions.  A day
+    whose recomputed silver is empty loses its old partition.  Returns the
+    days refreshed.
+    """
+    live = read_table(spark, f"{bronze_root.rstrip('/')}/bronze_live_timetable", BRONZE_LIVE)
+    if days is not None:
+        live = live.filter(F.col(PARTITION_COLUMN).isin(list(days)))
+    fresh = silver.silver_timetable(staging.stg_live_timetable(live), zone)
+    overwrite_partitions(fresh, silver_path, sort_key=list(BRONZE_LIVE_KEY))
+    if days is None:
+        return [r[0] for r in live.select(PARTITION_COLUMN).distinct().collect()]
+    written = {r[0] for r in fresh.select(PARTITION_COLUMN).distinct().collect()}
+    for day in days:
+        if day not in written:
+            _drop_partition(spark, silver_path, day)
+    return list(days)
+
+
+def _drop_partition(spark: SparkSession, path: str, day) -> None:
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PARTITION_COLUMN}={day}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def read_silver_timetable(spark: SparkSession, silver_path: str) -> DataFrame:
+    return read_table(spark, silver_path, SILVER_TIMETABLE_SCHEMA)
+
+
 def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str | None = None,
-               threads: int = 4, timings: dict | None = None, latest_lines_only: bool = False) -> dict[str, str]:
+               threads: int = 4, timings: dict | None = None, latest_lines_only: bool = False,
+               silver_path: str | None = None) -> dict[str, str]:
     """Publish the views and rebuild the gold tables (``threads`` at a time);
     returns ``{gold model: path}``.  ``timings`` receives seconds per model;
     ``latest_lines_only`` keeps one ``dim_line`` row per line (D9).
+    ``silver_path``: read a silver timetable maintained by
+    ``refresh_silver_timetable`` instead of de-duplicating the bronze history.
 
     ``silver_timetable`` is staged once, range-sorted in fact order, and serves
     all three gold tables that read it (for ``fact_movements`` it is also step
@@ -66,10 +111,11 @@ def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str
     ``dim_line``, which does not read the timetable, runs during the staging.
     """
     with staging_scope(spark) as scope:
-        return _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only)
+        return _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only, silver_path)
 
 
-def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only) -> dict[str, str]:
+def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only,
+         silver_path) -> dict[str, str]:
     live, lines, quays = read_bronze(spark, bronze_root)
     views = {
         "stg_live_timetable": staging.stg_live_timetable(live),
@@ -92,7 +138,9 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_li
         t0 = time.perf_counter()
         # one staged write serves all three readers of silver: it is range-sorted
         # in fact order (numbering step 1); without the two tag columns it *is* silver
-        ranked = gold.rank_timetable(silver.silver_timetable(views["stg_live_timetable"], zone))
+        silver_src = (read_silver_timetable(spark, silver_path) if silver_path
+                      else silver.silver_timetable(views["stg_live_timetable"], zone))
+        ranked = gold.rank_timetable(silver_src)
         views["silver_timetable"] = ranked.drop(gold.M_COL, gold.P_COL)
         staged = time.perf_counter() - t0
         for name in VIEWS:
@@ -120,3 +168,6 @@ def register_views(spark: SparkSession, bronze_root: str, zone: str | None = Non
     for name, df in models.items():
         publish_view(df, name)
     return list(models)
+
+
+SILVER_TIMETABLE_SCHEMA = T.StructType([f for f in BRONZE_LIVE.fields if f.name != "Ingestion_Timestamp"])
