@@ -160,6 +160,9 @@ def partitions_for(df, target_bytes: int | None = None, floor: int | None = None
         est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # noqa: SLF001
     except Exception:  # noqa: BLE001 — no estimate: fall back to the floor
         est = 0
+    default = _bytes(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
+    if est >= min(default, 1 << 60):        # "unknown" (e.g. RDD-backed): no basis to scale up
+        est = 0
     return int(min(ceiling, max(floor, -(-est // max(1, target_bytes)))))
 
 
