@@ -199,3 +199,20 @@ def test_jobs_cli_live_and_stream(tmp_path, spark):
     assert live.count() == 8 and live.select("Ingestion_Date").distinct().count() == 2
     got = tables.read_table(spark, f"{b2}/bronze_live_timetable", BRONZE_LIVE).collect()
     assert {r["ServiceJourneyId"] for r in got} == {"B"} and len(got) == 2
+
+
+def test_jobs_cli_silver(tmp_path, spark):
+    from kollektiv import jobs, roles
+    from kollektiv.plans.models import read_silver_timetable
+    bronze = tmp_path / "bronze"
+    tables.overwrite_partitions(roles.live_bronze(roles.table(spark, "/root/testdata/sf0.001", "events")),
+                                str(bronze / "bronze_live_timetable"))
+    orig_stop = spark.stop
+    spark.stop = lambda: None
+    try:
+        assert jobs.main(["silver", "--bronze", str(bronze), "--silver", str(tmp_path / "silver")]) == 0
+        assert jobs.main(["silver", "--bronze", str(bronze), "--silver", str(tmp_path / "silver"),
+                          "--days", "2024-01-02,2024-01-03"]) == 0
+    finally:
+        spark.stop = orig_stop
+    assert read_silver_timetable(spark, str(tmp_path / "silver")).count() > 0
