@@ -216,3 +216,24 @@ def test_jobs_cli_silver(tmp_path, spark):
     finally:
         spark.stop = orig_stop
     assert read_silver_timetable(spark, str(tmp_path / "silver")).count() > 0
+
+
+def test_stream_skips_snapshot_with_malformed_file(tmp_path, spark):
+    from kollektiv.schemas import BRONZE_LIVE
+    from kollektiv.streaming import live as live_stream
+    snaps = tmp_path / "snaps"
+    good, broken = snaps / "snapshot=2025-10-27T120000", snaps / "snapshot=2025-10-27T180000"
+    good.mkdir(parents=True)
+    broken.mkdir()
+    (good / "a.xml").write_text(_siri_doc(2, 0, "G"))
+    (broken / "a.xml").write_text(_siri_doc(3, 0, "X"))
+    (broken / "b.xml").write_text("<Siri xmlns='http://www.siri.org.uk/siri'><ServiceDelivery>")   # cut short
+    report: list = []
+    q = live_stream.run_live_stream(spark, str(snaps), str(tmp_path / "bronze"), str(tmp_path / "ck"),
+                                    report=report)
+    q.awaitTermination()
+    assert q.exception() is None
+    verdicts = {r["snapshot"]: (r["passed"], r["rejected_files"]) for r in report}
+    assert verdicts == {"2025-10-27T120000": (True, 0), "2025-10-27T180000": (False, 1)}
+    got = tables.read_table(spark, str(tmp_path / "bronze"), BRONZE_LIVE).collect()
+    assert {r["ServiceJourneyId"] for r in got} == {"G"}
