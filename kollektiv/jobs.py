@@ -103,8 +103,11 @@ def main(argv: list[str] | None = None) -> int:
         elif args.job == "test":
             from kollektiv.operators.quality import run_column_tests
             from kollektiv.plans.models import build_models, read_bronze
-            results = [r.asDict() for r in run_column_tests(
-                build_models(*read_bronze(spark, args.bronze), zone=args.zone, materialize_silver=True)).collect()]
+            from kollektiv.session import staging_scope
+            with staging_scope(spark):               # staged silver and numbering go away afterwards
+                results = [r.asDict() for r in run_column_tests(
+                    build_models(*read_bronze(spark, args.bronze), zone=args.zone,
+                                 materialize_silver=True)).collect()]
             print(json.dumps(results))
             return 1 if any(r["status"] != "pass" for r in results) else 0
     except DataQualityError as e:

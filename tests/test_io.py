@@ -237,3 +237,28 @@ def test_stream_skips_snapshot_with_malformed_file(tmp_path, spark):
     assert verdicts == {"2025-10-27T120000": (True, 0), "2025-10-27T180000": (False, 1)}
     got = tables.read_table(spark, str(tmp_path / "bronze"), BRONZE_LIVE).collect()
     assert {r["ServiceJourneyId"] for r in got} == {"G"}
+
+
+def test_jobs_cli_declared_tests(tmp_path, spark, capsys):
+    import json
+
+    from kollektiv import jobs, roles
+    from kollektiv.schemas import BRONZE_NETEX
+    bronze = tmp_path / "bronze"
+    tables.overwrite_partitions(roles.live_bronze(roles.table(spark, "/root/testdata/sf0.001", "events")),
+                                str(bronze / "bronze_live_timetable"))
+    tables.append_bronze(roles.lines_bronze(roles.table(spark, "/root/testdata/sf0.001", "part")),
+                         str(bronze / "bronze_netex_lines"))
+    tables.append_bronze(spark.createDataFrame([], BRONZE_NETEX), str(bronze / "bronze_netex_quays"))
+    orig_stop = spark.stop
+    spark.stop = lambda: None
+    try:
+        code = jobs.main(["test", "--bronze", str(bronze)])
+    finally:
+        spark.stop = orig_stop
+    results = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 1 and len(results) == 17                 # known failures make the run fail
+    status = {(r["model"], r["column_name"], r["test"]): r["status"] for r in results}
+    assert status[("dim_line", "line_id", "unique")] == "fail"
+    assert status[("fact_movements", "event_id", "unique")] == "pass"
+    assert status[("silver_lines", "LineId", "not_null")] == "error"
