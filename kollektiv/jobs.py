@@ -49,6 +49,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--once", action="store_true", help="process what has landed, then stop")
     s.add_argument("--max-files", type=int, default=1000)
     s.add_argument("--native", action="store_true", help="parse with Spark's XML reader")
+    s.add_argument("--silver", help="also keep this silver timetable current, day by day")
     s = sub.add_parser("silver")
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)
@@ -86,7 +87,8 @@ def main(argv: list[str] | None = None) -> int:
             report: list = []
             q = run_live_stream(spark, args.landing, f"{args.bronze.rstrip('/')}/bronze_live_timetable",
                                 args.checkpoint, available_now=args.once, report=report,
-                                max_files_per_trigger=args.max_files, native=args.native)
+                                max_files_per_trigger=args.max_files, native=args.native,
+                                silver_path=args.silver)
             q.awaitTermination()
             print(json.dumps(report, default=str))
         elif args.job == "silver":

@@ -59,8 +59,9 @@ def read_bronze(spark: SparkSession, bronze_root: str) -> tuple[DataFrame, DataF
 SILVER_TIMETABLE_SCHEMA = None   # set below: bronze live schema without Ingestion_Timestamp
 
 
-def refresh_silver_timetable(spark: SparkSession, bronze_root: str, silver_path: str,
-                             days: list | None = None, zone: str | None = None) -> list:
+def refresh_silver_timetable(spark: SparkSession, bronze_root: str | None, silver_path: str,
+                             days: list | None = None, zone: str | None = None,
+                             live_path: str | None = None) -> list:
     """Maintain ``silver_timetable`` as a day-partitioned table, recomputing
     only ``days`` (all days when None).
 
@@ -68,9 +69,9 @@ def refresh_silver_timetable(spark: SparkSession, bronze_root: str, silver_path:
     on that day's bronze partition alone: the bronze read is pruned to the
     given days and the result replaces exactly those silver partitions.  A day
     whose recomputed silver is empty loses its old partition.  Returns the
-    days refreshed.
+    days refreshed.  ``live_path`` names the bronze live table directly.
     """
-    live = read_table(spark, f"{bronze_root.rstrip('/')}/bronze_live_timetable", BRONZE_LIVE)
+    live = read_table(spark, live_path or f"{bronze_root.rstrip('/')}/bronze_live_timetable", BRONZE_LIVE)
     if days is not None:
         live = live.filter(F.col(PARTITION_COLUMN).isin(list(days)))
     fresh = silver.silver_timetable(staging.stg_live_timetable(live), zone)

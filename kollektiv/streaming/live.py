@@ -13,7 +13,9 @@ Snapshots land as XML files under ``{landing}/snapshot=<yyyy-MM-ddTHHmmss>/``
 3. keeps, per ingestion day, the newest passing snapshot — and only when it is
    newer than what the table already holds for that day, so late or replayed
    files never roll a day back;
-4. overwrites exactly those day partitions (SNK-2).
+4. overwrites exactly those day partitions (SNK-2), and — with
+   ``silver_path`` — recomputes silver for exactly those days, so the daily
+   model run can read a current silver without de-duplicating the history.
 
 A replayed batch rewrites the same partitions with the same rows: the sink is
 idempotent.  Every choice is a DataFrame operation; the only driver-side data
@@ -49,8 +51,9 @@ def snapshot_clock(path: F.Column) -> dict[str, F.Column]:
 
 
 def select_snapshots(raw: DataFrame, existing: DataFrame | None,
-                     ceiling_pct: float = NULL_RATE_CEILING_PCT) -> tuple[DataFrame, DataFrame]:
-    """Raw extraction of one batch -> (rows to write, per-snapshot verdicts)."""
+                     ceiling_pct: float = NULL_RATE_CEILING_PCT, with_chosen: bool = False):
+    """Raw extraction of one batch -> (rows to write, per-snapshot verdicts
+    [, the chosen snapshots with their days])."""
     tagged = raw.withColumns(snapshot_clock(F.col("path")))
     calls = siri.to_bronze(siri.calls(tagged), keep=("snapshot",))
     per_file = tagged.groupBy("snapshot", "Ingestion_Timestamp", "Ingestion_Date").agg(
@@ -77,6 +80,8 @@ def select_snapshots(raw: DataFrame, existing: DataFrame | None,
     # one row per snapshot of this batch: bounded by maxFilesPerTrigger
     chosen = F.broadcast(newest.select("snapshot"))
     rows = calls.join(chosen, "snapshot", "left_semi").select(*LIVE_COLUMNS)
+    if with_chosen:
+        return rows, verdicts, newest.select("snapshot", PARTITION_COLUMN)
     return rows, verdicts
 
 
@@ -87,7 +92,8 @@ def snapshot_folders(batch: DataFrame) -> list[str]:
 
 
 def process_batch(batch: DataFrame, bronze_path: str, report: list | None = None,
-                  ceiling_pct: float = NULL_RATE_CEILING_PCT, native: bool = False) -> None:
+                  ceiling_pct: float = NULL_RATE_CEILING_PCT, native: bool = False,
+                  silver_path: str | None = None) -> None:
     """``foreachBatch`` body: stage, gate, choose, overwrite.
 
     A snapshot split over several files may straddle micro-batches, so every
@@ -102,19 +108,27 @@ def process_batch(batch: DataFrame, bronze_path: str, report: list | None = None
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xml")
              .option("recursiveFileLookup", "true").load(folders).select("path", "content"))
     with staging_scope(spark):
-        _process(spark, files, bronze_path, report, ceiling_pct, native)
+        written = _process(spark, files, bronze_path, report, ceiling_pct, native)
+    if silver_path and written:
+        # keep silver current: only the days this batch replaced are recomputed
+        from kollektiv.plans.models import refresh_silver_timetable
+        refresh_silver_timetable(spark, None, silver_path, written, live_path=bronze_path)
 
 
-def _process(spark, files, bronze_path, report, ceiling_pct, native) -> None:
+def _process(spark, files, bronze_path, report, ceiling_pct, native) -> list:
     raw = stage_table(siri.extract_native(files) if native else siri.extract(files), "siri_batch")
     days = [r[0] for r in raw.select(snapshot_clock(F.col("path"))["Ingestion_Date"]).distinct().collect()]
     existing = _existing(spark, bronze_path, days)
-    rows, verdicts = select_snapshots(raw, existing, ceiling_pct)
+    rows, verdicts, chosen = select_snapshots(raw, existing, ceiling_pct, with_chosen=True)
     verdict_rows = verdicts.collect()            # one small row per snapshot
     if report is not None:
         report.extend(r.asDict() for r in verdict_rows)
-    if any(r["passed"] for r in verdict_rows):
+    if not any(r["passed"] for r in verdict_rows):
+        return []
+    days = [r[0] for r in chosen.select(PARTITION_COLUMN).distinct().collect()]   # one row per day
+    if days:
         overwrite_partitions(rows, bronze_path, sort_key=list(BRONZE_LIVE_KEY))
+    return days
 
 
 def _existing(spark: SparkSession, bronze_path: str, days: list) -> DataFrame | None:
@@ -140,11 +154,13 @@ def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: in
 
 def run_live_stream(spark: SparkSession, landing: str, bronze_path: str, checkpoint_location: str,
                     available_now: bool = True, processing_time: str = "1 minute",
-                    report: list | None = None, max_files_per_trigger: int = 1000, native: bool = False):
+                    report: list | None = None, max_files_per_trigger: int = 1000, native: bool = False,
+                    silver_path: str | None = None):
     """Start STR-1.  ``available_now`` processes what has landed and stops
     (backfills, tests); otherwise a trigger every ``processing_time``."""
     writer = (snapshot_stream(spark, landing, max_files_per_trigger).writeStream
-              .foreachBatch(lambda df, _epoch: process_batch(df, bronze_path, report, native=native))
+              .foreachBatch(lambda df, _epoch: process_batch(df, bronze_path, report, native=native,
+                                                             silver_path=silver_path))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

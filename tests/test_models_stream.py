@@ -97,3 +97,20 @@ def test_stream_equals_one_by_one_batch_loads(spark, tmp_path):
     a = tables.read_table(spark, str(tmp_path / "streamed"), BRONZE_LIVE)
     b = tables.read_table(spark, one_by_one, BRONZE_LIVE)
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stream_keeps_silver_current(spark, tmp_path):
+    from kollektiv.plans import models
+    events = roles.table(spark, SMOKE, "events").filter(F.dayofmonth("ts") <= 6)
+    landing = tmp_path / "landing"
+    archive.write_files(feeds.siri_snapshots(events), str(landing)).count()
+    bronze, silver_path = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    q = live_stream.run_live_stream(spark, str(landing), bronze, str(tmp_path / "ck"), max_files_per_trigger=4,
+                                    silver_path=silver_path)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = models.read_silver_timetable(spark, silver_path)
+    from kollektiv.plans import silver as silver_models
+    from kollektiv.plans import staging
+    want = silver_models.silver_timetable(staging.stg_live_timetable(tables.read_table(spark, bronze, BRONZE_LIVE)))
+    assert got.count() > 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
