@@ -43,3 +43,48 @@ def test_incremental_walk_equals_tree_walk(body, details, monkeypatch):
     incremental = netex.walk_document(content, details)
     monkeypatch.setattr(netex, "WHOLE_TREE_MAX_BYTES", 1 << 30)
     assert incremental == netex.walk_document(content, details) == tree_walk(content, details)
+
+
+SIRI_CHILDREN = ["LineRef", "RouteRef", "DirectionRef", "VehicleMode", "ArrivalStatus", "FramedVehicleJourneyRef",
+                 "RecordedCalls", "EstimatedCalls", "Other"]
+CALL_CHILDREN = ["StopPointRef", "AimedArrivalTime", "ActualArrivalTime", "AimedDepartureTime", "X"]
+
+
+@st.composite
+def siri_journeys(draw, depth=0):
+    parts = []
+    for tag in draw(st.lists(st.sampled_from(SIRI_CHILDREN), max_size=6)):
+        if tag == "FramedVehicleJourneyRef":
+            parts.append("<FramedVehicleJourneyRef><DataFrameRef>2025-10-27</DataFrameRef>"
+                         f"<DatedVehicleJourneyRef>{draw(st.sampled_from(['J1', 'J2', '']))}</DatedVehicleJourneyRef>"
+                         "</FramedVehicleJourneyRef>")
+        elif tag in ("RecordedCalls", "EstimatedCalls"):
+            calls = []
+            for _ in range(draw(st.integers(0, 3))):
+                kids = "".join(f"<{c}>{draw(st.sampled_from(['v', '2025-10-27T10:00:00Z', '']))}</{c}>"
+                               for c in draw(st.lists(st.sampled_from(CALL_CHILDREN), max_size=4)))
+                call = draw(st.sampled_from(["RecordedCall", "EstimatedCall", "Call"]))   # any tag counts
+                calls.append(f"<{call}>{kids}</{call}>")
+            parts.append(f"<{tag}>{''.join(calls)}</{tag}>")
+        elif tag in ("LineRef", "RouteRef"):
+            text = draw(st.sampled_from(["", "L1"]))
+            ref = draw(st.sampled_from(["", ' ref="R1"']))
+            parts.append(f"<{tag}{ref}>{text}</{tag}>")
+        else:
+            parts.append(f"<{tag}>{draw(st.sampled_from(['a', '']))}</{tag}>")
+    if depth < 2 and draw(st.booleans()):
+        parts.append(draw(siri_journeys(depth=depth + 1)))                 # a journey nested in a journey
+    return f"<EstimatedVehicleJourney>{''.join(parts)}</EstimatedVehicleJourney>"
+
+
+@settings(max_examples=150, deadline=None, suppress_health_check=list(HealthCheck))
+@given(journeys=st.lists(siri_journeys(), max_size=4))
+def test_siri_incremental_walk_equals_whole_tree(journeys, monkeypatch):
+    from kollektiv.sources import siri
+    doc = ('<Siri xmlns="http://www.siri.org.uk/siri"><ServiceDelivery><EstimatedTimetableDelivery>'
+           f'<EstimatedJourneyVersionFrame>{"".join(journeys)}</EstimatedJourneyVersionFrame>'
+           '</EstimatedTimetableDelivery></ServiceDelivery></Siri>').encode()
+    monkeypatch.setattr(siri, "WHOLE_TREE_MAX_BYTES", 1 << 30)
+    whole = siri.walk_document(doc)
+    monkeypatch.setattr(siri, "WHOLE_TREE_MAX_BYTES", -1)
+    assert siri.walk_document(doc) == whole
