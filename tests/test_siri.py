@@ -104,3 +104,53 @@ def test_incremental_and_whole_tree_walks_agree(monkeypatch):
     whole = siri.walk_document(content)
     monkeypatch.setattr(siri, "WHOLE_TREE_MAX_BYTES", -1)
     assert siri.walk_document(content) == whole and len(whole) == 4
+
+
+def test_native_matches_python_on_random_standard_documents(spark):
+    """Random SIRI documents of the standard shape (journeys at the standard
+    path, RecordedCall children, no repeated fields): both parsers agree."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    journey_fields = ["LineRef", "RouteRef", "DirectionRef", "VehicleMode", "ArrivalStatus", "Cancellation"]
+    call_fields = ["StopPointRef", "AimedArrivalTime", "ActualArrivalTime", "AimedDepartureTime"]
+
+    @st.composite
+    def journey(draw):
+        parts = []
+        for tag in draw(st.lists(st.sampled_from(journey_fields), unique=True)):
+            if tag in ("LineRef", "RouteRef") and draw(st.booleans()):
+                parts.append(f'<{tag} ref="R{draw(st.integers(0, 3))}"/>')
+            else:
+                parts.append(f"<{tag}>{draw(st.sampled_from(['a', 'b1', '']))}</{tag}>")
+        if draw(st.booleans()):
+            parts.append("<FramedVehicleJourneyRef><DataFrameRef>"
+                         f"{draw(st.sampled_from(['2025-10-27', 'x']))}</DataFrameRef>"
+                         f"<DatedVehicleJourneyRef>J{draw(st.integers(0, 9))}</DatedVehicleJourneyRef>"
+                         "</FramedVehicleJourneyRef>")
+        for _ in range(draw(st.integers(0, 2))):
+            calls = "".join(
+                "<RecordedCall>" + "".join(
+                    f"<{c}>{draw(st.sampled_from(['Q1', '2025-10-27T10:00:00+01:00', 'junk']))}</{c}>"
+                    for c in draw(st.lists(st.sampled_from(call_fields), unique=True))) + "</RecordedCall>"
+                for _ in range(draw(st.integers(0, 3))))
+            parts.append(f"<RecordedCalls>{calls}</RecordedCalls>")
+        return f"<EstimatedVehicleJourney>{''.join(parts)}</EstimatedVehicleJourney>"
+
+    docs_seen = []
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(journey(), min_size=1, max_size=4))
+    def check(journeys):
+        doc = ("<Siri xmlns='http://www.siri.org.uk/siri'><ServiceDelivery><EstimatedTimetableDelivery>"
+               f"<EstimatedJourneyVersionFrame>{''.join(journeys)}</EstimatedJourneyVersionFrame>"
+               "</EstimatedTimetableDelivery></ServiceDelivery></Siri>")
+        docs = docs_frame(spark, [("r.xml", doc)])
+        py = sorted((tuple(r) for r in siri.to_bronze(siri.calls(siri.extract(docs)), RUN, DAY).collect()), key=repr)
+        nat = sorted((tuple(r) for r in siri.to_bronze(siri.calls(siri.extract_native(docs)), RUN, DAY).collect()),
+                     key=repr)
+        assert py == nat
+        docs_seen.append(len(py))
+
+    check()
+    assert docs_seen and max(docs_seen) > 0
