@@ -7,8 +7,10 @@
     python -m kollektiv.jobs models  --bronze B --gold G [--silver S] [--zone Z] [--threads N]
     python -m kollektiv.jobs test    --bronze B
 
-The run clock is an argument (SCL-12); by default the UTC time of the launch
-and its date.  Paths may be any Hadoop file system URI the cluster can reach.
+``live`` loads one snapshot: every XML file under ``--landing`` belongs to it
+(point it at the run's own folder).  ``stream`` instead watches a landing folder
+of ``snapshot=<yyyy-MM-ddTHHmmss>/`` folders.  The run clock is an argument
+(SCL-12); by default the UTC time of the launch and its date.  Paths may be any Hadoop file system URI the cluster can reach.
 Exit status 1 means a gate or a declared test failed.
 """
 
@@ -31,8 +33,10 @@ def _clock(args) -> tuple[_dt.datetime, _dt.date]:
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="kollektiv.jobs")
     sub = p.add_subparsers(dest="job", required=True)
+    helps = {"static": "NeTEx ZIP archives under --landing -> seven bronze tables",
+             "live": "one SIRI snapshot (all XML files under --landing) -> its day in bronze"}
     for name in ("static", "live"):
-        s = sub.add_parser(name)
+        s = sub.add_parser(name, help=helps[name])
         s.add_argument("--landing", required=True)
         s.add_argument("--bronze", required=True)
         s.add_argument("--date")
@@ -42,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
         if name == "static":
             s.add_argument("--stop-ids", choices=("hash", "position"), default="hash")
             s.add_argument("--quay-details", action="store_true")
-    s = sub.add_parser("stream")
+    s = sub.add_parser("stream", help="watch snapshot=<ts>/ folders; newest passing snapshot per day")
     s.add_argument("--landing", required=True)
     s.add_argument("--bronze", required=True)
     s.add_argument("--checkpoint", required=True)
@@ -50,19 +54,19 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--max-files", type=int, default=1000)
     s.add_argument("--native", action="store_true", help="parse with Spark's XML reader")
     s.add_argument("--silver", help="also keep this silver timetable current, day by day")
-    s = sub.add_parser("silver")
+    s = sub.add_parser("silver", help="recompute the silver timetable for given days (default all)")
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)
     s.add_argument("--days", help="comma-separated ingestion days to recompute (default: all)")
     s.add_argument("--zone")
-    s = sub.add_parser("models")
+    s = sub.add_parser("models", help="publish the nine models (views) and rebuild the gold tables")
     s.add_argument("--bronze", required=True)
     s.add_argument("--gold", required=True)
     s.add_argument("--zone")
     s.add_argument("--threads", type=int, default=4)
     s.add_argument("--latest-lines-only", action="store_true", help="one dim_line row per line")
     s.add_argument("--silver", help="read the silver timetable maintained by the silver job")
-    s = sub.add_parser("test")
+    s = sub.add_parser("test", help="run the 17 declared column tests; exit 1 on any failure")
     s.add_argument("--bronze", required=True)
     s.add_argument("--zone")
     args = p.parse_args(argv)
