@@ -117,3 +117,28 @@ def test_model_run_from_maintained_silver_equals_full_run(spark, tmp_path):
         x, y = tables.read_table(spark, a[name]), tables.read_table(spark, b[name])
         assert x.count() > 0 or name == "dim_quay"
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name
+
+
+def test_partitions_for_scales_with_data_and_ignores_unknown_sizes(spark):
+    from kollektiv.session import partitions_for
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rdd_backed = spark.createDataFrame(spark.sparkContext.parallelize([(1,), (2,)]), "x int")
+    assert partitions_for(rdd_backed) == floor                       # unknown estimate: no scaling
+    li = roles.table(spark, SMOKE, "lineitem")
+    assert partitions_for(li, target_bytes=1024) > floor               # known estimate: grows with size
+    assert partitions_for(li, target_bytes=1024, ceiling=7) == 7
+
+
+def test_ship_package_once_per_application(spark):
+    import zipfile
+
+    from kollektiv import session
+    session.ship_package(spark)
+    shipped = set(session._SHIPPED)                                     # noqa: SLF001
+    session.ship_package(spark)
+    assert session._SHIPPED == shipped and spark.sparkContext.applicationId in shipped  # noqa: SLF001
+    from pyspark import SparkFiles
+    import os
+    root = SparkFiles.getRootDirectory()
+    zips = [os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f == "kollektiv.zip"]
+    assert zips and "kollektiv/sources/netex.py" in zipfile.ZipFile(zips[0]).namelist()
