@@ -262,3 +262,15 @@ def test_jobs_cli_declared_tests(tmp_path, spark, capsys):
     assert status[("dim_line", "line_id", "unique")] == "fail"
     assert status[("fact_movements", "event_id", "unique")] == "pass"
     assert status[("silver_lines", "LineId", "not_null")] == "error"
+
+
+def test_staged_records_are_read_by_type_folder(spark, tmp_path):
+    from kollektiv.session import staging_scope
+    land = _landing(tmp_path)
+    members = archive.zip_members(archive.archive_paths(spark, str(land)), num_partitions=2)
+    with staging_scope(spark):
+        tagged = static_ingest.stage_records(members)
+        lines = netex.records(tagged, "line")
+        plan = lines._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+        assert "PartitionFilters: [isnotnull(record_type" in plan and "= line)" in plan
+        assert sorted(r["id"] for r in lines.collect()) == ["L1", "L2", "L9"]
