@@ -10,6 +10,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
 
+from kollektiv.oracles import ORACLES  # noqa: E402
+from kollektiv.registry import QUERIES  # noqa: E402
+
 SMOKE = "/root/testdata/sf0.001"
 
 
@@ -20,7 +23,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +36,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SMOKE)
     rows = [tuple(r) for r in df.collect()]
