@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kollektiv.llm import exact_dedup, mixing, warc
-from kollektiv.llm.common import prepare, table
+from kollektiv.llm import exact_dedup, mixing, token_files, toxicity, warc
+from kollektiv.llm.common import prepare, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,22 @@ FROM d""")
 def op9(spark, sf_dir):
     prepare(spark)
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op3_token_files")
+def op3(spark, sf_dir):
+    prepare(spark)
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, _tokenizer())
+    return token_files.layout(token_files.checksums(spark, path))
+
+
+@register("op4_toxicity")
+def op4(spark, sf_dir):
+    prepare(spark)
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -62,10 +62,11 @@ class Words:
     """The words of some texts: ``start``/``end`` (byte positions in ``data``),
     ``off`` (first word of each text, and the total), ``hash``."""
 
-    def __init__(self, column: pa.Array, lower: bool = False, hashed: bool = True):
+    def __init__(self, column: pa.Array, lower: bool = False, hashed: bool = True,
+                 word_bytes: np.ndarray = _IS_WORD):
         self.data, self.text_off = text_bytes(column)
         n = len(self.data)
-        word = _IS_WORD[self.data]
+        word = word_bytes[self.data]
         edge = np.zeros(n + 1, bool)
         edge[self.text_off] = True
         before = np.zeros(n, bool)
