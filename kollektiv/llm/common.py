@@ -8,9 +8,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kollektiv.session import ensure_checkpoint_dir, scratch_path, ship_package, stage_table
+from kollektiv import session
+from kollektiv.operators.ids import dense_row_number
+from kollektiv.session import ensure_checkpoint_dir, scratch_path, ship_package
 
-__all__ = ["WORD", "arrow_map", "ascii_lower", "byte_slices", "prepare", "scratch_path", "shuffle_parts",
+__all__ = ["WORD", "arrow_map", "ascii_lower", "byte_slices", "keyed", "prepare", "scratch_path", "shards",
            "stage_table", "table"]
 
 #: A word: a run of anything but space, tab, line feed, VT, form feed, CR.
@@ -31,8 +33,57 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
-def shuffle_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back.  The
+    shuffle files of the write go when it is done, so an operator of several
+    staged steps never holds more than one step's on disk."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        return session.stage_table(df, name)
+    finally:
+        conf.set(_CLEANUP, before)
+
+
+def shards(spark: SparkSession, n_bytes: int, each: int = 16 << 20) -> int:
+    """Groups of about ``each`` bytes for ``n_bytes`` of data, at least one per
+    shuffle partition."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // each))
+
+
+#: Ids and word positions that fit one 63-bit number together.
+KEY_BITS, POSITION_BITS = 36, 27
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(key, text) with a unique key below 2**36 that orders rows by id (nulls
+    last), then by text; and (key, doc_id, copies) to get back to the rows.
+
+    Ids that are unique and small enough, as they mostly are, serve as keys.
+    Otherwise the distinct (id, text) rows are numbered: rows alike in both are
+    one document, whose result holds for each of them.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    ids = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.max("n").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
+        F.max(F.col("doc_id").isNull()).alias("none")).first()
+    if not ids.n or (ids.n == 1 and not ids.none and ids.low >= 0 and ids.high < 1 << KEY_BITS):
+        return (rows.select(F.col("doc_id").alias("key"), "text"),
+                rows.select(F.col("doc_id").alias("key"), "doc_id", F.lit(1).alias("copies")))
+    alike = rows.groupBy("doc_id", F.sha2("text", 256).alias("digest")).agg(
+        F.first("text").alias("text"), F.count(F.lit(1)).cast("int").alias("copies"))
+    numbered = stage_table(dense_row_number(alike, [F.col("doc_id").asc_nulls_last(), F.col("digest").asc()], "key"), "keyed")
+    return numbered.select("key", "text"), numbered.select("key", "doc_id", "copies")
+
+
+def per_row(result: DataFrame, rows: DataFrame) -> DataFrame:
+    """``result`` by key, back to one row per input row with its doc_id."""
+    return (rows.join(result, "key").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .drop("key", "copies"))
 
 
 def ascii_lower(col):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kollektiv.llm import exact_dedup, mixing, token_files, toxicity, warc
+from kollektiv.llm import exact_dedup, mixing, phrase_dedup, token_files, toxicity, warc
 from kollektiv.llm.common import prepare, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,9 @@ def op3(spark, sf_dir):
 def op4(spark, sf_dir):
     prepare(spark)
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op10_phrase_dedup")
+def op10(spark, sf_dir):
+    prepare(spark)
+    return phrase_dedup.phrase_dedup(table(spark, sf_dir, "documents"))
