@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kollektiv.llm import exact_dedup, mixing, phrase_dedup, token_files, toxicity, warc
+from kollektiv.llm import exact_dedup, mixing, phrase_dedup, prefix_join, token_files, toxicity, warc
 from kollektiv.llm.common import prepare, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,21 @@ def op4(spark, sf_dir):
 def op10(spark, sf_dir):
     prepare(spark)
     return phrase_dedup.phrase_dedup(table(spark, sf_dir, "documents"))
+
+
+@register("op5_jaccard_join", rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM w),
+rows AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb
+           FROM rows a JOIN rows b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common WHERE 100 * c >= 85 * (na + nb - c)),
+reach AS (SELECT doc_id AS a, doc_id AS r FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.r = links.a)
+SELECT s.doc_id, len(s)::BIGINT AS n_shingles, min(r) AS component_id
+FROM sets s JOIN reach ON s.doc_id = reach.a GROUP BY s.doc_id, s.s""")
+def op5(spark, sf_dir):
+    prepare(spark)
+    return prefix_join.jaccard_components(table(spark, sf_dir, "documents"))

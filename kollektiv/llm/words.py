@@ -150,14 +150,12 @@ def text_grams(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([full, extra])[order], owner[order]
 
 
-def text_sets(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-gram hashes of each text, ascending within the text:
-    (hashes, offsets by text)."""
+def text_sets(w: Words, n: int) -> list[np.ndarray]:
+    """The distinct n-gram hashes of each text, ascending."""
     g, owner = text_grams(w, n)
-    order = np.lexsort((g, owner))
-    g, owner = g[order], owner[order]
-    if len(g):
-        keep = np.ones(len(g), bool)
-        keep[1:] = (g[1:] != g[:-1]) | (owner[1:] != owner[:-1])
-        g, owner = g[keep], owner[keep]
-    return g, np.searchsorted(owner, np.arange(len(w.off)))
+    off = np.searchsorted(owner, np.arange(len(w.off)))
+    out = []
+    for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+        x = np.sort(g[a:b])
+        out.append(x[np.concatenate([[True], x[1:] != x[:-1]])] if b > a else x)
+    return out
