@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kollektiv.llm import exact_dedup, mixing, phrase_dedup, prefix_join, token_files, toxicity, warc
+from kollektiv.llm import decontaminate, exact_dedup, mixing, phrase_dedup, prefix_join, quality, token_files, toxicity, warc
 from kollektiv.llm.common import prepare, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,25 @@ FROM sets s JOIN reach ON s.doc_id = reach.a GROUP BY s.doc_id, s.s""")
 def op5(spark, sf_dir):
     prepare(spark)
     return prefix_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register("op6_quality")
+def op6(spark, sf_dir):
+    prepare(spark)
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op7_benchmark_leaks", rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM documents),
+d AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+      FROM w WHERE len(w) >= 5),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM benchmark),
+i AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+      FROM b WHERE len(w) >= 5),
+n AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id)
+SELECT doc_id, i.item_id, n_shingles, count(*) AS n_common, count(*) / n_shingles::DOUBLE AS containment
+FROM d JOIN i ON d.g = i.g JOIN n ON i.item_id = n.item_id
+GROUP BY doc_id, i.item_id, n_shingles HAVING 100 * count(*) >= 80 * n_shingles""")
+def op7(spark, sf_dir):
+    prepare(spark)
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
