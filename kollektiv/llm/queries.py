@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kollektiv.llm import decontaminate, exact_dedup, mixing, phrase_dedup, prefix_join, quality, token_files, toxicity, warc
+from kollektiv.llm import decontaminate, exact_dedup, licenses, mixing, phrase_dedup, prefix_join, quality, token_files, toxicity, warc
 from kollektiv.llm.common import prepare, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,15 @@ GROUP BY doc_id, i.item_id, n_shingles HAVING 100 * count(*) >= 80 * n_shingles"
 def op7(spark, sf_dir):
     prepare(spark)
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op8_license_scan")
+def op8(spark, sf_dir):
+    prepare(spark)
+    return licenses.licenses(table(spark, sf_dir, "documents"))
+
+
+@register("pipeline")
+def pipeline(spark, sf_dir):
+    from corpus_pipeline import run
+    return run(spark, sf_dir)
