@@ -72,31 +72,16 @@ def netex_tagged_schema(record_types=tuple(NETEX_RECORDS), quay_details: bool =
     type), so the stream stays narrow whatever the mix of types."""
     k = max(len(netex_fields(t, quay_details)) for t in record_types)
     return T.StructType(
-        [T.StructField("path", S, True), T.StructField("member", S, True),
+        [T.StructField("path", S, True), T.StructField("member", S, True), T.StructField("ordinal", L, True),
          T.StructField("record_type", S, False), T.StructField("seq", L, True),
          T.StructField("error", S, True)]
         + _strings(*[f"v{i}" for i in range(k)]))
 
 
-NETEX_TAGGED = netex_tagged_schema()
-
-
 def netex_record_schema(record_type: str) -> T.StructType:
     return T.StructType(_strings(*NETEX_RECORDS[record_type][2]))
 
 
-# --- SIRI recorded calls (SRC-10): raw text as found in the document --------
-SIRI_RAW_FIELDS = (
-    "Date", "ServiceJourneyId", "LineId", "RouteId", "DirectionRef", "VehicleMode",
-    "ArrivalStatus", "DepartureStatus", "Cancellation", "DepartureBoardingActivity",
-    "QuayId", "StopPointId", "AimedArrivalTime", "ActualArrivalTime",
-    "AimedDepartureTime", "ActualDepartureTime",
-)
-SIRI_RAW = T.StructType(
-    [T.StructField("path", S, True), T.StructField("seq", L, True), T.StructField("error", S, True)]
-    + _strings(*SIRI_RAW_FIELDS)
-)
-
 # --- Bronze -----------------------------------------------------------------
 BRONZE_NETEX = T.StructType([
     T.StructField("dataset", S, False),

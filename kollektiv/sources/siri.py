@@ -1,8 +1,8 @@
 """SIRI estimated-timetable extraction (SRC-2, SRC-10) and typing to the
 bronze live schema (SCL-6..8, SCL-10).
 
-Extraction (Python, per document inside ``mapInPandas``) only copies texts
-out of the tree; every conversion — first non-empty of text and ``@ref``,
+Extraction reads each document as an event stream (``sources.events``) and
+only copies texts; every conversion — first non-empty of text and ``@ref``,
 dates, ISO timestamps, null-to-empty — runs afterwards as JVM expressions.
 Element names must carry the exact SIRI namespace (SRC-11).
 """
@@ -11,10 +11,9 @@ from __future__ import annotations
 
 import datetime as _dt
 import io
-import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,13 +23,10 @@ from kollektiv.functions.scalars import (
 )
 from kollektiv.schemas import BRONZE_LIVE, LIVE_COLUMNS, LIVE_STRING_COLUMNS, LIVE_TIME_COLUMNS
 from kollektiv.session import ship_package
-
-# Documents up to this size are parsed whole; larger ones incrementally.
-WHOLE_TREE_MAX_BYTES = 4 * 1024 * 1024
+from kollektiv.sources import events
 
 # Fixed value that must equal the reference's: the SIRI namespace.
 SIRI_NS = "http://www.siri.org.uk/siri"
-_N = "{" + SIRI_NS + "}"
 
 JOURNEY_TEXT = ("DirectionRef", "VehicleMode", "ArrivalStatus", "DepartureStatus", "Cancellation",
                 "DepartureBoardingActivity")
@@ -45,94 +41,91 @@ RAW_SCHEMA = T.StructType(
 _RAW_COLUMNS = RAW_SCHEMA.fieldNames()
 
 
-# Journey rules (direct children of a journey, exact SIRI names):
-#   "text"       the child's text into the field of the same name
-#   "text+ref"   its text and its @ref, kept apart (SCL-10 picks one later)
-#   "frame"      the two identifiers inside FramedVehicleJourneyRef
-JOURNEY_RULES = {_N + t: "text" for t in JOURNEY_TEXT}
-JOURNEY_RULES.update({_N + "LineRef": "text+ref", _N + "RouteRef": "text+ref",
-                      _N + "FramedVehicleJourneyRef": "frame"})
-FRAME_FIELDS = {_N + "DataFrameRef": "DataFrameRef", _N + "DatedVehicleJourneyRef": "DatedVehicleJourneyRef"}
-# Call fields: direct children of each call, exact SIRI names -> raw field.
-CALL_FIELDS = {_N + "StopPointRef": "StopPointRef", **{_N + t: t for t in CALL_TIMES}}
+class _Journey:
+    """An ``EstimatedVehicleJourney``: its fields come from direct children, and
+    every child of each ``RecordedCalls``, whatever its name, is a call.  A call
+    gets the journey's fields when the journey closes, wherever they stood."""
+
+    def __init__(self):
+        self.fields, self.calls, self.area = {}, [], None
+
+    def start(self, level, name, attrs):
+        if level == 1:
+            self.area = name
+            if name in JOURNEY_TEXT:
+                return self.fields, name
+            if name in ("LineRef", "RouteRef"):          # SCL-10 picks one later
+                self.fields[f"{name}_ref"] = attrs.get("ref")
+                return self.fields, f"{name}_text"
+        elif self.area == "FramedVehicleJourneyRef" and level == 2 and name in ("DataFrameRef", "DatedVehicleJourneyRef"):
+            return self.fields, name
+        elif self.area == "RecordedCalls" and level == 2:
+            self.calls.append({})
+        elif self.area == "RecordedCalls" and level == 3 and (name == "StopPointRef" or name in CALL_TIMES):
+            return self.calls[-1], name
+        return None
+
+    def end(self, level):
+        pass
 
+    def close(self):
+        return [("call", self.fields | c) for c in self.calls]
 
-def _journey_fields(ej) -> dict:
-    j: dict = {}
-    for c in ej:
-        rule = JOURNEY_RULES.get(c.tag)
-        name = c.tag[len(_N):] if rule else None
-        if rule == "text":
-            j[name] = c.text
-        elif rule == "text+ref":
-            j[name + "_text"], j[name + "_ref"] = c.text, c.get("ref")
-        elif rule == "frame":
-            j.update({FRAME_FIELDS[c2.tag]: c2.text for c2 in c if c2.tag in FRAME_FIELDS})
-    return j
 
+def _siri_name(tag: str) -> str:
+    """The local name of a SIRI element; other elements keep their namespace
+    (and ``}`` without one), so they equal no SIRI name."""
+    return tag[len(SIRI_NS) + 1:] if tag.startswith(SIRI_NS + "}") else tag if "}" in tag else "}" + tag
 
-def _journey(ej) -> list[dict]:
-    """One row per child of each direct RecordedCalls, journey fields copied in."""
-    j = _journey_fields(ej)
-    return [{**j, **{CALL_FIELDS[p.tag]: p.text for p in call if p.tag in CALL_FIELDS}}
-            for calls in ej.findall(_N + "RecordedCalls") for call in calls]
+
+def _open(name: str, _attrs: dict) -> _Journey | None:
+    return _Journey() if name == "EstimatedVehicleJourney" else None
 
 
 def walk_document(content) -> list[dict]:
-    """One row per child of each direct ``RecordedCalls`` of every
-    ``EstimatedVehicleJourney`` (any depth).  Journey fields come from the
-    journey's direct children only; EstimatedCalls are ignored.  Small
-    documents are parsed whole; larger ones incrementally (a journey is handled
-    when it closes, then cleared)."""
-    if isinstance(content, str):
-        content = content.encode("utf-8")
-    journey = _N + "EstimatedVehicleJourney"
-    if content is not None and len(content) <= WHOLE_TREE_MAX_BYTES:
-        return [row for ej in ET.fromstring(content).iter(journey) for row in _journey(ej)]
-    opened: dict = {}
-    depth = 0
-    found: list[tuple[int, list]] = []
-    for event, el in ET.iterparse(io.BytesIO(content), events=("start", "end")):
-        if el.tag != journey:
-            continue
-        if event == "start":
-            opened[el] = len(opened) + len(found)
-            depth += 1
-            continue
-        depth -= 1
-        found.append((opened.pop(el), _journey(el)))
-        if depth == 0:
-            el.clear()
-    found.sort(key=lambda x: x[0])
-    return [row for _, rows in found for row in rows]
+    """All recorded calls of a document in memory.  Raises on malformed input."""
+    raw = content.encode("utf-8") if isinstance(content, str) else content
+    events.check(io.BytesIO(raw))
+    return [call for _, call in events.read(io.BytesIO(raw), _siri_name, _open)]
 
 
 _FLUSH_ROWS = 20_000
 
 
-def _siri_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    out: list[dict] = []
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
+def _siri_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    columns: list[list] = [[] for _ in _RAW_COLUMNS]
+    types = [pa.int64() if c == "seq" else pa.string() for c in _RAW_COLUMNS]
+
+    def add(path, seq, error, call) -> None:
+        for column, value in zip(columns, (path, seq, error, *map(call.get, RAW_FIELDS)), strict=True):
+            column.append(value)
+
+    def take() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], _RAW_COLUMNS)
+        for c in columns:
+            c.clear()
+        return out
+    for b in batches:
+        for path, content in zip(b["path"], b["content"], strict=True):
+            path, raw = path.as_py(), content.as_py() or b""
             try:
-                calls = walk_document(content)
-            except Exception as e:  # noqa: BLE001 — reported as a reject row
-                out.append({"path": path, "error": f"{type(e).__name__}: {e}"[:1000]})
+                events.check(io.BytesIO(raw))
+            except events.MALFORMED as e:
+                add(path, None, f"{type(e).__name__}: {e}", {})
                 continue
-            out.extend({"path": path, "seq": i, **r} for i, r in enumerate(calls))
-            if len(out) >= _FLUSH_ROWS:            # bounded output frames
-                yield pd.DataFrame(out, columns=_RAW_COLUMNS, dtype=object)
-                out = []
-    if out:
-        yield pd.DataFrame(out, columns=_RAW_COLUMNS, dtype=object)
+            for seq, (_, call) in enumerate(events.read(io.BytesIO(raw), _siri_name, _open)):
+                add(path, seq, None, call)
+                if len(columns[0]) >= _FLUSH_ROWS:
+                    yield take()
+    yield take()
 
 
 def extract(docs: DataFrame, content: str = "content", path: str = "path") -> DataFrame:
     """Documents -> raw recorded calls (``RAW_SCHEMA``); a malformed document
     gives one row with ``error`` set and no calls."""
-    src = docs.select(F.col(path).cast("string").alias("path"), F.col(content).alias("content"))
+    src = docs.select(F.col(path).cast("string").alias("path"), F.col(content).cast("binary").alias("content"))
     ship_package(docs.sparkSession)
-    return src.mapInPandas(_siri_batches, RAW_SCHEMA)
+    return src.mapInArrow(_siri_batches, RAW_SCHEMA)
 
 
 _REF = "struct<_VALUE:string,_ref:string>"
@@ -142,33 +135,41 @@ _JOURNEY = (f"struct<LineRef:{_REF},RouteRef:{_REF},DirectionRef:string,VehicleM
             "ArrivalStatus:string,DepartureStatus:string,Cancellation:string,DepartureBoardingActivity:string,"
             "FramedVehicleJourneyRef:struct<DataFrameRef:string,DatedVehicleJourneyRef:string>,"
             f"RecordedCalls:array<struct<RecordedCall:array<{_CALL}>>>>")
-# the corrupt-record column must come last: placed earlier, nested elements parse as null
-NATIVE_SCHEMA = ("struct<_xmlns:string,ServiceDelivery:struct<EstimatedTimetableDelivery:struct<"
-                 f"EstimatedJourneyVersionFrame:struct<EstimatedVehicleJourney:array<{_JOURNEY}>>>>,"
+# the corrupt-record column must come last: placed earlier, nested elements parse as null;
+# every level may be repeated
+NATIVE_SCHEMA = ("struct<_xmlns:string,ServiceDelivery:array<struct<EstimatedTimetableDelivery:array<struct<"
+                 f"EstimatedJourneyVersionFrame:array<struct<EstimatedVehicleJourney:array<{_JOURNEY}>>>>>>>,"
                  "corruptRecord:string>")
 
 
 def extract_native(docs: DataFrame, content: str = "content", path: str = "path") -> DataFrame:
     """JVM-side alternative to ``extract``: Spark's XML parser (``from_xml``)
-    on each document, then ``posexplode`` journeys and calls — no Python.
-
-    Same output schema as ``extract``.  Narrower than the Python walk, by
-    design of a fixed schema: journeys are read at the standard SIRI path
-    (``ServiceDelivery/EstimatedTimetableDelivery/EstimatedJourneyVersionFrame``)
-    only, calls must be ``RecordedCall`` elements, and the SIRI namespace must
-    be the document's default namespace (other namespaces yield no rows).  A
-    document that does not parse becomes a reject row.
+    on each document, then its arrays flattened and exploded — no Python.
+
+    Same output schema as ``extract``.  Narrower, by design of a fixed schema:
+    journeys are read at the standard SIRI path
+    (``ServiceDelivery/EstimatedTimetableDelivery/EstimatedJourneyVersionFrame``,
+    each of them any number of times) and calls must be ``RecordedCall``
+    elements.  SIRI must be the default namespace of the root: a document of
+    another namespace, or with a prefix, is a reject row, as is one that does
+    not parse.
     """
     x = F.from_xml(F.col(content).cast("string"), NATIVE_SCHEMA,
                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corruptRecord"})
-    parsed = docs.select(F.col(path).cast("string").alias("path"), x.alias("x"))
-    journeys = F.col("x.ServiceDelivery.EstimatedTimetableDelivery.EstimatedJourneyVersionFrame"
-                     ".EstimatedVehicleJourney")
-    broken = F.col("x").isNull() | F.col("x.corruptRecord").isNotNull()
-    ok = parsed.filter(~broken & (F.col("x._xmlns") == SIRI_NS))
-    calls_ = (ok.select("path", F.posexplode(journeys).alias("jpos", "j"))
-              .select("path", "jpos", "j", F.posexplode("j.RecordedCalls").alias("rpos", "rc"))
-              .select("path", "jpos", "rpos", "j", F.posexplode("rc.RecordedCall").alias("cpos", "c")))
+    # one parse: what is exploded is not put back into the expressions above it
+    parsed = (docs.select(F.col(path).cast("string").alias("path"), F.explode(F.array(x)).alias("x"))
+              .withColumn("error", F.when(F.col("x").isNull() | F.col("x.corruptRecord").isNotNull(), "malformed document")
+                          .when(~F.coalesce(F.col("x._xmlns") == SIRI_NS, F.lit(False)),
+                                "the root's default namespace is not " + SIRI_NS)))
+
+    def below(items, field):
+        return F.flatten(F.transform(F.filter(F.coalesce(items, F.array()), lambda i: i.isNotNull()),
+                                     lambda i: F.coalesce(i[field], F.array())))
+    frames = below(below(F.col("x.ServiceDelivery"), "EstimatedTimetableDelivery"), "EstimatedJourneyVersionFrame")
+    journeys = below(frames, "EstimatedVehicleJourney")
+    rows = (parsed.select("path", "error", F.explode_outer(F.when(F.col("error").isNull(), journeys)).alias("j"))
+            .select("path", "error", "j", F.explode_outer(below(F.col("j.RecordedCalls"), "RecordedCall")).alias("c"))
+            .filter(F.col("error").isNotNull() | F.col("c").isNotNull()))
     j, c = F.col("j"), F.col("c")
     fields = {
         "DataFrameRef": j["FramedVehicleJourneyRef"]["DataFrameRef"],
@@ -179,12 +180,8 @@ def extract_native(docs: DataFrame, content: str = "content", path: str = "path"
         "StopPointRef": c["StopPointRef"],
         **{f: c[f] for f in CALL_TIMES},
     }
-    rows = calls_.select("path", F.lit(None).cast("bigint").alias("seq"), F.lit(None).cast("string").alias("error"),
-                         *[v.cast("string").alias(k) for k, v in fields.items()])
-    bad = parsed.filter(broken).select(
-        "path", F.lit(None).cast("bigint").alias("seq"), F.lit("malformed document").alias("error"),
-        *[F.lit(None).cast("string").alias(k) for k in RAW_FIELDS])
-    return rows.unionByName(bad)
+    return rows.select("path", F.lit(None).cast("bigint").alias("seq"), "error",
+                       *[v.cast("string").alias(k) for k, v in fields.items()])
 
 
 def calls(raw: DataFrame) -> DataFrame:

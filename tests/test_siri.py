@@ -96,14 +96,26 @@ def test_native_parser_matches_python_walk(spark):
     py = sorted(tuple(r) for r in siri.to_bronze(siri.calls(siri.extract(docs)), RUN, DAY).collect())
     nat = sorted(tuple(r) for r in siri.to_bronze(siri.calls(siri.extract_native(docs)), RUN, DAY).collect())
     assert py == nat and len(py) == 4
-    assert [r["path"] for r in siri.rejects(siri.extract_native(docs)).collect()] == ["bad.xml"]
-
-
-def test_incremental_and_whole_tree_walks_agree(monkeypatch):
-    content = fixture_bytes("siri_edge.xml")
-    whole = siri.walk_document(content)
-    monkeypatch.setattr(siri, "WHOLE_TREE_MAX_BYTES", -1)
-    assert siri.walk_document(content) == whole and len(whole) == 4
+    assert sorted(r["path"] for r in siri.rejects(siri.extract_native(docs)).collect()) == ["bad.xml", "other.xml"]
+
+
+def test_native_reads_every_frame_and_rejects_other_namespaces(spark):
+    def journey(i):
+        return f"<EstimatedVehicleJourney><RecordedCalls><RecordedCall><StopPointRef>Q{i}</StopPointRef></RecordedCall></RecordedCalls></EstimatedVehicleJourney>"
+
+    def delivery(*frames):
+        return ("<EstimatedTimetableDelivery>" + "".join(f"<EstimatedJourneyVersionFrame>{f}</EstimatedJourneyVersionFrame>" for f in frames)
+                + "</EstimatedTimetableDelivery>")
+    ns = "http://www.siri.org.uk/siri"
+    docs = docs_frame(spark, [
+        ("many", f"<Siri xmlns='{ns}'><ServiceDelivery>{delivery(journey(1), journey(2) + journey(3))}{delivery(journey(4))}</ServiceDelivery>"
+                 f"<ServiceDelivery>{delivery(journey(5))}</ServiceDelivery></Siri>"),
+        ("prefixed", f"<s:Siri xmlns:s='{ns}'><s:ServiceDelivery/></s:Siri>"), ("other", "<Siri xmlns='urn:x'/>"), ("empty", f"<Siri xmlns='{ns}'/>")])
+    raw = siri.extract_native(docs)
+    assert sorted(r.StopPointRef for r in siri.calls(raw).collect()) == [f"Q{i}" for i in range(1, 6)]
+    assert sorted(r.StopPointRef for r in siri.calls(siri.extract(docs)).collect()) == [f"Q{i}" for i in range(1, 6)]
+    assert sorted(r.path for r in siri.rejects(raw).collect()) == ["other", "prefixed"]
+    assert raw._jdf.queryExecution().executedPlan().toString().count("from_xml(") == 1
 
 
 def test_native_matches_python_on_random_standard_documents(spark):
