@@ -68,6 +68,12 @@ def service_date(ts: Column | str, zone: str | None = None) -> Column:
 _HAS_ZONE = r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*([zZ]|[+-]\d{2}(:?\d{2})?)$"
 
 
+_BASIC = r"^\s*(\d{4})(\d{2})(\d{2})[Tt ](\d{2})(\d{2})(\d{2})(.*)$"
+# Days written other than yyyy-MM-dd, tried in this order.
+_DAY_PATTERNS = (r"^\s*(\d{4})(\d{2})(\d{2})\s*$", r"^\s*(\d{4})[/.](\d{1,2})[/.](\d{1,2})\s*$")
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+
+
 def parse_timestamp(text: Column | str) -> Column:
     """SCL-6: ISO-8601 text (offset, ``Z`` or none; any fraction) -> UTC ``TIMESTAMP_NTZ``.
 
@@ -76,16 +82,28 @@ def parse_timestamp(text: Column | str) -> Column:
     clock, so the result never depends on the session time zone.
     """
     t = _c(text)
-    instant = F.try_to_timestamp(t)
-    as_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
-    return F.when(t.rlike(_HAS_ZONE), as_utc).otherwise(t.try_cast("timestamp_ntz"))
+    # basic form: 20251027T060000[.fff][zone]
+    t = F.regexp_replace(t, _BASIC, "$1-$2-$3T$4:$5:$6$7")
+    # an instant is a number of microseconds: no wall clock, so no hour is met twice
+    instant = F.timestamp_add("MICROSECOND", F.unix_micros(F.try_to_timestamp(t)), F.lit("1970-01-01").cast("timestamp_ntz"))
+    return F.when(t.rlike(_HAS_ZONE), instant).otherwise(t.try_cast("timestamp_ntz"))
 
 
 def parse_service_date(text: Column | str) -> Column:
     """SCL-7: ``yyyy-MM-dd`` text, else the calendar day written in any
-    timestamp text (its own offset, not UTC), else null."""
+    timestamp text (its own offset, not UTC), else a day such as ``20251027``,
+    ``2025/10/27``, ``27 Oct 2025`` or ``Oct 27, 2025``, else null."""
     t = _c(text)
-    return F.coalesce(F.try_to_date(t, "yyyy-MM-dd"), F.to_date(t.try_cast("timestamp_ntz")))
+
+    def day(y, m, d):
+        return F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd")
+    numbers = [day(*[F.regexp_extract(t, p, i) for i in (1, 2, 3)]) for p in _DAY_PATTERNS]
+    by_name = F.create_map(*[F.lit(x) for i, m in enumerate(_MONTHS) for x in (m, str(i + 1))])
+    named = [(r"^\s*(\d{1,2})[ -]([A-Za-z]{3})[A-Za-z]*\.?,?[ -](\d{4})\s*$", 3, 2, 1),
+             (r"^\s*([A-Za-z]{3})[A-Za-z]*\.? (\d{1,2}),? (\d{4})\s*$", 3, 1, 2)]
+    words = [day(F.regexp_extract(t, p, y), by_name[F.lower(F.regexp_extract(t, p, m))], F.regexp_extract(t, p, d)) for p, y, m, d in named]
+    stamp = F.regexp_replace(t, _BASIC, "$1-$2-$3T$4:$5:$6$7").try_cast("timestamp_ntz")
+    return F.coalesce(F.try_to_date(t, "yyyy-MM-dd"), F.to_date(stamp), *numbers, *words)
 
 
 def fill_empty_strings(df: DataFrame, columns: Iterable[str]) -> DataFrame:

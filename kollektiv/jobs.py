@@ -52,6 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--once", action="store_true", help="process what has landed, then stop")
     s.add_argument("--max-files", type=int, default=1000)
+    s.add_argument("--marker", help="name of the file that a writer puts into a snapshot folder last")
     s.add_argument("--native", action="store_true", help="parse with Spark's XML reader")
     s.add_argument("--silver", help="also keep this silver timetable current, day by day")
     s = sub.add_parser("silver", help="recompute the silver timetable for given days (default all)")
@@ -88,13 +89,13 @@ def main(argv: list[str] | None = None) -> int:
             print(json.dumps(out.__dict__))
         elif args.job == "stream":
             from kollektiv.streaming.live import run_live_stream
-            report: list = []
+            verdicts = f"{args.bronze.rstrip('/')}/live_timetable_verdicts"
             q = run_live_stream(spark, args.landing, f"{args.bronze.rstrip('/')}/bronze_live_timetable",
-                                args.checkpoint, available_now=args.once, report=report,
+                                args.checkpoint, available_now=args.once, verdict_path=verdicts, marker=args.marker,
                                 max_files_per_trigger=args.max_files, native=args.native,
                                 silver_path=args.silver)
             q.awaitTermination()
-            print(json.dumps(report, default=str))
+            print(json.dumps({"verdicts": verdicts}))
         elif args.job == "silver":
             from kollektiv.plans.models import refresh_silver_timetable
             days = [_dt.date.fromisoformat(d) for d in args.days.split(",")] if args.days else None

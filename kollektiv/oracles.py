@@ -117,9 +117,10 @@ ORACLES["json_payload_pack"] = """SELECT c_custkey, c_name AS name, c_mktsegment
 FROM customer"""
 
 ORACLES["json_payload_truncate"] = """SELECT doc_id,
-  length(to_json(struct_pack(doc_id, text, lang, source, n_chars))) > 900000 AS truncated,
-  lang, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS text_chars
-FROM documents"""
+  c AS truncated, CASE WHEN c THEN CAST(900014 AS BIGINT) END AS kept_chars,
+  CASE WHEN c THEN '' ELSE lang END AS lang, md5(CASE WHEN c THEN '' ELSE text END) AS text_md5,
+  CAST(length(CASE WHEN c THEN '' ELSE text END) AS BIGINT) AS text_chars
+FROM (SELECT *, doc_id % 50 = 0 AND length(text) > 0 AS c FROM documents)"""
 
 ORACLES["json_extract_string"] = """SELECT c_custkey,
   CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 3 = 0 THEN c_name ELSE '' END AS name,
@@ -127,7 +128,12 @@ ORACLES["json_extract_string"] = """SELECT c_custkey,
 FROM customer"""
 
 ORACLES["parse_timestamp_coerce"] = """SELECT event_id,
-  CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 4 = 3 THEN date_trunc('millisecond', ts) ELSE ts END AS parsed
+  CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN date_trunc('second', ts)
+       WHEN event_id % 4 = 3 THEN date_trunc('millisecond', ts) ELSE ts END AS parsed
+FROM events
+UNION ALL
+SELECT event_id + 1000000000000, TIMESTAMP '2025-11-02 00:00:00' + to_hours(CAST(event_id % 8 AS INTEGER))
+  + to_minutes(CAST(date_part('minute', ts) AS INTEGER)) + to_seconds(CAST(floor(date_part('second', ts)) AS INTEGER))
 FROM events"""
 
 ORACLES["parse_date_fallback"] = """SELECT event_id,
@@ -161,7 +167,9 @@ ORACLES["positional_id"] = """SELECT o_orderkey, o_custkey,
   CAST(row_number() OVER (ORDER BY o_orderkey ASC NULLS LAST) - 1 AS VARCHAR) AS id FROM orders"""
 
 # --- quality -------------------------------------------------------------------
-ORACLES["dq_null_rate"] = f"""WITH {LIVE_CTE}
+ORACLES["dq_null_rate"] = f"""WITH {LIVE_CTE.replace("L AS (", "L0 AS (")},
+L AS (SELECT * REPLACE (CASE WHEN dayofweek(Ingestion_Date) = 0 AND DirectionRef = '1' THEN NULL ELSE ActualArrivalTime END
+                        AS ActualArrivalTime) FROM L0)
 SELECT Ingestion_Date,
   CAST(count(*) FILTER (WHERE ActualArrivalTime IS NULL) AS BIGINT) AS null_count,
   CAST(count(*) AS BIGINT) AS total_count,
@@ -267,6 +275,11 @@ LINES_XML_SQL = """SELECT 'L' || CAST(p_partkey AS VARCHAR) AS id,
 FROM part"""
 ORACLES["src_xml_lines"] = LINES_XML_SQL
 ORACLES["src_zip_members"] = LINES_XML_SQL
+ORACLES["src_zip_rejects"] = """WITH S AS (SELECT s_suppkey AS k, 'dmg-' || CAST(s_suppkey AS VARCHAR) AS stem FROM supplier)
+SELECT stem || '.zip' AS archive, 'netex/' || stem || CASE WHEN length(stem) % 2 = 1 THEN '.XML' ELSE '.xml' END AS member,
+  CAST(CASE WHEN k % 7 <> 0 THEN 1 ELSE 0 END AS BIGINT) AS n_records, CAST(CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_rejects
+FROM S
+UNION ALL SELECT stem || '.zip', 'netex/' || stem || '-broken.xml', CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM S"""
 
 ORACLES["src_xml_journey_patterns"] = """SELECT 'JP' || CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS version,
   CASE WHEN o_orderkey % 4 <> 0 THEN 'R' || CAST(o_custkey AS VARCHAR) END AS RouteRef
@@ -402,3 +415,34 @@ ORACLES["silver_timetable_incremental"] = f"""WITH {LIVE_CTE},
 {STG_CTE},
 {SILVER_CTE}
 SELECT * FROM SILVER"""
+
+
+# --- published views, the seven bronze tables -----------------------------------------
+ORACLES["published_views"] = f"""WITH {LIVE_CHAIN},
+{LINES_STG_CTE}
+SELECT 'stg_live_timetable' AS view, count(*) AS n_rows, count(DISTINCT ServiceJourneyId) AS n_keys FROM STG
+UNION ALL SELECT 'silver_timetable', count(*), count(DISTINCT ServiceJourneyId) FROM SILVER
+UNION ALL SELECT 'stg_netex_lines', count(*), count(DISTINCT id) FROM LINES_STG
+UNION ALL SELECT 'silver_lines', count(*), count(DISTINCT id) FROM (SELECT DISTINCT * FROM LINES_STG)
+UNION ALL SELECT 'stg_netex_quays', count(*), count(DISTINCT doc_id) FROM documents"""
+
+_STOP_ID = "\n    || chr(1) || ".join(f"coalesce({c}, chr(0))" for c in (
+    "journeyPatternId", "stopPointInJourneyPatternId",
+    "CASE WHEN stopOrder = floor(stopOrder) THEN CAST(CAST(stopOrder AS BIGINT) AS VARCHAR) || '.0' ELSE CAST(stopOrder AS VARCHAR) END",
+    "scheduledStopPointRef", "forBoarding", "forAlighting"))
+
+
+def _bronze_part(dataset: str, source: str, value: str, id_: str = "id", version: str = "version") -> str:
+    return (f"SELECT '{dataset}' AS dataset, {id_} AS id, {version} AS version, coalesce(CAST({value} AS VARCHAR), '') AS value, "
+            f"'1761523200000' AS day_ms FROM ({source})")
+
+
+ORACLES["static_ingest_bronze"] = "\nUNION ALL ".join([
+    _bronze_part("netex_topographic_places", ORACLES["src_xml_topographic_places"], "Descriptor"),
+    _bronze_part("netex_stop_places", ORACLES["src_xml_stop_places"], "Name"),
+    _bronze_part("netex_quays", ORACLES["src_xml_quays"], "stopPlaceId"),
+    _bronze_part("netex_scheduled_stop_points", ORACLES["src_xml_scheduled_stop_points"], "PublicCode"),
+    _bronze_part("netex_lines", LINES_XML_SQL, "PublicCode"),
+    _bronze_part("netex_journey_patterns", ORACLES["src_xml_journey_patterns"], "RouteRef"),
+    _bronze_part("netex_journey_pattern_stops", ORACLES["src_xml_journey_pattern_stops"], "scheduledStopPointRef",
+                 f"sha256({_STOP_ID})", "CAST(NULL AS VARCHAR)")])

@@ -8,6 +8,7 @@ rebuilt tables (SNK-4).  The chain is one logical plan per gold table; the
 
 from __future__ import annotations
 
+import datetime as _dt
 import time
 from concurrent.futures import ThreadPoolExecutor
 
@@ -75,14 +76,23 @@ def refresh_silver_timetable(spark: SparkSession, bronze_root: str | None, silve
     if days is not None:
         live = live.filter(F.col(PARTITION_COLUMN).isin(list(days)))
     fresh = silver.silver_timetable(staging.stg_live_timetable(live), zone)
-    overwrite_partitions(fresh, silver_path, sort_key=list(BRONZE_LIVE_KEY))
-    if days is None:
-        return [r[0] for r in live.select(PARTITION_COLUMN).distinct().collect()]
-    written = {r[0] for r in fresh.select(PARTITION_COLUMN).distinct().collect()}
-    for day in days:
-        if day not in written:
-            _drop_partition(spark, silver_path, day)
-    return list(days)
+    with staging_scope(spark):
+        fresh = stage_table(fresh, "silver_days")          # replace-on-key runs once
+        written = {r[0] for r in fresh.select(PARTITION_COLUMN).distinct().collect()}      # one row per day
+        overwrite_partitions(fresh, silver_path, sort_key=list(BRONZE_LIVE_KEY))
+    asked = set(days) if days is not None else _partition_days(spark, silver_path)
+    for day in asked - written:                            # no silver any more
+        _drop_partition(spark, silver_path, day)
+    return sorted(asked | written) if days is None else list(days)
+
+
+def _partition_days(spark: SparkSession, path: str) -> set[_dt.date]:
+    """Days that a partitioned table has folders for."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return {_dt.date.fromisoformat(n.split("=", 1)[1]) for n in names if n.startswith(f"{PARTITION_COLUMN}=") and n[-1].isdigit()}
 
 
 def _drop_partition(spark: SparkSession, path: str, day) -> None:
@@ -142,7 +152,9 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_li
         silver_src = (read_silver_timetable(spark, silver_path) if silver_path
                       else silver.silver_timetable(views["stg_live_timetable"], zone))
         ranked = gold.rank_timetable(silver_src)
-        views["silver_timetable"] = ranked.drop(gold.M_COL, gold.P_COL)
+        silver_staged = ranked.drop(gold.M_COL, gold.P_COL)
+        # what is published outlives this run, so it reads silver, not the staged copy
+        views["silver_timetable"] = silver_src
         staged = time.perf_counter() - t0
         for name in VIEWS:
             t = time.perf_counter()
@@ -150,8 +162,8 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_li
             if timings is not None:
                 timings[name] = time.perf_counter() - t + (staged if name == "silver_timetable" else 0.0)
         builders = {
-            "dim_quay": lambda: gold.dim_quay(views["stg_netex_quays"], views["silver_timetable"]),
-            "dim_service_journey": lambda: gold.dim_service_journey(views["silver_timetable"], zone),
+            "dim_quay": lambda: gold.dim_quay(views["stg_netex_quays"], silver_staged),
+            "dim_service_journey": lambda: gold.dim_service_journey(silver_staged, zone),
             "fact_movements": lambda: gold.fact_movements_from_ranked(ranked, zone),
         }
         futures += [pool.submit(publish, n, b) for n, b in builders.items()]

@@ -9,8 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Settings every job of the pipeline relies on.  They are runtime SQL confs, so
-# they can also be applied to a session someone else built (``apply_conf``).
+# Settings every job of the pipeline relies on.  They are runtime SQL confs;
+# ``apply_conf`` sets them on a session someone else built.
 PIPELINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -25,6 +25,12 @@ PIPELINE_CONF = {
 }
 
 
+def apply_conf(spark: SparkSession) -> None:
+    """Set ``PIPELINE_CONF`` on a session built elsewhere."""
+    for k, v in PIPELINE_CONF.items():
+        spark.conf.set(k, v)
+
+
 def build_session(master: str | None = None, app: str = "kollektiv",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -48,15 +54,20 @@ def build_session(master: str | None = None, app: str = "kollektiv",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster's ``spark.checkpoint.dir`` wins.  Only when it is unset (local
-    tests) is a fallback folder set, so ``DataFrame.checkpoint()`` works.
+    The cluster's ``spark.checkpoint.dir`` wins.  Only on a local master may it
+    be unset; a fallback folder is then used.  On a cluster a machine-local
+    folder would lose data, so an unset folder raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or fallback or os.path.join("/tmp", "kollektiv-checkpoints")
+    target = configured or fallback
+    if not target:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set: staged tables need a folder that all executors share")
+        target = os.path.join("/tmp", "kollektiv-checkpoints")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 
@@ -146,7 +157,7 @@ def stage_table(df, name: str, partition_by: tuple[str, ...] = ()):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def partitions_for(df, target_bytes: int | None = None, floor: int | None = None, ceiling: int = 200_000) -> int:
+def partitions_for(df, target_bytes: int | None = None, floor: int | None = None) -> int:
     """Partition count for an explicit-count shuffle of ``df``: the plan's
     estimated size over the advisory partition size, never below the session's
     shuffle partitions (AQE cannot resize an explicit-count repartition, so
@@ -163,7 +174,7 @@ def partitions_for(df, target_bytes: int | None = None, floor: int | None = None
     default = _bytes(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
     if est >= min(default, 1 << 60):        # "unknown" (e.g. RDD-backed): no basis to scale up
         est = 0
-    return int(min(ceiling, max(floor, -(-est // max(1, target_bytes)))))
+    return int(max(floor, -(-est // max(1, target_bytes))))
 
 
 def _bytes(text: str) -> int:

@@ -6,13 +6,11 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kollektiv.schemas import PARTITION_COLUMN
 
-__all__ = ["append_bronze", "overwrite_partitions", "publish_view", "publish_table", "read_table",
-           "partition_values"]
+__all__ = ["append_bronze", "overwrite_partitions", "publish_view", "publish_table", "read_table"]
 
 
 def _prepare(df: DataFrame, sort_key: Sequence[str] | None, rebalance_on: str | None = None) -> DataFrame:
@@ -37,9 +35,9 @@ def append_bronze(df: DataFrame, path: str, sort_key: Sequence[str] | None = Non
 def overwrite_partitions(df: DataFrame, path: str, sort_key: Sequence[str] | None = None,
                          partition_column: str = PARTITION_COLUMN, rebalance: bool = True) -> None:
     """SNK-2: replace exactly the day partitions present in ``df``; other days
-    are untouched.  Dynamic partition overwrite replaces a day atomically per
-    partition folder, so a failed run leaves the previous snapshot readable
-    (the reference's drop-then-insert had a gap).  ``rebalance`` (default) keeps
+    are untouched.  Dynamic partition overwrite stages the new files first and
+    then moves them in, day by day: a run that fails before that leaves the
+    previous snapshot, but a reader during the move may miss a day.  ``rebalance`` (default) keeps
     a multi-day backfill from writing one small file per task and day."""
     (_prepare(df, sort_key, partition_column if rebalance else None).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
@@ -85,7 +83,3 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
 
-
-def partition_values(df: DataFrame, partition_column: str = PARTITION_COLUMN) -> DataFrame:
-    """Distinct partition ids (``YYYY-MM-DD``, SCL-13) a frame would write."""
-    return df.select(F.date_format(partition_column, "yyyy-MM-dd").alias("partition_id")).distinct()

@@ -18,8 +18,8 @@ Snapshots land as XML files under ``{landing}/snapshot=<yyyy-MM-ddTHHmmss>/``
    model run can read a current silver without de-duplicating the history.
 
 A replayed batch rewrites the same partitions with the same rows: the sink is
-idempotent.  Every choice is a DataFrame operation; the only driver-side data
-is one verdict row per snapshot, for the report.
+idempotent.  Every choice is a DataFrame operation; verdicts are computed once
+per batch and go to a table.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kollektiv.functions.scalars import truncate_millis
+from kollektiv.functions.scalars import parse_timestamp, truncate_millis
 from kollektiv.operators.quality import NULL_RATE_CEILING_PCT
 from kollektiv.schemas import BRONZE_LIVE, BRONZE_LIVE_KEY, LIVE_COLUMNS, PARTITION_COLUMN, VERSION_COLUMN
 from kollektiv.session import stage_table, staging_scope
@@ -51,22 +51,24 @@ def snapshot_clock(path: F.Column) -> dict[str, F.Column]:
 
 
 def select_snapshots(raw: DataFrame, existing: DataFrame | None,
-                     ceiling_pct: float = NULL_RATE_CEILING_PCT, with_chosen: bool = False):
+                     ceiling_pct: float = NULL_RATE_CEILING_PCT, with_chosen: bool = False,
+                     stage_verdicts: bool = False):
     """Raw extraction of one batch -> (rows to write, per-snapshot verdicts
     [, the chosen snapshots with their days])."""
     tagged = raw.withColumns(snapshot_clock(F.col("path")))
     calls = siri.to_bronze(siri.calls(tagged), keep=("snapshot",))
-    per_file = tagged.groupBy("snapshot", "Ingestion_Timestamp", "Ingestion_Date").agg(
-        F.count_if(F.col("error").isNotNull()).alias("rejected_files"))
-    per_calls = calls.groupBy("snapshot").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("ActualArrivalTime").isNull()).alias("nulls"))
-    verdicts = (per_file.join(per_calls, "snapshot", "left").fillna(0, ["rows", "nulls"])
+    is_call = F.col("error").isNull()
+    arrival = truncate_millis(parse_timestamp("ActualArrivalTime"))
+    verdicts = (tagged.groupBy("snapshot", "Ingestion_Timestamp", "Ingestion_Date").agg(
+                    F.count_if(~is_call).alias("rejected_files"), F.count_if(is_call).alias("rows"),
+                    F.count_if(is_call & arrival.isNull()).alias("nulls"))
                 .withColumn("null_pct", F.when(F.col("rows") > 0, F.col("nulls") * 100.0 / F.col("rows"))
                             .otherwise(F.lit(0.0)))
                 .withColumn("passed", (F.col("rejected_files") == 0) & (F.col("rows") > 0)
                             & (F.col("null_pct") <= F.lit(ceiling_pct))
                             & F.col("Ingestion_Timestamp").isNotNull()))
+    if stage_verdicts:
+        verdicts = stage_table(verdicts, "verdicts")        # a row per snapshot; read several times
     newest = (verdicts.filter("passed")
               .withColumn("__rank", F.row_number().over(
                   Window.partitionBy("Ingestion_Date").orderBy(F.col("Ingestion_Timestamp").desc(),
@@ -77,9 +79,9 @@ def select_snapshots(raw: DataFrame, existing: DataFrame | None,
         newest = (newest.join(held, PARTITION_COLUMN, "left")
                   .filter(F.col("__held").isNull() | (F.col("Ingestion_Timestamp") >= F.col("__held")))
                   .drop("__held"))
-    # one row per snapshot of this batch: bounded by maxFilesPerTrigger
-    chosen = F.broadcast(newest.select("snapshot"))
-    rows = calls.join(chosen, "snapshot", "left_semi").select(*LIVE_COLUMNS)
+    if stage_verdicts:
+        newest = stage_table(newest, "chosen")
+    rows = calls.join(newest.select("snapshot"), "snapshot", "left_semi").select(*LIVE_COLUMNS)
     if with_chosen:
         return rows, verdicts, newest.select("snapshot", PARTITION_COLUMN)
     return rows, verdicts
@@ -93,13 +95,14 @@ def snapshot_folders(batch: DataFrame) -> list[str]:
 
 def process_batch(batch: DataFrame, bronze_path: str, report: list | None = None,
                   ceiling_pct: float = NULL_RATE_CEILING_PCT, native: bool = False,
-                  silver_path: str | None = None) -> None:
+                  silver_path: str | None = None, verdict_path: str | None = None) -> None:
     """``foreachBatch`` body: stage, gate, choose, overwrite.
 
     A snapshot split over several files may straddle micro-batches, so every
     snapshot the batch touches is re-read whole from its folder: it is gated
-    and written as one unit, and a repeat is idempotent.  (Writers land a
-    snapshot folder complete, e.g. written under a temporary name and renamed.)
+    and written as one unit, and a repeat is idempotent.  With a completion
+    marker (``snapshot_stream(marker=...)``) the batch holds markers, so a
+    snapshot is read once, when it is complete.
     """
     spark = batch.sparkSession
     folders = snapshot_folders(batch)
@@ -108,23 +111,22 @@ def process_batch(batch: DataFrame, bronze_path: str, report: list | None = None
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xml")
              .option("recursiveFileLookup", "true").load(folders).select("path", "content"))
     with staging_scope(spark):
-        written = _process(spark, files, bronze_path, report, ceiling_pct, native)
+        written = _process(spark, files, bronze_path, report, ceiling_pct, native, verdict_path)
     if silver_path and written:
         # keep silver current: only the days this batch replaced are recomputed
         from kollektiv.plans.models import refresh_silver_timetable
         refresh_silver_timetable(spark, None, silver_path, written, live_path=bronze_path)
 
 
-def _process(spark, files, bronze_path, report, ceiling_pct, native) -> list:
+def _process(spark, files, bronze_path, report, ceiling_pct, native, verdict_path=None) -> list:
     raw = stage_table(siri.extract_native(files) if native else siri.extract(files), "siri_batch")
     days = [r[0] for r in raw.select(snapshot_clock(F.col("path"))["Ingestion_Date"]).distinct().collect()]
     existing = _existing(spark, bronze_path, days)
-    rows, verdicts, chosen = select_snapshots(raw, existing, ceiling_pct, with_chosen=True)
-    verdict_rows = verdicts.collect()            # one small row per snapshot
-    if report is not None:
-        report.extend(r.asDict() for r in verdict_rows)
-    if not any(r["passed"] for r in verdict_rows):
-        return []
+    rows, verdicts, chosen = select_snapshots(raw, existing, ceiling_pct, with_chosen=True, stage_verdicts=True)
+    if verdict_path:
+        verdicts.withColumn("processed_at", F.current_timestamp()).write.mode("append").parquet(verdict_path)
+    if report is not None:                       # tests and one-shot runs only
+        report.extend(r.asDict() for r in verdicts.collect())
     days = [r[0] for r in chosen.select(PARTITION_COLUMN).distinct().collect()]   # one row per day
     if days:
         overwrite_partitions(rows, bronze_path, sort_key=list(BRONZE_LIVE_KEY))
@@ -142,10 +144,15 @@ def _existing(spark: SparkSession, bronze_path: str, days: list) -> DataFrame |
     return held.filter(F.col(PARTITION_COLUMN).isin([d for d in days if d is not None]))
 
 
-def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    """The landing folder as a stream of ``(path, content)`` rows."""
+def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 1000,
+                    marker: str | None = None) -> DataFrame:
+    """The landing folder as a stream of ``(path, content)`` rows: of its XML
+    files, or, with ``marker``, of the files of that name which a writer puts
+    into a snapshot folder last.  A trigger then takes whole snapshots, and one
+    whose files are still landing waits.  ``landing`` may be a glob of day
+    folders, so that days done with need not be listed."""
     return (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-            .option("pathGlobFilter", "*.xml")
+            .option("pathGlobFilter", marker or "*.xml")
             .option("recursiveFileLookup", "true")
             .option("maxFilesPerTrigger", max_files_per_trigger)
             .load(landing)
@@ -155,12 +162,13 @@ def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: in
 def run_live_stream(spark: SparkSession, landing: str, bronze_path: str, checkpoint_location: str,
                     available_now: bool = True, processing_time: str = "1 minute",
                     report: list | None = None, max_files_per_trigger: int = 1000, native: bool = False,
-                    silver_path: str | None = None):
+                    silver_path: str | None = None, verdict_path: str | None = None, marker: str | None = None):
     """Start STR-1.  ``available_now`` processes what has landed and stops
-    (backfills, tests); otherwise a trigger every ``processing_time``."""
-    writer = (snapshot_stream(spark, landing, max_files_per_trigger).writeStream
+    (backfills, tests); otherwise a trigger every ``processing_time``.
+    ``verdict_path``: table that gets one row per snapshot and batch."""
+    writer = (snapshot_stream(spark, landing, max_files_per_trigger, marker).writeStream
               .foreachBatch(lambda df, _epoch: process_batch(df, bronze_path, report, native=native,
-                                                             silver_path=silver_path))
+                                                             silver_path=silver_path, verdict_path=verdict_path))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

@@ -34,7 +34,11 @@ def _landing(tmp_path):
     _zip(land / "a.zip", {"netex/edge.XML": fixture_bytes("netex_edge.xml"), "readme.txt": "x",
                           "cut.xml": "<PublicationDelivery><Line id='cut'>",
                           "more.xml": "<PublicationDelivery><Line id='L9'><Name>Nine</Name></Line></PublicationDelivery>"})
-    (land / "broken.zip").write_bytes(b"PK\x03\x04 not really a zip")
+    # a member whose bytes are damaged, in an archive that opens
+    _zip(land / "b.zip", {"torn.xml": "<P>" + "<Line id='T'/>" * 500 + "</P>"})
+    raw = bytearray((land / "b.zip").read_bytes())
+    raw[40:60] = b"\xff" * 20
+    (land / "b.zip").write_bytes(raw)
     return land
 
 
@@ -43,16 +47,75 @@ def test_zip_members(spark, tmp_path):
     m = archive.zip_members(archive.archive_paths(spark, str(land)), num_partitions=3)
     rows = m.select("member", F.col("error").isNotNull().alias("bad")).collect()
     names = sorted(r["member"] for r in rows if r["member"])
-    assert names == ["cut.xml", "more.xml", "netex/edge.XML"]
-    assert sum(r["bad"] for r in rows) == 1               # the damaged archive
+    assert names == ["cut.xml", "more.xml", "netex/edge.XML", "torn.xml"]
+    assert sum(r["bad"] for r in rows) == 1               # the damaged member
     lines = netex.records(netex.extract(m), "line").select("id").collect()
     assert sorted(r["id"] for r in lines) == ["L1", "L2", "L9"]
+    streamed = netex.extract_members(archive.spread_members(archive.archive_paths(spark, str(land)), num_partitions=3))
+    assert sorted(r["id"] for r in netex.records(streamed, "line").collect()) == ["L1", "L2", "L9"]
+    assert sorted(r["member"] for r in netex.rejects(streamed).collect()) == ["cut.xml", "torn.xml"]
+
+
+def test_damaged_archives_and_missing_paths_fail(spark, tmp_path):
+    import pytest
+    land = _landing(tmp_path)
+    (land / "broken.zip").write_bytes(b"PK\x03\x04 not really a zip")
+    with pytest.raises(Exception, match="BadZipFile"):
+        static_ingest.ingest_archives(spark, str(land), str(tmp_path / "bronze"), RUN, DAY)
+    assert not (tmp_path / "bronze").exists()
+    missing = spark.createDataFrame([(str(tmp_path / "nowhere.zip"),)], "path string")
+    with pytest.raises(Exception, match="nowhere.zip"):
+        archive.list_members(missing).collect()
+
+
+def test_stops_that_differ_in_one_flag_keep_their_ids(spark):
+    rows = spark.createDataFrame([("J", 1.0, "S", "P", "true", None), ("J", 1.0, "S", "P", "false", None), ("J", 1.0, "S", "P", "true", None)],
+                                 "journeyPatternId string, stopOrder double, scheduledStopPointRef string, "
+                                 "stopPointInJourneyPatternId string, forBoarding string, forAlighting string")
+    ids = static_ingest.stop_ids(rows, rows.columns).select("id").collect()
+    assert len(ids) == 2 == len({r["id"] for r in ids})
+
+
+def test_full_silver_refresh_drops_days_without_silver(spark, tmp_path):
+    from kollektiv import roles
+    from kollektiv.plans import models
+    bronze, silver_path = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    live = roles.live_bronze(roles.table(spark, "/root/testdata/sf0.001", "events"))
+    tables.overwrite_partitions(live, f"{bronze}/bronze_live_timetable")
+    days = models.refresh_silver_timetable(spark, bronze, silver_path)
+    lost = days[0]
+    gone = live.filter(F.col("Ingestion_Date") == F.lit(lost)).withColumn("ActualArrivalTime", F.lit(None).cast("timestamp_ntz"))
+    tables.overwrite_partitions(gone, f"{bronze}/bronze_live_timetable")
+    models.refresh_silver_timetable(spark, bronze, silver_path)
+    left = models.read_silver_timetable(spark, silver_path)
+    assert left.filter(F.col("Ingestion_Date") == F.lit(lost)).count() == 0 < left.count()
+
+
+def test_stream_waits_for_the_marker(spark, tmp_path):
+    from kollektiv.schemas import BRONZE_LIVE
+    from kollektiv.streaming import live as live_stream
+    land, bronze = tmp_path / "landing", str(tmp_path / "bronze")
+    snap = land / "snapshot=2025-10-27T120000"
+    snap.mkdir(parents=True)
+
+    def run():
+        live_stream.run_live_stream(spark, str(land), bronze, str(tmp_path / "ck"), marker="complete",
+                                    verdict_path=str(tmp_path / "verdicts")).awaitTermination()
+    (snap / "a.xml").write_text(_siri_doc(2, 0, "A"))
+    run()
+    assert not (tmp_path / "bronze").exists()
+    (snap / "b.xml").write_text(_siri_doc(3, 0, "B"))
+    (snap / "complete").write_text("done")
+    run()
+    got = tables.read_table(spark, bronze, BRONZE_LIVE)
+    assert {r["ServiceJourneyId"] for r in got.collect()} == {"A", "B"}
+    assert spark.read.parquet(str(tmp_path / "verdicts")).select("rows", "passed").collect() == [(got.count(), True)]
 
 
 def test_static_ingest_end_to_end(spark, tmp_path):
     land, bronze = _landing(tmp_path), str(tmp_path / "bronze")
     out = static_ingest.ingest_archives(spark, str(land), bronze, RUN, DAY)
-    assert out.status == "loaded" and out.rejected_documents == 2      # cut.xml + broken.zip
+    assert out.status == "loaded" and out.rejected_documents == 2      # cut.xml and the damaged member
     assert out.rows["line"] == 3 and out.rows["journey_pattern_stop"] == 5
     lines = tables.read_table(spark, f"{bronze}/bronze_netex_lines", BRONZE_NETEX)
     got = {r["id"]: r["name"] for r in stg_netex_lines(lines).collect()}
@@ -267,9 +330,8 @@ def test_jobs_cli_declared_tests(tmp_path, spark, capsys):
 def test_staged_records_are_read_by_type_folder(spark, tmp_path):
     from kollektiv.session import staging_scope
     land = _landing(tmp_path)
-    members = archive.zip_members(archive.archive_paths(spark, str(land)), num_partitions=2)
     with staging_scope(spark):
-        tagged = static_ingest.stage_records(members)
+        tagged = static_ingest.stage_records(archive.spread_members(archive.archive_paths(spark, str(land)), num_partitions=2))
         lines = netex.records(tagged, "line")
         plan = lines._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
         assert "PartitionFilters: [isnotnull(record_type" in plan and "= line)" in plan

@@ -126,7 +126,6 @@ def test_partitions_for_scales_with_data_and_ignores_unknown_sizes(spark):
     assert partitions_for(rdd_backed) == floor                       # unknown estimate: no scaling
     li = roles.table(spark, SMOKE, "lineitem")
     assert partitions_for(li, target_bytes=1024) > floor               # known estimate: grows with size
-    assert partitions_for(li, target_bytes=1024, ceiling=7) == 7
 
 
 def test_ship_package_once_per_application(spark):
