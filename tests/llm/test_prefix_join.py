@@ -1,0 +1,119 @@
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_rows import docs_of
+
+from kollektiv.llm import prefix_join as J
+from kollektiv.llm.components import components
+
+
+def shingles(text, k):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
+
+
+def brute(rows, k=4, percent=85):
+    nodes = sorted({(i is None, i or 0, t or "") for i, t in rows})
+    sets = [shingles(t, k) for _, _, t in nodes]
+    parent = list(range(len(nodes)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for i in range(len(nodes)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    # the smallest id: nodes are in order of id, nulls last
+    where = {n: i for i, n in enumerate(nodes)}
+    out = []
+    for i, t in rows:
+        n = where[i is None, i or 0, t or ""]
+        r = nodes[root(n)]
+        out.append((i is None, i or 0, len(sets[n]), r[0], r[1]))
+    return sorted(out)
+
+
+def result(spark, rows, **kw):
+    got = J.jaccard_components(docs_of(spark, rows).repartition(3), **kw).collect()
+    return sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id is None, r.component_id or 0) for r in got)
+
+
+def corpus(seed, n=90, unique=True):
+    rnd = random.Random(seed)
+    vocab = [f"v{i}" for i in range(60)]
+    bases = [rnd.choices(vocab, k=rnd.choice([3, 12, 60, 150])) for _ in range(6)]
+    shared = rnd.choices(vocab, k=25)
+    rows = []
+    for i in range(n):
+        w = list(rnd.choice(bases))
+        for _ in range(rnd.choice([0, 0, 1, 1, 2, 4])):
+            w[rnd.randrange(len(w))] = rnd.choice(vocab)
+        if i % 5 == 0:
+            w = rnd.choices(vocab, k=40) + shared
+        rows.append((i if unique else i % 30, " ".join(x.upper() if i % 3 else x for x in w)))
+    return rows
+
+
+@pytest.mark.parametrize("kw", [{}, {"words": 5, "percent": 80}, {"words": 1, "percent": 100}])
+def test_random_corpora_match_brute_force(spark, kw):
+    rows = corpus(4)
+    assert result(spark, rows, **kw) == brute(rows, kw.get("words", 4), kw.get("percent", 85))
+
+
+def test_split_groups_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(J, "GROUP", 4)
+    monkeypatch.setattr(J, "LEADERS", 1)
+    monkeypatch.setattr(J, "ROUNDS", 1)
+    rows = corpus(5)
+    assert result(spark, rows) == brute(rows)
+
+
+def test_edge_cases_match_brute_force(spark):
+    rows = corpus(6, unique=False) + [(None, "a b"), (None, "A B"), (200, None), (201, ""), (202, " \n"), (203, "a b"), (204, "a b c d e"),
+                                      (204, "a b c d e"), (205, "long " * 50_000), (206, "long " * 9)]
+    assert result(spark, rows) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert J.jaccard_components(docs_of(spark, [])).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 25), max_size=22), max_size=9), st.sampled_from([50, 80, 85, 100]))
+def test_group_join_connects_what_is_similar(sets, percent):
+    arrays = [np.array(sorted(s), np.uint64) for s in sets]
+    links = J.join_group(arrays, percent)
+    similar = lambda a, b: bool(a & b) and 100 * len(a & b) >= percent * len(a | b)
+    assert all(similar(sets[i], sets[j]) for i, j in links)
+    parent = {i: {i} for i in range(len(sets))}
+    for i, j in links:
+        merged = parent[i] | parent[j]
+        for k in merged:
+            parent[k] = merged
+    for i in range(len(sets)):
+        for j in range(i):
+            if similar(sets[i], sets[j]):
+                assert j in parent[i]
+
+
+def test_long_edges_fork():
+    a = np.arange(200, dtype=np.uint64)
+    b = np.concatenate([a[:120], a[121:], np.array([500], np.uint64)])
+    c = a[:199]
+    assert len(J.join_group([a, b, c], 95)) == 2
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(100, 140)]
+    star = [(7, i) for i in range(8, 60)]
+    rows = spark.createDataFrame([*chain, *star, (3, 3), (61, 60), (None, 5), (7, 8)], "a long, b long")
+    got = {r.node: r.component for r in components(rows).collect()}
+    assert got == {**{i: 100 for i in range(100, 141)}, **{i: 7 for i in range(7, 60)}, 60: 60, 61: 60}
+    assert components(rows.filter("a = -1")).count() == 0
