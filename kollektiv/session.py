@@ -135,6 +135,13 @@ def staging_scope(spark: SparkSession):
         scope.drop(spark)
 
 
+def note_staged(path: str) -> None:
+    """Leave ``path`` to this thread's staging scope, if there is one."""
+    scope = getattr(_local, "scope", None)
+    if scope is not None:
+        scope.add(path)
+
+
 def stage_table(df, name: str, partition_by: tuple[str, ...] = ()):
     """Cut lineage: write ``df`` once as a Parquet table in the shared
     checkpoint folder and return a frame reading it back.
@@ -151,9 +158,7 @@ def stage_table(df, name: str, partition_by: tuple[str, ...] = ()):
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    scope = getattr(_local, "scope", None)
-    if scope is not None:
-        scope.add(path)
+    note_staged(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
