@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,7 +14,7 @@ from kollektiv.operators.ids import dense_row_number
 from kollektiv.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 __all__ = ["WORD", "arrow_map", "ascii_lower", "byte_slices", "keyed", "prepare", "scratch_path", "shards",
-           "stage_table", "table"]
+           "stage_bucketed", "stage_table", "table"]
 
 #: A word: a run of anything but space, tab, line feed, VT, form feed, CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,6 +50,22 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
         conf.set(_CLEANUP, before)
 
 
+def stage_bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """Like ``stage_table``, bucketed by ``column``: joins on it leave these
+    rows where they are."""
+    spark, conf = df.sparkSession, df.sparkSession.conf
+    path, before = scratch_path(spark, name), conf.get(_CLEANUP)
+    table_name = f"staged_{uuid.uuid4().hex[:12]}"
+    conf.set(_CLEANUP, "true")
+    try:
+        (df.repartition(buckets, column).write.format("parquet").bucketBy(buckets, column).sortBy(column)
+         .option("path", path).saveAsTable(table_name))
+    finally:
+        conf.set(_CLEANUP, before)
+    session.note_staged(path)
+    return spark.table(table_name)
+
+
 def shards(spark: SparkSession, n_bytes: int, each: int = 16 << 20) -> int:
     """Groups of about ``each`` bytes for ``n_bytes`` of data, at least one per
     shuffle partition."""

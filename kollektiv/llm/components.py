@@ -23,15 +23,15 @@ def components(edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         both = edges.union(edges.select(F.col("b"), F.col("a")))
         low = both.toDF("node", "next").groupBy("node").agg(F.min("next").alias("next"))
-        low = stage_table(low.select("node", F.least("node", "next").alias("parent")), "parents")
+        low = low.select("node", F.least("node", "next").alias("parent"))
         up = low.toDF("parent", "grand")
         parents = stage_table(low.join(up, "parent").select("node", F.col("grand").alias("parent")), "parents")
-        labels = parents if labels is None else stage_table(
+        labels = parents if labels is None else (
             labels.join(parents.toDF("parent", "higher"), "parent", "left")
-            .select("node", F.coalesce("higher", "parent").alias("parent")), "labels")
+            .select("node", F.coalesce("higher", "parent").alias("parent")))
         edges = stage_table(
             edges.join(parents.toDF("a", "pa"), "a").join(parents.toDF("b", "pb"), "b")
             .filter("pa != pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
     if labels is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return labels.withColumnRenamed("parent", "component")
+    return stage_table(labels.withColumnRenamed("parent", "component"), "components")

@@ -7,17 +7,19 @@ their prefixes (the first ``n - ceil(t * n) + 1``).
 
 1. Documents with equal sets are one class; the smallest key stands for it.
 2. Prefix n-grams that only one set has are dropped.  What is left of a
-   document names its groups: under each of ``ROUNDS`` random orders, its least
-   shared prefix n-gram.  Similar sets have most of these in common.
+   document names its groups, one a round: under a random order, its least
+   shared prefix n-gram.  Similar sets have most of these in common, and groups
+   that earlier rounds connected are left out.
 3. A group is joined in one task: its sets are stored in a trie, smaller ones
    first, and each set walks the trie before it goes in.  A walk shares the
    overlap counted so far, and leaves a branch when the overlap so far and the
    n-grams left cannot reach the threshold, or when the set at its end is
    already connected.  Groups above ``GROUP`` documents are split; some
    documents of the group go into every part and connect the parts.
-4. Sets that share a prefix n-gram, are not connected yet and did not meet in a
-   group are listed as pairs, after the length and position bounds, and
-   verified by the same tries.  Connected near copies never become pairs, so
+   So are documents without a group member of a size that can be similar.
+4. Sets that are not connected yet, did not meet in a group and share as many
+   prefix n-grams as similar sets of their sizes must are listed as pairs and
+   verified one by one.  Connected near copies never become pairs, so
    the pairs do not grow with the square of a cluster.
 
 No link between different components is lost; links inside one are not listed.
@@ -31,6 +33,7 @@ no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -40,8 +43,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kollektiv.llm import words as W
-from kollektiv.llm.common import arrow_map, byte_slices, keyed, per_row, shards, stage_table
+from kollektiv.llm.common import arrow_map, byte_slices, keyed, per_row, shards, stage_bucketed, stage_table
 from kollektiv.llm.components import components
+from kollektiv.session import StagingScope, use_scope
 
 U = np.uint64
 #: Slots of the table of document counts that orders n-grams.
@@ -50,6 +54,8 @@ _SLICES = 16
 ROUNDS = 3
 #: Documents that one task joins at once, and those that connect the parts of a larger group.
 GROUP, LEADERS = 1000, 16
+#: Text per n-gram, about: for the number of tasks.
+GRAM_BYTES = 7
 #: N-grams of a trie edge.
 EDGE = 48
 
@@ -117,7 +123,7 @@ def levels(tables: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, level: np.ndarray, words: int, percent: int) -> DataFrame:
-    """gram, key, n, at, f: the prefix of each document's ordered set."""
+    """gram, key, n, f: the prefix of each document's ordered set."""
     def run(b: pa.RecordBatch):
         for s in byte_slices(b, "text"):
             sets = W.text_sets(W.Words(s["text"], lower=True), words)
@@ -129,9 +135,8 @@ def prefixes(docs: DataFrame, level: np.ndarray, words: int, percent: int) -> Da
             with np.errstate(over="ignore"):
                 f = [int(W.mix(x).sum(dtype=U).view(np.int64)) for x, _, _ in out]
             yield _batch(gram=np.concatenate([x[:p] for (x, _, _), p in zip(out, long, strict=True)]).view(np.int64),
-                         key=np.repeat([k for _, k, _ in out], long), n=np.repeat([n for _, _, n in out], long).astype(np.int32),
-                         at=np.concatenate([np.arange(p, dtype=np.int32) for p in long]), f=np.repeat(f, long))
-    return arrow_map(docs, run, "gram long, key long, n int, at int, f long")
+                         key=np.repeat([k for _, k, _ in out], long), n=np.repeat([n for _, _, n in out], long).astype(np.int32), f=np.repeat(f, long))
+    return arrow_map(docs, run, "gram long, key long, n int, f long")
 
 
 class Trie:
@@ -251,14 +256,71 @@ def links_of_pairs(pairs: DataFrame, texts: DataFrame, level: np.ndarray, words:
             sets = dict(zip(keys, _sets_of(t, level, words), strict=True))
             out = []
             for k, partners in zip(keys, t["partners"].to_pylist(), strict=True):
+                own = set(sets[k].tolist()) if partners else ()
                 for p in partners or ():
-                    if join_group([sets[k], sets[p]], percent):
+                    if len(own.intersection(sets[p].tolist())) >= least_overlap(len(own), len(sets[p]), percent):
                         out.append((k, p))
             return _edges(out)
         yield from _grouped(batches, one)
     return rows.repartition(parts, "gid").sortWithinPartitions("gid").mapInArrow(run, "a long, b long")
 
 
+def _near(rows: DataFrame, group: str, percent: int) -> DataFrame:
+    """``rows`` (with n and component) that share their ``group`` with a set of
+    another component whose size can be similar.  Sizes fall into classes so
+    wide that similar ones are in the same or the next."""
+    width = max(1.001 * math.log(100 / percent), 1e-3)
+    rows = rows.withColumn("size_class", F.floor(F.log(F.col("n").cast("double")) / F.lit(width)))
+    per = rows.groupBy(group, "size_class").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    around = F.explode(F.array(*[F.col("size_class") + d for d in (-1, 0, 1)])).alias("size_class")
+    near = (per.select(group, around, "lo", "hi").groupBy(group, "size_class")
+            .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo != hi"))
+    return rows.join(near, [group, "size_class"], "left_semi").drop("size_class")
+
+
+def _labelled(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of their key: itself if it has none yet."""
+    if found is None:
+        return rows.withColumn("component", F.col("key"))
+    return rows.join(found.toDF("key", "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+
+
+def _placed(homes: DataFrame, found: DataFrame | None, percent: int) -> DataFrame:
+    """key, gid, part, own: who joins whom in a round.  ``homes``: key, n, h
+    (its group).  Groups that are one component by now have nothing to find."""
+    rows = _near(_labelled(homes, found), "h", percent)
+    sizes = rows.groupBy("h").agg(F.count(F.lit(1)).alias("members"))
+    wide = rows.join(sizes, "h").withColumn("parts", F.ceil(F.col("members") / GROUP).cast("int"))
+    own = F.pmod(F.xxhash64("key", F.lit(7)), F.col("parts")).cast("int")
+    # of a split group, about LEADERS documents go into every part
+    leads = (F.col("parts") > 1) & (F.pmod(F.xxhash64("key", F.lit(11)), F.col("members")) < LEADERS)
+    return wide.select("key", "h", own.alias("own"), F.explode(
+        F.when(leads, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(own))).alias("part")
+    ).select("key", "own", "part", F.xxhash64("h", "part").alias("gid"))
+
+
+def _open_pairs(shared: DataFrame, found: DataFrame, met: DataFrame, percent: int) -> DataFrame:
+    """a, b, gid: sets of different components that did not meet and share as
+    many prefix n-grams as similar sets of their sizes must.
+
+    Of the common n-grams of two similar sets, the k-th in order stands at most
+    k - 1 + (n - least overlap) n-grams in, so that many of them stand in both
+    prefixes.
+    """
+    rows = stage_table(_near(_labelled(shared, found), "gram", percent).join(met, "key", "left"), "open-grams")
+    x, y = rows.alias("x"), rows.alias("y")
+    different = ((F.col("x.gram") == F.col("y.gram")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
+                 & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
+    for r in range(ROUNDS):
+        different = different & ~F.coalesce(F.col(f"x.m{r}") == F.col(f"y.m{r}"), F.lit(False))
+    most = F.greatest("na", "nb")
+    overlap = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / F.lit(100 + percent) - F.lit(1e-9))
+    return (x.join(y, different).groupBy(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
+            .agg(F.min("x.gram").alias("gid"), F.count(F.lit(1)).alias("common"), F.first("x.n").alias("na"), F.first("y.n").alias("nb"))
+            .filter(F.col("common") >= 1 + overlap - F.ceil(F.lit(percent) * most / F.lit(100) - F.lit(1e-9)))
+            .select("a", "b", "gid"))
+
+
 def classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """key, n, component of every document.  ``docs``: key (unique), text."""
     spark = docs.sparkSession
@@ -267,45 +329,27 @@ def classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     sized = both.filter("slice is null").select("key", "n", "f1", "f2")
     equal = sized.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min("key").alias("rep"))
     reps = equal.select(F.col("rep").alias("key"))
-    rows = stage_table(prefixes(docs, level, words, percent), "prefixes")
-    shared = rows.groupBy("gram").agg(F.min("f").alias("lo"), F.max("f").alias("hi")).filter("lo != hi").select("gram")
-    shared = stage_table(rows.join(shared, "gram", "left_semi").join(reps, "key", "left_semi").select("gram", "key", "n", "at"), "shared-grams")
-    homes = shared.groupBy("key").agg(*[F.min(F.xxhash64("gram", F.lit(r))).alias(f"h{r}") for r in range(ROUNDS)])
-    homes = stage_table(homes, "homes")
-    wide = homes.select("key", F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.col(f"h{r}").alias("h")) for r in range(ROUNDS)])).alias("g")
-                        ).select("key", "g.r", "g.h")
-    sizes = wide.groupBy("r", "h").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    wide = wide.join(sizes, ["r", "h"]).withColumn("parts", F.ceil(F.col("members") / GROUP).cast("int"))
-    own = F.pmod(F.xxhash64("key", F.lit(7)), F.col("parts")).cast("int")
-    # of a split group, about LEADERS documents go into every part
-    leads = (F.col("parts") > 1) & (F.pmod(F.xxhash64("key", F.lit(11)), F.col("members")) < LEADERS)
-    placed = wide.select("key", "r", "h", own.alias("own"), F.explode(
-        F.when(leads, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(own))).alias("part"))
-    placed = stage_table(placed.select("key", "r", "own", F.xxhash64("r", "h", "part").alias("gid"), "part"), "groups")
-    texts = docs.join(homes.select("key"), "key", "left_semi")
-    texts = stage_table(texts, "shared-texts")
-    size = int(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    parts = shards(spark, ROUNDS * size)
-    links = stage_table(links_in_groups(placed.select("gid", "key").join(texts, "key"), level, words, percent, parts), "links")
-    found = components(links)
-    # what did not meet: sets of different components with a common prefix n-gram
-    met = placed.filter("part = own").groupBy("key").agg(*[
-        F.coalesce(F.max(F.when(F.col("r") == r, F.col("gid"))), F.xxhash64("key", F.lit(f"alone{r}"))).alias(f"m{r}") for r in range(ROUNDS)])
-    known = shared.join(found.toDF("key", "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    several = known.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("gram")
-    open_rows = stage_table(known.join(several, "gram", "left_semi").join(met, "key", "left"), "open-grams")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    least = F.ceil(F.lit(percent) * (F.col("x.n") + F.col("y.n")) / F.lit(100 + percent) - F.lit(1e-9))
-    apart = [F.col("x.gram") == F.col("y.gram"), F.col("x.key") < F.col("y.key"), F.col("x.component") != F.col("y.component"),
-             100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"),
-             F.col("x.at") <= F.col("x.n") - least, F.col("y.at") <= F.col("y.n") - least,
-             *[~F.coalesce(F.col(f"x.m{r}") == F.col(f"y.m{r}"), F.lit(False)) for r in range(ROUNDS)]]
-    condition = apart[0]
-    for c in apart[1:]:
-        condition = condition & c
-    pairs = (x.join(y, condition).groupBy(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
-             .agg(F.min("x.gram").alias("gid")))
-    pairs = stage_table(pairs, "pairs")
+    first = StagingScope()
+    with use_scope(first):
+        rows = stage_table(prefixes(docs, level, words, percent), "prefixes")
+    several = rows.groupBy("gram").agg(F.min("f").alias("lo"), F.max("f").alias("hi")).filter("lo != hi").select("gram")
+    shared = rows.join(several, "gram", "left_semi").join(reps, "key", "left_semi").select("gram", "key", "n")
+    with use_scope(first):
+        shared = stage_table(shared, "several-grams")
+    shared = stage_table(_near(_labelled(shared, None), "gram", percent).drop("component"), "shared-grams")
+    first.drop(spark)
+    homes = stage_table(shared.groupBy("key").agg(
+        F.first("n").alias("n"), *[F.min(F.xxhash64("gram", F.lit(r))).alias(f"h{r}") for r in range(ROUNDS)]), "homes")
+    parts = shards(spark, int(homes.agg(F.sum("n")).first()[0] or 0) * GRAM_BYTES)
+    texts = stage_bucketed(docs.join(homes.select("key"), "key", "left_semi"), "shared-texts", "key", parts)
+    links, found, met = None, None, homes.select("key")
+    for r in range(ROUNDS):
+        placed = stage_table(_placed(homes.select("key", "n", F.col(f"h{r}").alias("h")), found, percent), "groups")
+        more = stage_table(links_in_groups(placed.select("gid", "key").join(texts, "key"), level, words, percent, parts), "links")
+        links = more if links is None else links.union(more)
+        found = components(links)
+        met = met.join(placed.filter("part = own").select("key", F.col("gid").alias(f"m{r}")), "key", "left")
+    pairs = stage_table(_open_pairs(shared, found, met, percent), "pairs")
     more = stage_table(links_of_pairs(pairs, texts, level, words, percent, parts), "links")
     final = components(links.union(more)) if not more.isEmpty() else found
     members = sized.join(equal, ["n", "f1", "f2"], "left").select("key", "n", F.coalesce("rep", "key").alias("rep"))
