@@ -51,7 +51,7 @@ U = np.uint64
 #: Slots of the table of document counts that orders n-grams.
 SLOTS = 1 << 20
 _SLICES = 16
-ROUNDS = 3
+ROUNDS = 5
 #: Documents that one task joins at once, and those that connect the parts of a larger group.
 GROUP, LEADERS = 1000, 16
 #: Text per n-gram, about: for the number of tasks.
