@@ -34,6 +34,8 @@ SHARE = 1.5
 MOST = 2
 #: Rows of a source per key range.
 RANGE_ROWS = 20_000
+#: Per-source rows that may be broadcast.
+BROADCAST_ROWS = 200_000
 #: Stands for a null id.
 LEAST_ID = -(1 << 62)
 
@@ -96,14 +98,14 @@ def decisions(sized: DataFrame, **kw) -> DataFrame:
            .withColumn("ranges", F.ceil(F.col("n") / F.lit(RANGE_ROWS))))
     per = stage_table(per.withColumnRenamed("source", "src"), "mix-sources")
     # keys of weight w are exponential, so 1 - exp(-key) cuts them about evenly
-    ranged = sized.join(per, F.col("source").eqNullSafe(F.col("src"))).withColumn(
+    ranged = sized.join(small(per), F.col("source").eqNullSafe(F.col("src"))).withColumn(
         "range", F.least(F.col("ranges") - 1, F.floor(F.col("ranges") * (F.lit(1.0) - F.exp(-F.col("key"))))))
     sums = ranged.groupBy("src", "range").agg(F.sum("size").alias("words"), F.first("budget").alias("budget"))
     upto = F.sum("words").over(Window.partitionBy("src").orderBy("range"))
     ends = (sums.withColumn("upto", upto).withColumn("start", F.col("upto") - F.col("words"))
             .filter((F.col("budget") > F.col("start")) & (F.col("budget") <= F.col("upto")) & (F.col("words") > 0))
             .select(F.col("src").alias("e_src"), F.col("range").alias("e_range"), "start"))
-    inside = ranged.join(ends, F.col("src").eqNullSafe(F.col("e_src")) & (F.col("range") == F.col("e_range")))
+    inside = ranged.join(small(ends), F.col("src").eqNullSafe(F.col("e_src")) & (F.col("range") == F.col("e_range")))
     order = Window.partitionBy("src").orderBy("key", F.col("doc_id").asc_nulls_first(), "size")
     middle = F.col("start") + F.sum("size").over(order) - F.col("size") / 2
     last = (inside.withColumn("middle", middle).filter(F.col("middle") <= F.col("budget"))
@@ -126,7 +128,13 @@ def _times(key: Column, doc_id: Column, p: str) -> Column:
 
 
 def _with_prefix(per: DataFrame, p: str) -> DataFrame:
-    return per.select(*[F.col(c).alias(p + c) for c in per.columns])
+    return small(per.select(*[F.col(c).alias(p + c) for c in per.columns]))
+
+
+def small(per_source: DataFrame) -> DataFrame:
+    """Per-source rows, broadcast if their number is counted and small, so the
+    rows of a hot source stay where they are; else left to a shuffled join."""
+    return F.broadcast(per_source) if per_source.count() <= BROADCAST_ROWS else per_source
 
 
 def mix(docs: DataFrame, seed: int = 7, **kw) -> DataFrame:
