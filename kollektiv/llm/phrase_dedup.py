@@ -26,6 +26,7 @@ other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kollektiv.llm import words as W
-from kollektiv.llm.common import POSITION_BITS, arrow_map, byte_slices, keyed, per_row, shards, stage_table
+from kollektiv.llm.common import POSITION_BITS, arrow_map, byte_slices, keyed, per_row, stage_table
 
 WINDOW = 20
 SEED = 8
 #: Windows of a passage, at most.
 PASSAGE = 256
+#: Text of a shard, about.
+SHARD_BYTES = 12 << 20
+#: Characters of a word in the automaton.
+SYMBOLS = 3
 #: Words of a block: a window that starts anywhere holds a whole one.
 BLOCK = WINDOW // 2
 
@@ -147,55 +152,74 @@ def passages(docs: DataFrame, firsts: DataFrame) -> DataFrame:
 
 
 class Automaton:
-    """Blocks of passages in one Aho-Corasick automaton over word numbers."""
+    """Passages (owner, start, words) of a shard: their blocks in one
+    Aho-Corasick automaton over word numbers, and where each window of theirs
+    stands first."""
 
-    def __init__(self, owners, starts, texts: list[bytes]):
+    def __init__(self, owners: list[int], starts: list[int], texts: pa.Array):
         import ahocorasick
-        self.number: dict[bytes, int] = {}
-        self.passages, self.owners, self.starts = [], owners, starts
-        self.found = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        self.places: list[list[tuple[int, int]]] = []
-        blocks: dict[tuple, int] = {}
-        for p, text in enumerate(texts):
-            words = [self.number.setdefault(x, len(self.number) + 1) for x in text.split()]
-            self.passages.append(words)
-            for o in range(0, len(words) - BLOCK + 1, BLOCK):
-                block = tuple(words[o:o + BLOCK])
-                no = blocks.setdefault(block, len(blocks))
-                if no == len(self.places):
-                    self.places.append([])
-                    self.found.add_word(block, no)
-                self.places[no].append((p, o))
-        if blocks:
+        order = np.lexsort((np.asarray(starts, np.int64), np.asarray(owners, np.int64)))
+        w = W.Words(texts.take(pa.array(order)))
+        passage = w.text_of()
+        self.owner = np.asarray(owners, np.int64)[order][passage]
+        # position in its document of each word
+        self.at = np.asarray(starts, np.int64)[order][passage] + np.arange(len(w)) - w.off[passage]
+        self.vocabulary, number = np.unique(w.hash, return_inverse=True)
+        self.words = number + 1
+        start, _, _, _ = _windows(w)
+        # of equal windows the first place counts: passages are in order
+        self.windows, first = np.unique(W.grams(w.hash, WINDOW)[start], return_index=True)
+        self.places = start[first]
+        block = np.flatnonzero(((np.arange(len(w)) - w.off[passage]) % BLOCK == 0) & (np.arange(len(w)) + BLOCK <= w.off[passage + 1]))
+        _, one = np.unique(W.grams(w.hash, BLOCK)[block], return_index=True)
+        self.base = max(64, math.ceil((len(self.vocabulary) + 1) ** (1 / SYMBOLS)) + 1)
+        self.found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        spelt = self._spelt(self.words)
+        for b in block[one].tolist():
+            self.found.add_word(spelt[b * SYMBOLS:(b + BLOCK) * SYMBOLS], 1)
+        if len(one):
             self.found.make_automaton()
 
-    def removed(self, key: int, text: bytes) -> tuple[list[bytes], np.ndarray]:
-        """The words of a text, and which of them go."""
-        words = text.split()
-        gone = np.zeros(len(words), bool)
-        if len(words) < WINDOW or not self.places:
-            return words, gone
-        number = self.number
-        doc = tuple([number.get(x, 0) for x in words])
-        done: dict[tuple[int, int], int] = {}          # (passage, shift): words matched up to here
-        for end, no in self.found.iter(doc):
-            at = end - BLOCK + 1
-            for p, o in self.places[no]:
-                shift = at - o
-                owner = self.owners[p]
-                if owner > key or owner == key and self.starts[p] >= shift or done.get((p, shift), 0) > at:
-                    continue
-                passage = self.passages[p]
-                a, i = at, o
-                while a > 0 and i > 0 and doc[a - 1] == passage[i - 1]:
-                    a, i = a - 1, i - 1
-                z, i = at + BLOCK, o + BLOCK
-                while z < len(doc) and i < len(passage) and doc[z] == passage[i]:
-                    z, i = z + 1, i + 1
-                done[p, shift] = z
-                if z - a >= WINDOW:
-                    gone[a:z] = True
-        return words, gone
+    def _spelt(self, numbers: np.ndarray) -> str:
+        """Word numbers as ``SYMBOLS`` characters each.  A node of the automaton
+        searches its children one by one, so there must not be a child for every
+        word.  First characters are of their own: no match starts inside a word."""
+        digits = np.empty((len(numbers), SYMBOLS), "<u4")
+        for i in range(SYMBOLS):
+            digits[:, i] = numbers // self.base ** i % self.base + 1
+        digits[:, 0] += self.base
+        return digits.tobytes().decode("utf-32-le")
+
+    def removed(self, w: W.Words, keys: np.ndarray) -> np.ndarray:
+        """Which words go, of texts with these document keys."""
+        gone = np.zeros(len(w), bool)
+        if len(w) < WINDOW or not len(self.windows):
+            return gone
+        at = np.minimum(np.searchsorted(self.vocabulary, w.hash), len(self.vocabulary) - 1)
+        doc = np.where(self.vocabulary[at] == w.hash, at + 1, 0)
+        ends = np.fromiter((e for e, _ in self.found.iter(self._spelt(doc))), np.int64) // SYMBOLS
+        if not len(ends):
+            return gone
+        # the windows that hold a block that was found, and lie in one text
+        edge = np.zeros(len(w) + 1, np.int64)
+        np.add.at(edge, np.maximum(ends - WINDOW + 1, 0), 1)
+        np.add.at(edge, ends - BLOCK + 2, -1)
+        text = w.text_of()
+        s = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+        s = s[s + WINDOW <= w.off[text[s] + 1]]
+        h = W.grams(w.hash, WINDOW)[s]
+        place = np.minimum(np.searchsorted(self.windows, h), len(self.windows) - 1)
+        known = self.windows[place] == h
+        s, place = s[known], self.places[place[known]]
+        for k in range(WINDOW):                    # word by word
+            same = doc[s + k] == self.words[place + k]
+            s, place = s[same], place[same]
+        key, here = np.asarray(keys)[text[s]], s - w.off[text[s]]
+        s = s[(self.owner[place] < key) | (self.owner[place] == key) & (self.at[place] < here)]
+        cover = np.zeros(len(w) + 1, np.int64)
+        np.add.at(cover, s, 1)
+        np.add.at(cover, s + WINDOW, -1)
+        return np.cumsum(cover[:-1]) > 0
 
 
 def _digest(words: list[bytes]) -> str:
@@ -209,13 +233,15 @@ def found(docs: DataFrame, routed: DataFrame) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out_key, out_gone, out_kept = [], [], []
         if left.num_rows and right.num_rows:
-            auto = Automaton(right["owner"].to_pylist(), right["start"].to_pylist(), right["words"].to_pylist())
-            for key, text in zip(left["key"], left["text"], strict=True):
-                words, gone = auto.removed(key.as_py(), text.as_py().encode())
-                if gone.any():
-                    out_key.append(key.as_py())
-                    out_gone.append(np.flatnonzero(gone).astype(np.int32))
-                    out_kept.append(_digest([words[i] for i in np.flatnonzero(~gone)]))
+            auto = Automaton(right["owner"].to_pylist(), right["start"].to_pylist(), right["words"].combine_chunks())
+            for s in (s for b in left.to_batches() for s in byte_slices(b, "text")):
+                w, keys = W.Words(s["text"]), s["key"].to_numpy()
+                gone = auto.removed(w, keys)
+                for t in np.unique(w.text_of()[gone]):
+                    own = gone[w.off[t]:w.off[t + 1]]
+                    out_key.append(int(keys[t]))
+                    out_gone.append(np.flatnonzero(own).astype(np.int32))
+                    out_kept.append(_digest([x for x, g in zip(w.list(t), own.tolist(), strict=True) if not g]))
         return pa.table({"key": pa.array(out_key, pa.int64()), "removed": pa.array(out_gone, pa.list_(pa.int32())),
                          "kept_sha256": pa.array(out_kept, pa.string())})
     return (docs.groupBy("shard").cogroup(routed.groupBy("shard"))
@@ -225,7 +251,6 @@ def found(docs: DataFrame, routed: DataFrame) -> DataFrame:
 def removals(docs: DataFrame) -> DataFrame:
     """key, removed, kept_sha256 of every document that loses words.
     ``docs``: key, text."""
-    spark = docs.sparkSession
     seen = stage_table(seeds(docs), "seeds")
     twice = seen.groupBy("seed").agg(F.sum("n").alias("n")).filter("n > 1").select("seed")
     again = stage_table(seen.join(twice, "seed", "left_semi").select("seed", "key"), "recurring-seeds")
@@ -234,7 +259,7 @@ def removals(docs: DataFrame) -> DataFrame:
     firsts = recurring_windows(candidates)
     cut = stage_table(passages(candidates.select("key", "text"), firsts), "passages")
     size = candidates.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = shards(spark, int(size))
+    n = max(1, -(-int(size) // SHARD_BYTES))
     shard = F.pmod(F.xxhash64("key"), F.lit(n)).cast("int").alias("shard")
     has = again.select("seed", shard).distinct()
     routes = (cut.select("owner", "start", F.explode("seeds").alias("seed")).join(has, "seed")
