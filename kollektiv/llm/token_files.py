@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from kollektiv.llm.common import arrow_map, byte_slices, scratch_path
 #: Ids per part of a file set.
 PART_IDS = 8_000_000
 #: Pieces whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 END_ID = 0
 
 _PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
@@ -50,6 +51,10 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        # a byte-level token has a character for each byte it stands for
+        self.bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.bytes[i] = len(token)
         self.forget()
 
     def forget(self) -> None:
@@ -59,38 +64,66 @@ class Encoder:
         self.length = np.zeros(1 << 16, np.int64)
         self.used = 0
 
+    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces one after the other, and how many each has.  The
+        pieces begin with white space, end in none and so join to one text, cut
+        again by the bytes that its tokens stand for."""
+        got = self.tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids
+        ids = np.array(got, np.uint32)
+        ends = np.cumsum(self.bytes[ids])
+        wanted = np.cumsum([len(p.encode()) for p in pieces])
+        cut = np.searchsorted(ends, wanted) + 1
+        if len(ends) != cut[-1] or not np.array_equal(ends[cut - 1], wanted):
+            each = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            return np.fromiter((i for x in each for i in x), np.uint32), np.array([len(x) for x in each], np.int64)
+        return ids, np.diff(cut, prepend=0)
+
     def _learn(self, pieces: list[str]) -> None:
-        for e in range(0, len(pieces), 20_000):
-            got = [x.ids for x in self.tokenizer.encode_batch_fast(pieces[e:e + 20_000], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, got), np.int64, len(got))
-            first, total = len(self.index), int(sizes.sum())
+        inner = [p for p in pieces if p[0] in " \t\n\r" and p[-1] not in " \t\n\r"]
+        other = [p for p in pieces if not (p[0] in " \t\n\r" and p[-1] not in " \t\n\r")]
+        for part in [inner[e:e + 2000] for e in range(0, len(inner), 2000)] + [[p] for p in other]:
+            ids, sizes = self._ids(part)
+            first, total = len(self.index), len(ids)
             while self.used + total > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            while first + len(got) > len(self.start):
+            while first + len(part) > len(self.start):
                 self.start = np.concatenate([self.start, np.zeros_like(self.start)])
                 self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-            self.flat[self.used:self.used + total] = np.fromiter((i for x in got for i in x), np.uint32, total)
-            self.length[first:first + len(got)] = sizes
-            self.start[first:first + len(got)] = self.used + np.cumsum(sizes) - sizes
+            self.flat[self.used:self.used + total] = ids
+            self.length[first:first + len(part)] = sizes
+            self.start[first:first + len(part)] = self.used + np.cumsum(sizes) - sizes
             self.used += total
-            self.index.update(zip(pieces[e:e + 20_000], range(first, first + len(got)), strict=True))
+            self.index.update(zip(part, range(first, first + len(part)), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text (without the end id)."""
-        cut = [[t] if _OTHER_SPACE.search(t) else _PIECE.findall(t) for t in texts]
-        pieces = [p for c in cut for p in c]
+        if not texts:
+            return []
+        cut = [([t] if t else []) if _OTHER_SPACE.search(t) else _PIECE.findall(t) for t in texts]
+        pieces = list(chain.from_iterable(cut))
         if len(self.index) > REMEMBERED:
             self.forget()
-        new = list({p: None for p in pieces if p not in self.index})
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        at = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
+            self._learn(list({pieces[i]: None for i in unknown}))
+            at[unknown] = [self.index[pieces[i]] for i in unknown]
         sizes = self.length[at]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         flat = self.flat[np.repeat(self.start[at] - (ends - sizes), sizes) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.cumsum([len(c) for c in cut])] if cut else []
-        return np.split(flat, bounds[:-1]) if len(bounds) else []
+        bounds = np.concatenate([[0], ends])[np.cumsum([len(c) for c in cut])]
+        return np.split(flat, bounds[:-1])
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The process's encoder: what a worker learnt in one task serves the next."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 # ---- the code ---------------------------------------------------------------
@@ -131,7 +164,7 @@ def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
     """doc_id, n_tokens, ids (little-endian, 16 bits each while the vocabulary
     allows, the end id last)."""
     def run(batches):
-        enc = Encoder(tokenizer)
+        enc = encoder(tokenizer)
         kind = np.dtype("<u2" if enc.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         for b in batches:
             for s in byte_slices(b, text_col):
