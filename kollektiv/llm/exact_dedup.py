@@ -3,8 +3,10 @@
 The index is a Parquet table of (digest, keep_id), bucketed and sorted by the
 digest.  New data is reduced to one row per digest, anti-joined with the index
 by a sort-merge join (the index side needs no shuffle) and what is new is
-appended.  The index survives the session: its files and bucket count are all
-that a later run needs.
+appended.  The index survives the session: its files, and the bucket count that
+an empty file ``_buckets_N`` beside them names, are all that a later run needs.
+A digest that an earlier run added keeps that run's row; group sizes are of the
+rows at hand.
 
 Defined cases: null text is empty; equal means identical after lower-casing
 A-Z only; null ids are lower than any other; of equal (id, text) rows one is
@@ -32,14 +34,33 @@ class DigestIndex:
     """Digests seen so far and the row that stays for each."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
-        self.spark, self.path, self.buckets = spark, path, buckets
+        """Opens the index at ``path``, with the bucket count it was made with;
+        ``buckets`` is for a new one."""
+        self.spark, self.path = spark, path
+        self.buckets = self._made_with(buckets)
         self.name = f"digest_index_{uuid.uuid4().hex[:12]}"
-        self._append(spark.createDataFrame([], "digest binary, keep_id long"))
+        # not by a write, which would clear a folder that the catalog does not know
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
+                  f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{place}'")
+
+    def _made_with(self, buckets: int) -> int:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(self.path)
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        for n in names:
+            if n.startswith("_buckets_"):
+                return int(n.removeprefix("_buckets_"))
+        if any(n.endswith(".parquet") for n in names):
+            raise ValueError(f"{self.path} holds files but no bucket count")
+        fs.create(hadoop.Path(folder, f"_buckets_{buckets}")).close()
+        return buckets
 
     def _append(self, rows: DataFrame) -> None:
         # one sorted file per bucket and append
         (rows.repartition(self.buckets, "digest").write.format("parquet").mode("append")
-         .bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.name))
+         .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
 
     def entries(self) -> DataFrame:
         return self.spark.table(self.name)

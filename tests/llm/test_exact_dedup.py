@@ -44,3 +44,15 @@ def test_index_only_grows_by_what_is_new(spark):
     assert sorted(r.keep_id for r in index.entries().collect()) == [6, 7, 8]
     plan = index.entries().hint("merge").join(digests(docs_of(spark, [(1, "a")])), "digest")._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan
+
+
+def test_index_is_opened_again_with_what_it_holds(spark):
+    path = scratch_path(spark, "test-index-again")
+    first = DigestIndex(spark, path, buckets=3)
+    first.add(digests(docs_of(spark, [(6, "A"), (7, "b")])))
+    other = spark.newSession()
+    again = DigestIndex(other, path, buckets=5)
+    again.add(digests(docs_of(other, [(9, "a"), (8, "c")])))
+    assert again.buckets == 3 and sorted(r.keep_id for r in again.entries().collect()) == [6, 7, 8]
+    rows = exact_dedup(docs_of(spark, [(20, "B"), (21, "c"), (22, "d")]), index_path=path, buckets=2).collect()
+    assert sorted((r.doc_id, r.keep_id, r.kept) for r in rows) == [(20, 7, False), (21, 8, False), (22, 22, True)]
