@@ -1,24 +1,30 @@
-"""Toxicity by class-conditional Kneser-Ney models.
-
-Two interpolated bigram models with absolute discounting, one of toxic and one
-of ordinary documents, share their lowest order: the continuation counts (in
-how many documents a word stands) of the whole corpus, labelled or not.  A
-word or pair that a class knows from few documents is discounted to nothing
-and backs off, so it counts the same for both classes, and only expressions
-that a class favours move the score.  Counts are of documents, since one
-document that repeats a word says as much as one that has it once, and the
-discount grows with the root of the count, as the error of a count does.
+"""Toxicity by class-conditional bigram models over Kneser-Ney lower orders.
+
+Two interpolated bigram models, one of toxic and one of ordinary documents, in
+three levels: pairs, the class's continuation counts (in how many contexts, the
+distinct words before it, a word stands in the class's documents) and the
+continuation counts of the whole corpus, labelled or not, which both share.
+The class's continuation counts have the absolute discounts D1, D2, D3+ of
+modified Kneser-Ney for counts of 1, 2 and more, estimated from the counts of
+counts, so a word that a class has once counts too.  Pairs do not: they are
+counted by documents, since one document that repeats a pair says as much as one
+that has it once, and their discount grows with the root of the count, as the
+error of a count does.  It takes all of a pair that six documents or fewer have;
+with the absolute discounts single pairs drown what tells toxic texts (figures in
+the README).  What a discount takes goes to the next level.
 
 A document's evidence is the log-likelihood ratio of its words divided by
 their number, over the whole text and over its most toxic few words; a
 logistic curve, fitted on labelled documents that the models did not see, turns
 the two into a score.
 
-Words and pairs are counted in a fixed number of hashed slots, so a model has a
-proven size, whatever the corpus.  The continuation counts come from every
-document: each task adds up its own table and sends it in slices, which are
-summed slice by slice.  The class models come from a bounded sample of the
-labelled rows (``MOST_LABELLED`` of each class, by a hash of the id).
+Words and pairs are known by 64-bit hashes.  The shared counts come from the
+distinct pairs of every document, which Spark counts by word.  The class models
+come from a bounded sample of the labelled rows (``MOST_LABELLED`` of each
+class, by a hash of the id), so the words they know are bounded too, and only
+those words' shared counts are looked up: of a word that neither class has,
+both models give the same share of the same shared probability, which is no
+evidence whatever it is.
 
 A word is a run of letters, digits and bytes over 127, A-Z lower-cased.
 
@@ -44,9 +50,7 @@ from kollektiv.llm import words as W
 from kollektiv.llm.common import arrow_map, byte_slices, stage_table
 
 U = np.uint64
-#: Slots of the word tables and of the word pair tables.
-WORD_SLOTS, PAIR_SLOTS = 1 << 19, 1 << 21
-#: The discount of a count n is this times the root of n.
+#: The discount of a pair that n documents have is this times the root of n.
 DISCOUNT = 2.5
 #: Words of the most toxic stretch.
 WINDOW = 3
@@ -54,7 +58,6 @@ WINDOW = 3
 MOST_LABELLED = 8_000
 #: One labelled document in so many is kept from the models for the curve.
 HELD_FOR_CURVE = 4
-_SLICES = 16
 
 _LETTERS = np.zeros(256, bool)
 _LETTERS[48:58] = _LETTERS[65:91] = _LETTERS[97:123] = _LETTERS[128:] = True
@@ -64,14 +67,21 @@ def letter_words(column: pa.Array) -> W.Words:
     return W.Words(column, lower=True, word_bytes=_LETTERS)
 
 
-def _slots(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each position: word slot, slot of the word before, pair slot.  The
-    word before a text's first word is the same for all texts."""
+def _pairs(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Of each position: hash of the word before, hash of the pair.  The word
+    before a text's first word is the same for all texts."""
     before = np.zeros(len(w), U)
     before[1:] = w.hash[:-1]
     before[w.off[:-1][w.counts > 0]] = 0
-    return ((w.hash >> U(45)).astype(np.int64), (before >> U(45)).astype(np.int64),
-            (W.join2(before, w.hash) >> U(43)).astype(np.int64))
+    return before, W.join2(before, w.hash)
+
+
+def _place(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Row of each value in the ascending ``keys``, len(keys) if it has none."""
+    if not len(keys):
+        return np.zeros(len(values), np.int64)
+    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+    return np.where(keys[at] == values, at, len(keys))
 
 
 def _once(text: np.ndarray, *slots: np.ndarray) -> np.ndarray:
@@ -84,10 +94,24 @@ def _once(text: np.ndarray, *slots: np.ndarray) -> np.ndarray:
 
 
 def kept(n: np.ndarray) -> np.ndarray:
-    """Counts after the discount."""
+    """Counts of pairs after their discount."""
     return np.maximum(n - DISCOUNT * np.sqrt(n), 0.0)
 
 
+def discounts(n: np.ndarray) -> np.ndarray:
+    """What modified Kneser-Ney takes off the counts: D1, D2 or D3+ of each,
+    from how many counts are 1, 2, 3 and 4."""
+    of = np.bincount(np.minimum(n, 5).astype(np.int64), minlength=6).astype(float)
+    if not of[1] or not of[2]:
+        return np.where(n > 0, 0.5, 0.0)
+    y = of[1] / (of[1] + 2 * of[2])
+    d = np.zeros(4)
+    for k in (1, 2, 3):
+        # something always backs off; with too few counts to tell as for the one below
+        d[k] = min(max(k - (k + 1) * y * of[k + 1] / of[k], 0.01), k) if of[k] else d[k - 1]
+    return d[np.minimum(n, 3).astype(np.int64)]
+
+
 @dataclass
 class Model:
     """Probability parts by class (0 ordinary, 1 toxic)."""
@@ -96,19 +120,26 @@ class Model:
     back: list[np.ndarray]      # weight of P(word) after a context
     pair: list[np.ndarray]      # P(word | context) beyond what backs off
     curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    words: np.ndarray | None = None     # ascending hashes of the rows of word and back; the last row is any other word's
+    pairs: np.ndarray | None = None     # ascending hashes of the rows of pair; the last row is any other pair's
 
     def ratio(self, word, context, pair) -> np.ndarray:
         """log P(word | context, toxic) - log P(word | context, ordinary)."""
         p = [self.pair[c][pair] + self.back[c][context] * self.word[c][word] for c in (0, 1)]
         return np.log(p[1] / p[0])
 
+    def rows(self, w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each position: rows of the word, the word before and the pair."""
+        before, pair = _pairs(w)
+        return _place(self.words, w.hash), _place(self.words, before), _place(self.pairs, pair)
+
     def evidence(self, column: pa.Array) -> np.ndarray:
         """(mean ratio, mean ratio of the most toxic stretch) of each text."""
         w = letter_words(column)
         out = np.zeros((len(column), 2))
         if not len(w):
             return out
-        sums = np.concatenate([[0.0], np.cumsum(self.ratio(*_slots(w)))])
+        sums = np.concatenate([[0.0], np.cumsum(self.ratio(*self.rows(w)))])
         counts = w.counts
         has = np.flatnonzero(counts)
         out[has, 0] = (sums[w.off[1:]] - sums[w.off[:-1]])[has] / counts[has]
@@ -141,84 +172,74 @@ def _for_curve(doc_id: int) -> bool:
     return zlib.crc32(b"curve%d" % doc_id) % HELD_FOR_CURVE == 0
 
 
-def _document_counts(docs: DataFrame) -> np.ndarray:
-    """Documents that each word slot stands in, over all of ``docs``."""
-    def count(batches):
-        n = np.zeros(WORD_SLOTS, np.int64)
-        for b in batches:
-            for s in byte_slices(b, "text"):
-                w = letter_words(s["text"])
-                slot = (w.hash >> U(45)).astype(np.int64)
-                # slots of a text in one number: texts of a slice are few
-                n += np.bincount(np.unique(w.text_of() * WORD_SLOTS + slot) % WORD_SLOTS, minlength=WORD_SLOTS)
-        for i, x in enumerate(np.split(n, _SLICES)):
-            if x.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["slice", "data"])
-
-    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(WORD_SLOTS // _SLICES, np.int64)
-        for b in batches:
-            for x in b["data"]:
-                total += np.frombuffer(x.as_py(), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slice", "data"])
-    schema = "slice int, data binary"
-    parts = docs.select("text").mapInArrow(count, schema)
-    # two rounds: no task adds the slices of more than the root of all tasks
-    some = parts.withColumn("group", F.floor(F.sqrt(F.spark_partition_id())).cast("int"))
-    rows = some.groupBy("slice", "group").applyInArrow(add, schema).groupBy("slice").applyInArrow(add, schema).collect()
-    table = np.zeros((_SLICES, WORD_SLOTS // _SLICES), np.int64)       # fixed size
-    for r in rows:
-        table[r["slice"]] = np.frombuffer(r["data"], np.int64)
-    return table.reshape(-1)
-
-
-def _class_counts(docs: DataFrame) -> DataFrame:
-    """kind, mark, slot, context, n: documents of each mark that have a word or
-    a pair (kinds ``word``, ``pair``), and (document, pair) rows of each context
-    (kind ``context``).  ``docs``: mark, text."""
+def _continuations(docs: DataFrame) -> DataFrame:
+    """word, contexts: in how many distinct contexts a word stands in ``docs``."""
+    def pairs(b: pa.RecordBatch):
+        for s in byte_slices(b, "text"):
+            w = letter_words(s["text"])
+            if len(w):
+                before, pair = _pairs(w)
+                at = np.unique(pair, return_index=True)[1]
+                yield pa.RecordBatch.from_arrays([pa.array(w.hash[at].view(np.int64)), pa.array(before[at].view(np.int64))], ["word", "before"])
+    # dealt by pair first, so a common word's contexts are counted in many tasks
+    return (arrow_map(docs.select("text"), pairs, "word long, before long").distinct()
+            .groupBy("word").agg(F.count(F.lit(1)).alias("contexts")))
+
+
+def _class_pairs(docs: DataFrame) -> DataFrame:
+    """word, before, ordinary, toxic: documents of each mark that have a pair.
+    ``docs``: mark, text."""
     def count(b: pa.RecordBatch):
         for s in byte_slices(b, "text"):
             w = letter_words(s["text"])
-            word, context, pair = _slots(w)
+            if not len(w):
+                continue
+            before, pair = _pairs(w)
             text = w.text_of()
-            mark = s["mark"].to_numpy().astype(np.int64)[text]
-            one, two = _once(text, word), _once(text, pair, context)
-            zero = np.zeros(len(w), np.int64)
-            for kind, slot, ctx, at in (("word", word, zero, one), ("context", context, zero, two), ("pair", pair, context, two)):
-                for m in (0, 1):
-                    k = at[mark[at] == m]
-                    if not len(k):
-                        continue
-                    rows, n = np.unique(slot[k] * WORD_SLOTS + ctx[k], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([kind] * len(rows)), pa.array(np.full(len(rows), m, np.int32)), pa.array(rows // WORD_SLOTS),
-                         pa.array(rows % WORD_SLOTS), pa.array(n.astype(np.int64))], ["kind", "mark", "slot", "context", "n"])
-    return (arrow_map(docs.select("mark", "text"), count, "kind string, mark int, slot long, context long, n long")
-            .groupBy("kind", "mark", "slot", "context").agg(F.sum("n").alias("n")))
+            at = _once(text, pair)
+            toxic = s["mark"].to_numpy().astype(np.int64)[text[at]]
+            yield pa.RecordBatch.from_arrays([pa.array(w.hash[at].view(np.int64)), pa.array(before[at].view(np.int64)),
+                                              pa.array(1 - toxic), pa.array(toxic)], ["word", "before", "ordinary", "toxic"])
+    return (arrow_map(docs.select("mark", "text"), count, "word long, before long, ordinary long, toxic long")
+            .groupBy("word", "before").agg(F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")))
+
+
+def _columns(df: DataFrame) -> dict[str, np.ndarray]:
+    """The columns of a bounded frame; hashes are signed in Spark."""
+    t = df.toArrow()
+    return {c: t[c].to_numpy().view(U) if c in ("word", "before") else t[c].to_numpy() for c in t.column_names}
 
 
 def train(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED) -> Model:
     """``docs``: doc_id, text.  ``known``: doc_id, mark (1 toxic, 0 ordinary)."""
     spark = docs.sparkSession
     marked, totals = sample_marks(known, most)
-    shared = _document_counts(docs) + 1.0 / WORD_SLOTS       # an unseen word is possible too
-    shared /= shared.sum()
     learnt = spark.createDataFrame([(i, m) for i, m in marked.items() if not _for_curve(i)], "doc_id long, mark int")
-    counts = stage_table(_class_counts(docs.join(F.broadcast(learnt), "doc_id")), "class-counts")   # bounded by the sample
-    totals_of = {(r["kind"], r["mark"]): r["n"] for r in counts.groupBy("kind", "mark").agg(F.sum("n").alias("n")).collect()}
-    # rows that the discount leaves nothing of are only in the sums
-    left = counts.filter(F.col("n") > DISCOUNT ** 2).toPandas()
-    model = Model([], [], [])
-    for c in (0, 1):
-        rows = {k: left[(left["kind"] == k) & (left["mark"] == c)] for k in ("word", "context", "pair")}
-        word = np.zeros(WORD_SLOTS)
-        word[rows["word"]["slot"]] = kept(rows["word"]["n"].to_numpy(float)) / max(totals_of.get(("word", c), 0), 1)
-        model.word.append(word + (1.0 - word.sum()) * shared)
-        after = np.full(WORD_SLOTS, np.inf)
-        after[rows["context"]["slot"]] = rows["context"]["n"]
-        part = kept(rows["pair"]["n"].to_numpy(float)) / after[rows["pair"]["context"]]
-        model.pair.append(np.bincount(rows["pair"]["slot"], part, PAIR_SLOTS).astype(np.float32))
-        model.back.append(1.0 - np.bincount(rows["pair"]["context"], part, WORD_SLOTS))
+    counts = stage_table(_class_pairs(docs.join(F.broadcast(learnt), "doc_id")), "class-pairs")   # bounded by the sample
+    shared = stage_table(_continuations(docs), "continuations")
+    # every pair of the corpus, one for the start of a text and one for a word it does not have
+    n_pairs = (shared.agg(F.sum("contexts").alias("n")).first().n or 0) + 2
+    common = _columns(shared.join(counts.select("word").distinct(), "word", "left_semi"))
+    order = np.argsort(common["word"])
+    words = np.append(U(0), common["word"][order])          # 0 stands before a text
+    # a word that no class has gets the same of both models, whatever stands here
+    base = np.concatenate([[1], common["contexts"][order], [1]]) / n_pairs
+    got = _columns(counts)
+    hashes = W.join2(got["before"], got["word"])
+    order = np.argsort(hashes)
+    model = Model([], [], [], words=words, pairs=hashes[order])
+    word, before = _place(words, got["word"][order]), _place(words, got["before"][order])
+    for c in ("ordinary", "toxic"):
+        n = got[c][order]
+        contexts = np.bincount(word[n > 0], minlength=len(base))
+        off = discounts(contexts)
+        pairs = max(contexts.sum(), 1)
+        p = (contexts - off) / pairs
+        model.word.append(p + (1.0 - p.sum()) * base)
+        part = kept(n)
+        after = np.maximum(np.bincount(before, n, len(base)), 1e-300)
+        model.pair.append(np.append(part / after[before], 0.0).astype(np.float32))
+        model.back.append(1.0 - np.bincount(before, part, len(base)) / after)
     model.curve = _curve(docs, marked, totals, model)
     return model
 

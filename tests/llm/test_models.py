@@ -70,6 +70,36 @@ def test_model_is_a_distribution_and_discounts():
     assert m.ratio(np.array([0, 1]), np.array([0, 0]), np.array([0, 1])).tolist() == [0, 0]
 
 
+def test_shared_counts_are_of_distinct_contexts_in_every_document(spark):
+    rows = [(1, "a b a b"), (2, "a b c b"), (3, "d b"), (None, "A b"), (4, None)]
+    got = {r.word: r.contexts for r in T._continuations(docs_of(spark, rows).repartition(3)).collect()}
+    pairs = {(w[k - 1] if k else None, x) for _, t in rows for w in [(t or "").lower().split()] for k, x in enumerate(w)}
+    name = {T.letter_words(pa.array([x])).hash.view(np.int64)[0]: x for x in "abcd"}
+    assert {name[w]: n for w, n in got.items()} == {x: sum(p[1] == x for p in pairs) for x in "abcd"}
+
+
+def test_discounts_are_of_modified_kneser_ney():
+    n = np.repeat([0, 1, 2, 3, 4, 9], [5, 100, 40, 20, 10, 3])
+    y = 100 / 180
+    d = dict(zip(n.tolist(), T.discounts(n).tolist(), strict=True))
+    assert d == pytest.approx({0: 0, 1: 1 - 2 * y * 0.4, 2: 2 - 3 * y * 0.5, 3: 3 - 4 * y * 0.5, 4: 3 - 4 * y * 0.5, 9: 3 - 4 * y * 0.5})
+    assert (T.discounts(np.array([1, 0, 7])) < 1).all()
+
+
+def model_of(spark, rows, marks):
+    known = T.marks(labels_of(spark, marks), "toxic")
+    return T.train(docs_of(spark, rows).select("doc_id", "text"), known)
+
+
+def test_a_rare_toxic_expression_adds_to_the_score(spark):
+    rows, marks = corpus(600)
+    seen = [i for i, _, t in marks if t and not T._for_curve(i)][:3]
+    rows = [(i, t + " scarce" if i in seen else t) for i, t in rows]
+    m = model_of(spark, rows, marks)
+    plain, rare = m.evidence(pa.array(["word1 word2 unheard", "word1 word2 scarce"]))
+    assert rare[1] > plain[1] + 0.5
+
+
 def test_quality_tells_noise_from_prose(spark):
     rnd = random.Random(8)
     rows, marks = [], []
