@@ -38,8 +38,8 @@ counts; with labels of one class only, or none, every score is that class's
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +58,8 @@ WINDOW = 3
 MOST_LABELLED = 8_000
 #: One labelled document in so many is kept from the models for the curve.
 HELD_FOR_CURVE = 4
+#: Rounds in which the distinct pairs of the corpus are counted.
+ROUNDS = 8
 
 _LETTERS = np.zeros(256, bool)
 _LETTERS[48:58] = _LETTERS[65:91] = _LETTERS[97:123] = _LETTERS[128:] = True
@@ -173,17 +175,23 @@ def _for_curve(doc_id: int) -> bool:
 
 
 def _continuations(docs: DataFrame) -> DataFrame:
-    """word, contexts: in how many distinct contexts a word stands in ``docs``."""
-    def pairs(b: pa.RecordBatch):
-        for s in byte_slices(b, "text"):
-            w = letter_words(s["text"])
-            if len(w):
+    """word, contexts: in how many distinct contexts a word stands in ``docs``.
+    Counted for a ``ROUNDS``-th of the words at a time, by hash, so that is what
+    the shuffled pairs take on disk; each round reads the texts again."""
+    def of(turn: int) -> DataFrame:
+        def pairs(b: pa.RecordBatch):
+            for s in byte_slices(b, "text"):
+                w = letter_words(s["text"])
                 before, pair = _pairs(w)
-                at = np.unique(pair, return_index=True)[1]
-                yield pa.RecordBatch.from_arrays([pa.array(w.hash[at].view(np.int64)), pa.array(before[at].view(np.int64))], ["word", "before"])
-    # dealt by pair first, so a common word's contexts are counted in many tasks
-    return (arrow_map(docs.select("text"), pairs, "word long, before long").distinct()
-            .groupBy("word").agg(F.count(F.lit(1)).alias("contexts")))
+                mine = np.flatnonzero(w.hash % U(ROUNDS) == turn)
+                at = mine[np.unique(pair[mine], return_index=True)[1]]
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(w.hash[at].view(np.int64)), pa.array(before[at].view(np.int64))], ["word", "before"])
+        # dealt by pair first, so a common word's contexts are counted in many tasks
+        return (arrow_map(docs.select("text"), pairs, "word long, before long").distinct()
+                .groupBy("word").agg(F.count(F.lit(1)).alias("contexts")))
+    rounds = [stage_table(of(i), f"continuations-{i}") for i in range(ROUNDS)]
+    return reduce(DataFrame.union, rounds)
 
 
 def _class_pairs(docs: DataFrame) -> DataFrame:
@@ -216,30 +224,31 @@ def train(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED) -> Model
     marked, totals = sample_marks(known, most)
     learnt = spark.createDataFrame([(i, m) for i, m in marked.items() if not _for_curve(i)], "doc_id long, mark int")
     counts = stage_table(_class_pairs(docs.join(F.broadcast(learnt), "doc_id")), "class-pairs")   # bounded by the sample
-    shared = stage_table(_continuations(docs), "continuations")
+    shared = _continuations(docs)
     # every pair of the corpus, one for the start of a text and one for a word it does not have
     n_pairs = (shared.agg(F.sum("contexts").alias("n")).first().n or 0) + 2
-    common = _columns(shared.join(counts.select("word").distinct(), "word", "left_semi"))
+    names = ("ordinary", "toxic")
+    common = _columns(counts.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(c) for c in names]).join(shared, "word"))
     order = np.argsort(common["word"])
     words = np.append(U(0), common["word"][order])          # 0 stands before a text
     # a word that no class has gets the same of both models, whatever stands here
     base = np.concatenate([[1], common["contexts"][order], [1]]) / n_pairs
-    got = _columns(counts)
+    contexts = _columns(counts.groupBy("before").agg(*[F.sum(c).alias(c) for c in names]))
+    # a pair that the discount leaves nothing of is as any other pair
+    got = _columns(counts.filter(F.greatest(*names) > DISCOUNT ** 2))
     hashes = W.join2(got["before"], got["word"])
     order = np.argsort(hashes)
     model = Model([], [], [], words=words, pairs=hashes[order])
-    word, before = _place(words, got["word"][order]), _place(words, got["before"][order])
-    for c in ("ordinary", "toxic"):
-        n = got[c][order]
-        contexts = np.bincount(word[n > 0], minlength=len(base))
-        off = discounts(contexts)
-        pairs = max(contexts.sum(), 1)
-        p = (contexts - off) / pairs
+    before = _place(words, got["before"][order])
+    for c in names:
+        n = np.concatenate([[0], common[c][np.argsort(common["word"])], [0]])
+        p = (n - discounts(n)) / max(n.sum(), 1)
         model.word.append(p + (1.0 - p.sum()) * base)
-        part = kept(n)
-        after = np.maximum(np.bincount(before, n, len(base)), 1e-300)
-        model.pair.append(np.append(part / after[before], 0.0).astype(np.float32))
-        model.back.append(1.0 - np.bincount(before, part, len(base)) / after)
+        after = np.full(len(base), np.inf)
+        after[_place(words, contexts["before"])] = np.maximum(contexts[c], 1)
+        part = kept(got[c][order]) / after[before]
+        model.pair.append(np.append(part, 0.0).astype(np.float32))
+        model.back.append(1.0 - np.bincount(before, part, len(base)))
     model.curve = _curve(docs, marked, totals, model)
     return model
 

@@ -100,6 +100,15 @@ def test_a_rare_toxic_expression_adds_to_the_score(spark):
     assert rare[1] > plain[1] + 0.5
 
 
+def test_distinct_words_never_share_counts(spark):
+    rows, marks = corpus(300)
+    m = model_of(spark, rows, marks)
+    odd = [f"odd{i}" for i in range(200_000)]
+    r = m.ratio(*m.rows(T.letter_words(pa.array([" ".join(odd)]))))
+    # words that no class has are no evidence for one class more than another
+    assert np.ptp(r[1:]) < 1e-9
+
+
 def test_quality_tells_noise_from_prose(spark):
     rnd = random.Random(8)
     rows, marks = [], []
