@@ -4,15 +4,16 @@ A license template and a stretch of a document are aligned on the words that
 are unique in both: the longest increasing subsequence of their positions
 anchors the alignment, and the gaps between anchors are aligned the same way,
 until no word is unique on both sides (equal words at the edges of a gap are
-matched first).  Coverage is the share of the template's words that the
+matched first).  Where the words of a gap only repeat, as in a notice that stands
+twice, its longest common subsequence that ends first is matched.  Coverage is the share of the template's words that the
 alignment matches.
 
 A template is only aligned with stretches that can reach the coverage asked
 for: every window of twice the template's length is counted for words that the
 template has (by hash, for the whole batch at once), and windows with too few
 are skipped, which loses nothing whose matched words lie within one and a half
-template lengths.  Neighbouring windows join into one stretch, and long
-stretches are aligned piece by piece.
+template lengths.  Neighbouring windows join into one stretch, and a stretch
+that does not give the whole template is aligned window by window too.
 
 A word is a run of letters, digits and bytes over 127, A-Z lower-cased.
 
@@ -69,8 +70,38 @@ def increasing(values: list[int]) -> list[int]:
     return out[::-1]
 
 
-def align(template: list, text: list) -> list[tuple[int, int]]:
-    """Matched (template, text) positions, ascending in both."""
+def common(template: list, text: list) -> list[tuple[int, int]]:
+    """A longest common subsequence, of those that end first in the text the one
+    whose words stand last; rows of bits, one of a text position."""
+    m = len(template)
+    at: dict = {}
+    for i, w in enumerate(template):
+        at[w] = at.get(w, 0) | 1 << i
+    full = (1 << m) - 1
+    row, rows, best, end = full, [full], 0, 0
+    for j, w in enumerate(text, 1):
+        x = row & at.get(w, 0)
+        row = ((row + x) | (row - x)) & full
+        rows.append(row)
+        n = m - row.bit_count()
+        if n > best:
+            best, end = n, j
+    # a clear bit i of a row: the subsequence grows with template word i
+    out, i, j = [], m, end
+    length = lambda i, j: i - (rows[j] & ((1 << i) - 1)).bit_count()
+    while best:
+        while length(i - 1, j) == best:
+            i -= 1
+        while template[i - 1] != text[j - 1] or length(i - 1, j - 1) != best - 1:
+            j -= 1
+        out.append((i - 1, j - 1))
+        i, j, best = i - 1, j - 1, best - 1
+    return out[::-1]
+
+
+def align(template: list, text: list, repeats: bool = False) -> list[tuple[int, int]]:
+    """Matched (template, text) positions, ascending in both.  With ``repeats``,
+    gaps of words that only repeat are matched by ``common``."""
     out, todo = [], [(0, len(template), 0, len(text))]
     while todo:
         a, b, c, d = todo.pop()
@@ -87,6 +118,8 @@ def align(template: list, text: list) -> list[tuple[int, int]]:
         both = [(i, place[w]) for i, w in enumerate(template[a:b], a) if left[w] == 1 and w in place]
         anchors = [both[i] for i in increasing([p for _, p in both])]
         if not anchors:
+            if repeats:
+                out += [(a + i, c + j) for i, j in common(template[a:b], text[c:d])]
             continue
         out += anchors
         for (p, q), (r, s) in zip([(a - 1, c - 1), *anchors], [*anchors, (b, d)], strict=True):
@@ -94,19 +127,25 @@ def align(template: list, text: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def _stretches(has: np.ndarray, span: int, need: int) -> list[tuple[int, int]]:
-    """Joined windows of ``span`` positions, every half span, with at least
-    ``need`` marked ones; none longer than four spans."""
+def _windows(has: np.ndarray, span: int, need: int) -> list[tuple[int, int]]:
+    """Windows of ``span`` positions, every half span, with at least ``need``
+    marked ones."""
     sums = np.concatenate([[0], np.cumsum(has)])
     half = max(1, span // 2)
     lo = np.arange(0, max(1, len(has) - half), half)
     hi = np.minimum(lo + span, len(has))
-    out: list[tuple[int, int]] = []
-    for a, b in zip(lo[sums[hi] - sums[lo] >= need].tolist(), hi[sums[hi] - sums[lo] >= need].tolist(), strict=True):
-        if out and a <= out[-1][1] and b - out[-1][0] <= 4 * span:
-            out[-1] = (out[-1][0], b)
+    ok = sums[hi] - sums[lo] >= need
+    return list(zip(lo[ok].tolist(), hi[ok].tolist(), strict=True))
+
+
+def _stretches(windows: list[tuple[int, int]], span: int) -> list[list[tuple[int, int]]]:
+    """Neighbouring windows that join into stretches of at most four spans."""
+    out: list[list[tuple[int, int]]] = []
+    for a, b in windows:
+        if out and a <= out[-1][-1][1] and b - out[-1][0][0] <= 4 * span:
+            out[-1].append((a, b))
         else:
-            out.append((a, b))
+            out.append([(a, b)])
     return out
 
 
@@ -141,11 +180,17 @@ class Scanner:
                     continue
                 has = np.zeros(len(h), bool)
                 has[may] = np.isin(h[may], own)
-                best = None
-                for lo, hi in _stretches(has, 2 * len(words), need):
-                    got = align(words, h[lo:hi].tolist())
-                    if len(got) >= need and (best is None or len(got) > best[2]):
-                        best = (int(t), k, len(got), lo + got[0][1], lo + got[-1][1] + 1)
+                best, times = None, Counter(words)
+                for windows in _stretches(_windows(has, 2 * len(words), need), 2 * len(words)):
+                    for lo, hi in [(windows[0][0], windows[-1][1]), *windows]:
+                        there = h[lo:hi][has[lo:hi]].tolist()
+                        # no alignment has more than the words that both have
+                        if (times & Counter(there)).total() < max(need, best[2] + 1 if best else 0):
+                            continue
+                        # words that only repeat are matched within one window
+                        got = align(words, h[lo:hi].tolist(), hi - lo <= 2 * len(words))
+                        if len(got) >= need and (best is None or len(got) > best[2]):
+                            best = (int(t), k, len(got), lo + got[0][1], lo + got[-1][1] + 1)
                 if best:
                     out.append(best)
         return out

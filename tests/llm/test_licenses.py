@@ -64,3 +64,24 @@ def test_changed_words_lower_the_coverage(spark):
 def test_empty(spark):
     assert L.licenses(docs_of(spark, [])).count() == 0
     assert L.licenses(docs_of(spark, [(1, "a b")]), templates=[("x", ""), ("y", "?!")]).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=8), st.lists(st.sampled_from("abcd"), max_size=9))
+def test_common_is_a_longest_common_subsequence(a, b):
+    pairs = L.common(a, b)
+    assert all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+    has = lambda c: all(x in it for it in [iter(b)] for x in c)
+    assert len(pairs) == max(k for k in range(len(a) + 1) if any(has(c) for c in combinations(a, k)))
+
+
+def test_notices_that_stand_twice_are_found(spark):
+    rnd = random.Random(5)
+    prose = lambda n: " ".join(f"w{rnd.randrange(400)}" for _ in range(n))
+    rows, k = [], len(L.TEMPLATES)
+    for i, gap in enumerate((0, 1, 5, 20)):
+        rows += [(i * k + j, f"{prose(40 + j)} {text} {prose(gap)} {text} {prose(60)}") for j, (_, text) in enumerate(L.TEMPLATES)]
+    got = {(r.doc_id, r.template): r for r in L.licenses(docs_of(spark, rows)).collect()}
+    for i, _ in rows:
+        hit = got[i, i % k]
+        assert hit.coverage == 1.0 and (hit.first_word, hit.last_word) == (40 + i % k, 40 + i % k + hit.n_words)
