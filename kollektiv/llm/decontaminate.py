@@ -8,7 +8,9 @@ document lies whole in one of them, where its share of the window has a floor.
 
 Sketches are one-permutation MinHash: ``BINS`` bins by hash, the least hash of
 each.  A window and an item are a candidate if some bin agrees, so an item
-copied for 80 % is missed with a chance of about 0.8 ** BINS.  Only shingles
+copied for 80 % is missed with a chance of about 0.8 ** BINS.  An item of fewer
+than ``FEW`` shingles has too few bins for that: any of its shingles makes it a
+candidate.  Only shingles
 that are some item's least need looking at, so a window's bins are worked out
 when a shingle asks for them.  Candidates are verified by exact containment:
 the item's distinct shingles that the whole document has.
@@ -38,6 +40,7 @@ from kollektiv.llm.common import arrow_map, byte_slices
 U = np.uint64
 SHINGLE, PERCENT = 5, 80
 BINS = 128
+FEW = 4
 #: Items that one pass looks for.
 BLOCK = 20_000
 _FILTER = 1 << 22
@@ -69,7 +72,7 @@ class Items:
             if len(x):
                 size = 1 << int(len(x) - 1).bit_length()       # 1, 2, 4, 8, ...
                 first = np.flatnonzero(np.concatenate([[True], np.diff(_bin(x)) > 0]))
-                for h in x[first]:
+                for h in x if len(x) < FEW else x[first]:
                     groups.setdefault((k, 2 * max(size, 4)), {}).setdefault(int(h), []).append(i)
         least, filters = {}, {}
         for key, g in groups.items():
@@ -94,6 +97,10 @@ class Items:
             for p, i in zip(at[known].tolist(), place[known].tolist(), strict=True):
                 if out.issuperset(items[i]):
                     continue
+                few = [j for j in items[i] if len(self.sets[j]) < FEW]
+                out.update(few)
+                if len(few) == len(items[i]):
+                    continue
                 block = p // half
                 for lo in {max(block - 1, 0) * half, block * half}:
                     window = g[lo:lo + span]

@@ -74,3 +74,13 @@ def test_empty_tables(spark):
     assert D.contained(docs_of(spark, []), items_of(spark, items)).count() == 0
     assert D.contained(docs_of(spark, docs), items_of(spark, [])).count() == 0
     assert D.clean(docs_of(spark, docs), items_of(spark, [])).count() == len(docs)
+
+
+def test_items_of_one_shingle_are_never_missed():
+    import pyarrow as pa
+
+    from kollektiv.llm.decontaminate import Items
+    n = 2000
+    items = Items.of(list(range(n)), [f"i{k}a i{k}b i{k}c i{k}d i{k}e" for k in range(n)])
+    texts = [f"x{k} y{k} z{k} u{k} i{k}a i{k}b i{k}c i{k}d i{k}e v{k} r{k} s{k} t{k}" for k in range(n)]
+    assert items.matches(pa.array(texts)) == [(k, k, 1) for k in range(n)]
