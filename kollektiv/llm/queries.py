@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kollektiv.llm import decontaminate, exact_dedup, licenses, mixing, phrase_dedup, prefix_join, quality, token_files, toxicity, warc
+from kollektiv.llm import (
+    decontaminate, exact_dedup, hard_negatives, licenses, mixing, personal, phrase_dedup, prefix_join, quality, runs, token_files,
+    toxicity, warc,
+)
 from kollektiv.llm.common import prepare, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,6 +168,45 @@ def op8(spark, sf_dir):
     return licenses.licenses(table(spark, sf_dir, "documents"))
 
 
+@register("op11_periodic_runs")
+def op11(spark, sf_dir):
+    prepare(spark)
+    return runs.run_digests(runs.periodic_runs(runs.plant(table(spark, sf_dir, "documents"))))
+
+
+@register("op12_hard_negatives", """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q, row_number() OVER () AS r
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.r AS anchor_row, b.vec_id AS id, a.label = b.label AS same,
+         list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, anchor_row, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_row ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.anchor_row, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_row = s.anchor_row AND NOT same
+ AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3""")
+def op12(spark, sf_dir):
+    prepare(spark)
+    vec_id, label = F.col("vec_id"), F.col("label")
+    return hard_negatives.hard_negatives(hard_negatives.quantised(
+        table(spark, sf_dir, "embeddings"), F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label), vec_id % 50 == 0))
+
+
+@register("op13_personal_data")
+def op13(spark, sf_dir):
+    prepare(spark)
+    return personal.span_digests(personal.find_personal(table(spark, sf_dir, "documents")))
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     from corpus_pipeline import run

@@ -16,7 +16,7 @@ SMOKE = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator_and_the_pipeline():
     import __spark_entry__ as E
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")) == list(range(1, 14))
     assert "pipeline" in QUERIES and set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
