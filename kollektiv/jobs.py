@@ -4,7 +4,8 @@
     python -m kollektiv.jobs live    --landing L --bronze B [--date D] [--ts T]
     python -m kollektiv.jobs stream  --landing L --bronze B --checkpoint C [--once]
     python -m kollektiv.jobs silver  --bronze B --silver S [--days D1,D2]
-    python -m kollektiv.jobs models  --bronze B --gold G [--silver S] [--zone Z] [--threads N]
+    python -m kollektiv.jobs models  --bronze B --gold G [--database D] [--silver S] [--zone Z] [--threads N]
+    python -m kollektiv.jobs attach  --gold G --database D
     python -m kollektiv.jobs test    --bronze B
 
 ``live`` loads one snapshot: every XML file under ``--landing`` belongs to it
@@ -65,8 +66,12 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--gold", required=True)
     s.add_argument("--zone")
     s.add_argument("--threads", type=int, default=4)
+    s.add_argument("--database", default="kollektiv", help="catalog database of the published views and tables")
     s.add_argument("--latest-lines-only", action="store_true", help="one dim_line row per line")
     s.add_argument("--silver", help="read the silver timetable maintained by the silver job")
+    s = sub.add_parser("attach", help="published names of a finished run, in this session's catalog, at their newest versions")
+    s.add_argument("--gold", required=True)
+    s.add_argument("--database", default="kollektiv")
     s = sub.add_parser("test", help="run the 17 declared column tests; exit 1 on any failure")
     s.add_argument("--bronze", required=True)
     s.add_argument("--zone")
@@ -105,8 +110,11 @@ def main(argv: list[str] | None = None) -> int:
             from kollektiv.plans.models import run_models
             timings: dict = {}
             paths = run_models(spark, args.bronze, args.gold, zone=args.zone, threads=args.threads, timings=timings,
-                               latest_lines_only=args.latest_lines_only, silver_path=args.silver)
+                               latest_lines_only=args.latest_lines_only, silver_path=args.silver, database=args.database)
             print(json.dumps({"tables": paths, "seconds": timings}))
+        elif args.job == "attach":
+            from kollektiv.sinks.catalog import Database
+            print(json.dumps({"database": args.database, "names": Database(spark, args.database, args.gold).attach()}))
         elif args.job == "test":
             from kollektiv.operators.quality import run_column_tests
             from kollektiv.plans.models import build_models, read_bronze

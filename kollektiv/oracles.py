@@ -277,7 +277,7 @@ ORACLES["src_xml_lines"] = LINES_XML_SQL
 ORACLES["src_zip_members"] = LINES_XML_SQL
 ORACLES["src_zip_rejects"] = """WITH S AS (SELECT s_suppkey AS k, 'dmg-' || CAST(s_suppkey AS VARCHAR) AS stem FROM supplier)
 SELECT stem || '.zip' AS archive, 'netex/' || stem || CASE WHEN length(stem) % 2 = 1 THEN '.XML' ELSE '.xml' END AS member,
-  CAST(CASE WHEN k % 7 <> 0 THEN 1 ELSE 0 END AS BIGINT) AS n_records, CAST(CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_rejects
+  CAST(CASE WHEN k % 7 = 0 THEN 0 WHEN k % 10 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_records, CAST(CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_rejects
 FROM S
 UNION ALL SELECT stem || '.zip', 'netex/' || stem || '-broken.xml', CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM S"""
 
@@ -420,11 +420,15 @@ SELECT * FROM SILVER"""
 # --- published views, the seven bronze tables -----------------------------------------
 ORACLES["published_views"] = f"""WITH {LIVE_CHAIN},
 {LINES_STG_CTE}
-SELECT 'stg_live_timetable' AS view, count(*) AS n_rows, count(DISTINCT ServiceJourneyId) AS n_keys FROM STG
-UNION ALL SELECT 'silver_timetable', count(*), count(DISTINCT ServiceJourneyId) FROM SILVER
-UNION ALL SELECT 'stg_netex_lines', count(*), count(DISTINCT id) FROM LINES_STG
-UNION ALL SELECT 'silver_lines', count(*), count(DISTINCT id) FROM (SELECT DISTINCT * FROM LINES_STG)
-UNION ALL SELECT 'stg_netex_quays', count(*), count(DISTINCT doc_id) FROM documents"""
+SELECT 'stg_live_timetable' AS view, * FROM STG
+UNION ALL BY NAME SELECT 'silver_timetable' AS view, * FROM SILVER
+UNION ALL BY NAME SELECT 'stg_netex_lines' AS view, * FROM LINES_STG
+UNION ALL BY NAME SELECT 'silver_lines' AS view, * FROM (SELECT DISTINCT * FROM LINES_STG)
+UNION ALL BY NAME SELECT 'stg_netex_quays' AS view, CAST(doc_id AS VARCHAR) AS QuayId,
+  coalesce('Quay ' || lang || ' ' || CAST(doc_id AS VARCHAR), '') AS QuayName, coalesce(source, '') AS ParentStopPointId,
+  '59.' || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0') || ',' || coalesce('15.' || lpad(CAST(n_chars % 1000 AS VARCHAR), 3, '0'), '') AS Location,
+  DATE '2025-10-27' AS Ingestion_Date
+FROM documents"""
 
 _STOP_ID = "\n    || chr(1) || ".join(f"coalesce({c}, chr(0))" for c in (
     "journeyPatternId", "stopPointInJourneyPatternId",

@@ -8,7 +8,6 @@ rebuilt tables (SNK-4).  The chain is one logical plan per gold table; the
 
 from __future__ import annotations
 
-import datetime as _dt
 import time
 from concurrent.futures import ThreadPoolExecutor
 
@@ -17,8 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kollektiv.plans import gold, silver, staging
+from kollektiv.plans.view_sql import SILVER_TABLE, view_statements
 from kollektiv.schemas import BRONZE_LIVE, BRONZE_LIVE_KEY, BRONZE_NETEX, NETEX_RECORDS, PARTITION_COLUMN
 from kollektiv.session import stage_table, staging_scope, use_scope
+from kollektiv.sinks import versions
+from kollektiv.sinks.catalog import Database
 from kollektiv.sinks.tables import overwrite_partitions, publish_table, publish_view, read_table
 
 VIEWS = ("stg_live_timetable", "stg_netex_lines", "stg_netex_quays", "silver_timetable", "silver_lines")
@@ -79,39 +81,23 @@ def refresh_silver_timetable(spark: SparkSession, bronze_root: str | None, silve
     with staging_scope(spark):
         fresh = stage_table(fresh, "silver_days")          # replace-on-key runs once
         written = {r[0] for r in fresh.select(PARTITION_COLUMN).distinct().collect()}      # one row per day
-        overwrite_partitions(fresh, silver_path, sort_key=list(BRONZE_LIVE_KEY))
-    asked = set(days) if days is not None else _partition_days(spark, silver_path)
-    for day in asked - written:                            # no silver any more
-        _drop_partition(spark, silver_path, day)
+        asked = set(days) if days is not None else versions.days_of(spark, silver_path, PARTITION_COLUMN)
+        # days without silver any more end in the same step
+        overwrite_partitions(fresh, silver_path, sort_key=list(BRONZE_LIVE_KEY), gone=asked - written)
     return sorted(asked | written) if days is None else list(days)
 
 
-def _partition_days(spark: SparkSession, path: str) -> set[_dt.date]:
-    """Days that a partitioned table has folders for."""
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-    return {_dt.date.fromisoformat(n.split("=", 1)[1]) for n in names if n.startswith(f"{PARTITION_COLUMN}=") and n[-1].isdigit()}
-
-
-def _drop_partition(spark: SparkSession, path: str, day) -> None:
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PARTITION_COLUMN}={day}")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
 def read_silver_timetable(spark: SparkSession, silver_path: str) -> DataFrame:
     return read_table(spark, silver_path, SILVER_TIMETABLE_SCHEMA)
 
 
 def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str | None = None,
                threads: int = 4, timings: dict | None = None, latest_lines_only: bool = False,
-               silver_path: str | None = None) -> dict[str, str]:
+               silver_path: str | None = None, database: str | None = None) -> dict[str, str]:
     """Publish the views and rebuild the gold tables (``threads`` at a time);
-    returns ``{gold model: path}``.  ``timings`` receives seconds per model;
+    returns ``{gold model: path}``.  With ``database`` the views and tables are
+    names of that database, which outlive the run (``publish_names``); without,
+    the views are temporary ones of this session.  ``timings`` receives seconds per model;
     ``latest_lines_only`` keeps one ``dim_line`` row per line (D9).
     ``silver_path``: read a silver timetable maintained by
     ``refresh_silver_timetable`` instead of de-duplicating the bronze history.
@@ -122,11 +108,33 @@ def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str
     ``dim_line``, which does not read the timetable, runs during the staging.
     """
     with staging_scope(spark) as scope:
-        return _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only, silver_path)
+        built = _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only, silver_path,
+                     temporary_views=database is None)
+    if database is not None:
+        publish_names(spark, database, bronze_root, gold_root, built, zone, silver_path)
+    return built
+
+
+def publish_names(spark: SparkSession, database: str, bronze_root: str, gold_root: str, gold_paths: dict[str, str],
+                  zone: str | None = None, silver_path: str | None = None) -> Database:
+    """SNK-3: external tables over bronze, gold (and a maintained silver), and
+    the five staging and silver models as views, in ``database``."""
+    db, root = Database(spark, database, gold_root), bronze_root.rstrip("/")
+    db.table("bronze_live_timetable", f"{root}/bronze_live_timetable", BRONZE_LIVE, PARTITION_COLUMN)
+    for record in ("line", "quay"):
+        table = NETEX_RECORDS[record][1]
+        db.table(table, f"{root}/{table}", BRONZE_NETEX, PARTITION_COLUMN)
+    if silver_path:
+        db.table(SILVER_TABLE, silver_path, SILVER_TIMETABLE_SCHEMA, PARTITION_COLUMN)
+    for name, sql in view_statements(database, zone, bool(silver_path)).items():
+        db.view(name, sql)
+    for name, path in gold_paths.items():
+        db.table(name, path, read_table(spark, path).schema)
+    return db
 
 
 def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only,
-         silver_path) -> dict[str, str]:
+         silver_path, temporary_views=True) -> dict[str, str]:
     live, lines, quays = read_bronze(spark, bronze_root)
     views = {
         "stg_live_timetable": staging.stg_live_timetable(live),
@@ -156,7 +164,7 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_li
         # what is published outlives this run, so it reads silver, not the staged copy
         views["silver_timetable"] = silver_src
         staged = time.perf_counter() - t0
-        for name in VIEWS:
+        for name in VIEWS if temporary_views else ():
             t = time.perf_counter()
             publish_view(views[name], name)
             if timings is not None:

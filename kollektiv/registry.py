@@ -6,6 +6,7 @@ Each query derives reference-shaped inputs from the driver's tables
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from kollektiv.schemas import (
 )
 from kollektiv.session import scratch_path
 from kollektiv.sinks import tables
+from kollektiv.sinks.catalog import Database
 from kollektiv.sources import archive, netex, siri
 from kollektiv.streaming import live as live_stream
 
@@ -475,16 +477,24 @@ def q_static_ingest_dim_line(spark, sf_dir):
 
 @register("published_views")
 def q_published_views(spark, sf_dir):
-    """SNK-3: rows of the five views, read by name after the model run is over."""
-    root = scratch_path(spark, "bronze")
-    tables.overwrite_partitions(_live(spark, sf_dir), f"{root}/bronze_live_timetable", sort_key=list(BRONZE_LIVE_KEY))
+    """SNK-3: all rows of the five views, read by name from another session
+    after the run; the last day was loaded after it."""
+    root, database = scratch_path(spark, "bronze"), f"transit_{uuid.uuid4().hex[:12]}"
+    live, path = _live(spark, sf_dir), f"{root}/bronze_live_timetable"
+    last = F.col("Ingestion_Date") == F.lit(live.agg(F.max("Ingestion_Date")).first()[0])
+    tables.overwrite_partitions(live.filter(~last), path, sort_key=list(BRONZE_LIVE_KEY))
     tables.append_bronze(roles.lines_bronze(roles.table(spark, sf_dir, "part")), f"{root}/bronze_netex_lines")
     tables.append_bronze(roles.quays_bronze_from_documents(roles.table(spark, sf_dir, "documents")), f"{root}/bronze_netex_quays")
-    model_run.run_models(spark, root, scratch_path(spark, "gold"))
-    key = {"stg_live_timetable": "ServiceJourneyId", "silver_timetable": "ServiceJourneyId", "stg_netex_lines": "id",
-           "silver_lines": "id", "stg_netex_quays": "QuayId"}
-    return spark.sql(" UNION ALL ".join(
-        f"SELECT '{v}' AS view, count(*) AS n_rows, count(DISTINCT {c}) AS n_keys FROM {v}" for v, c in key.items()))
+    gold_root = scratch_path(spark, "gold")
+    model_run.run_models(spark, root, gold_root, database=database)
+    tables.overwrite_partitions(live.filter(last), path, sort_key=list(BRONZE_LIVE_KEY))
+    other = spark.newSession()
+    Database(other, database, gold_root).sync("bronze_live_timetable")
+    out = None
+    for view in model_run.VIEWS:
+        rows = other.table(f"{database}.{view}").withColumn("view", F.lit(view))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
 
 
 _STATIC_FIELDS = {"topographic_place": "Descriptor", "stop_place": "Name", "quay": "stopPlaceId", "scheduled_stop_point": "PublicCode",

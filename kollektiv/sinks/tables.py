@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from kollektiv.schemas import PARTITION_COLUMN
+from kollektiv.sinks import versions
 
 __all__ = ["append_bronze", "overwrite_partitions", "publish_view", "publish_table", "read_table"]
 
@@ -33,15 +33,16 @@ def append_bronze(df: DataFrame, path: str, sort_key: Sequence[str] | None = Non
 
 
 def overwrite_partitions(df: DataFrame, path: str, sort_key: Sequence[str] | None = None,
-                         partition_column: str = PARTITION_COLUMN, rebalance: bool = True) -> None:
+                         partition_column: str = PARTITION_COLUMN, rebalance: bool = True, gone: Sequence = ()) -> None:
     """SNK-2: replace exactly the day partitions present in ``df``; other days
-    are untouched.  Dynamic partition overwrite stages the new files first and
-    then moves them in, day by day: a run that fails before that leaves the
-    previous snapshot, but a reader during the move may miss a day.  ``rebalance`` (default) keeps
-    a multi-day backfill from writing one small file per task and day."""
-    (_prepare(df, sort_key, partition_column if rebalance else None).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_column).parquet(path))
+    are untouched, those in ``gone`` end.  The new files are written beside the old ones and
+    published by one manifest (``sinks.versions``), so readers see all days of a
+    load or none.  ``rebalance`` (default) keeps a multi-day backfill from
+    writing one small file per task and day."""
+    def write(rows: DataFrame, folder: str) -> None:
+        (_prepare(rows, sort_key, partition_column if rebalance else None).write
+         .partitionBy(partition_column).parquet(folder))
+    versions.replace_days(df, path, partition_column, write, [str(d) for d in gone])
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
@@ -50,36 +51,20 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm  # noqa: SLF001
-
-
 def publish_table(df: DataFrame, path: str) -> None:
-    """SNK-4: rebuild a gold table.  The new version is written completely to
-    a sibling folder first, then swapped in (old -> backup, new -> path,
-    backup removed); a failed build never leaves a half-written table, and a
-    model may read the table it replaces."""
-    spark = df.sparkSession
-    staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").parquet(staging)
-    fs, target, jvm = _hadoop_fs(spark, path)
-    backup = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__backup_{uuid.uuid4().hex[:8]}")
-    had_old = fs.exists(target)
-    if had_old and not fs.rename(target, backup):
-        raise OSError(f"could not move {path} aside")
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
-        if had_old:
-            fs.rename(backup, target)
-        raise OSError(f"could not publish {path}")
-    if had_old:
-        fs.delete(backup, True)
+    """SNK-4: rebuild a gold table.  The new version is written completely to a
+    folder of its own and published by one manifest; a failed build leaves the
+    table as it was, and a model may read the table it replaces."""
+    versions.publish(df, path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """SRC-13: scan a table with its declared schema (no inference; the
-    partition column keeps its declared type)."""
+    partition column keeps its declared type): the newest version of a versioned
+    table, else the files of the folder."""
+    found = versions.read(spark, path, schema)
+    if found is not None:
+        return found
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
 

@@ -32,7 +32,8 @@ from kollektiv.functions.scalars import parse_timestamp, truncate_millis
 from kollektiv.operators.quality import NULL_RATE_CEILING_PCT
 from kollektiv.schemas import BRONZE_LIVE, BRONZE_LIVE_KEY, LIVE_COLUMNS, PARTITION_COLUMN, VERSION_COLUMN
 from kollektiv.session import stage_table, staging_scope
-from kollektiv.sinks.tables import overwrite_partitions
+from kollektiv.sinks import versions
+from kollektiv.sinks.tables import overwrite_partitions, read_table
 from kollektiv.sources import siri
 
 BINARY_FILE_SCHEMA = T.StructType([
@@ -135,12 +136,9 @@ def _process(spark, files, bronze_path, report, ceiling_pct, native, verdict_pat
 
 def _existing(spark: SparkSession, bronze_path: str, days: list) -> DataFrame | None:
     """What the table holds for the batch's days only (partition-pruned scan)."""
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    p = jvm.org.apache.hadoop.fs.Path(bronze_path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-    if not fs.exists(p):
+    if not versions.days_of(spark, bronze_path, PARTITION_COLUMN):
         return None
-    held = spark.read.schema(BRONZE_LIVE).parquet(bronze_path).select(PARTITION_COLUMN, VERSION_COLUMN)
+    held = read_table(spark, bronze_path, BRONZE_LIVE).select(PARTITION_COLUMN, VERSION_COLUMN)
     return held.filter(F.col(PARTITION_COLUMN).isin([d for d in days if d is not None]))
 
 
