@@ -78,6 +78,18 @@ def documents(rows: DataFrame, fragment: Column, keys: list[str], head, tail,
                           F.concat(h, F.col("__body"), t).alias("content"), *(keys if keep_keys else []))
 
 
+def nested_documents(rows: DataFrame, fragment: Column, key: str, head, tail, name: str, frame: str,
+                     buckets: int = 8) -> DataFrame:
+    """Documents of many elements, one for each ``key`` (and input split) around
+    its fragments; ``head`` and ``tail`` are functions of the key."""
+    pid = "__kollektiv_element_split"
+    elements = (rows.withColumn(pid, F.spark_partition_id()).groupBy(key, pid)
+                .agg(F.concat_ws("", F.collect_list(fragment)).alias("__body")))
+    whole = F.concat(head(F.col(key)), F.col("__body"), tail(F.col(key)))
+    elements = elements.select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("__bucket"), whole.alias("__element"))
+    return documents(elements, F.col("__element"), ["__bucket"], _netex_head(frame), _netex_tail(frame), name)
+
+
 def _netex_head(frame: str = "SiteFrame") -> str:
     return (f'<?xml version="1.0" encoding="UTF-8"?><PublicationDelivery xmlns="{NETEX_NS}" version="1.0">'
             f'<dataObjects><{frame} id="F1" version="1">')
@@ -166,13 +178,13 @@ def quays(lineitem: DataFrame) -> DataFrame:
         return F.when(supp % 2 == 0, F.lit("quays")).otherwise(F.lit("Quays"))
 
     def head(supp):
-        return F.concat(F.lit(_netex_head()), F.lit('<StopPlace id="S'), supp.cast("string"),
+        return F.concat(F.lit('<StopPlace id="S'), supp.cast("string"),
                         F.lit('" version="1"><Name>Stop '), supp.cast("string"), F.lit("</Name><"),
                         wrapper(supp), F.lit(">"))
 
     def tail(supp):
-        return F.concat(F.lit("</"), wrapper(supp), F.lit(">"), F.lit("</StopPlace>" + _netex_tail()))
-    return documents(pairs, frag, ["l_suppkey"], head, tail, "quays")
+        return F.concat(F.lit("</"), wrapper(supp), F.lit("></StopPlace>"))
+    return nested_documents(pairs, frag, "l_suppkey", head, tail, "quays", "SiteFrame")
 
 
 def scheduled_stop_points(part: DataFrame) -> DataFrame:
@@ -235,11 +247,10 @@ def journey_pattern_stops(lineitem: DataFrame) -> DataFrame:
         board, alight])
 
     def head(order_key):
-        return F.concat(F.lit(_netex_head("ServiceFrame")), F.lit('<JourneyPattern id="JP'),
-                        order_key.cast("string"), F.lit('" version="1"><RouteRef ref="R'),
+        return F.concat(F.lit('<JourneyPattern id="JP'), order_key.cast("string"), F.lit('" version="1"><RouteRef ref="R'),
                         order_key.cast("string"), F.lit('"/><pointsInSequence>'))
-    return documents(lineitem, frag, ["l_orderkey"], head,
-                     "</pointsInSequence></JourneyPattern>" + _netex_tail("ServiceFrame"), "jpstops")
+    return nested_documents(lineitem, frag, "l_orderkey", head,
+                            lambda _: F.lit("</pointsInSequence></JourneyPattern>"), "jpstops", "ServiceFrame")
 
 
 def namespaced_stop_places(supplier: DataFrame) -> DataFrame:

@@ -368,7 +368,7 @@ def q_src_zip_members(spark, sf_dir):
     landing = scratch_path(spark, "landing")
     zips = feeds.zip_archives(feeds.lines(roles.table(spark, sf_dir, "part")))
     archive.write_files(zips, landing).count()          # land the archives (executor-side writes)
-    members = archive.zip_members(archive.archive_paths(spark, landing))
+    members = archive.zip_members(spark, landing)
     return netex.records(netex.extract(members.filter(F.col("error").isNull()), record_types=("line",)), "line")
 
 
@@ -378,7 +378,7 @@ def q_src_zip_rejects(spark, sf_dir):
     that is malformed, and the document of every seventh is cut short."""
     landing = scratch_path(spark, "landing")
     archive.write_files(feeds.zip_archives(feeds.damaged_stop_places(roles.table(spark, sf_dir, "supplier"))), landing).count()
-    tagged = netex.extract_members(archive.spread_members(archive.archive_paths(spark, landing)), record_types=("stop_place",))
+    tagged = netex.extract_landing(spark, landing, record_types=("stop_place",))
     return tagged.groupBy(F.element_at(F.split("path", "/"), -1).alias("archive"), "member").agg(
         F.count_if(F.col("record_type") == "stop_place").alias("n_records"),
         F.count_if((F.col("record_type") == netex.REJECT) & F.col("error").contains("ExpatError")).alias("n_rejects"))

@@ -4,6 +4,7 @@ import datetime as dt
 import io
 import zipfile
 
+import pytest
 from conftest import fixture_bytes
 from pyspark.sql import functions as F
 
@@ -42,22 +43,23 @@ def _landing(tmp_path):
     return land
 
 
-def test_zip_members(spark, tmp_path):
+@pytest.mark.parametrize("whole_bytes", [archive.WHOLE_BYTES, 0, 400])      # whole, by member, both
+def test_zip_members(spark, tmp_path, whole_bytes):
     land = _landing(tmp_path)
-    m = archive.zip_members(archive.archive_paths(spark, str(land)), num_partitions=3)
+    m = archive.zip_members(spark, str(land), whole_bytes=whole_bytes, num_partitions=3)
     rows = m.select("member", F.col("error").isNotNull().alias("bad")).collect()
     names = sorted(r["member"] for r in rows if r["member"])
     assert names == ["cut.xml", "more.xml", "netex/edge.XML", "torn.xml"]
     assert sum(r["bad"] for r in rows) == 1               # the damaged member
     lines = netex.records(netex.extract(m), "line").select("id").collect()
     assert sorted(r["id"] for r in lines) == ["L1", "L2", "L9"]
-    streamed = netex.extract_members(archive.spread_members(archive.archive_paths(spark, str(land)), num_partitions=3))
+    streamed = netex.extract_landing(spark, str(land), whole_bytes=whole_bytes, num_partitions=3)
+    assert streamed.filter("ordinal IS NULL").count() == 0
     assert sorted(r["id"] for r in netex.records(streamed, "line").collect()) == ["L1", "L2", "L9"]
     assert sorted(r["member"] for r in netex.rejects(streamed).collect()) == ["cut.xml", "torn.xml"]
 
 
 def test_damaged_archives_and_missing_paths_fail(spark, tmp_path):
-    import pytest
     land = _landing(tmp_path)
     (land / "broken.zip").write_bytes(b"PK\x03\x04 not really a zip")
     with pytest.raises(Exception, match="BadZipFile"):
@@ -328,7 +330,7 @@ def test_staged_records_are_read_by_type_folder(spark, tmp_path):
     from kollektiv.session import staging_scope
     land = _landing(tmp_path)
     with staging_scope(spark):
-        tagged = static_ingest.stage_records(archive.spread_members(archive.archive_paths(spark, str(land)), num_partitions=2))
+        tagged = static_ingest.stage_records(netex.extract_landing(spark, str(land)))
         lines = netex.records(tagged, "line")
         plan = lines._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
         assert "PartitionFilters: [isnotnull(record_type" in plan and "= line)" in plan
