@@ -1,24 +1,23 @@
-"""Toxicity by class-conditional bigram models over Kneser-Ney lower orders.
-
-Two interpolated bigram models, one of toxic and one of ordinary documents, in
-three levels: pairs, the class's continuation counts (in how many contexts, the
-distinct words before it, a word stands in the class's documents) and the
-continuation counts of the whole corpus, labelled or not, which both share.
-The class's continuation counts have the absolute discounts D1, D2, D3+ of
-modified Kneser-Ney for counts of 1, 2 and more, estimated from the counts of
-counts, so a word that a class has once counts too.  Pairs do not: they are
-counted by documents, since one document that repeats a pair says as much as one
-that has it once, and their discount grows with the root of the count, as the
-error of a count does.  It takes all of a pair that six documents or fewer have;
-with the absolute discounts single pairs drown what tells toxic texts (figures in
-the README).  What a discount takes goes to the next level.
-
-A document's evidence is the log-likelihood ratio of its words divided by
-their number, over the whole text and over its most toxic few words; a
-logistic curve, fitted on labelled documents that the models did not see, turns
-the two into a score.
-
-Words and pairs are known by 64-bit hashes.  The shared counts come from the
+"""Toxicity by class-conditional Kneser-Ney models.
+
+Two models, one of toxic and one of ordinary documents, in two levels: the
+class's continuation counts (in how many contexts, the distinct words before it,
+a word stands in the class's documents) and the continuation counts of the whole
+corpus, labelled or not, which both share.  A count loses a discount: D1, D2 or
+D3+ of modified Kneser-Ney, estimated from the counts of counts, and at least
+``ERRORS`` standard errors of the count (its root), so that words a class has a
+few times by chance are left to the shared counts.  What the discounts take goes
+to the shared level.  There is no level of word pairs above: it lowers what the
+models find in documents they have not seen (figures in the README).
+
+A document's evidence is the log-likelihood ratio of its words: divided by their
+number, over the whole text and over its most toxic 3 and 20 words; and divided
+by the root of their number, beside its logarithm, as chance moves the mean of a
+short text further.  A logistic curve, fitted on labelled documents that the
+models did not see, turns these into a score; a toxic document that it misses
+weighs as much as ``MISSED`` ordinary ones that it reports.
+
+Words are known by 64-bit hashes.  The shared counts come from the
 distinct pairs of every document, which Spark counts by word.  The class models
 come from a bounded sample of the labelled rows (``MOST_LABELLED`` of each
 class, by a hash of the id), so the words they know are bounded too, and only
@@ -50,10 +49,12 @@ from kollektiv.llm import words as W
 from kollektiv.llm.common import arrow_map, byte_slices, stage_table
 
 U = np.uint64
-#: The discount of a pair that n documents have is this times the root of n.
-DISCOUNT = 2.5
-#: Words of the most toxic stretch.
-WINDOW = 3
+#: Least discount of a count, in standard errors.
+ERRORS = 1.5
+#: Words of the most toxic stretches.
+WINDOWS = (3, 20)
+#: Ordinary documents reported that weigh as much as a toxic one missed.
+MISSED = 3.0
 #: Labelled documents of each class that the models are learnt from, at most.
 MOST_LABELLED = 8_000
 #: One labelled document in so many is kept from the models for the curve.
@@ -95,61 +96,50 @@ def _once(text: np.ndarray, *slots: np.ndarray) -> np.ndarray:
     return order[new]
 
 
-def kept(n: np.ndarray) -> np.ndarray:
-    """Counts of pairs after their discount."""
-    return np.maximum(n - DISCOUNT * np.sqrt(n), 0.0)
-
-
 def discounts(n: np.ndarray) -> np.ndarray:
-    """What modified Kneser-Ney takes off the counts: D1, D2 or D3+ of each,
-    from how many counts are 1, 2, 3 and 4."""
+    """What is taken off the counts: D1, D2 or D3+ of modified Kneser-Ney, from
+    how many counts are 1, 2, 3 and 4; at least ``ERRORS`` standard errors, at
+    most the count."""
     of = np.bincount(np.minimum(n, 5).astype(np.int64), minlength=6).astype(float)
     if not of[1] or not of[2]:
-        return np.where(n > 0, 0.5, 0.0)
+        return np.minimum(n, np.maximum(0.5, ERRORS * np.sqrt(n)))
     y = of[1] / (of[1] + 2 * of[2])
     d = np.zeros(4)
     for k in (1, 2, 3):
         # something always backs off; with too few counts to tell as for the one below
         d[k] = min(max(k - (k + 1) * y * of[k + 1] / of[k], 0.01), k) if of[k] else d[k - 1]
-    return d[np.minimum(n, 3).astype(np.int64)]
+    return np.minimum(n, np.maximum(d[np.minimum(n, 3).astype(np.int64)], ERRORS * np.sqrt(n)))
 
 
-@dataclass
-class Model:
-    """Probability parts by class (0 ordinary, 1 toxic)."""
+#: What ``Model.evidence`` gives of a text.
+EVIDENCE = ("whole", *(f"peak{n}" for n in WINDOWS), "sum", "size")
 
-    word: list[np.ndarray]      # P(word)
-    back: list[np.ndarray]      # weight of P(word) after a context
-    pair: list[np.ndarray]      # P(word | context) beyond what backs off
-    curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
-    words: np.ndarray | None = None     # ascending hashes of the rows of word and back; the last row is any other word's
-    pairs: np.ndarray | None = None     # ascending hashes of the rows of pair; the last row is any other pair's
 
-    def ratio(self, word, context, pair) -> np.ndarray:
-        """log P(word | context, toxic) - log P(word | context, ordinary)."""
-        p = [self.pair[c][pair] + self.back[c][context] * self.word[c][word] for c in (0, 1)]
-        return np.log(p[1] / p[0])
+@dataclass
+class Model:
+    """log P(word | toxic) - log P(word | ordinary) by word."""
 
-    def rows(self, w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each position: rows of the word, the word before and the pair."""
-        before, pair = _pairs(w)
-        return _place(self.words, w.hash), _place(self.words, before), _place(self.pairs, pair)
+    words: np.ndarray           # ascending hashes; ratio has one row more, any other word's
+    ratio: np.ndarray
+    curve: tuple[float, ...] = (0.0,) * (len(EVIDENCE) + 1)
 
     def evidence(self, column: pa.Array) -> np.ndarray:
-        """(mean ratio, mean ratio of the most toxic stretch) of each text."""
+        """The ``EVIDENCE`` of each text."""
         w = letter_words(column)
-        out = np.zeros((len(column), 2))
+        out = np.zeros((len(column), len(EVIDENCE)))
         if not len(w):
             return out
-        sums = np.concatenate([[0.0], np.cumsum(self.ratio(*self.rows(w)))])
+        sums = np.concatenate([[0.0], np.cumsum(self.ratio[_place(self.words, w.hash)])])
         counts = w.counts
         has = np.flatnonzero(counts)
-        out[has, 0] = (sums[w.off[1:]] - sums[w.off[:-1]])[has] / counts[has]
+        total = (sums[w.off[1:]] - sums[w.off[:-1]])[has]
+        out[has, 0], out[has, -2], out[has, -1] = total / counts[has], total / np.sqrt(counts[has]), np.log(counts[has])
         text = w.text_of()
-        end = np.minimum(np.arange(len(w)) + WINDOW, w.off[text + 1])
-        # a stretch at a text's end is as long as the others, or the whole text
-        start = np.maximum(end - WINDOW, w.off[text])
-        out[has, 1] = np.maximum.reduceat((sums[end] - sums[start]) / (end - start), w.off[:-1][has])
+        for k, window in enumerate(WINDOWS):
+            end = np.minimum(np.arange(len(w)) + window, w.off[text + 1])
+            # a stretch at a text's end is as long as the others, or the whole text
+            start = np.maximum(end - window, w.off[text])
+            out[has, 1 + k] = np.maximum.reduceat((sums[end] - sums[start]) / (end - start), w.off[:-1][has])
         return out
 
 
@@ -194,22 +184,21 @@ def _continuations(docs: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, rounds)
 
 
-def _class_pairs(docs: DataFrame) -> DataFrame:
-    """word, before, ordinary, toxic: documents of each mark that have a pair.
-    ``docs``: mark, text."""
-    def count(b: pa.RecordBatch):
+def _class_contexts(docs: DataFrame) -> DataFrame:
+    """word, ordinary, toxic: in how many distinct contexts a word stands in the
+    documents of each mark.  ``docs``: mark, text."""
+    def pairs(b: pa.RecordBatch):
         for s in byte_slices(b, "text"):
             w = letter_words(s["text"])
             if not len(w):
                 continue
             before, pair = _pairs(w)
-            text = w.text_of()
-            at = _once(text, pair)
-            toxic = s["mark"].to_numpy().astype(np.int64)[text[at]]
-            yield pa.RecordBatch.from_arrays([pa.array(w.hash[at].view(np.int64)), pa.array(before[at].view(np.int64)),
-                                              pa.array(1 - toxic), pa.array(toxic)], ["word", "before", "ordinary", "toxic"])
-    return (arrow_map(docs.select("mark", "text"), count, "word long, before long, ordinary long, toxic long")
-            .groupBy("word", "before").agg(F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")))
+            toxic = s["mark"].to_numpy().astype(np.int64)[w.text_of()]
+            at = _once(toxic, pair)
+            yield pa.RecordBatch.from_arrays([pa.array(w.hash[at].view(np.int64)), pa.array(before[at].view(np.int64)), pa.array(toxic[at])],
+                                             ["word", "before", "mark"])
+    return (arrow_map(docs.select("mark", "text"), pairs, "word long, before long, mark long").distinct()
+            .groupBy("word").agg(F.count_if(F.col("mark") == 0).alias("ordinary"), F.count_if(F.col("mark") == 1).alias("toxic")))
 
 
 def _columns(df: DataFrame) -> dict[str, np.ndarray]:
@@ -218,68 +207,67 @@ def _columns(df: DataFrame) -> dict[str, np.ndarray]:
     return {c: t[c].to_numpy().view(U) if c in ("word", "before") else t[c].to_numpy() for c in t.column_names}
 
 
+def word_ratios(ordinary: np.ndarray, toxic: np.ndarray, shared: np.ndarray, n_pairs: int) -> np.ndarray:
+    """Log ratio of each word's probabilities, and of any word that no class
+    has, from its contexts in the classes and in the corpus (``n_pairs`` in all)."""
+    base = np.append(shared, 1) / n_pairs
+    p = []
+    for n in (ordinary, toxic):
+        n = np.append(n, 0).astype(float)
+        less, total = discounts(n), max(n.sum(), 1.0)
+        # a class without a single context has nothing but the shared counts
+        p.append((n - less) / total + (less.sum() / total if n.sum() else 1.0) * base)
+    return np.log(p[1] / p[0])
+
+
 def train(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED) -> Model:
     """``docs``: doc_id, text.  ``known``: doc_id, mark (1 toxic, 0 ordinary)."""
     spark = docs.sparkSession
     marked, totals = sample_marks(known, most)
     learnt = spark.createDataFrame([(i, m) for i, m in marked.items() if not _for_curve(i)], "doc_id long, mark int")
-    counts = stage_table(_class_pairs(docs.join(F.broadcast(learnt), "doc_id")), "class-pairs")   # bounded by the sample
+    counts = _class_contexts(docs.join(F.broadcast(learnt), "doc_id"))         # bounded by the sample
     shared = _continuations(docs)
     # every pair of the corpus, one for the start of a text and one for a word it does not have
     n_pairs = (shared.agg(F.sum("contexts").alias("n")).first().n or 0) + 2
-    names = ("ordinary", "toxic")
-    common = _columns(counts.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(c) for c in names]).join(shared, "word"))
+    common = _columns(counts.join(shared, "word"))
     order = np.argsort(common["word"])
-    words = np.append(U(0), common["word"][order])          # 0 stands before a text
-    # a word that no class has gets the same of both models, whatever stands here
-    base = np.concatenate([[1], common["contexts"][order], [1]]) / n_pairs
-    contexts = _columns(counts.groupBy("before").agg(*[F.sum(c).alias(c) for c in names]))
-    # a pair that the discount leaves nothing of is as any other pair
-    got = _columns(counts.filter(F.greatest(*names) > DISCOUNT ** 2))
-    hashes = W.join2(got["before"], got["word"])
-    order = np.argsort(hashes)
-    model = Model([], [], [], words=words, pairs=hashes[order])
-    before = _place(words, got["before"][order])
-    for c in names:
-        n = np.concatenate([[0], common[c][np.argsort(common["word"])], [0]])
-        p = (n - discounts(n)) / max(n.sum(), 1)
-        model.word.append(p + (1.0 - p.sum()) * base)
-        after = np.full(len(base), np.inf)
-        after[_place(words, contexts["before"])] = np.maximum(contexts[c], 1)
-        part = kept(got[c][order]) / after[before]
-        model.pair.append(np.append(part, 0.0).astype(np.float32))
-        model.back.append(1.0 - np.bincount(before, part, len(base)))
+    got = {c: common[c][order] for c in ("word", "ordinary", "toxic", "contexts")}
+    model = Model(got["word"], word_ratios(got["ordinary"], got["toxic"], got["contexts"], n_pairs))
     model.curve = _curve(docs, marked, totals, model)
     return model
 
 
 def evidence_of(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns, whole and peak of every document."""
+    """The ``keep`` columns and the ``EVIDENCE`` of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(b: pa.RecordBatch):
         for s in byte_slices(b, "text"):
             e = shared.value.evidence(s["text"])
-            yield pa.RecordBatch.from_arrays([*(s[k] for k in keep), pa.array(e[:, 0]), pa.array(e[:, 1])], [*keep, "whole", "peak"])
+            yield pa.RecordBatch.from_arrays([*(s[k] for k in keep), *(pa.array(e[:, i]) for i in range(len(EVIDENCE)))], [*keep, *EVIDENCE])
     types = dict(docs.dtypes)
-    return arrow_map(docs.select(*dict.fromkeys([*keep, "text"])), run, ", ".join(f"`{k}` {types[k]}" for k in keep) + ", whole double, peak double")
+    return arrow_map(docs.select(*dict.fromkeys([*keep, "text"])), run, ", ".join([*(f"`{k}` {types[k]}" for k in keep), *(f"{e} double" for e in EVIDENCE)]))
 
 
-def _curve(docs: DataFrame, marked: dict[int, int], totals: dict[int, int], model: Model) -> tuple[float, float, float]:
+def _curve(docs: DataFrame, marked: dict[int, int], totals: dict[int, int], model: Model) -> tuple[float, ...]:
     """Logistic curve over the labelled documents kept from the models, weighted
-    to the classes' shares among all labelled documents."""
+    to the classes' shares among all labelled documents and ``MISSED``."""
+    flat = (0.0,) * len(EVIDENCE)
     if len(totals) < 2:
-        return (0.0 if not totals else 30.0 if 1 in totals else -30.0, 0.0, 0.0)
+        return (0.0 if not totals else 30.0 if 1 in totals else -30.0, *flat)
     held = {i: m for i, m in marked.items() if _for_curve(i)} or marked
     spark = docs.sparkSession
     wanted = spark.createDataFrame([(i,) for i in held], "doc_id long")      # bounded by the sample
-    rows = evidence_of(docs.join(F.broadcast(wanted), "doc_id", "left_semi"), model).collect()
-    x = np.array([[r["whole"], r["peak"]] for r in rows]).reshape(-1, 2)
+    seen = evidence_of(docs.join(F.broadcast(wanted), "doc_id", "left_semi"), model)
+    # one row of a repeated id, so what is collected is bounded as well
+    rows = seen.groupBy("doc_id").agg(F.max(F.struct(*EVIDENCE)).alias("e")).select("doc_id", "e.*").collect()
+    x = np.array([[r[e] for e in EVIDENCE] for r in rows]).reshape(-1, len(EVIDENCE))
     y = np.array([held[r["doc_id"]] for r in rows], float)
     if not len(y) or y.min() == y.max():
-        return (0.0, 10.0, 0.0)
-    share = {m: totals[m] / sum(totals.values()) / max(1, (y == m).sum()) for m in totals}
-    return tuple(logistic(x, y, np.where(y == 1, share[1], share[0]) * len(y)))
+        return (0.0, 10.0, *flat[1:])
+    share = {m: totals[m] * (MISSED if m else 1.0) / max(1, (y == m).sum()) for m in totals}
+    weight = np.where(y == 1, share[1], share[0])
+    return tuple(logistic(x, y, weight * len(y) / weight.sum()))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
@@ -304,8 +292,7 @@ def held_out(doc_id, mod: int, remainder: int):
 
 def scored(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns, score and predicted of every document."""
-    a, b, c = model.curve
-    z = F.lit(a) + F.lit(b) * F.col("whole") + F.lit(c) * F.col("peak")
+    z = reduce(lambda z, t: z + F.lit(float(t[0])) * F.col(t[1]), zip(model.curve[1:], EVIDENCE, strict=True), F.lit(float(model.curve[0])))
     return (evidence_of(docs, model, keep).withColumn("score", 1.0 / (1.0 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), z)))))
             .select(*keep, "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
 

@@ -3,6 +3,7 @@ import random
 import corpus_pipeline as C
 import pytest
 from llm_rows import DOCS, docs_of
+from pyspark.sql import functions as F
 from test_decontaminate import brute as contained
 from test_prefix_join import brute as linked
 
@@ -56,7 +57,7 @@ def test_stages_one_by_one(spark, tmp_path, corpus):
     assert len(toxic & ids) <= 0.05 * len(toxic) and len([i for i, _ in before if i not in toxic and i not in ids]) <= 0.02 * len(before)
     before, after = kept["near duplicates"]
     stay = {(None if r[0] else r[1]) for r in linked(before, 5, 80) if (r[0], r[1]) == (r[3], r[4])}
-    assert {i for i, _ in after} == stay and len(after) == len(stay)
+    assert {i for i, _ in after} == stay and len(after) == len(stay)      # ids are unique here but for one null
     before, after = kept["decontamination"]
     bad = {d for d, _, _, _ in contained(before, items)}
     assert sorted((i for i, _ in after), key=str) == sorted((i for i, _ in before if i not in bad), key=str) and bad
@@ -74,3 +75,32 @@ def test_run_and_extra_columns_and_empty_tables(spark, tmp_path, corpus):
     tables(spark, str(tmp_path / "none"), [], items[:0], marks[:0])
     assert C.run(spark, str(tmp_path / "none")).count() == 0
     assert C.ORACLE_SQL is None and DOCS
+
+
+def test_one_row_of_each_component_stays_whatever_the_ids(spark):
+    rnd = random.Random(4)
+    a, b, c, d = (rnd.choices(WORDS, k=40) for _ in range(4))
+    say = " ".join
+    rows = [(None, say(a)), (3, say(a)), (3, say(a)), (3, say(a[:39] + ["x"])), (5, say(b)), (5, say(c)), (None, say(b)), (None, say(d)),
+            (None, None), (None, ""), (9, ""), (9, "")]
+    got = sorted(((r.doc_id, r.text) for r in C.drop_near_copies(spark, docs_of(spark, rows), "").collect()), key=str)
+    # of the copies of a one row with the smallest id; b and c once; texts without words are no one's copies
+    assert len([r for r in got if r[1] and r[1].split()[:30] == a[:30]]) == 1 and got.count((5, say(b))) == got.count((5, say(c))) == 1
+    assert (None, say(d)) in got and sum(not t for _, t in got) == 4 and len(got) == 8
+
+
+def test_columns_may_have_any_name(spark, tmp_path, corpus):
+    rows, items, marks = corpus
+    folder = str(tmp_path / "in")
+    tables(spark, folder, rows[:80], items, marks)
+    names = ("score", "whole", "peak3", "predicted", "_stay", "stay", "number", "component_id", "_mix_times", "column0", "before")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.col("doc_id").cast("string")))
+    for name, stage in C.STAGES[:4]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        for r in docs.filter("doc_id is not null").collect():
+            assert all(r[n] == f"{n}{r.doc_id}" for n in names), name
