@@ -7,12 +7,12 @@ next one's ``docs``.  All but the last return the columns of ``docs``.
 1. toxicity: learns from the labels of the documents at hand and drops the
    documents whose score is 0.5 or more;
 2. near duplicates: of every component of documents that share 80 % of their
-   five-word shingles, the one with the smallest id stays;
+   five-word shingles, one row stays, that with the smallest id (null ids last);
 3. decontamination: drops documents that contain a benchmark item;
 4. mixing: repeats or leaves out documents so that sources meet their targets;
 5. tokens: writes token files, reads them back and returns what they hold.
 
-Rows with equal id and text are one document up to mixing, which may repeat it.
+Rows are told apart even where ids are null or repeated; mixing may repeat a row.
 Empty tables pass through every stage; extra columns are kept up to the last.
 """
 
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from kollektiv.llm import decontaminate, mixing, prefix_join, token_files, toxicity
 from kollektiv.llm.common import prepare, scratch_path, stage_table, table
+from kollektiv.operators.ids import dense_row_number
 from kollektiv.session import StagingScope, use_scope
 
 #: What the stage before staged; its output is written when the next begins.
@@ -35,33 +36,46 @@ def _begin(spark: SparkSession) -> StagingScope:
     return _scope
 
 
+def _plain(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` under names that meet none of an operator's, but for those it
+    ``needed``; and those names."""
+    names = [c if c in needed else f"column{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), names
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with use_scope(_begin(spark)):
         known = toxicity.marks(table(spark, sf_dir, "labels"), "toxic")
         known = known.filter(~toxicity.held_out(F.col("doc_id"), 5, 0) & F.col("mark").isin(0, 1))
         model = toxicity.train(docs.select("doc_id", "text"), known)
-        return (toxicity.scored(docs, model, tuple(docs.columns))
-                .filter("predicted = 0").select(*docs.columns))
+        rows, names = _plain(docs, "text")
+        kept = toxicity.scored(rows, model, tuple(names)).filter("predicted = 0")
+        return kept.select(*names).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with use_scope(_begin(spark)):
-        found = prefix_join.jaccard_components(docs, words=5, percent=80)
-        # a null id and texts without n-grams are nobody's copy
-        stay = stage_table(found.filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-                           .select(F.col("doc_id").alias("_stay")).distinct(), "stay")
-        kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay"))).drop("_stay")
-        return kept.select(*docs.columns)
+        rows, names = _plain(docs)
+        doc_id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+        # ids that do not tell rows apart: rows get numbers, in the order of their ids
+        if not rows.groupBy(doc_id).count().filter((F.col("count") > 1) | F.col(doc_id).isNull()).isEmpty():
+            rows = stage_table(dense_row_number(rows, [F.col(doc_id).asc_nulls_last(), F.xxhash64(text).asc()], "number"), "numbered")
+            doc_id = "number"
+        found = prefix_join.jaccard_components(rows.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), words=5, percent=80)
+        stay = stage_table(found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(doc_id)), "stay")
+        return rows.join(stay, doc_id, "left_semi").select(*names).toDF(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with use_scope(_begin(spark)):
-        return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+        rows, names = _plain(docs, "doc_id", "text")
+        return decontaminate.clean(rows, table(spark, sf_dir, "benchmark")).select(*names).toDF(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with use_scope(_begin(spark)):
-        return mixing.remix(docs)
+        rows, names = _plain(docs, "doc_id", "text", "source")
+        return mixing.remix(rows).select(*names).toDF(*docs.columns)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
