@@ -321,6 +321,21 @@ def _open_pairs(shared: DataFrame, found: DataFrame, met: DataFrame, percent: in
             .select("a", "b", "gid"))
 
 
+def _merged(found: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """node, component after ``links`` too.  They are carried to the components
+    found so far first, so what is joined up is a few edges between those and not
+    all links again."""
+    if links.isEmpty():
+        return found
+    if found is None:
+        return components(links)
+    for end in ("a", "b"):
+        links = links.join(found.toDF(end, "label"), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    higher = components(links)
+    moved = found.join(higher.toDF("component", "higher"), "component", "left").select("node", F.coalesce("higher", "component").alias("component"))
+    return stage_table(moved.union(higher.join(found, "node", "left_anti").select("node", "component")), "components")
+
+
 def classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """key, n, component of every document.  ``docs``: key (unique), text."""
     spark = docs.sparkSession
@@ -342,16 +357,16 @@ def classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
         F.first("n").alias("n"), *[F.min(F.xxhash64("gram", F.lit(r))).alias(f"h{r}") for r in range(ROUNDS)]), "homes")
     parts = shards(spark, int(homes.agg(F.sum("n")).first()[0] or 0) * GRAM_BYTES)
     texts = stage_bucketed(docs.join(homes.select("key"), "key", "left_semi"), "shared-texts", "key", parts)
-    links, found, met = None, None, homes.select("key")
+    found, met = None, homes.select("key")
     for r in range(ROUNDS):
         placed = stage_table(_placed(homes.select("key", "n", F.col(f"h{r}").alias("h")), found, percent), "groups")
         more = stage_table(links_in_groups(placed.select("gid", "key").join(texts, "key"), level, words, percent, parts), "links")
-        links = more if links is None else links.union(more)
-        found = components(links)
+        found = _merged(found, more)
         met = met.join(placed.filter("part = own").select("key", F.col("gid").alias(f"m{r}")), "key", "left")
     pairs = stage_table(_open_pairs(shared, found, met, percent), "pairs")
-    more = stage_table(links_of_pairs(pairs, texts, level, words, percent, parts), "links")
-    final = components(links.union(more)) if not more.isEmpty() else found
+    final = _merged(found, stage_table(links_of_pairs(pairs, texts, level, words, percent, parts), "links"))
+    if final is None:
+        final = spark.createDataFrame([], "node long, component long")
     members = sized.join(equal, ["n", "f1", "f2"], "left").select("key", "n", F.coalesce("rep", "key").alias("rep"))
     return (members.join(final.toDF("rep", "component"), "rep", "left")
             .select("key", "n", F.coalesce("component", "rep").alias("component")))
