@@ -17,10 +17,13 @@ their prefixes (the first ``n - ceil(t * n) + 1``).
    already connected.  Groups above ``GROUP`` documents are split; some
    documents of the group go into every part and connect the parts.
    So are documents without a group member of a size that can be similar.
-4. Sets that are not connected yet, did not meet in a group and share as many
-   prefix n-grams as similar sets of their sizes must are listed as pairs and
-   verified one by one.  Connected near copies never become pairs, so
-   the pairs do not grow with the square of a cluster.
+4. What is open then: sets that share a prefix n-gram with a set of another
+   component, of a size that can be similar.  An n-gram that more than ``CROWD``
+   of them share (a passage many documents quote) is joined in tries again, its
+   sets dealt in blocks so that every two blocks meet in a task.  Others are
+   listed as pairs, if they did not meet and share as many prefix n-grams as
+   similar sets of their sizes must, and verified one by one.  So pairs grow with
+   the number of n-grams, not with the square of a cluster or of a crowd.
 
 No link between different components is lost; links inside one are not listed.
 
@@ -54,6 +57,8 @@ _SLICES = 16
 ROUNDS = 5
 #: Documents that one task joins at once, and those that connect the parts of a larger group.
 GROUP, LEADERS = 1000, 16
+#: Sets that share a prefix n-gram and are still open: up to so many are listed as pairs, more are joined in tries.
+CROWD = 32
 #: Text per n-gram, about: for the number of tasks.
 GRAM_BYTES = 7
 #: N-grams of a trie edge.
@@ -169,10 +174,14 @@ class Trie:
         node.ends.append(doc)
 
 
-def join_group(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links (i, j) that connect all similar sets of the group."""
+def join_group(sets: list[np.ndarray], percent: int, known: list[int] | None = None) -> list[tuple[int, int]]:
+    """Links (i, j) that connect all similar sets of the group; sets with the
+    same ``known`` component are connected from the start."""
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), i))
     parent = list(range(len(sets)))
+    if known is not None:
+        first: dict[int, int] = {}
+        parent = [first.setdefault(c, i) for i, c in enumerate(known)]
 
     def root(i):
         while parent[i] != i:
@@ -233,11 +242,12 @@ def _edges(pairs) -> pa.RecordBatch:
 
 def links_in_groups(members: DataFrame, level: np.ndarray, words: int, percent: int, parts: int) -> DataFrame:
     """a, b: links that connect the similar documents of each group.
-    ``members``: gid, key, text."""
+    ``members``: gid, key, text, and the component if it is known."""
     def run(batches):
         def one(t: pa.Table) -> pa.RecordBatch:
             keys = t["key"].to_pylist()
-            return _edges([(keys[i], keys[j]) for i, j in join_group(_sets_of(t, level, words), percent)])
+            known = t["component"].to_pylist() if "component" in t.column_names else None
+            return _edges([(keys[i], keys[j]) for i, j in join_group(_sets_of(t, level, words), percent, known)])
         yield from _grouped(batches, one)
     return members.repartition(parts, "gid").sortWithinPartitions("gid").mapInArrow(run, "a long, b long")
 
@@ -299,15 +309,34 @@ def _placed(homes: DataFrame, found: DataFrame | None, percent: int) -> DataFram
     ).select("key", "own", "part", F.xxhash64("h", "part").alias("gid"))
 
 
-def _open_pairs(shared: DataFrame, found: DataFrame, met: DataFrame, percent: int) -> DataFrame:
+def _crowds(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gram) of the n-grams that more than ``CROWD`` open sets share, and
+    gid, key, component of groups in which every two sets of such an n-gram meet.
+
+    Its sets fall into blocks of half a group, and each two blocks are a group.
+    N-grams that exactly the same sets share (those of one passage) are one."""
+    per = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("key")).alias("f1"),
+                                   F.bit_xor(F.xxhash64("key", F.lit(3))).alias("f2")).filter(F.col("members") > CROWD)
+    full = stage_table(per, "crowds")
+    one = full.groupBy("members", "f1", "f2").agg(F.min("gram").alias("gram"))
+    blocks = F.ceil(F.col("members") / max(1, GROUP // 2))
+    placed = (rows.select("gram", "key", "component").join(one.select("gram", blocks.alias("blocks")), "gram")
+              .withColumn("block", F.pmod(F.xxhash64("key", F.lit(5)), F.col("blocks")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    gid = F.xxhash64("gram", F.least("block", "other"), F.greatest("block", "other"))
+    return full.select("gram"), placed.select(gid.alias("gid"), "key", "component")
+
+
+def _open_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """a, b, gid: sets of different components that did not meet and share as
-    many prefix n-grams as similar sets of their sizes must.
+    many prefix n-grams as similar sets of their sizes must.  ``rows``: gram, key,
+    n, component, and the groups that the key was in.
 
     Of the common n-grams of two similar sets, the k-th in order stands at most
     k - 1 + (n - least overlap) n-grams in, so that many of them stand in both
-    prefixes.
+    prefixes.  (Sets that share a crowded n-gram as well have met in its groups,
+    so it does not matter that those are not counted here.)
     """
-    rows = stage_table(_near(_labelled(shared, found), "gram", percent).join(met, "key", "left"), "open-grams")
     x, y = rows.alias("x"), rows.alias("y")
     different = ((F.col("x.gram") == F.col("y.gram")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
                  & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
@@ -363,7 +392,13 @@ def classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
         more = stage_table(links_in_groups(placed.select("gid", "key").join(texts, "key"), level, words, percent, parts), "links")
         found = _merged(found, more)
         met = met.join(placed.filter("part = own").select("key", F.col("gid").alias(f"m{r}")), "key", "left")
-    pairs = stage_table(_open_pairs(shared, found, met, percent), "pairs")
+    rows = stage_table(_near(_labelled(shared, found), "gram", percent).join(met, "key", "left"), "open-grams")
+    full, placed = _crowds(rows)
+    placed = stage_table(placed, "crowd-groups")
+    if not placed.isEmpty():
+        found = _merged(found, stage_table(links_in_groups(placed.join(texts, "key"), level, words, percent, parts), "links"))
+        rows = rows.join(full, "gram", "left_anti")
+    pairs = stage_table(_open_pairs(rows, percent), "pairs")
     final = _merged(found, stage_table(links_of_pairs(pairs, texts, level, words, percent, parts), "links"))
     if final is None:
         final = spark.createDataFrame([], "node long, component long")

@@ -75,6 +75,35 @@ def test_split_groups_match_brute_force(spark, monkeypatch):
     assert result(spark, rows) == brute(rows)
 
 
+def test_crowded_grams_match_brute_force(spark, monkeypatch):
+    """Every shared n-gram is crowded, in blocks of two sets."""
+    for name, value in (("CROWD", 1), ("GROUP", 4), ("LEADERS", 1), ("ROUNDS", 1)):
+        monkeypatch.setattr(J, name, value)
+    rows = corpus(8, 120)
+    assert result(spark, rows) == brute(rows)
+
+
+def test_a_passage_in_very_many_documents(spark, monkeypatch):
+    """3,000 short documents quote one passage; no links but between the copies
+    among them, and pairs are not listed by the square of the crowd."""
+    listed, real = [], J._open_pairs
+    monkeypatch.setattr(J, "_open_pairs", lambda *a: listed.append(real(*a)) or listed[-1])
+    rnd = random.Random(12)
+    passage = [f"q{i}" for i in range(12)]
+    rows, want = [], {}
+    for i in range(3000):
+        if i >= 2000 and i % 5 == 0:
+            other = rows[i - 2000][1].split()
+            rows.append((i, " ".join(other + ["more"])))
+            want[i] = i - 2000
+        else:
+            rows.append((i, " ".join([f"u{rnd.randrange(10 ** 9)}" for _ in range(30)] + passage)))
+            want[i] = i
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(docs_of(spark, rows)).collect()}
+    assert got == want
+    assert sum(p.count() for p in listed) < 20_000
+
+
 def test_edge_cases_match_brute_force(spark):
     rows = corpus(6, unique=False) + [(None, "a b"), (None, "A B"), (200, None), (201, ""), (202, " \n"), (203, "a b"), (204, "a b c d e"),
                                       (204, "a b c d e"), (205, "long " * 50_000), (206, "long " * 9)]
