@@ -54,6 +54,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--once", action="store_true", help="process what has landed, then stop")
     s.add_argument("--max-files", type=int, default=1000)
     s.add_argument("--marker", help="name of the file that a writer puts into a snapshot folder last")
+    s.add_argument("--settle", type=float, help="seconds without a further file after which a snapshot is whole "
+                                                "(default 30; not with --once or --marker)")
     s.add_argument("--native", action="store_true", help="parse with Spark's XML reader")
     s.add_argument("--silver", help="also keep this silver timetable current, day by day")
     s = sub.add_parser("silver", help="recompute the silver timetable for given days (default all)")
@@ -98,7 +100,7 @@ def main(argv: list[str] | None = None) -> int:
             q = run_live_stream(spark, args.landing, f"{args.bronze.rstrip('/')}/bronze_live_timetable",
                                 args.checkpoint, available_now=args.once, verdict_path=verdicts, marker=args.marker,
                                 max_files_per_trigger=args.max_files, native=args.native,
-                                silver_path=args.silver)
+                                silver_path=args.silver, settle_seconds=args.settle)
             q.awaitTermination()
             print(json.dumps({"verdicts": verdicts}))
         elif args.job == "silver":

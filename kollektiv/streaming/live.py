@@ -1,10 +1,12 @@
 """STR-1: the minute-by-minute SIRI feed as a Structured Streaming job.
 
 Snapshots land as XML files under ``{landing}/snapshot=<yyyy-MM-ddTHHmmss>/``
-(one snapshot may be split over several files).  Each micro-batch:
+(one snapshot may be split over several files).  A running stream waits until a
+snapshot has landed whole (``streaming.parts``: a state store of the snapshots that
+are landing, each with a time-out), or for the writer's ``marker``; a one-shot run
+takes what has landed.  Each micro-batch:
 
-1. re-reads, whole, every snapshot folder its new files belong to (a snapshot
-   split over files may straddle micro-batches) and extracts the calls (one
+1. reads, whole, every snapshot folder that it is given and extracts the calls (one
    ``mapInPandas``, or ``from_xml`` with ``native``); a snapshot's run clock
    comes from its folder name;
 2. gates every snapshot on its own (DQ-1; a malformed file fails its
@@ -35,6 +37,7 @@ from kollektiv.session import stage_table, staging_scope
 from kollektiv.sinks import versions
 from kollektiv.sinks.tables import overwrite_partitions, read_table
 from kollektiv.sources import siri
+from kollektiv.streaming.parts import FOLDER_PATTERN, SETTLE_SECONDS, STATE_STORE, settled_snapshots
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -90,7 +93,9 @@ def select_snapshots(raw: DataFrame, existing: DataFrame | None,
 
 def snapshot_folders(batch: DataFrame) -> list[str]:
     """The snapshot folders a micro-batch touches (one small row per snapshot)."""
-    folder = F.regexp_extract(F.col("path"), r"^(.*/snapshot=\d{4}-\d{2}-\d{2}T\d{6})/", 1)
+    if "folder" in batch.columns:                        # settled snapshots
+        return sorted({r["folder"] for r in batch.select("folder").collect()})
+    folder = F.regexp_extract(F.col("path"), FOLDER_PATTERN, 1)
     return [r[0] for r in batch.select(folder.alias("f")).filter("f <> ''").distinct().collect()]
 
 
@@ -99,11 +104,11 @@ def process_batch(batch: DataFrame, bronze_path: str, report: list | None = None
                   silver_path: str | None = None, verdict_path: str | None = None) -> None:
     """``foreachBatch`` body: stage, gate, choose, overwrite.
 
-    A snapshot split over several files may straddle micro-batches, so every
-    snapshot the batch touches is re-read whole from its folder: it is gated
-    and written as one unit, and a repeat is idempotent.  With a completion
-    marker (``snapshot_stream(marker=...)``) the batch holds markers, so a
-    snapshot is read once, when it is complete.
+    ``batch`` names snapshots: settled ones (``folder``), or by files of them
+    (``path``).  Every snapshot it names is read whole from its folder: it is
+    gated and written as one unit, and a repeat is idempotent.  Settled snapshots
+    and markers (``snapshot_stream(marker=...)``) name a snapshot once, when it is
+    complete.
     """
     spark = batch.sparkSession
     folders = snapshot_folders(batch)
@@ -144,7 +149,7 @@ def _existing(spark: SparkSession, bronze_path: str, days: list) -> DataFrame |
 
 def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 1000,
                     marker: str | None = None) -> DataFrame:
-    """The landing folder as a stream of ``(path, content)`` rows: of its XML
+    """The landing folder as a stream of ``(path, length)`` rows: of its XML
     files, or, with ``marker``, of the files of that name which a writer puts
     into a snapshot folder last.  A trigger then takes whole snapshots, and one
     whose files are still landing waits.  ``landing`` may be a glob of day
@@ -154,19 +159,42 @@ def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: in
             .option("recursiveFileLookup", "true")
             .option("maxFilesPerTrigger", max_files_per_trigger)
             .load(landing)
-            .select("path", "content"))
+            .select("path", "length"))                     # contents are read by the batch, not listed twice
 
 
 def run_live_stream(spark: SparkSession, landing: str, bronze_path: str, checkpoint_location: str,
                     available_now: bool = True, processing_time: str = "1 minute",
                     report: list | None = None, max_files_per_trigger: int = 1000, native: bool = False,
-                    silver_path: str | None = None, verdict_path: str | None = None, marker: str | None = None):
+                    silver_path: str | None = None, verdict_path: str | None = None, marker: str | None = None,
+                    settle_seconds: float | None = None):
     """Start STR-1.  ``available_now`` processes what has landed and stops
     (backfills, tests); otherwise a trigger every ``processing_time``.
-    ``verdict_path``: table that gets one row per snapshot and batch."""
-    writer = (snapshot_stream(spark, landing, max_files_per_trigger, marker).writeStream
+    ``verdict_path``: table that gets one row per snapshot and batch.
+
+    ``settle_seconds``: a snapshot is taken when no file of it has come for so
+    long.  Default: ``SETTLE_SECONDS`` for a running stream; 0 (what has landed
+    is taken as it is) for a one-shot run, which ends before any time-out, and
+    with a ``marker``, which says more than a time-out does.  Files that one
+    trigger does not reach wait in the landing folder, so a backlog that takes
+    several triggers needs ``settle_seconds`` above the time between two of them."""
+    if settle_seconds is None:
+        settle_seconds = 0 if available_now or marker else SETTLE_SECONDS
+    elif settle_seconds > 0 and (available_now or marker):
+        raise ValueError("settle_seconds is for a running stream without a marker")
+    names = snapshot_stream(spark, landing, max_files_per_trigger, marker)
+    if settle_seconds > 0:
+        names = settled_snapshots(names, settle_seconds)
+    writer = (names.writeStream
               .foreachBatch(lambda df, _epoch: process_batch(df, bronze_path, report, native=native,
                                                              silver_path=silver_path, verdict_path=verdict_path))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    return writer.start()
+    if settle_seconds <= 0:
+        return writer.start()
+    key, store = STATE_STORE
+    before = spark.conf.get(key)
+    spark.conf.set(key, store)                           # the query keeps the settings it starts with
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
