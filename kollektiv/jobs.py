@@ -47,6 +47,12 @@ def main(argv: list[str] | None = None) -> int:
         if name == "static":
             s.add_argument("--stop-ids", choices=("hash", "position"), default="hash")
             s.add_argument("--quay-details", action="store_true")
+    s = sub.add_parser("replay", help="load repaired members of a static run: archives under --landing that held its rejects")
+    s.add_argument("--landing", required=True)
+    s.add_argument("--bronze", required=True)
+    s.add_argument("--date", required=True, help="the run's day")
+    s.add_argument("--ts", required=True, help="the run's ISO timestamp")
+    s.add_argument("--quay-details", action="store_true")
     s = sub.add_parser("stream", help="watch snapshot=<ts>/ folders; newest passing snapshot per day")
     s.add_argument("--landing", required=True)
     s.add_argument("--bronze", required=True)
@@ -87,6 +93,10 @@ def main(argv: list[str] | None = None) -> int:
             ts, day = _clock(args)
             out = ingest_archives(spark, args.landing, args.bronze, ts, day, args.stop_ids, args.quay_details)
             print(json.dumps({"status": out.status, "rejected_documents": out.rejected_documents, "rows": out.rows}))
+        elif args.job == "replay":
+            from kollektiv.plans.quarantine import replay
+            ts, day = _clock(args)
+            print(json.dumps(replay(spark, args.landing, args.bronze, ts, day, args.quay_details).__dict__))
         elif args.job == "live":
             from kollektiv.plans.live_ingest import ingest_snapshot
             from kollektiv.sources.archive import read_documents
