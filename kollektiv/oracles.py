@@ -450,3 +450,8 @@ ORACLES["static_ingest_bronze"] = "\nUNION ALL ".join([
     _bronze_part("netex_journey_patterns", ORACLES["src_xml_journey_patterns"], "RouteRef"),
     _bronze_part("netex_journey_pattern_stops", ORACLES["src_xml_journey_pattern_stops"], "scheduledStopPointRef",
                  f"sha256({_STOP_ID})", "CAST(NULL AS VARCHAR)")])
+
+ORACLES["static_reject_replay"] = "\nUNION ALL ".join([
+    _bronze_part("netex_stop_places", ORACLES["src_xml_stop_places"], "Name"),
+    _bronze_part("netex_scheduled_stop_points", ORACLES["src_xml_scheduled_stop_points"], "PublicCode"),
+    _bronze_part("netex_lines", LINES_XML_SQL, "PublicCode")])

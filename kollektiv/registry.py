@@ -18,6 +18,7 @@ from kollektiv.operators import dedupe, frames, ids, quality
 from kollektiv.operators.dedupe import latest_per_key
 from kollektiv.plans import gold, live_ingest, silver, staging, static_ingest
 from kollektiv.plans import models as model_run
+from kollektiv.plans import quarantine
 from kollektiv.schemas import (
     BRONZE_LIVE, BRONZE_LIVE_KEY, BRONZE_NETEX, BRONZE_NETEX_KEY, NETEX_RECORDS, netex_record_schema,
 )
@@ -529,6 +530,30 @@ def q_static_ingest_bronze(spark, sf_dir):
     return out.filter(F.col("id").isNotNull())
 
 
+@register("static_reject_replay")
+def q_static_reject_replay(spark, sf_dir):
+    """SRC-12: a run whose documents are in part cut short, then a replay of the
+    repaired archives; bronze is that of a sound run."""
+    broken, repaired, root = scratch_path(spark, "netex_landing"), scratch_path(spark, "netex_repaired"), scratch_path(spark, "bronze")
+    part = roles.table(spark, sf_dir, "part")
+    docs = (feeds.stop_places(roles.table(spark, sf_dir, "supplier")).unionByName(feeds.scheduled_stop_points(part))
+            .unionByName(feeds.lines(part)))
+    cut = F.expr("substring(content, 1, length(content) div 2)")
+    torn = docs.withColumn("content", F.when(F.crc32("path") % 2 == 0, cut).otherwise(F.col("content")))
+    archive.write_files(feeds.zip_archives(torn), broken).count()
+    archive.write_files(feeds.zip_archives(docs), repaired).count()
+    static_ingest.ingest_archives(spark, broken, root, roles.RUN1, roles.DAY1)
+    quarantine.replay(spark, repaired, root, roles.RUN1, roles.DAY1)
+    out = None
+    for kind in ("stop_place", "scheduled_stop_point", "line"):
+        bronze = tables.read_table(spark, f"{root}/{NETEX_RECORDS[kind][1]}", BRONZE_NETEX)
+        rows = latest_per_key(bronze, BRONZE_NETEX_KEY).select(
+            "dataset", "id", "version", S.json_extract_string("payload", _STATIC_FIELDS[kind]).alias("value"),
+            S.json_extract_string("payload", "Ingestion_Date").alias("day_ms"))
+        out = rows if out is None else out.unionByName(rows)
+    return out.filter(F.col("id").isNotNull())
+
+
 @register("declared_column_tests")
 def q_declared_column_tests(spark, sf_dir):
     """The declared not_null / unique tests over all models built from the
