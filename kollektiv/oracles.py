@@ -416,6 +416,9 @@ ORACLES["silver_timetable_incremental"] = f"""WITH {LIVE_CTE},
 {SILVER_CTE}
 SELECT * FROM SILVER"""
 
+ORACLES["fact_movements_incremental"] = ORACLES["silver_timetable_incremental"].replace(
+    "SELECT * FROM SILVER", ORACLES["fact_movements"].partition(f"WITH {LIVE_CHAIN}\n")[2])
+
 
 # --- published views, the seven bronze tables -----------------------------------------
 ORACLES["published_views"] = f"""WITH {LIVE_CHAIN},

@@ -82,6 +82,11 @@ def fact_movements_from_ranked(ranked: DataFrame, zone: str | None = None) -> Da
     return _fact_columns(number_ranked(ranked, "event_id"), zone)
 
 
+def fact_movements_from_numbered(numbered: DataFrame, zone: str | None = None) -> DataFrame:
+    """MDL-9 over a maintained numbering (``operators.order_table``)."""
+    return _fact_columns(numbered, zone)
+
+
 def _fact_columns(numbered: DataFrame, zone: str | None) -> DataFrame:
     return numbered.select(
         "event_id",
@@ -99,4 +104,4 @@ def _fact_columns(numbered: DataFrame, zone: str | None) -> DataFrame:
 
 
 __all__ = ["dim_line", "dim_quay", "dim_service_journey", "fact_movements", "rank_timetable",
-           "fact_movements_from_ranked", "M_COL", "P_COL"]
+           "fact_movements_from_ranked", "fact_movements_from_numbered", "M_COL", "P_COL"]

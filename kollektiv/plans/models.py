@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kollektiv.operators import order_table
 from kollektiv.plans import gold, silver, staging
 from kollektiv.plans.view_sql import SILVER_TABLE, view_statements
 from kollektiv.schemas import BRONZE_LIVE, BRONZE_LIVE_KEY, BRONZE_NETEX, NETEX_RECORDS, PARTITION_COLUMN
@@ -87,13 +88,39 @@ def refresh_silver_timetable(spark: SparkSession, bronze_root: str | None, silve
     return sorted(asked | written) if days is None else list(days)
 
 
+def refresh_numbered_timetable(spark: SparkSession, silver_path: str, numbered_path: str) -> order_table.Change:
+    """Maintain the numbered timetable (WIN-1) beside a maintained silver.
+
+    The manifests of silver say which days differ between the version that the
+    numbers were made from and the newest; only those days are read, in both
+    versions, and only rows that differ change the order table.  If that older
+    version is gone (``versions.vacuum``), or there is none, all is numbered anew.
+    """
+    newest, held = versions.current(spark, silver_path), versions.current(spark, numbered_path)
+    notes = {"source_version": newest["version"]}
+    before = None
+    if held is not None:
+        try:
+            before = versions.current(spark, silver_path, held["notes"]["source_version"])
+        except ValueError:
+            before = None
+    if before is None:
+        return order_table.build(versions.read(spark, silver_path, SILVER_TIMETABLE_SCHEMA, newest["version"]), numbered_path,
+                                 gold.FACT_ORDER, notes)
+    added, moved, ended = versions.changed_days(before, newest)
+    old = versions.read(spark, silver_path, SILVER_TIMETABLE_SCHEMA, before["version"], only=[*moved, *ended])
+    new = versions.read(spark, silver_path, SILVER_TIMETABLE_SCHEMA, newest["version"], only=[*moved, *added])
+    return order_table.change(spark, numbered_path, old.exceptAll(new), new.exceptAll(old), gold.FACT_ORDER, notes)
+
+
 def read_silver_timetable(spark: SparkSession, silver_path: str) -> DataFrame:
     return read_table(spark, silver_path, SILVER_TIMETABLE_SCHEMA)
 
 
 def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str | None = None,
                threads: int = 4, timings: dict | None = None, latest_lines_only: bool = False,
-               silver_path: str | None = None, database: str | None = None) -> dict[str, str]:
+               silver_path: str | None = None, database: str | None = None,
+               numbered_path: str | None = None) -> dict[str, str]:
     """Publish the views and rebuild the gold tables (``threads`` at a time);
     returns ``{gold model: path}``.  With ``database`` the views and tables are
     names of that database, which outlive the run (``publish_names``); without,
@@ -101,6 +128,9 @@ def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str
     ``latest_lines_only`` keeps one ``dim_line`` row per line (D9).
     ``silver_path``: read a silver timetable maintained by
     ``refresh_silver_timetable`` instead of de-duplicating the bronze history.
+    ``numbered_path``: take the numbers of the fact from the table that
+    ``refresh_numbered_timetable`` maintains, and sort nothing; it has to hold the
+    newest version of ``silver_path``.
 
     ``silver_timetable`` is staged once, range-sorted in fact order, and serves
     all three gold tables that read it (for ``fact_movements`` it is also step
@@ -109,7 +139,7 @@ def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str
     """
     with staging_scope(spark) as scope:
         built = _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only, silver_path,
-                     temporary_views=database is None)
+                     temporary_views=database is None, numbered_path=numbered_path)
     if database is not None:
         publish_names(spark, database, bronze_root, gold_root, built, zone, silver_path)
     return built
@@ -134,7 +164,7 @@ def publish_names(spark: SparkSession, database: str, bronze_root: str, gold_roo
 
 
 def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only,
-         silver_path, temporary_views=True) -> dict[str, str]:
+         silver_path, temporary_views=True, numbered_path=None) -> dict[str, str]:
     live, lines, quays = read_bronze(spark, bronze_root)
     views = {
         "stg_live_timetable": staging.stg_live_timetable(live),
@@ -159,8 +189,13 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_li
         # in fact order (numbering step 1); without the two tag columns it *is* silver
         silver_src = (read_silver_timetable(spark, silver_path) if silver_path
                       else silver.silver_timetable(views["stg_live_timetable"], zone))
-        ranked = gold.rank_timetable(silver_src)
-        silver_staged = ranked.drop(gold.M_COL, gold.P_COL)
+        if numbered_path:
+            silver_staged, build_fact = silver_src, lambda: gold.fact_movements_from_numbered(
+                _numbered(spark, silver_path, numbered_path), zone)
+        else:
+            ranked = gold.rank_timetable(silver_src)
+            silver_staged = ranked.drop(gold.M_COL, gold.P_COL)
+            build_fact = lambda: gold.fact_movements_from_ranked(ranked, zone)
         # what is published outlives this run, so it reads silver, not the staged copy
         views["silver_timetable"] = silver_src
         staged = time.perf_counter() - t0
@@ -172,7 +207,7 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_li
         builders = {
             "dim_quay": lambda: gold.dim_quay(views["stg_netex_quays"], silver_staged),
             "dim_service_journey": lambda: gold.dim_service_journey(silver_staged, zone),
-            "fact_movements": lambda: gold.fact_movements_from_ranked(ranked, zone),
+            "fact_movements": build_fact,
         }
         futures += [pool.submit(publish, n, b) for n, b in builders.items()]
         done = [f.result() for f in futures]
@@ -181,6 +216,15 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_li
     return {n: p for n, p, _ in done}
 
 
+def _numbered(spark: SparkSession, silver_path: str | None, numbered_path: str) -> DataFrame:
+    if not silver_path:
+        raise ValueError("a maintained numbering needs the maintained silver it was made from")
+    held, newest = versions.current(spark, numbered_path), versions.current(spark, silver_path)
+    if held is None or held["notes"]["source_version"] != newest["version"]:
+        raise ValueError(f"{numbered_path} does not hold version {newest['version']} of {silver_path}: refresh it first")
+    return order_table.read(spark, numbered_path)
+
+
 def register_views(spark: SparkSession, bronze_root: str, zone: str | None = None) -> list[str]:
     """All nine models as temporary views over the bronze tables, nothing
     written: ``spark.sql("SELECT ... FROM dim_quay")`` plans straight down to
