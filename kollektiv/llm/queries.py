@@ -33,7 +33,10 @@ _WORDS = r"'[^\x20\x09-\x0D]+'"
 @register("op1_mix_sources", rf"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, {_WORDS})), 0)::BIGINT AS size,
-         -ln((('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, 'null')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0)
+         -ln((('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, 'null')
+           || CASE WHEN doc_id IS NULL OR count(*) OVER (PARTITION BY doc_id) > 1
+                   THEN ':' || md5(coalesce(text, '')) || ':' || (row_number() OVER (PARTITION BY doc_id, source, coalesce(text, '')) - 1)
+                   ELSE '' END), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0)
            / (1.0 / (1.0 + 10.0 * (length(coalesce(text, '')) - length(translate(coalesce(text, ''), '%&$#*!|', '')))
                      / greatest(length(coalesce(text, '')), 1))) AS key
   FROM documents),
