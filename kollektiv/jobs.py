@@ -5,7 +5,8 @@
     python -m kollektiv.jobs stream  --landing L --bronze B --checkpoint C [--once]
     python -m kollektiv.jobs silver  --bronze B --silver S [--days D1,D2]
     python -m kollektiv.jobs number  --silver S --numbered N
-    python -m kollektiv.jobs models  --bronze B --gold G [--database D] [--silver S [--numbered N]] [--zone Z] [--threads N]
+    python -m kollektiv.jobs count   --silver S --counted C [--zone Z]
+    python -m kollektiv.jobs models  --bronze B --gold G [--database D] [--silver S [--numbered N] [--counted C]] [--zone Z] [--threads N]
     python -m kollektiv.jobs attach  --gold G --database D
     python -m kollektiv.jobs test    --bronze B
 
@@ -79,6 +80,11 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--latest-lines-only", action="store_true", help="one dim_line row per line")
     s.add_argument("--silver", help="read the silver timetable maintained by the silver job")
     s.add_argument("--numbered", help="with --silver: take the fact's numbers from the table maintained by the number job")
+    s.add_argument("--counted", help="with --silver: take distinct journeys and stops from the tables of the count job")
+    s = sub.add_parser("count", help="bring the supports of journeys and stops up to the newest silver: replaced days only")
+    s.add_argument("--silver", required=True)
+    s.add_argument("--counted", required=True)
+    s.add_argument("--zone")
     s = sub.add_parser("number", help="bring the numbered timetable up to the newest silver: changed ranges only")
     s.add_argument("--silver", required=True)
     s.add_argument("--numbered", required=True)
@@ -123,6 +129,10 @@ def main(argv: list[str] | None = None) -> int:
             days = [_dt.date.fromisoformat(d) for d in args.days.split(",")] if args.days else None
             done = refresh_silver_timetable(spark, args.bronze, args.silver, days, zone=args.zone)
             print(json.dumps({"refreshed_days": [str(d) for d in done]}))
+        elif args.job == "count":
+            from kollektiv.plans.models import refresh_counted_dimensions
+            done = refresh_counted_dimensions(spark, args.silver, args.counted, zone=args.zone)
+            print(json.dumps({name: c.__dict__ for name, c in done.items()}))
         elif args.job == "number":
             from kollektiv.plans.models import refresh_numbered_timetable
             print(json.dumps(refresh_numbered_timetable(spark, args.silver, args.numbered).__dict__))
@@ -131,7 +141,7 @@ def main(argv: list[str] | None = None) -> int:
             timings: dict = {}
             paths = run_models(spark, args.bronze, args.gold, zone=args.zone, threads=args.threads, timings=timings,
                                latest_lines_only=args.latest_lines_only, silver_path=args.silver, database=args.database,
-                               numbered_path=args.numbered)
+                               numbered_path=args.numbered, counted_root=args.counted)
             print(json.dumps({"tables": paths, "seconds": timings}))
         elif args.job == "attach":
             from kollektiv.sinks.catalog import Database

@@ -40,6 +40,8 @@ from kollektiv.sinks import versions
 
 #: Rows of a range when it is cut.
 RANGE_ROWS = 1 << 22
+#: Rows that a task sorts; the number of tasks follows the counted rows.
+TASK_ROWS = 1 << 19
 #: Ranges whose statistics may be broadcast (24 bytes each).
 BROADCAST_RANGES = 1_000_000
 
@@ -60,6 +62,10 @@ def _order(order: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order]
 
 
+def _tasks(rows: int) -> int:
+    return max(1, -(-rows // TASK_ROWS))
+
+
 def _full_order(df: DataFrame, order: tuple[str, ...]) -> list[str]:
     return [*order, *[c for c in df.columns if c not in order]]
 
@@ -81,12 +87,13 @@ def _publish(placed: DataFrame, pieces: DataFrame, path: str, gone: list[str], n
 
 
 def build(df: DataFrame, path: str, order: tuple[str, ...], notes: dict | None = None, expect: int | None = None) -> Change:
-    """Number all of ``df`` (ordered by ``order``, then by the other columns)."""
+    """Number all of ``df`` (ordered by ``order``, then by the other columns).  It
+    is counted first: stage it if it is dear."""
     spark, names = df.sparkSession, _full_order(df, order)
     found = versions.current(spark, path)
     with staging_scope(spark):
         zero = F.col(_G) - 1
-        placed = (dense_row_number(df, _order(names), _G)
+        placed = (dense_row_number(df, _order(names), _G, _tasks(df.count()))
                   .withColumn(RANGE, F.floor(zero / RANGE_ROWS).cast("long"))
                   .withColumn(PLACE, (zero % RANGE_ROWS + 1).cast("long")).drop(_G))
         placed = stage_table(placed, "placed")
@@ -107,7 +114,7 @@ def _ranges_of(changes: DataFrame, stats: DataFrame, names: list[str]) -> DataFr
             .unionByName(changes.select(*names, _SIGN)))
     is_first = (F.col(_SIGN) == 0).cast("long")
     # a first row that leaves belongs to its range: it comes before equal rows of the change
-    ranked = rank_partitions(both, [*_order(names), (F.col(_SIGN) != 0).asc()])
+    ranked = rank_partitions(both, [*_order(names), (F.col(_SIGN) != 0).asc()], _tasks(both.count()))
     upto = F.sum(is_first).over(Window.partitionBy(P_COL).orderBy(M_COL).rowsBetween(Window.unboundedPreceding, 0))
     per_part = ranked.groupBy(P_COL).agg(F.sum(is_first).alias("firsts"))
     parts = Window.orderBy(P_COL).rowsBetween(Window.unboundedPreceding, -1)         # one row per partition
@@ -142,14 +149,14 @@ def change(spark: SparkSession, path: str, leaving: DataFrame, coming: DataFrame
         touched = [str(r) for r in due]
         held = stats.join(F.broadcast(tagged.select(RANGE).distinct()) if len(due) <= BROADCAST_RANGES
                           else tagged.select(RANGE).distinct(), RANGE, "left_semi").agg(F.sum(_N)).first()[0] or 0
+        wanted = held + sum(more - less for less, more in due.values())
         where = stats.select(RANGE, F.col("ordinal").alias(_ORDINAL))
         old = range_rows(spark, path, found, touched).drop(PLACE).select(*names, RANGE)
         left = old.exceptAll(tagged.filter(F.col(_SIGN) < 0).select(*names, RANGE))
         rows = left.unionByName(tagged.filter(F.col(_SIGN) > 0).select(*names, RANGE)).join(_small(where), RANGE)
-        numbered = stage_table(dense_row_number(rows, [F.col(_ORDINAL).asc(), *_order(names)], _G), "renumbered")
+        numbered = stage_table(dense_row_number(rows, [F.col(_ORDINAL).asc(), *_order(names)], _G, _tasks(wanted)), "renumbered")
         sizes = numbered.groupBy(RANGE).agg(F.count(F.lit(1)).alias(_N), F.min(_G).alias("first_g"))
         sizes = stage_table(sizes, "range-sizes")
-        wanted = held + sum(more - less for less, more in due.values())
         if (sizes.agg(F.sum(_N)).first()[0] or 0) != wanted:
             raise ValueError(f"{path}: rows to leave that the table does not hold")
         _refuse_equal_rows(numbered, names)

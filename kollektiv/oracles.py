@@ -419,6 +419,11 @@ SELECT * FROM SILVER"""
 ORACLES["fact_movements_incremental"] = ORACLES["silver_timetable_incremental"].replace(
     "SELECT * FROM SILVER", ORACLES["fact_movements"].partition(f"WITH {LIVE_CHAIN}\n")[2])
 
+ORACLES["dim_service_journey_incremental"] = ORACLES["silver_timetable_incremental"].replace(
+    "SELECT * FROM SILVER", ORACLES["dim_service_journey"].partition(f"WITH {LIVE_CHAIN}\n")[2])
+ORACLES["quay_stops_incremental"] = ORACLES["silver_timetable_incremental"].replace(
+    "SELECT * FROM SILVER", "SELECT DISTINCT QuayId, StopPointId FROM SILVER")
+
 
 # --- published views, the seven bronze tables -----------------------------------------
 ORACLES["published_views"] = f"""WITH {LIVE_CHAIN},

@@ -43,16 +43,25 @@ def dim_quay(stg_quays: DataFrame, silver_timetable_df: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def quay_stops(silver_timetable_df: DataFrame) -> DataFrame:
+    """What ``dim_quay`` takes from the timetable, not yet distinct."""
+    return silver_timetable_df.select("QuayId", "StopPointId")
+
+
 def dim_service_journey(silver_timetable_df: DataFrame, zone: str | None = None) -> DataFrame:
     """MDL-8: distinct (journey, day, direction, mode, line, route)."""
+    return journeys(silver_timetable_df, zone).distinct()
+
+
+def journeys(silver_timetable_df: DataFrame, zone: str | None = None) -> DataFrame:
+    """The rows of ``dim_service_journey``, not yet distinct."""
     return (silver_timetable_df.filter(F.col("ServiceJourneyId").isNotNull())
             .select(F.col("ServiceJourneyId").alias("service_journey_id"),
                     service_date("AimedArrivalTime", zone).alias("date_id"),
                     F.col("DirectionRef").alias("direction"),
                     "VehicleMode",
                     F.col("LineId").alias("line_id"),
-                    F.col("RouteId").alias("route_id"))
-            .distinct())
+                    F.col("RouteId").alias("route_id")))
 
 
 def fact_order_columns(df: DataFrame):

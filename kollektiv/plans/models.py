@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kollektiv.operators import order_table
+from kollektiv.operators import counted_distinct, order_table
 from kollektiv.plans import gold, silver, staging
 from kollektiv.plans.view_sql import SILVER_TABLE, view_statements
 from kollektiv.schemas import BRONZE_LIVE, BRONZE_LIVE_KEY, BRONZE_NETEX, NETEX_RECORDS, PARTITION_COLUMN
@@ -96,21 +96,57 @@ def refresh_numbered_timetable(spark: SparkSession, silver_path: str, numbered_p
     versions, and only rows that differ change the order table.  If that older
     version is gone (``versions.vacuum``), or there is none, all is numbered anew.
     """
-    newest, held = versions.current(spark, silver_path), versions.current(spark, numbered_path)
-    notes = {"source_version": newest["version"]}
-    before = None
+    notes, whole, old, new = _silver_difference(spark, silver_path, numbered_path)
+    if old is None:
+        return order_table.build(whole, numbered_path, gold.FACT_ORDER, notes)
+    return order_table.change(spark, numbered_path, old.exceptAll(new), new.exceptAll(old), gold.FACT_ORDER, notes)
+
+
+def _silver_difference(spark: SparkSession, silver_path: str, path: str):
+    """(notes, all of silver, old rows, new rows) of the days in which the newest
+    silver differs from the version that ``path`` was made from; no old and new
+    rows where that version is gone or there was none."""
+    newest, held = versions.current(spark, silver_path), versions.current(spark, path)
+    notes, before = {"source_version": newest["version"]}, None
+    whole = versions.read(spark, silver_path, SILVER_TIMETABLE_SCHEMA, newest["version"])
     if held is not None:
         try:
             before = versions.current(spark, silver_path, held["notes"]["source_version"])
         except ValueError:
             before = None
     if before is None:
-        return order_table.build(versions.read(spark, silver_path, SILVER_TIMETABLE_SCHEMA, newest["version"]), numbered_path,
-                                 gold.FACT_ORDER, notes)
+        return notes, whole, None, None
     added, moved, ended = versions.changed_days(before, newest)
-    old = versions.read(spark, silver_path, SILVER_TIMETABLE_SCHEMA, before["version"], only=[*moved, *ended])
-    new = versions.read(spark, silver_path, SILVER_TIMETABLE_SCHEMA, newest["version"], only=[*moved, *added])
-    return order_table.change(spark, numbered_path, old.exceptAll(new), new.exceptAll(old), gold.FACT_ORDER, notes)
+    return (notes, whole,
+            versions.read(spark, silver_path, SILVER_TIMETABLE_SCHEMA, before["version"], only=[*moved, *ended]),
+            versions.read(spark, silver_path, SILVER_TIMETABLE_SCHEMA, newest["version"], only=[*moved, *added]))
+
+
+def counted_paths(counted_root: str) -> dict[str, str]:
+    return {name: f"{counted_root.rstrip('/')}/{name}" for name in ("service_journeys", "quay_stops")}
+
+
+def refresh_counted_dimensions(spark: SparkSession, silver_path: str, counted_root: str,
+                               zone: str | None = None) -> dict[str, counted_distinct.Change]:
+    """Maintain what ``dim_service_journey`` and ``dim_quay`` take from the
+    timetable, distinct rows with their supports, by the days that silver replaced."""
+    done = {}
+    for name, path in counted_paths(counted_root).items():
+        rows = (lambda df: gold.journeys(df, zone)) if name == "service_journeys" else gold.quay_stops
+        notes, whole, old, new = _silver_difference(spark, silver_path, path)
+        done[name] = (counted_distinct.build(rows(whole), path, notes) if old is None
+                      else counted_distinct.change(spark, path, rows(old), rows(new), notes))
+    return done
+
+
+def _current_for(spark: SparkSession, silver_path: str | None, path: str) -> str:
+    """``path``, if it was made from the newest silver."""
+    if not silver_path:
+        raise ValueError("maintained numbers and supports need the maintained silver they were made from")
+    held, newest = versions.current(spark, path), versions.current(spark, silver_path)
+    if held is None or held["notes"]["source_version"] != newest["version"]:
+        raise ValueError(f"{path} does not hold version {newest['version']} of {silver_path}: refresh it first")
+    return path
 
 
 def read_silver_timetable(spark: SparkSession, silver_path: str) -> DataFrame:
@@ -120,7 +156,7 @@ def read_silver_timetable(spark: SparkSession, silver_path: str) -> DataFrame:
 def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str | None = None,
                threads: int = 4, timings: dict | None = None, latest_lines_only: bool = False,
                silver_path: str | None = None, database: str | None = None,
-               numbered_path: str | None = None) -> dict[str, str]:
+               numbered_path: str | None = None, counted_root: str | None = None) -> dict[str, str]:
     """Publish the views and rebuild the gold tables (``threads`` at a time);
     returns ``{gold model: path}``.  With ``database`` the views and tables are
     names of that database, which outlive the run (``publish_names``); without,
@@ -130,7 +166,9 @@ def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str
     ``refresh_silver_timetable`` instead of de-duplicating the bronze history.
     ``numbered_path``: take the numbers of the fact from the table that
     ``refresh_numbered_timetable`` maintains, and sort nothing; it has to hold the
-    newest version of ``silver_path``.
+    newest version of ``silver_path``.  ``counted_root``: likewise, take the distinct
+    rows of ``dim_quay`` and ``dim_service_journey`` from
+    ``refresh_counted_dimensions``.
 
     ``silver_timetable`` is staged once, range-sorted in fact order, and serves
     all three gold tables that read it (for ``fact_movements`` it is also step
@@ -139,7 +177,7 @@ def run_models(spark: SparkSession, bronze_root: str, gold_root: str, zone: str
     """
     with staging_scope(spark) as scope:
         built = _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only, silver_path,
-                     temporary_views=database is None, numbered_path=numbered_path)
+                     temporary_views=database is None, numbered_path=numbered_path, counted_root=counted_root)
     if database is not None:
         publish_names(spark, database, bronze_root, gold_root, built, zone, silver_path)
     return built
@@ -164,7 +202,7 @@ def publish_names(spark: SparkSession, database: str, bronze_root: str, gold_roo
 
 
 def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_lines_only,
-         silver_path, temporary_views=True, numbered_path=None) -> dict[str, str]:
+         silver_path, temporary_views=True, numbered_path=None, counted_root=None) -> dict[str, str]:
     live, lines, quays = read_bronze(spark, bronze_root)
     views = {
         "stg_live_timetable": staging.stg_live_timetable(live),
@@ -191,11 +229,13 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_li
                       else silver.silver_timetable(views["stg_live_timetable"], zone))
         if numbered_path:
             silver_staged, build_fact = silver_src, lambda: gold.fact_movements_from_numbered(
-                _numbered(spark, silver_path, numbered_path), zone)
+                order_table.read(spark, _current_for(spark, silver_path, numbered_path)), zone)
         else:
             ranked = gold.rank_timetable(silver_src)
             silver_staged = ranked.drop(gold.M_COL, gold.P_COL)
             build_fact = lambda: gold.fact_movements_from_ranked(ranked, zone)
+        counted = {n: counted_distinct.read(spark, _current_for(spark, silver_path, path))
+                   for n, path in counted_paths(counted_root).items()} if counted_root else None
         # what is published outlives this run, so it reads silver, not the staged copy
         views["silver_timetable"] = silver_src
         staged = time.perf_counter() - t0
@@ -205,8 +245,9 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_li
             if timings is not None:
                 timings[name] = time.perf_counter() - t + (staged if name == "silver_timetable" else 0.0)
         builders = {
-            "dim_quay": lambda: gold.dim_quay(views["stg_netex_quays"], silver_staged),
-            "dim_service_journey": lambda: gold.dim_service_journey(silver_staged, zone),
+            "dim_quay": lambda: gold.dim_quay(views["stg_netex_quays"], counted["quay_stops"] if counted else silver_staged),
+            "dim_service_journey": lambda: (counted["service_journeys"] if counted
+                                            else gold.dim_service_journey(silver_staged, zone)),
             "fact_movements": build_fact,
         }
         futures += [pool.submit(publish, n, b) for n, b in builders.items()]
@@ -216,15 +257,6 @@ def _run(spark, bronze_root, gold_root, zone, threads, timings, scope, latest_li
     return {n: p for n, p, _ in done}
 
 
-def _numbered(spark: SparkSession, silver_path: str | None, numbered_path: str) -> DataFrame:
-    if not silver_path:
-        raise ValueError("a maintained numbering needs the maintained silver it was made from")
-    held, newest = versions.current(spark, numbered_path), versions.current(spark, silver_path)
-    if held is None or held["notes"]["source_version"] != newest["version"]:
-        raise ValueError(f"{numbered_path} does not hold version {newest['version']} of {silver_path}: refresh it first")
-    return order_table.read(spark, numbered_path)
-
-
 def register_views(spark: SparkSession, bronze_root: str, zone: str | None = None) -> list[str]:
     """All nine models as temporary views over the bronze tables, nothing
     written: ``spark.sql("SELECT ... FROM dim_quay")`` plans straight down to

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kollektiv import feeds, roles
 from kollektiv.functions import scalars as S
-from kollektiv.operators import dedupe, frames, ids, order_table, quality
+from kollektiv.operators import counted_distinct, dedupe, frames, ids, order_table, quality
 from kollektiv.operators.dedupe import latest_per_key
 from kollektiv.plans import gold, live_ingest, silver, staging, static_ingest
 from kollektiv.plans import models as model_run
@@ -601,15 +601,38 @@ def q_silver_timetable_incremental(spark, sf_dir):
 def q_fact_movements_incremental(spark, sf_dir):
     """WIN-1 maintained: the fact is numbered once, then the weekend days are
     re-ingested, silver refreshed, and the order table changed by what differs."""
+    numbered = scratch_path(spark, "numbered")
+    _silver_replaced(spark, sf_dir, lambda silver_path: model_run.refresh_numbered_timetable(spark, silver_path, numbered))
+    return gold.fact_movements_from_numbered(order_table.read(spark, numbered))
+
+
+def _silver_replaced(spark, sf_dir, refresh):
+    """Silver of all days, ``refresh``, silver of the corrected weekend days, ``refresh``."""
     root, silver_path = scratch_path(spark, "bronze"), scratch_path(spark, "silver_timetable")
-    numbered, bronze_live = scratch_path(spark, "numbered"), f"{root}/bronze_live_timetable"
-    live = _live(spark, sf_dir)
+    bronze_live, live = f"{root}/bronze_live_timetable", _live(spark, sf_dir)
     tables.overwrite_partitions(live, bronze_live, sort_key=list(BRONZE_LIVE_KEY))
     model_run.refresh_silver_timetable(spark, root, silver_path)
-    model_run.refresh_numbered_timetable(spark, silver_path, numbered)
+    refresh(silver_path)
     rerun = _weekend_correction(live)
     tables.overwrite_partitions(rerun, bronze_live, sort_key=list(BRONZE_LIVE_KEY))
     days = [r[0] for r in rerun.select("Ingestion_Date").distinct().collect()]   # one row per day
     model_run.refresh_silver_timetable(spark, root, silver_path, days)
-    model_run.refresh_numbered_timetable(spark, silver_path, numbered)
-    return gold.fact_movements_from_numbered(order_table.read(spark, numbered))
+    refresh(silver_path)
+
+
+def _counted(spark, sf_dir) -> dict[str, str]:
+    counted = scratch_path(spark, "counted")
+    _silver_replaced(spark, sf_dir, lambda silver_path: model_run.refresh_counted_dimensions(spark, silver_path, counted))
+    return model_run.counted_paths(counted)
+
+
+@register("dim_service_journey_incremental")
+def q_dim_service_journey_incremental(spark, sf_dir):
+    """MDL-8 maintained by counting, over replaced weekend days."""
+    return counted_distinct.read(spark, _counted(spark, sf_dir)["service_journeys"])
+
+
+@register("quay_stops_incremental")
+def q_quay_stops_incremental(spark, sf_dir):
+    """The timetable's side of MDL-7 maintained by counting, over replaced weekend days."""
+    return counted_distinct.read(spark, _counted(spark, sf_dir)["quay_stops"])
