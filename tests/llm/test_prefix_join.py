@@ -104,6 +104,42 @@ def test_a_passage_in_very_many_documents(spark, monkeypatch):
     assert sum(p.count() for p in listed) < 20_000
 
 
+def test_a_passage_brings_no_sets_together(spark, monkeypatch):
+    """Sets that have only a passage in common are neither joined nor compared
+    as texts; the near copies among them are found."""
+    texts, real = [], J.links_in_groups
+    monkeypatch.setattr(J, "links_in_groups", lambda members, *a: texts.append(members.select("key").collect()) or real(members, *a))
+    rnd = random.Random(13)
+    passage = [f"q{i}" for i in range(40)]
+    rows = [(i, " ".join([f"u{rnd.randrange(10 ** 9)}" for _ in range(160)] + passage)) for i in range(400)]
+    rows += [(1000 + i, rows[i][1] + " more") for i in range(0, 400, 40)]
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(docs_of(spark, rows)).collect()}
+    assert got == {i: i - 1000 if i >= 1000 else i for i, _ in rows}
+    assert sum(len(t) for t in texts) <= 40
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 300), st.sampled_from([50, 80, 85, 95]), st.sampled_from(["less", "more", "other"]), st.integers(0, 2**32))
+def test_similar_sets_have_a_signature_in_common(n, percent, kind, seed):
+    """Pairs as far apart as the threshold allows."""
+    rng = np.random.default_rng(seed)
+    a = rng.integers(0, 2**64, n, dtype=np.uint64)
+    drop = {"less": n * (100 - percent) // 100, "more": 0, "other": (100 - percent) * n // (100 + percent)}[kind]
+    add = {"less": 0, "more": n * 100 // percent - n, "other": drop}[kind]
+    b = np.sort(np.concatenate([a[drop:], rng.integers(0, 2**64, add, dtype=np.uint64)]))
+    found, owner = J.signatures([np.sort(a), b], percent)
+    x, y = (np.frombuffer(v, np.uint64)[None] for v in J._parities([np.sort(a), b]).to_pylist())
+    assert J._may_link(x, y, np.array([n]), np.array([len(b)]), percent)[0]
+    assert (drop == add == 0) or set(found[owner == 0].tolist()) & set(found[owner == 1].tolist())
+
+
+def test_sets_in_few_ranges_share_prefix_grams():
+    """Sets that lie in few ranges share n-grams of their prefixes."""
+    a = np.arange(100, dtype=np.uint64)
+    found, owner = J.signatures([a, a[5:]], 85)
+    assert set(found[owner == 0].tolist()) & set(found[owner == 1].tolist()) and len(found) > 30
+
+
 def test_edge_cases_match_brute_force(spark):
     rows = corpus(6, unique=False) + [(None, "a b"), (None, "A B"), (200, None), (201, ""), (202, " \n"), (203, "a b"), (204, "a b c d e"),
                                       (204, "a b c d e"), (205, "long " * 50_000), (206, "long " * 9)]
