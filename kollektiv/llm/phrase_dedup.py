@@ -6,12 +6,13 @@ also start earlier, in a smaller document or further left, are removed.
 1. *Seeds.*  Of every window one phrase of ``SEED`` words is chosen by its
    hash, the same one wherever the window stands.  Phrases chosen only once in
    the corpus rule their windows out.
-2. *Confirm.*  The other windows are counted by hash.  Those that recur,
-   where they stand first, are cut into passages of bounded length.
-3. *Compile.*  Documents go to shards of bounded size, and each passage to the
-   shards that have one of its seeds.  A shard builds one Aho-Corasick
-   automaton (over word numbers) from the passages' blocks: every window holds
-   a whole block.
+2. *Confirm.*  Documents go to shards of bounded size, and the other windows
+   are counted by hash.  Of those that recur, each shard that has one again is
+   told where it stands first.
+3. *Compile.*  What a shard has again is cut out of the documents that have it
+   first, as passages of bounded length.  A shard so gets no more windows than
+   its own text has.  It builds one Aho-Corasick automaton (over word numbers)
+   from the passages' blocks: every window holds a whole block.
 4. *Stream.*  The shard's documents run through it.  Each hit is extended to
    both sides word by word, which proves the match and gives every occurrence.
 
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kollektiv.llm import words as W
-from kollektiv.llm.common import POSITION_BITS, arrow_map, byte_slices, keyed, per_row, stage_table
+from kollektiv.llm.common import POSITION_BITS, arrow_map, byte_slices, keyed, per_row, shards, stage_bucketed, stage_table
+from kollektiv.session import StagingScope, use_scope
 
 WINDOW = 20
 SEED = 8
-#: Windows of a passage, at most.
-PASSAGE = 256
+#: Windows of a passage, at most: 2 ** PASSAGE_BITS, flagged in numbers of MASK_BITS.
+PASSAGE_BITS = 8
+MASK_BITS = 64
+MASKS = [f"m{i}" for i in range((1 << PASSAGE_BITS) // MASK_BITS)]
 #: Text of a shard, about.
 SHARD_BYTES = 12 << 20
 #: Characters of a word in the automaton.
@@ -99,9 +104,53 @@ def seeds(docs: DataFrame) -> DataFrame:
     return arrow_map(docs, run, "seed long, key long, n long")
 
 
-def recurring_windows(candidates: DataFrame) -> DataFrame:
-    """key, position of the first occurrence of every window that recurs.
-    ``candidates``: key, text, seeds (those that recur)."""
+#: Rows taken at once from the sorted streams below.
+_ROWS = 1 << 16
+
+
+def _by_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of some batches together, ``_ROWS`` rows or so."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= _ROWS:
+            yield [c.to_numpy() for c in pa.Table.from_batches(held).columns]
+            held, n = [], 0
+    if n:
+        yield [c.to_numpy() for c in pa.Table.from_batches(held).columns]
+
+
+def _sorted_map(df: DataFrame, fn: Callable, parts: int, by: list[str], schema: str) -> DataFrame:
+    """``fn`` (of column arrays, a part's in order) over rows dealt by the first
+    column of ``by`` and sorted by all: equal values come one after the other."""
+    return (df.repartition(parts, by[0]).sortWithinPartitions(*by)
+            .mapInArrow(lambda batches: fn(_by_rows(batches)), schema))
+
+
+def recurring_seeds(seen: DataFrame, parts: int) -> DataFrame:
+    """seed, key of the seeds that are chosen more than once.  ``seen``: seed, key, n."""
+    def run(chunks):
+        last, open_key = None, None                # the latest seed; its key, while only chosen once
+        for seed, key, n in chunks:
+            if open_key is not None:
+                seed, key, n = np.append(last, seed), np.append(open_key, key), np.append(1, n)
+            goes_on = open_key is None and last is not None and seed[0] == last
+            new = np.concatenate([[not goes_on], seed[1:] != seed[:-1]])
+            first = np.flatnonzero(new)
+            size = np.diff(np.append(first, len(seed)))
+            alone = first[(size == 1) & (n[first] == 1)]
+            keep = np.ones(len(seed), bool)
+            keep[alone] = False
+            last, open_key = seed[-1], key[-1] if len(alone) and alone[-1] == len(seed) - 1 else None
+            yield _batch(seed=seed[keep], key=key[keep])
+    return _sorted_map(seen, run, parts, ["seed"], "seed long, key long")
+
+
+def window_rows(candidates: DataFrame) -> DataFrame:
+    """window, place, shard, n: the windows of each slice of ``candidates`` (shard,
+    key, text, seeds that recur) with a seed that recurs: the first place of each
+    in a shard, and how often it stands there."""
     def run(b: pa.RecordBatch):
         for s in byte_slices(b, "text"):
             w = W.Words(s["text"])
@@ -115,40 +164,79 @@ def recurring_windows(candidates: DataFrame) -> DataFrame:
             with np.errstate(over="ignore"):
                 keep = np.isin(W.join2(text.astype(np.uint64), g[at]), W.join2(owner.astype(np.uint64), flat))
             start, text = start[keep], text[keep]
-            h = W.grams(w.hash, WINDOW)[start]
+            if not len(start):
+                continue
+            h = _signed(W.grams(w.hash, WINDOW)[start])
             place = s["key"].to_numpy()[text] << POSITION_BITS | start - w.off[text]
-            yield _batch(window=_signed(h), place=place)
-    return (arrow_map(candidates, run, "window long, place long").groupBy("window")
-            .agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("place"))
-
-
-def passages(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """owner, start, words, seeds: passages of ``PASSAGE`` windows at most,
-    with their text and the seeds of their windows."""
-    at = F.col("place").bitwiseAND((1 << POSITION_BITS) - 1)
-    pieces = (firsts.select(F.shiftright("place", POSITION_BITS).alias("key"), at.alias("at"))
-              .groupBy("key", F.floor(F.col("at") / PASSAGE).alias("no")).agg(F.collect_list("at").alias("at"))
-              .groupBy("key").agg(F.collect_list("at").alias("pieces")))
+            shard = s["shard"].to_numpy()[text]
+            order = np.lexsort((shard, h))
+            h, place, shard = h[order], place[order], shard[order]
+            new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (shard[1:] != shard[:-1])]))
+            yield _batch(window=h[new], place=np.minimum.reduceat(place, new), shard=shard[new],
+                         n=np.diff(np.append(new, len(h))))
+    return arrow_map(candidates, run, "window long, place long, shard int, n long")
+
+
+def recurring_windows(rows: DataFrame, parts: int) -> DataFrame:
+    """place, dest: where each window that recurs stands first, for every shard
+    that has it elsewhere too.  ``rows``: window, place, shard, n."""
+    def run(chunks):
+        last, start = None, 0                      # the latest window and its first place
+        for window, place, shard, n in chunks:
+            goes_on = last is not None and window[0] == last
+            new = np.concatenate([[not goes_on], window[1:] != window[:-1]])
+            first = np.flatnonzero(new)
+            # the first place of each row's window: rows before the first new one go on with the last
+            firsts = np.append(start, place[first])[np.cumsum(new)]
+            last, start = window[-1], firsts[-1]
+            keep = ~new | (n > 1)
+            yield _batch(place=firsts[keep], dest=shard[keep])
+    return _sorted_map(rows, run, parts, ["window", "place"], "place long, dest int")
+
+
+def passages(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """dest, owner, start, words: what each shard is to get, cut out of the
+    documents as passages of ``2 ** PASSAGE_BITS`` windows at most.  ``docs``:
+    shard, key, text; ``wanted``: shard (of the document), passage, dest and
+    flags of the passage's windows."""
+    low = POSITION_BITS - PASSAGE_BITS
 
-    def run(b: pa.RecordBatch):
-        for i in range(b.num_rows):
-            w = W.Words(b["text"].slice(i, 1))
-            start, _, seed, g = _windows(w)
-            out = {"owner": [], "start": [], "words": [], "seeds": []}
-            key = b["key"][i].as_py()
-            for piece in b["pieces"][i]:
-                piece = np.sort(piece.values.to_numpy())
-                # runs of windows that touch no other window are passages of their own
-                for run_of in np.split(piece, np.flatnonzero(np.diff(piece) > BLOCK) + 1):
-                    first, last = int(run_of[0]), int(run_of[-1]) + WINDOW
-                    out["owner"].append(key)
-                    out["start"].append(first)
-                    out["words"].append(w.data[w.start[first]:w.end[last - 1]].tobytes())
-                    out["seeds"].append(np.unique(g[seed[run_of]]).view(np.int64))
-            yield _batch(owner=pa.array(out["owner"], pa.int64()), start=pa.array(out["start"], pa.int64()),
-                         words=pa.array(out["words"], pa.binary()), seeds=pa.array(out["seeds"], pa.list_(pa.int64())))
-    rows = docs.join(pieces, "key")
-    return arrow_map(rows, run, "owner long, start long, words binary, seeds array<long>")
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {"dest": [], "owner": [], "start": [], "words": []}
+        order = np.argsort(right["passage"].to_numpy(), kind="stable")
+        passage, dest = right["passage"].to_numpy()[order], right["dest"].to_numpy()[order]
+        flags = np.stack([right[m].to_numpy()[order] for m in MASKS], axis=1).astype("<i8").view(np.uint8)
+        for s in (s for b in left.to_batches() for s in byte_slices(b, "text")):
+            keys = s["key"].to_numpy()
+            since, until = (np.searchsorted(passage, k << low) for k in (keys, keys + 1))
+            has = np.flatnonzero(since < until)
+            if not len(has):
+                continue
+            w = W.Words(s["text"].take(pa.array(has)))
+            for t, i in enumerate(has.tolist()):
+                pieces: dict[tuple[int, bytes], list] = {}
+                for r in range(since[i], until[i]):
+                    what = int(passage[r]), flags[r].tobytes()
+                    if what not in pieces:
+                        pieces[what] = list(_cut(w, t, (what[0] & (1 << low) - 1) << PASSAGE_BITS, flags[r]))
+                    for first, words in pieces[what]:
+                        out["dest"].append(int(dest[r]))
+                        out["owner"].append(int(keys[i]))
+                        out["start"].append(first)
+                        out["words"].append(words)
+        return pa.table({"dest": pa.array(out["dest"], pa.int32()), "owner": pa.array(out["owner"], pa.int64()),
+                         "start": pa.array(out["start"], pa.int64()), "words": pa.array(out["words"], pa.binary())})
+    return (docs.groupBy("shard").cogroup(wanted.groupBy("shard"))
+            .applyInArrow(run, "dest int, owner long, start long, words binary"))
+
+
+def _cut(w: W.Words, text: int, offset: int, flags: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Start and words of the passages of a text's flagged windows."""
+    at = np.flatnonzero(np.unpackbits(flags, bitorder="little")) + offset
+    # runs of windows that touch no other window are passages of their own
+    for run_of in np.split(at, np.flatnonzero(np.diff(at) > BLOCK) + 1):
+        first, last = int(run_of[0]), int(run_of[-1]) + WINDOW
+        yield first, w.data[w.start[w.off[text] + first]:w.end[w.off[text] + last - 1]].tobytes()
 
 
 class Automaton:
@@ -248,24 +336,54 @@ def found(docs: DataFrame, routed: DataFrame) -> DataFrame:
             .applyInArrow(run, "key long, removed array<int>, kept_sha256 string"))
 
 
+def _shard(key, n: int):
+    return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+
+def candidate_texts(docs: DataFrame, again: DataFrame, n: int) -> DataFrame:
+    """shard, key, text, seeds (that recur) of the documents that have any,
+    staged by shard.  ``again``: seed, key."""
+    shard = _shard(F.col("key"), n).alias("shard")
+    by_doc = (again.select("key", shard, "seed").repartition(n, "shard").groupBy("shard", "key")
+              .agg(F.collect_list("seed").alias("seeds")))
+    texts = docs.select(shard, "key", "text").repartition(n, "shard").join(by_doc, ["shard", "key"])
+    return stage_bucketed(texts, "candidates", "shard", n, dealt=True)
+
+
+def wanted_passages(firsts: DataFrame, n: int) -> DataFrame:
+    """shard (of the document), passage, dest and which windows of the passage
+    the shard ``dest`` is to get.  ``firsts``: place, dest."""
+    in_passage = F.col("place").bitwiseAND((1 << PASSAGE_BITS) - 1)
+    flag = F.expr(f"shiftleft(1L, cast(at % {MASK_BITS} as int))")
+    masks = [F.bit_or(F.when(F.expr(f"at div {MASK_BITS}") == i, flag).otherwise(F.lit(0).cast("long"))).alias(m)
+             for i, m in enumerate(MASKS)]
+    return (firsts.select(_shard(F.shiftright("place", POSITION_BITS), n).alias("shard"),
+                          F.shiftright("place", PASSAGE_BITS).alias("passage"), "dest", in_passage.alias("at"))
+            .repartition(n, "shard").groupBy("shard", "passage", "dest").agg(*masks))
+
+
 def removals(docs: DataFrame) -> DataFrame:
     """key, removed, kept_sha256 of every document that loses words.
     ``docs``: key, text."""
-    seen = stage_table(seeds(docs), "seeds")
-    twice = seen.groupBy("seed").agg(F.sum("n").alias("n")).filter("n > 1").select("seed")
-    again = stage_table(seen.join(twice, "seed", "left_semi").select("seed", "key"), "recurring-seeds")
-    by_doc = again.groupBy("key").agg(F.collect_list("seed").alias("seeds"))
-    candidates = stage_table(docs.join(by_doc, "key"), "candidates")
-    firsts = recurring_windows(candidates)
-    cut = stage_table(passages(candidates.select("key", "text"), firsts), "passages")
-    size = candidates.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-int(size) // SHARD_BYTES))
-    shard = F.pmod(F.xxhash64("key"), F.lit(n)).cast("int").alias("shard")
-    has = again.select("seed", shard).distinct()
-    routes = (cut.select("owner", "start", F.explode("seeds").alias("seed")).join(has, "seed")
-              .select("shard", "owner", "start").distinct())
-    routed = routes.join(cut.select("owner", "start", "words"), ["owner", "start"])
-    return stage_table(found(candidates.select(shard, "key", "text"), routed), "removals")
+    spark = docs.sparkSession
+    size = int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    n, parts = max(1, -(-size // SHARD_BYTES)), shards(spark, size, SHARD_BYTES)
+    # each staged table goes as soon as it has been read
+    seeded, texts, routes = StagingScope(), StagingScope(), StagingScope()
+    try:
+        with use_scope(seeded):
+            again = stage_table(recurring_seeds(seeds(docs), parts), "recurring-seeds")
+        with use_scope(texts):
+            candidates = candidate_texts(docs, again, n)
+        seeded.drop(spark)
+        with use_scope(routes):
+            firsts = stage_table(recurring_windows(window_rows(candidates), parts), "first-places")
+        text = candidates.select("shard", "key", "text")
+        routed = passages(text, wanted_passages(firsts, n)).withColumnRenamed("dest", "shard")
+        return stage_table(found(text, routed), "removals")
+    finally:
+        for scope in (seeded, texts, routes):
+            scope.drop(spark)
 
 
 def phrase_dedup(docs: DataFrame) -> DataFrame:

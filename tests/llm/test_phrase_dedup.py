@@ -87,3 +87,35 @@ def test_automaton_leaves_the_first_occurrence():
     for key, doc, want in ((9, words, 30), (5, [b"a", b"b", *words], 0), (4, words, 0), (5, [b"a"] * 10 + words, 30), (9, words[:19], 0)):
         w = W.Words(pa.array([b" ".join(doc)]))
         assert auto.removed(w, [key]).sum() == want
+
+
+def test_a_phrase_of_every_passage_does_not_send_each_passage_to_every_shard(spark, monkeypatch):
+    monkeypatch.setattr(P, "SHARD_BYTES", 4_000)
+    common = " ".join(f"c{i}" for i in range(15))
+    rows = []
+    for i in range(200):
+        text = " ".join(f"a{i}x{k}" for k in range(15)) + " " + common + " " + " ".join(f"b{i}x{k}" for k in range(15))
+        rows += [(2 * i, text), (2 * i + 1, "other start " + text)]
+    sent, whole = [], P.found
+
+    def found(docs, routed):
+        sent.extend(len(r.words) for r in routed.collect())
+        return whole(docs, routed)
+    monkeypatch.setattr(P, "found", found)
+    assert result(spark, rows) == brute(rows)
+    # each pair's passage goes to the shard of its second document
+    assert 0 < sum(sent) <= sum(len(t) for _, t in rows)
+
+
+def test_windows_that_recur_in_many_batches_and_shards(spark, monkeypatch):
+    monkeypatch.setattr(P, "SHARD_BYTES", 3_000)
+    monkeypatch.setattr(P, "_ROWS", 7)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    line = " ".join(f"x{i}" for i in range(24))
+    rows = [(i, f"{i} {line} {line[:i]}") for i in range(90)] + corpus(4)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    try:
+        assert result(spark, rows) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
